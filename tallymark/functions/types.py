@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tallymark.functions.sqltext import literal, quoted, sql_type
+
 # Catalog type codes and the type names they stand for.
 TYPE_CODES = {
     "A1": "ARRAY",
@@ -125,13 +126,7 @@ def lower_names(df: DataFrame) -> DataFrame:
     clashes = sorted({n for n in names if names.count(n) > 1})
     if clashes:
         raise ValueError(f"column names differ only in case: {', '.join(clashes)}")
-    return df.select(
-        *[F.col(quoted(c)).alias(n, metadata=df.schema[i].metadata) for i, (c, n) in enumerate(zip(df.columns, names))]
-    )
-
-
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    return df if names == df.columns else df.toDF(*names)
 
 
 def _needs_canonical(dtype: T.DataType) -> bool:
@@ -144,33 +139,37 @@ def _needs_canonical(dtype: T.DataType) -> bool:
     return False
 
 
-def canonical_value(value: Column, dtype: T.DataType) -> Column:
+def canonical_value(value: str, dtype: T.DataType, depth: int = 0) -> str:
     """One value per meaning: NaN is null, -0.0 is 0.0, a map its sorted entries, a variant its JSON text."""
     if not _needs_canonical(dtype):
         return value
     if is_floating(dtype):
-        return F.when(~F.isnan(value), value + F.lit(0).cast(dtype))
+        kind = dtype.simpleString()
+        return f"(nullif({value}, {kind}('NaN')) + {kind}(0))"
     if isinstance(dtype, T.VariantType):
-        return F.to_json(value)
+        return f"to_json({value})"
     if isinstance(dtype, T.NullType):
-        return value.cast("string")
+        return f"cast({value} as string)"
+    item = f"item{depth}"
     if isinstance(dtype, T.ArrayType):
-        return F.transform(value, lambda x: canonical_value(x, dtype.elementType))
+        return f"transform({value}, {item} -> {canonical_value(item, dtype.elementType, depth + 1)})"
     if isinstance(dtype, T.MapType):
         entry = T.StructType([T.StructField("key", dtype.keyType), T.StructField("value", dtype.valueType)])
-        return F.array_sort(F.transform(F.map_entries(value), lambda e: canonical_value(e, entry)))
-    fields = [canonical_value(value.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
-    return F.when(value.isNotNull(), F.struct(*fields))
+        inner = canonical_value(item, entry, depth + 1)
+        return f"array_sort(transform(map_entries({value}), {item} -> {inner}))"
+    fields = ", ".join(
+        f"{literal(f.name)}, {canonical_value(f'{value}.{quoted(f.name)}', f.dataType, depth)}" for f in dtype.fields
+    )
+    return f"if({value} is null, null, named_struct({fields}))"
 
 
 def canonical(df: DataFrame) -> DataFrame:
     """Lower-case names and comparable values, ready to group and compare."""
     df = lower_names(df)
-    return df.select(
-        *[
-            canonical_value(F.col(quoted(f.name)), f.dataType).alias(f.name, metadata=f.metadata)
-            for f in df.schema.fields
-        ]
+    if not any(_needs_canonical(f.dataType) for f in df.schema.fields):
+        return df
+    return df.selectExpr(
+        *[f"{canonical_value(quoted(f.name), f.dataType)} as {quoted(f.name)}" for f in df.schema.fields]
     )
 
 
@@ -216,23 +215,23 @@ def _digits(dtype: T.DataType) -> tuple[int, int]:
     return _INTEGRAL_DIGITS[type(dtype)], 0
 
 
-def exact_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
+def exact_cast(value: str, source: T.DataType, target: T.DataType) -> str:
     """Cast for comparison. A decimal that does not fit raises; it never rounds or turns null."""
     if source == target:
         return value
+    kind = sql_type(target)
     if (
         isinstance(target, T.DecimalType)
         and isinstance(source, T.NumericType)
         and _digits(source)[0] + target.scale > 38
     ):
-        narrowed = value.try_cast(target)
-        return F.when(value.isNull() | narrowed.isNotNull(), narrowed).otherwise(
-            F.raise_error(F.lit(f"value does not fit {target.simpleString()}")).cast(target)
-        )
-    return value.cast(target)
+        narrowed = f"try_cast({value} as {kind})"
+        error = f"cast(raise_error('value does not fit {kind}') as {kind})"
+        return f"if({value} is null or {narrowed} is not null, {narrowed}, {error})"
+    return f"cast({value} as {kind})"
 
 
-def render(value: Column, dtype: T.DataType) -> Column:
+def render(value: str, dtype: T.DataType) -> str:
     """Display text of a value; the text ``null`` where it is null."""
-    text = F.base64(value) if isinstance(dtype, T.BinaryType) else value.cast("string")
-    return F.coalesce(text, F.lit("null"))
+    text = f"base64({value})" if isinstance(dtype, T.BinaryType) else f"cast({value} as string)"
+    return f"coalesce({text}, 'null')"

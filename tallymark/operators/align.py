@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.types import canonical, common_type, exact_cast, quoted
+from tallymark.functions.sqltext import quoted
+from tallymark.functions.types import canonical, common_type, exact_cast
 
 
 @dataclass
@@ -60,24 +60,20 @@ def align(source: DataFrame, target: DataFrame) -> Aligned:
 
 
 def _cast(df: DataFrame, types: dict[str, T.DataType], shared: dict[str, T.DataType]) -> DataFrame:
-    return df.select(*[exact_cast(F.col(quoted(c)), types[c], kind).alias(c) for c, kind in shared.items()])
+    if types == shared and df.columns == list(shared):
+        return df
+    return df.selectExpr(*[f"{exact_cast(quoted(c), types[c], k)} as {quoted(c)}" for c, k in shared.items()])
 
 
 def with_common_types(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides whole, their shared columns cast to the common type where there is one."""
     source, target = canonical(source), canonical(target)
-    right = {f.name: f.dataType for f in target.schema.fields}
     left = {f.name: f.dataType for f in source.schema.fields}
+    right = {f.name: f.dataType for f in target.schema.fields}
     kinds = {c: common_type(left[c], right[c]) for c in left if c in right}
 
-    def recast(df: DataFrame) -> DataFrame:
-        return df.select(
-            *[
-                exact_cast(F.col(quoted(f.name)), f.dataType, kinds.get(f.name) or f.dataType).alias(
-                    f.name, metadata=f.metadata
-                )
-                for f in df.schema.fields
-            ]
-        )
+    def recast(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
+        wanted = {c: kinds.get(c) or kind for c, kind in types.items()}
+        return _cast(df, types, wanted)
 
-    return recast(source), recast(target)
+    return recast(source, left), recast(target, right)

@@ -26,28 +26,26 @@ def compare_profiles(source: DataFrame, target: DataFrame) -> DataFrame:
 
     The profiles hold a few rows per column, so one small shuffle pairs them.
     """
-    tagged = source.withColumn("side", F.lit("s")).unionByName(target.withColumn("side", F.lit("t")))
-    in_source, in_target = F.col("side") == "s", F.col("side") == "t"
+    tagged = source.withColumn("from_source", F.lit(True)).unionByName(target.withColumn("from_source", F.lit(False)))
     paired = tagged.groupBy("check", "column", "metric").agg(
-        F.max(F.when(in_source, F.col("value"))).alias("source_value"),
-        F.max(F.when(in_target, F.col("value"))).alias("target_value"),
-        F.max(in_source).alias("has_source"),
-        F.max(in_target).alias("has_target"),
-        F.min("ok").alias("ok"),
+        F.expr("max(value) filter (where from_source) as source_value"),
+        F.expr("max(value) filter (where not from_source) as target_value"),
+        F.expr("max(from_source) as has_source"),
+        F.expr("max(not from_source) as has_target"),
+        F.expr("min(ok) as ok"),
     )
-    same = F.col("has_source") & F.col("has_target") & F.col("source_value").eqNullSafe(F.col("target_value"))
-    name = F.lower("metric")
-    return paired.select(
+    return paired.selectExpr(
         "check",
         "column",
         "metric",
         "source_value",
         "target_value",
-        F.when(~F.col("ok"), FAILED).when(same, MATCH).otherwise(NOT_MATCH).alias("status"),
-        F.when(~F.col("has_target"), F.concat(F.lit("Column "), name, F.lit(" not in Target")))
-        .when(~F.col("has_source"), F.concat(F.lit("Column "), name, F.lit(" not in Source")))
-        .when(~same | ~F.col("ok"), name)
-        .alias("remark"),
+        f"""CASE WHEN NOT ok THEN '{FAILED}'
+                 WHEN has_source AND has_target AND source_value <=> target_value THEN '{MATCH}'
+                 ELSE '{NOT_MATCH}' END AS status""",
+        """CASE WHEN NOT has_target THEN concat('Column ', lower(metric), ' not in Target')
+                WHEN NOT has_source THEN concat('Column ', lower(metric), ' not in Source')
+                WHEN NOT ok OR NOT source_value <=> target_value THEN lower(metric) END AS remark""",
     )
 
 
@@ -62,51 +60,41 @@ def check_compare(source: DataFrame, target: DataFrame) -> DataFrame:
     left = profile(source, sorted(taken))
     right = profile(target, sorted(taken - {"RLength"}))
     if "RLength" in taken:
-        as_both = F.when(F.col("check") == "Length", F.array(F.lit("Length"), F.lit("RLength")))
-        right = right.withColumn("check", F.explode(F.coalesce(as_both, F.array("check"))))
+        right = right.withColumn(
+            "check", F.expr("explode(if(check = 'Length', array('Length', 'RLength'), array(check)))")
+        )
     return compare_profiles(left, right)
 
 
 def check_summary(compared: DataFrame, *table: str) -> DataFrame:
     """One row per check: ``(TestCases, Status, Remarks)``; the remark lists what differs, or ``-``."""
-    status = (
-        F.when(F.max(F.col("status") == FAILED), FAILED)
-        .when(F.max(F.col("status") == NOT_MATCH), NOT_MATCH)
-        .otherwise(MATCH)
-    )
-    remarks = F.array_join(F.sort_array(F.collect_list("remark")), ", ")
     return compared.groupBy(*table, F.col("check").alias("TestCases")).agg(
-        status.alias("Status"),
-        F.when(F.max(F.col("status") != MATCH), remarks).otherwise("-").alias("Remarks"),
+        F.expr(f"""CASE WHEN bool_or(status = '{FAILED}') THEN '{FAILED}'
+                        WHEN bool_and(status = '{MATCH}') THEN '{MATCH}' ELSE '{NOT_MATCH}' END AS Status"""),
+        F.expr(f"""CASE WHEN bool_and(status = '{MATCH}') THEN '-'
+                        ELSE array_join(sort_array(collect_list(remark)), ', ') END AS Remarks"""),
     )
 
 
 def table_verdict(summary: DataFrame, *table: str) -> DataFrame:
-    """``Pass`` where every check matches, else ``Fail`` with the checks that do not."""
-    passed = F.every(F.col("Status") == MATCH)
-    failing = F.collect_list(
-        F.when(F.col("Status") != MATCH, F.concat_ws(": ", "TestCases", F.concat_ws(" ", "Status", "Remarks")))
-    )
-    grouped = summary.groupBy(*table) if table else summary.groupBy()
-    return grouped.agg(
-        F.when(passed, PASS).when(~passed, FAIL).otherwise(FAILED).alias("Status"),
-        F.when(passed, "..").otherwise(F.array_join(F.sort_array(failing), "; ")).alias("Remarks"),
+    """``Pass`` where every check matches, else ``Fail`` with the checks that do not; no check is ``Failed``."""
+    failing = f"collect_list(concat(TestCases, ': ', Status, ' ', Remarks)) FILTER (WHERE Status <> '{MATCH}')"
+    return summary.groupBy(*table).agg(
+        F.expr(f"""CASE bool_and(Status = '{MATCH}') WHEN true THEN '{PASS}' WHEN false THEN '{FAIL}'
+                        ELSE '{FAILED}' END AS Status"""),
+        F.expr(f"""CASE WHEN bool_and(Status = '{MATCH}') THEN '..'
+                        ELSE array_join(sort_array({failing}), '; ') END AS Remarks"""),
     )
 
 
 def row_count_check(source: DataFrame, target: DataFrame) -> DataFrame:
     """``(count_source, count_target, status, remarks)`` in one row."""
-    counts = (
-        source.select(F.lit(1).alias("s"), F.lit(0).alias("t"))
-        .unionAll(target.select(F.lit(0).alias("s"), F.lit(1).alias("t")))
-        .agg(
-            F.coalesce(F.sum("s"), F.lit(0)).alias("count_source"),
-            F.coalesce(F.sum("t"), F.lit(0)).alias("count_target"),
-        )
-    )
-    return counts.select(
+    counts = source.selectExpr("1 as s", "0 as t").unionAll(target.selectExpr("0 as s", "1 as t"))
+    return counts.selectExpr(
+        "coalesce(sum(s), 0) as count_source", "coalesce(sum(t), 0) as count_target"
+    ).selectExpr(
         "count_source",
         "count_target",
-        F.when(F.col("count_source") == F.col("count_target"), COUNT_MATCH).otherwise(COUNT_MISMATCH).alias("status"),
-        F.concat_ws(" vs ", F.col("count_source"), F.col("count_target")).alias("remarks"),
+        f"if(count_source = count_target, '{COUNT_MATCH}', '{COUNT_MISMATCH}') as status",
+        "concat(count_source, ' vs ', count_target) as remarks",
     )

@@ -2,37 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.types import canonical, is_floating, quoted
+from tallymark.functions.sqltext import inline, literal, quoted
+from tallymark.functions.types import canonical, is_floating
 from tallymark.operators.align import with_common_types
 from tallymark.operators.checks import COUNT_MATCH, COUNT_MISMATCH, DATA_MATCH, DATA_MISMATCH
 
 ALGORITHMS = ("murmur", "md5", "xxhash64")
 
 
-def _hashed(column: Column, dtype: T.DataType, algorithm: str) -> Column:
+def _hashed(column: str, dtype: T.DataType, algorithm: str) -> str:
     """Murmur gives its seed for null, so nulls weigh in; the others skip nulls."""
     if algorithm == "murmur":
-        return F.hash(column)
+        return f"hash({column})"
     if algorithm == "xxhash64":
-        return F.when(column.isNotNull(), F.xxhash64(column))
-    data = column if isinstance(dtype, T.BinaryType) else column.cast("string")
-    return F.conv(F.substring(F.md5(data), 1, 8), 16, 10).cast("bigint")
+        return f"if({column} is null, null, xxhash64({column}))"
+    data = column if isinstance(dtype, T.BinaryType) else f"cast({column} as string)"
+    return f"conv(substr(md5({data}), 1, 8), 16, 10)"
 
 
-def _average(column: Column, dtype: T.DataType, algorithm: str) -> Column:
+def _average(column: str, dtype: T.DataType, algorithm: str) -> str:
     """The mean as double, divided last from an exact sum: summing doubles would depend on row order."""
-    if not isinstance(dtype, T.NumericType):
-        value = _hashed(column, dtype, algorithm).cast("decimal(38,0)")
-        return F.sum(value).cast("double") / F.count(value)
-    if not is_floating(dtype) and not isinstance(dtype, T.DecimalType):
-        return F.sum(column.cast("decimal(38,0)")).cast("double") / F.count(column)
-    value = column.try_cast("decimal(38,12)")
-    exact = F.when(F.count(value) == F.count(column), F.try_sum(value)).cast("double") / F.count(column)
-    return F.coalesce(exact, F.avg(column.cast("double")))
+    if is_floating(dtype) or isinstance(dtype, T.DecimalType):
+        value = f"try_cast({column} as decimal(38,12))"
+        exact = f"cast(if(count({value}) = count({column}), try_sum({value}), null) as double) / count({column})"
+        return f"if(count({column}) = 0, null, coalesce({exact}, avg(cast({column} as double))))"
+    value = column if isinstance(dtype, T.NumericType) else _hashed(column, dtype, algorithm)
+    return f"if(count({value}) = 0, null, cast(sum(cast({value} as decimal(38,0))) as double) / count({value}))"
 
 
 def hash_profile(df: DataFrame, algorithm: str = "murmur") -> DataFrame:
@@ -40,11 +39,11 @@ def hash_profile(df: DataFrame, algorithm: str = "murmur") -> DataFrame:
     return _profile_row(canonical(df), algorithm)
 
 
-def _profile_row(df: DataFrame, algorithm: str, *more: Column) -> DataFrame:
+def _profile_row(df: DataFrame, algorithm: str, *more: str) -> DataFrame:
     if algorithm not in ALGORITHMS:
         raise ValueError(f"unknown algorithm {algorithm}, choose from {', '.join(ALGORITHMS)}")
-    return df.agg(
-        *[_average(F.col(quoted(f.name)), f.dataType, algorithm).alias(f"avg{f.name}") for f in df.schema.fields],
+    return df.selectExpr(
+        *[f"{_average(quoted(f.name), f.dataType, algorithm)} as {quoted(f'avg{f.name}')}" for f in df.schema.fields],
         *more,
     )
 
@@ -53,72 +52,58 @@ def hash_profile_long(df: DataFrame, algorithm: str = "murmur") -> DataFrame:
     """``(metric, n_values, value)``: the averages in long form with the number of values behind each."""
     df = canonical(df)
     names = df.columns
-    row = _profile_row(df, algorithm, *[F.count(F.col(quoted(c))).alias(f"_n{i}") for i, c in enumerate(names)])
-    entries = [
-        F.struct(
-            F.lit(f"avg{c}").alias("metric"),
-            F.col(f"_n{i}").alias("n_values"),
-            F.col(quoted(f"avg{c}")).alias("value"),
-        )
-        for i, c in enumerate(names)
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    row = _profile_row(df, algorithm, *[f"count({quoted(c)}) as _n{i}" for i, c in enumerate(names)])
+    rows = [[literal(f"avg{c}"), f"_n{i}", quoted(f"avg{c}")] for i, c in enumerate(names)]
+    return row.selectExpr(inline(["metric", "n_values", "value"], rows))
 
 
 def hash_profile_compare(source: DataFrame, target: DataFrame, algorithm: str = "murmur") -> DataFrame:
     """``(key, Status, Remarks)`` with the rows ``Count`` and ``Data``, from one scan per side."""
     source, target = with_common_types(source, target)
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        row = _profile_row(df, algorithm, F.count(F.lit(1)).alias("_rows"))
-        entries = [F.struct(F.lit("*").alias("metric"), F.col("_rows").cast("double").alias("value"))] + [
-            F.struct(F.lit(f"avg{c}").alias("metric"), F.col(quoted(f"avg{c}")).alias("value")) for c in df.columns
-        ]
-        return row.select(F.inline(F.array(*entries)), F.lit(name).alias("side"), F.col("_rows").alias("n"))
+    def side(df: DataFrame, from_source: str) -> DataFrame:
+        row = _profile_row(df, algorithm, "count(1) as _rows")
+        rows = [[literal("*"), "cast(null as double)"]]
+        rows += [[literal(f"avg{c}"), quoted(f"avg{c}")] for c in df.columns]
+        return row.selectExpr(
+            f"{from_source} as from_source", "_rows as n", inline(["metric", "value"], rows)
+        )
 
-    in_source, in_target = F.col("side") == "s", F.col("side") == "t"
     pairs = (
-        side(source, "s")
-        .unionByName(side(target, "t"))
+        side(source, "true")
+        .unionAll(side(target, "false"))
         .groupBy("metric")
         .agg(
-            F.max(F.when(in_source, F.col("value"))).alias("s"),
-            F.max(F.when(in_target, F.col("value"))).alias("t"),
-            F.max(in_source).alias("has_s"),
-            F.max(in_target).alias("has_t"),
-            F.max(F.when(in_source, F.col("n"))).alias("n_s"),
-            F.max(F.when(in_target, F.col("n"))).alias("n_t"),
-        )
-    )
-    differs = ~(F.col("has_s") & F.col("has_t") & F.col("s").eqNullSafe(F.col("t")))
-    remark = (
-        F.when(~F.col("has_t"), F.concat(F.lit("Column "), F.col("metric"), F.lit(" not in Target")))
-        .when(~F.col("has_s"), F.concat(F.lit("Column "), F.col("metric"), F.lit(" not in Source")))
-        .otherwise(F.col("metric"))
-    )
-    total = pairs.agg(
-        F.max("n_s").alias("n_s"),
-        F.max("n_t").alias("n_t"),
-        F.sort_array(F.collect_list(F.when((F.col("metric") != "*") & differs, remark))).alias("columns"),
-    )
-    return total.select(
-        F.inline(
-            F.array(
-                count_entry(F.col("n_s"), F.col("n_t")),
-                F.struct(
-                    F.lit("Data").alias("key"),
-                    F.when(F.size("columns") == 0, DATA_MATCH).otherwise(DATA_MISMATCH).alias("Status"),
-                    F.when(F.size("columns") == 0, "-").otherwise(F.array_join("columns", ", ")).alias("Remarks"),
-                ),
-            )
+            F.expr("max(value) filter (where from_source) as s"),
+            F.expr("max(value) filter (where not from_source) as t"),
+            F.expr("max(from_source) as has_s"),
+            F.expr("max(not from_source) as has_t"),
+            F.expr("max(n) filter (where from_source) as n_s"),
+            F.expr("max(n) filter (where not from_source) as n_t"),
         )
     )
-
-
-def count_entry(source: Column, target: Column) -> Column:
-    """The ``Count`` row of a manual summary."""
-    return F.struct(
-        F.lit("Count").alias("key"),
-        F.when(source == target, COUNT_MATCH).otherwise(COUNT_MISMATCH).alias("Status"),
-        F.concat_ws(" vs ", source, target).alias("Remarks"),
+    remark = """CASE WHEN NOT has_t THEN concat('Column ', metric, ' not in Target')
+                     WHEN NOT has_s THEN concat('Column ', metric, ' not in Source')
+                     WHEN NOT s <=> t THEN metric END"""
+    return pairs.selectExpr(
+        "max(n_s) as n_s", "max(n_t) as n_t", f"array_join(sort_array(collect_list({remark})), ', ') as remarks"
+    ).selectExpr(manual_summary("n_s", "n_t", "remarks"))
+
+
+def manual_summary(count_source: str, count_target: str, remarks: str) -> str:
+    """SQL for the rows ``Count`` and ``Data`` of ``(key, Status, Remarks)``; no remarks mean matching data."""
+    return inline(
+        ["key", "Status", "Remarks"],
+        [
+            [
+                "'Count'",
+                f"if({count_source} = {count_target}, '{COUNT_MATCH}', '{COUNT_MISMATCH}')",
+                f"concat({count_source}, ' vs ', {count_target})",
+            ],
+            [
+                "'Data'",
+                f"if({remarks} = '', '{DATA_MATCH}', '{DATA_MISMATCH}')",
+                f"if({remarks} = '', '-', {remarks})",
+            ],
+        ],
     )

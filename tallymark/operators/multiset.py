@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.types import canonical, quoted
+from tallymark.functions.sqltext import literal, quoted
+from tallymark.functions.types import canonical
 from tallymark.operators.align import Aligned, align
+from tallymark.operators.checks import DATA_MATCH, DATA_MISMATCH
 
 N_SOURCE, N_TARGET = "_n_source", "_n_target"
 
@@ -19,51 +21,46 @@ def paired_counts(pair: Aligned) -> DataFrame:
     """
     if not pair.columns:
         raise ValueError("the two sides share no comparable column")
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    tagged = pair.source.withColumns({N_SOURCE: one, N_TARGET: zero}).unionByName(
-        pair.target.withColumns({N_SOURCE: zero, N_TARGET: one})
+    tagged = pair.source.selectExpr("*", f"1L as {N_SOURCE}", f"0L as {N_TARGET}").unionAll(
+        pair.target.selectExpr("*", f"0L as {N_SOURCE}", f"1L as {N_TARGET}")
     )
-    return tagged.groupBy(*[F.col(quoted(c)) for c in pair.columns]).agg(
-        F.sum(N_SOURCE).alias(N_SOURCE), F.sum(N_TARGET).alias(N_TARGET)
+    return tagged.groupBy(*[quoted(c) for c in pair.columns]).agg(
+        F.expr(f"sum({N_SOURCE}) as {N_SOURCE}"), F.expr(f"sum({N_TARGET}) as {N_TARGET}")
     )
 
 
-def unmatched(pair: Aligned) -> DataFrame:
+def unmatched(pair: Aligned, source: str = N_SOURCE, target: str = N_TARGET) -> DataFrame:
     """Rows left after identical rows cancel out, with the surplus copies of each side."""
     return (
         paired_counts(pair)
-        .where(F.col(N_SOURCE) != F.col(N_TARGET))
-        .withColumns(
-            {
-                N_SOURCE: F.greatest(F.col(N_SOURCE) - F.col(N_TARGET), F.lit(0)),
-                N_TARGET: F.greatest(F.col(N_TARGET) - F.col(N_SOURCE), F.lit(0)),
-            }
+        .where(f"{N_SOURCE} <> {N_TARGET}")
+        .selectExpr(
+            *[quoted(c) for c in pair.columns],
+            f"greatest({N_SOURCE} - {N_TARGET}, 0L) as {source}",
+            f"greatest({N_TARGET} - {N_SOURCE}, 0L) as {target}",
         )
     )
 
 
 def bag_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     """The shared columns of every differing row, with ``source_extra`` and ``target_extra`` copies."""
-    pair = align(source, target)
-    return unmatched(pair).withColumnsRenamed({N_SOURCE: "source_extra", N_TARGET: "target_extra"})
+    return unmatched(align(source, target), "source_extra", "target_extra")
 
 
 def table_equality(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row: counts, surplus rows of each side, column remarks, and ``Data Match`` or ``Data Mismatch``."""
     pair = align(source, target)
-    s, t = F.col(N_SOURCE), F.col(N_TARGET)
-    totals = paired_counts(pair).agg(
-        F.coalesce(F.sum(s), F.lit(0)).alias("count_source"),
-        F.coalesce(F.sum(t), F.lit(0)).alias("count_target"),
-        F.coalesce(F.sum(F.greatest(s - t, F.lit(0))), F.lit(0)).alias("source_extra"),
-        F.coalesce(F.sum(F.greatest(t - s, F.lit(0))), F.lit(0)).alias("target_extra"),
+    totals = paired_counts(pair).selectExpr(
+        f"coalesce(sum({N_SOURCE}), 0L) as count_source",
+        f"coalesce(sum({N_TARGET}), 0L) as count_target",
+        f"coalesce(sum(greatest({N_SOURCE} - {N_TARGET}, 0L)), 0L) as source_extra",
+        f"coalesce(sum(greatest({N_TARGET} - {N_SOURCE}, 0L)), 0L) as target_extra",
     )
-    equal = (F.col("source_extra") == 0) & (F.col("target_extra") == 0) & F.lit(pair.same_shape)
-    return totals.withColumns(
-        {
-            "status": F.when(equal, "Data Match").otherwise("Data Mismatch"),
-            "remarks": F.lit(", ".join(pair.remarks) or "-"),
-        }
+    same_shape = str(pair.same_shape).lower()
+    return totals.selectExpr(
+        "*",
+        f"if(source_extra = 0 and target_extra = 0 and {same_shape}, '{DATA_MATCH}', '{DATA_MISMATCH}') as status",
+        f"{literal(', '.join(pair.remarks) or '-')} as remarks",
     )
 
 
@@ -73,11 +70,12 @@ def fingerprint(df: DataFrame) -> DataFrame:
     Different fingerprints prove different data; equal ones are strong evidence only.
     """
     df = canonical(df)
-    columns = [F.col(quoted(c)) for c in df.columns]
-    hashed = F.xxhash64(*columns, *[c.isNull() for c in columns])
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(hashed.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("hash_sum"),
+    columns = [quoted(c) for c in df.columns]
+    # A hash skips nulls, so where they stand is hashed as well.
+    hashed = f"xxhash64({', '.join(columns + [f'{c} is null' for c in columns])})"
+    return df.selectExpr(
+        "count(1) as n_rows",
+        f"coalesce(sum(cast({hashed} as decimal(38,0))), cast(0 as decimal(38,0))) as hash_sum",
     )
 
 

@@ -5,67 +5,66 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallymark.functions.types import declared_text_type, is_floating, is_temporal, is_text, lower_names, quoted
+from tallymark.functions.sqltext import inline, literal, quoted
+from tallymark.functions.types import declared_text_type, is_floating, is_temporal, is_text, lower_names
 
 # The names of the checks.
 CHECKS = ["Count", "Null", "Sum", "Max", "Length", "RLength"]
 
-# Aggregates per pass. Parquet reads only the columns of a pass, so passes share no column bytes.
+# Columns per pass. Parquet reads only the columns of a pass, so passes share no column bytes.
 COLUMNS_PER_PASS = 200
 
 
 @dataclass(frozen=True)
 class Metric:
+    """One aggregate as SQL text; ``ok`` is the condition under which its value is complete."""
+
     check: str
     column: str
     name: str
-    value: Column
-    ok: Column
+    value: str
+    ok: str = "true"
 
 
 def metrics(schema: T.StructType) -> list[Metric]:
     """The metrics every column gets by its type; a check without columns is not listed."""
-    true = F.lit(True)
-    out = [Metric("Count", "*", "Total_count", F.count(F.lit(1)), true)]
+    out = [Metric("Count", "*", "Total_count", "count(1)")]
     for field in schema.fields:
-        name, column = field.name, F.col(quoted(field.name))
-        nulls = F.sum(column.isNull().cast("bigint"))
-        out.append(Metric("Null", name, f"Number_of_Null_Values_{name}", nulls, true))
+        name, column = field.name, quoted(field.name)
+        nulls = f"sum(cast({column} is null as bigint))"
+        out.append(Metric("Null", name, f"Number_of_Null_Values_{name}", nulls))
         if isinstance(field.dataType, T.NumericType):
-            total, ok = _total(column, field.dataType)
-            out.append(Metric("Sum", name, f"sum_{name}", total, ok))
+            out.append(Metric("Sum", name, f"sum_{name}", *_total(column, field.dataType)))
         elif is_temporal(field.dataType):
-            out.append(Metric("Max", name, f"MAX_{name}", F.max(column), true))
-            out.append(Metric("Max", name, f"MIN_{name}", F.min(column), true))
+            out.append(Metric("Max", name, f"MAX_{name}", f"max({column})"))
+            out.append(Metric("Max", name, f"MIN_{name}", f"min({column})"))
         elif is_text(field.dataType):
-            trimmed = F.rtrim(column) if declared_text_type(field)[0] == "CHAR" else column
+            trimmed = f"rtrim({column})" if declared_text_type(field)[0] == "CHAR" else column
             for check, text in (("Length", column), ("RLength", trimmed)):
-                length = F.length(text).cast("bigint")
-                out.append(Metric(check, name, f"max_len_{name}", F.max(length), true))
-                out.append(Metric(check, name, f"min_len_{name}", F.min(length), true))
+                for side in ("max", "min"):
+                    out.append(Metric(check, name, f"{side}_len_{name}", f"{side}(cast(length({text}) as bigint))"))
     return out
 
 
-def _total(column: Column, dtype: T.DataType) -> tuple[Column, Column]:
+def _total(column: str, dtype: T.DataType) -> tuple[str, str]:
     """A sum that stays exact at any row count, and whether every value entered it.
 
     Whole numbers and (truncated) floating values sum as ``decimal(38,0)``: a 64-bit sum of keys
     overflows at a few billion rows. Decimals sum as ``decimal(38,12)``.
     """
     if isinstance(dtype, T.DecimalType):
-        value = column.try_cast("decimal(38,12)")
+        value, present = f"try_cast({column} as decimal(38,12))", column
     elif is_floating(dtype):
-        value = F.when(~F.isnan(column), column).try_cast("bigint").cast("decimal(38,0)")
+        present = f"nullif({column}, {dtype.simpleString()}('NaN'))"
+        value = f"cast(try_cast({present} as bigint) as decimal(38,0))"
     else:
-        return F.sum(column.cast("decimal(38,0)")), F.lit(True)
-    total = F.try_sum(value)
-    present = F.count(F.when(~F.isnan(column), column)) if is_floating(dtype) else F.count(column)
-    complete = (present == F.count(value)) & (total.isNotNull() | (F.count(value) == 0))
-    return F.when(complete, total), complete
+        return f"sum(cast({column} as decimal(38,0)))", "true"
+    total = f"try_sum({value})"
+    complete = f"(count({present}) = count({value}) and ({total} is not null or count({value}) = 0))"
+    return f"if({complete}, {total}, null)", complete
 
 
 def single_check(df: DataFrame, check: str) -> DataFrame:
@@ -74,7 +73,7 @@ def single_check(df: DataFrame, check: str) -> DataFrame:
     found = [m for m in metrics(df.schema) if m.check == check]
     if not found:
         raise ValueError(f"no column takes the check {check}")
-    return df.agg(*[m.value.alias(m.name) for m in found])
+    return df.selectExpr(*[f"{m.value} as {quoted(m.name)}" for m in found])
 
 
 def profile(df: DataFrame, checks: list[str] | None = None) -> DataFrame:
@@ -95,18 +94,16 @@ def profile(df: DataFrame, checks: list[str] | None = None) -> DataFrame:
 
 
 def _profile_pass(df: DataFrame, part: list[Metric]) -> DataFrame:
-    row = df.agg(
-        *[m.value.cast("string").alias(f"v{i}") for i, m in enumerate(part)],
-        *[m.ok.alias(f"k{i}") for i, m in enumerate(part)],
+    row = df.selectExpr(
+        *[f"cast({m.value} as string) as v{i}" for i, m in enumerate(part)],
+        *[f"{m.ok} as k{i}" for i, m in enumerate(part) if m.ok != "true"],
     )
-    entries = [
-        F.struct(
-            F.lit(m.check).alias("check"),
-            F.lit(m.column).alias("column"),
-            F.lit(m.name).alias("metric"),
-            F.col(f"v{i}").alias("value"),
-            F.col(f"k{i}").alias("ok"),
+    return row.selectExpr(
+        inline(
+            ["check", "column", "metric", "value", "ok"],
+            [
+                [literal(m.check), literal(m.column), literal(m.name), f"v{i}", "true" if m.ok == "true" else f"k{i}"]
+                for i, m in enumerate(part)
+            ],
         )
-        for i, m in enumerate(part)
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    )

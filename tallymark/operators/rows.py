@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.types import quoted, render
+from tallymark.functions.sqltext import inline, literal, quoted
+from tallymark.functions.types import render
 from tallymark.operators.align import Aligned, align
 from tallymark.operators.multiset import N_SOURCE, N_TARGET, paired_counts, unmatched
 from tallymark.session import written
@@ -38,55 +39,43 @@ class RowDiff:
 
     def cells(self) -> DataFrame:
         """``(by…, column, source_value, target_value, diff)`` for every differing cell of mismatched rows."""
-        kinds = self._kinds()
-        candidates = F.array(
-            *[
-                F.when(
-                    ~F.col("source")[c].eqNullSafe(F.col("target")[c]),
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        render(F.col("source")[c], kinds[c]).alias("source_value"),
-                        render(F.col("target")[c], kinds[c]).alias("target_value"),
-                    ),
-                )
-                for c in self.values
-            ]
+        kinds = {f.name: f.dataType for f in self.pair.source.schema.fields}
+        by = [quoted(c) for c in self.by]
+        cells = ", ".join(
+            f"""if({self.differs(c)}, named_struct('column', {literal(c)},
+                'source_value', {render(f"source.{quoted(c)}", kinds[c])},
+                'target_value', {render(f"target.{quoted(c)}", kinds[c])}), null)"""
+            for c in self.values
         )
-        found = self.rows.where(F.col("status") == MISMATCH).select(
-            *[F.col(quoted(c)) for c in self.by], F.explode(F.array_compact(candidates)).alias("cell")
-        )
-        return found.select(
-            *[F.col(quoted(c)) for c in self.by],
-            "cell.*",
-            F.concat_ws(" vs ", "cell.source_value", "cell.target_value").alias("diff"),
+        return (
+            self.rows.where(f"status = '{MISMATCH}'")
+            .selectExpr(*by, f"inline(array_compact(array({cells})))")
+            .selectExpr("*", "concat(source_value, ' vs ', target_value) as diff")
         )
 
     def columns(self) -> DataFrame:
         """``(column, n_mismatch)`` for every column in which mismatched rows differ."""
-        if not self.values:
-            return self.rows.select(F.lit("").alias("column"), F.lit(0).cast("bigint").alias("n_mismatch")).limit(0)
-        mismatched = self.rows.where(F.col("status") == MISMATCH)
-        counts = mismatched.agg(
-            *[
-                F.count_if(~F.col("source")[c].eqNullSafe(F.col("target")[c])).alias(f"c{i}")
-                for i, c in enumerate(self.values)
-            ]
-        )
-        entries = [
-            F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("n_mismatch")) for i, c in enumerate(self.values)
+        counts = self.rows.selectExpr(*self.mismatches())
+        rows = [[literal(c), f"c{i}"] for i, c in enumerate(self.values)]
+        return counts.selectExpr(inline(["column", "n_mismatch"], rows)).where("n_mismatch > 0")
+
+    @staticmethod
+    def differs(column: str) -> str:
+        return f"NOT source.{quoted(column)} <=> target.{quoted(column)}"
+
+    def mismatches(self) -> list[str]:
+        """One count of mismatched rows per value column, named by its place."""
+        return [
+            f"count_if(status = '{MISMATCH}' AND {self.differs(c)}) as c{i}" for i, c in enumerate(self.values)
         ]
-        return counts.select(F.inline(F.array(*entries))).where(F.col("n_mismatch") > 0)
 
     def statuses(self) -> DataFrame:
         """``(status, n_rows)`` of the differing rows."""
         return self.rows.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"))
 
-    def _kinds(self) -> dict:
-        return {f.name: f.dataType for f in self.pair.source.schema.fields}
-
 
-def _status(has_source: Column, has_target: Column) -> Column:
-    return F.when(has_source & has_target, MISMATCH).when(has_source, SOURCE_ONLY).otherwise(TARGET_ONLY)
+_STATUS = f"""CASE WHEN source IS NULL THEN '{TARGET_ONLY}' WHEN target IS NULL THEN '{SOURCE_ONLY}'
+                   ELSE '{MISMATCH}' END AS status"""
 
 
 def _keys(pair: Aligned, keys: list[str]) -> tuple[list[str], list[str]]:
@@ -105,34 +94,35 @@ def row_status_counts(source: DataFrame, target: DataFrame, keys: list[str]) ->
     """
     pair = align(source, target)
     keys, _ = _keys(pair, keys)
-    s, t = F.col(N_SOURCE), F.col(N_TARGET)
-    per_key = paired_counts(pair).groupBy(*[F.col(quoted(k)) for k in keys]).agg(
-        F.sum(F.least(s, t)).alias("match"),
-        F.sum(F.greatest(s - t, F.lit(0))).alias("s"),
-        F.sum(F.greatest(t - s, F.lit(0))).alias("t"),
+    per_key = (
+        paired_counts(pair)
+        .groupBy(*[quoted(k) for k in keys])
+        .agg(
+            F.expr(f"sum(least({N_SOURCE}, {N_TARGET})) as matched"),
+            F.expr(f"sum(greatest({N_SOURCE} - {N_TARGET}, 0L)) as s"),
+            F.expr(f"sum(greatest({N_TARGET} - {N_SOURCE}, 0L)) as t"),
+        )
     )
-    totals = per_key.agg(
-        F.sum("match").alias("match"),
-        F.sum(F.least("s", "t")).alias(MISMATCH),
-        F.sum(F.greatest(F.col("s") - F.col("t"), F.lit(0))).alias(SOURCE_ONLY),
-        F.sum(F.greatest(F.col("t") - F.col("s"), F.lit(0))).alias(TARGET_ONLY),
+    totals = per_key.selectExpr(
+        "coalesce(sum(matched), 0L) as matched",
+        "coalesce(sum(least(s, t)), 0L) as paired",
+        "coalesce(sum(greatest(s - t, 0L)), 0L) as s",
+        "coalesce(sum(greatest(t - s, 0L)), 0L) as t",
     )
-    entries = [
-        F.struct(F.lit(c).alias("status"), F.coalesce(F.col(c), F.lit(0)).alias("n_rows")) for c in totals.columns
-    ]
-    return totals.select(F.inline(F.array(*entries)))
+    statuses = {"match": "matched", MISMATCH: "paired", SOURCE_ONLY: "s", TARGET_ONLY: "t"}
+    return totals.selectExpr(inline(["status", "n_rows"], [[literal(k), v] for k, v in statuses.items()]))
 
 
 def duplicate_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys…, count_source, count_target)`` for keys that hold several rows on a side."""
     pair = align(source, target)
     keys, _ = _keys(pair, keys)
-    cols = [F.col(quoted(k)) for k in keys]
-    sides = pair.source.select(*cols, F.lit(1).alias("s"), F.lit(0).alias("t")).unionAll(
-        pair.target.select(*cols, F.lit(0).alias("s"), F.lit(1).alias("t"))
+    cols = [quoted(k) for k in keys]
+    sides = pair.source.selectExpr(*cols, "1L as s", "0L as t").unionAll(
+        pair.target.selectExpr(*cols, "0L as s", "1L as t")
     )
-    counts = sides.groupBy(*cols).agg(F.sum("s").alias("count_source"), F.sum("t").alias("count_target"))
-    return counts.where((F.col("count_source") > 1) | (F.col("count_target") > 1))
+    counts = sides.groupBy(*cols).agg(F.expr("sum(s) as count_source"), F.expr("sum(t) as count_target"))
+    return counts.where("count_source > 1 or count_target > 1")
 
 
 def keyed_diff(source: DataFrame, target: DataFrame, keys: list[str]) -> RowDiff:
@@ -141,22 +131,24 @@ def keyed_diff(source: DataFrame, target: DataFrame, keys: list[str]) -> RowDiff
     Within a key identical rows cancel out first. The surplus rows of both sides then pair by their order
     over the other columns, nulls last; ``occurrence`` counts those pairs from 0.
     """
-    pair = align(source, target)
+    return keyed_pairs(align(source, target), keys)
+
+
+def keyed_pairs(pair: Aligned, keys: list[str]) -> RowDiff:
     keys, values = _keys(pair, keys)
     left = written(unmatched(pair), "unmatched")
-    cols = [F.col(quoted(k)) for k in keys]
-    repeated = left.groupBy(*cols).agg(F.sum(N_SOURCE).alias("s"), F.sum(N_TARGET).alias("t"))
-    if repeated.where((F.col("s") > 1) | (F.col("t") > 1)).isEmpty():
-        row = F.struct(*[F.col(quoted(c)) for c in values])
+    cols = [quoted(k) for k in keys]
+    repeated = left.groupBy(*cols).agg(F.expr(f"sum({N_SOURCE}) as s"), F.expr(f"sum({N_TARGET}) as t"))
+    if repeated.where("s > 1 or t > 1").isEmpty():
+        row = _row(values)
         rows = left.groupBy(*cols).agg(
-            F.first(F.when(F.col(N_SOURCE) > 0, row), ignorenulls=True).alias("source"),
-            F.first(F.when(F.col(N_TARGET) > 0, row), ignorenulls=True).alias("target"),
+            F.expr("0L as occurrence"),
+            F.expr(f"first({row}) filter (where {N_SOURCE} > 0) as source"),
+            F.expr(f"first({row}) filter (where {N_TARGET} > 0) as target"),
         )
-        rows = rows.withColumn("occurrence", F.lit(0).cast("bigint"))
     else:
-        rows = _pair_positions(_numbered(left, keys, values), keys, values).withColumnRenamed("_at", "occurrence")
-    rows = rows.withColumn("status", _status(F.col("source").isNotNull(), F.col("target").isNotNull()))
-    return RowDiff(pair, rows, keys + ["occurrence"], values)
+        rows = _pair_positions(_numbered(left, keys, values), keys, values, "occurrence")
+    return RowDiff(pair, rows.selectExpr("*", _STATUS), keys + ["occurrence"], values)
 
 
 def positional_diff(source: DataFrame, target: DataFrame) -> RowDiff:
@@ -164,11 +156,19 @@ def positional_diff(source: DataFrame, target: DataFrame) -> RowDiff:
 
     ``row_index`` counts from 0. Rows past the end of the shorter side are ``source_only`` or ``target_only``.
     """
-    pair = align(source, target)
+    return positional_pairs(align(source, target))
+
+
+def positional_pairs(pair: Aligned) -> RowDiff:
     numbered = _numbered(paired_counts(pair), [], pair.columns)
-    rows = _pair_positions(numbered, [], pair.columns).withColumnRenamed("_at", "row_index")
-    rows = rows.withColumn("status", _status(F.col("source").isNotNull(), F.col("target").isNotNull()))
-    return RowDiff(pair, rows, ["row_index"], pair.columns)
+    rows = _pair_positions(numbered, [], pair.columns, "row_index")
+    return RowDiff(pair, rows.selectExpr("*", _STATUS), ["row_index"], pair.columns)
+
+
+def _row(values: list[str]) -> str:
+    """A struct of the value columns; with a key of all columns it has a placeholder field."""
+    fields = [f"{literal(c)}, {quoted(c)}" for c in values] or ["'none', 0"]
+    return f"named_struct({', '.join(fields)})"
 
 
 def _numbered(runs: DataFrame, group: list[str], order: list[str]) -> DataFrame:
@@ -178,87 +178,80 @@ def _numbered(runs: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     earlier partitions are added. Written out in between, as range bounds come from a sample and must be the
     same for both steps.
     """
-    groups = [F.col(quoted(c)) for c in group]
-    ordering = [F.col(quoted(c)).asc_nulls_last() for c in group + order]
-    spread = runs.repartitionByRange(*ordering).withColumn("_part", F.spark_partition_id())
-    before = (
-        Window.partitionBy("_part", *groups)
-        .orderBy(*ordering[len(group) :])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    zero = F.lit(0).cast("bigint")
+    groups = [quoted(c) for c in group]
+    ordering = [f"{quoted(c)} ASC NULLS LAST" for c in group + order]
+    spread = runs.repartitionByRange(*[F.col(quoted(c)).asc_nulls_last() for c in group + order])
+    before = f"""(PARTITION BY {", ".join(["_part"] + groups)} ORDER BY {", ".join(ordering[len(group):] or ["_part"])}
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
     local = written(
-        spread.withColumns(
-            {
-                "_source_at": F.coalesce(F.sum(N_SOURCE).over(before), zero),
-                "_target_at": F.coalesce(F.sum(N_TARGET).over(before), zero),
-            }
+        spread.selectExpr("*", "spark_partition_id() as _part").selectExpr(
+            "*",
+            f"coalesce(sum({N_SOURCE}) OVER {before}, 0L) as _source_at",
+            f"coalesce(sum({N_TARGET}) OVER {before}, 0L) as _target_at",
         ),
         "runs",
     )
-    totals = local.groupBy("_part", *groups).agg(F.sum(N_SOURCE).alias("s"), F.sum(N_TARGET).alias("t"))
-    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = local.groupBy("_part", *groups).agg(F.expr(f"sum({N_SOURCE}) as s"), F.expr(f"sum({N_TARGET}) as t"))
+    partition = f"PARTITION BY {', '.join(groups)}" if groups else ""
+    earlier = f"({partition} ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     # Only the first group of a partition can have rows in an earlier one, so at most one row per range
     # partition has an offset. That bound makes the broadcast safe.
-    offsets = totals.select(
-        F.col("_part").alias("_offset_part"),
-        *[F.col(quoted(c)).alias(f"_offset_{i}") for i, c in enumerate(group)],
-        F.coalesce(F.sum("s").over(earlier), zero).alias("_source_offset"),
-        F.coalesce(F.sum("t").over(earlier), zero).alias("_target_offset"),
-    ).where((F.col("_source_offset") > 0) | (F.col("_target_offset") > 0))
-    same = F.col("_part") == F.col("_offset_part")
-    for i, c in enumerate(group):
-        same &= F.col(quoted(c)).eqNullSafe(F.col(f"_offset_{i}"))
-    joined = local.join(F.broadcast(offsets), same, "left")
-    return joined.select(
-        *[F.col(quoted(c)) for c in runs.columns],
-        (F.col("_source_at") + F.coalesce("_source_offset", zero)).alias("_source_at"),
-        (F.col("_target_at") + F.coalesce("_target_offset", zero)).alias("_target_at"),
+    offsets = totals.selectExpr(
+        "_part as _offset_part",
+        *[f"{c} as _offset_{i}" for i, c in enumerate(groups)],
+        f"coalesce(sum(s) OVER {earlier}, 0L) as _source_offset",
+        f"coalesce(sum(t) OVER {earlier}, 0L) as _target_offset",
+    ).where("_source_offset > 0 or _target_offset > 0")
+    same = " AND ".join(["_part = _offset_part"] + [f"{c} <=> _offset_{i}" for i, c in enumerate(groups)])
+    return local.join(F.broadcast(offsets), F.expr(same), "left").selectExpr(
+        *[quoted(c) for c in runs.columns],
+        "_source_at + coalesce(_source_offset, 0L) as _source_at",
+        "_target_at + coalesce(_target_offset, 0L) as _target_at",
     )
 
 
-def _pair_positions(numbered: DataFrame, group: list[str], values: list[str]) -> DataFrame:
-    """Pair the sides position by position: ``(group…, _at, source, target)``, positions of equal rows left out.
+def _pair_positions(numbered: DataFrame, group: list[str], values: list[str], name: str) -> DataFrame:
+    """Pair the sides position by position: ``(group…, name, source, target)``, positions of equal rows left out.
 
     A run covers an interval of positions on each side. Where a run's two intervals overlap, both sides hold
     the same row, so only what sticks out is laid out: one row per position that really differs.
     """
-    groups = [F.col(quoted(c)) for c in group]
-    s_lo, t_lo = F.col("_source_at"), F.col("_target_at")
-    s_hi, t_hi = s_lo + F.col(N_SOURCE), t_lo + F.col(N_TARGET)
-    lo, hi = F.greatest(s_lo, t_lo), F.least(s_hi, t_hi)
-    overlap = hi > lo
-
-    def piece(is_source: bool, start: Column, end: Column) -> Column:
-        return F.struct(F.lit(is_source).alias("from_source"), start.alias("lo"), end.alias("hi"))
-
-    pieces = F.array(
-        piece(True, s_lo, F.when(overlap, lo).otherwise(s_hi)),
-        piece(True, F.when(overlap, hi).otherwise(s_hi), s_hi),
-        piece(False, t_lo, F.when(overlap, lo).otherwise(t_hi)),
-        piece(False, F.when(overlap, hi).otherwise(t_hi), t_hi),
-    )
-    laid = numbered.select(
+    groups = [quoted(c) for c in group]
+    ends = numbered.selectExpr(
         *groups,
-        F.struct(*[F.col(quoted(c)) for c in values]).alias("row"),
-        F.explode(F.filter(pieces, lambda p: p["hi"] > p["lo"])).alias("piece"),
-    ).select(*groups, "row", "piece.*")
+        f"{_row(values)} as row",
+        "_source_at as s_lo",
+        f"_source_at + {N_SOURCE} as s_hi",
+        "_target_at as t_lo",
+        f"_target_at + {N_TARGET} as t_hi",
+    ).selectExpr("*", "greatest(s_lo, t_lo) as lo", "least(s_hi, t_hi) as hi")
+    pieces = ", ".join(
+        f"named_struct('from_source', {is_source}, 'lo', {start}, 'hi', {end})"
+        for is_source, side in (("true", "s"), ("false", "t"))
+        for start, end in (
+            (f"{side}_lo", f"if(hi > lo, lo, {side}_hi)"),
+            (f"if(hi > lo, hi, {side}_hi)", f"{side}_hi"),
+        )
+    )
+    laid = ends.selectExpr(*groups, "row", f"inline(filter(array({pieces}), piece -> piece.hi > piece.lo))")
     # Cut long intervals in two steps, so that no generated array grows with the length of a run.
     for width in (BUCKET * BUCKET, BUCKET):
-        cut = F.explode(F.expr(f"sequence(lo div {width}, (hi - 1) div {width})"))
-        laid = laid.withColumn("bucket", cut).withColumns(
-            {
-                "lo": F.greatest("lo", F.col("bucket") * width),
-                "hi": F.least("hi", (F.col("bucket") + 1) * width),
-            }
-        )
+        laid = laid.selectExpr(
+            *groups, "row", "from_source", "lo", "hi",
+            f"explode(sequence(lo div {width}, (hi - 1) div {width})) as bucket",
+        ).selectExpr(
+            *groups, "row", "from_source", "bucket",
+            f"greatest(lo, bucket * {width}) as lo", f"least(hi, (bucket + 1) * {width}) as hi",
+        )
     # One shuffle spreads the pieces; the grouping below keeps its partitioning.
-    spread = laid.repartition(*groups, "bucket").withColumn("_at", F.explode(F.sequence("lo", F.col("hi") - 1)))
+    spread = laid.repartition(*groups, "bucket").selectExpr(
+        *groups, "row", "from_source", "bucket", f"explode(sequence(lo, hi - 1)) as {name}"
+    )
     return (
-        spread.groupBy(*groups, "bucket", "_at")
+        spread.groupBy(*groups, "bucket", name)
         .agg(
-            F.first(F.when(F.col("from_source"), F.col("row")), ignorenulls=True).alias("source"),
-            F.first(F.when(~F.col("from_source"), F.col("row")), ignorenulls=True).alias("target"),
+            F.expr("first(row) filter (where from_source) as source"),
+            F.expr("first(row) filter (where not from_source) as target"),
         )
         .drop("bucket")
     )

@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from tallymark.functions.sqltext import literal
 from tallymark.operators.align import Aligned, align
-from tallymark.operators.checks import DATA_MATCH, DATA_MISMATCH, row_count_check
-from tallymark.operators.hash_profile import count_entry
-from tallymark.operators.multiset import bag_diff
-from tallymark.operators.rows import MISMATCH, SOURCE_ONLY, TARGET_ONLY, RowDiff, keyed_diff, positional_diff
+from tallymark.operators.checks import row_count_check
+from tallymark.operators.hash_profile import manual_summary
+from tallymark.operators.multiset import unmatched
+from tallymark.operators.rows import SOURCE_ONLY, TARGET_ONLY, RowDiff, keyed_pairs, positional_pairs
 
 MODES = ("auto", "keyed", "positional", "bag")
 
@@ -35,42 +35,24 @@ class Comparison:
     def summary(self) -> DataFrame:
         """``(key, Status, Remarks)`` with the rows ``Count`` and ``Data``."""
         if self.rows is not None:
-            differs, notes = self._row_notes(self.rows)
+            totals = self.rows.rows.selectExpr(
+                *self.rows.mismatches(),
+                f"count_if(status = '{SOURCE_ONLY}') as s",
+                f"count_if(status = '{TARGET_ONLY}') as t",
+            )
+            notes = [f"if(c{i} > 0, {literal(c)}, null)" for i, c in enumerate(self.rows.values)]
         else:
-            totals = self.bag.agg(
-                F.coalesce(F.sum("source_extra"), F.lit(0)).alias("s"),
-                F.coalesce(F.sum("target_extra"), F.lit(0)).alias("t"),
+            totals = self.bag.selectExpr(
+                "coalesce(sum(source_extra), 0L) as s", "coalesce(sum(target_extra), 0L) as t"
             )
-            parts = [
-                F.when(F.col(side) > 0, F.concat(F.col(side).cast("string"), F.lit(text)))
-                for side, text in (("s", " rows only in Source"), ("t", " rows only in Target"))
-            ]
-            differs, notes = totals, parts
-        remarks = F.concat_ws(", ", *[F.lit(r) for r in self.pair.remarks], *notes)
-        data = F.struct(
-            F.lit("Data").alias("key"),
-            F.when(remarks == "", DATA_MATCH).otherwise(DATA_MISMATCH).alias("Status"),
-            F.when(remarks == "", "-").otherwise(remarks).alias("Remarks"),
-        )
-        count = count_entry(F.lit(self.count_source), F.lit(self.count_target))
-        return differs.select(F.inline(F.array(count, data)))
-
-    @staticmethod
-    def _row_notes(diff: RowDiff):
-        mismatched = F.col("status") == MISMATCH
-        totals = diff.rows.agg(
-            *[
-                F.count_if(mismatched & ~F.col("source")[c].eqNullSafe(F.col("target")[c])).alias(f"c{i}")
-                for i, c in enumerate(diff.values)
-            ],
-            F.count_if(F.col("status") == SOURCE_ONLY).alias("s"),
-            F.count_if(F.col("status") == TARGET_ONLY).alias("t"),
+            notes = []
+        notes = (
+            [literal(r) for r in self.pair.remarks]
+            + notes
+            + [f"if({side} > 0, concat({side}, ' rows only in {name}'), null)" for side, name in (("s", "Source"), ("t", "Target"))]
         )
-        notes = [F.when(F.col(f"c{i}") > 0, c) for i, c in enumerate(diff.values)] + [
-            F.when(F.col(side) > 0, F.concat(F.col(side).cast("string"), F.lit(text)))
-            for side, text in (("s", " rows only in Source"), ("t", " rows only in Target"))
-        ]
-        return totals, notes
+        remarks = totals.selectExpr(f"concat_ws(', ', {', '.join(notes)}) as remarks")
+        return remarks.selectExpr(manual_summary(str(self.count_source), str(self.count_target), "remarks"))
 
 
 def compare(source: DataFrame, target: DataFrame, keys: list[str] | None = None, mode: str = "auto") -> Comparison:
@@ -88,9 +70,9 @@ def compare(source: DataFrame, target: DataFrame, keys: list[str] | None = None,
     pair = align(source, target)
     out = Comparison(mode, pair, counts["count_source"], counts["count_target"])
     if mode == "keyed":
-        out.rows = keyed_diff(source, target, keys or [])
+        out.rows = keyed_pairs(pair, keys or [])
     elif mode == "positional":
-        out.rows = positional_diff(source, target)
+        out.rows = positional_pairs(pair)
     else:
-        out.bag = bag_diff(source, target)
+        out.bag = unmatched(pair, "source_extra", "target_extra")
     return out

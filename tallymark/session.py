@@ -17,6 +17,7 @@ def local_session(cores: str = "*", app: str = "tallymark", partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

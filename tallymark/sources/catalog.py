@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.types import TYPE_CODES, UNKNOWN_TYPE, is_text, quoted, type_length, type_name
+from tallymark.functions.sqltext import inline, literal, quoted
+from tallymark.functions.types import TYPE_CODES, UNKNOWN_TYPE, is_text, type_length, type_name
 
 # Fixed value: a catalog view is cut to this many leading columns.
 CATALOG_COLUMNS = 14
@@ -24,27 +25,30 @@ def describe_columns(df: DataFrame, observe: bool = False) -> DataFrame:
     if not observe:
         rows = [(i, f.name.strip(), type_name(f), type_length(f), f.nullable) for i, f in enumerate(fields)]
         return df.sparkSession.createDataFrame(rows, METADATA)
-    measured = df.agg(
-        *[F.count(F.col(quoted(f.name))).alias(f"n{i}") for i, f in enumerate(fields)],
-        *[F.max(F.length(F.col(quoted(f.name)))).alias(f"l{i}") for i, f in enumerate(fields) if is_text(f.dataType)],
-        F.count(F.lit(1)).alias("n_rows"),
+    texts = [i for i, f in enumerate(fields) if is_text(f.dataType)]
+    measured = df.selectExpr(
+        "count(1) as n_rows",
+        *[f"count({quoted(f.name)}) as n{i}" for i, f in enumerate(fields)],
+        *[f"max(cast(length({quoted(fields[i].name)}) as bigint)) as l{i}" for i in texts],
     )
-    entries = []
+    rows = []
     for i, f in enumerate(fields):
-        longest = F.col(f"l{i}").cast("bigint") if is_text(f.dataType) else F.lit(None).cast("bigint")
-        entries.append(
-            F.struct(
-                F.lit(i).alias("ordinal"),
-                F.lit(f.name.strip()).alias("column"),
-                F.lit(type_name(f)).alias("data_type"),
-                F.coalesce(F.lit(type_length(f)).cast("string"), longest.cast("string")).alias("length"),
-                F.lit(f.nullable).alias("nullable"),
-                F.col(f"n{i}").alias("n_values"),
-                (F.col("n_rows") - F.col(f"n{i}")).alias("n_null"),
-                longest.alias("max_length"),
-            )
+        longest = f"l{i}" if i in texts else "cast(null as bigint)"
+        declared = literal(type_length(f))
+        rows.append(
+            [
+                str(i),
+                literal(f.name.strip()),
+                literal(type_name(f)),
+                f"coalesce({declared}, cast({longest} as string))",
+                str(f.nullable).lower(),
+                f"n{i}",
+                f"n_rows - n{i}",
+                longest,
+            ]
         )
-    return measured.select(F.inline(F.array(*entries)))
+    names = ["ordinal", "column", "data_type", "length", "nullable", "n_values", "n_null", "max_length"]
+    return measured.selectExpr(inline(names, rows))
 
 
 def describe_table(spark: SparkSession, table: str, observe: bool = False) -> DataFrame:
@@ -53,8 +57,8 @@ def describe_table(spark: SparkSession, table: str, observe: bool = False) -> Da
 
 def decode_type_code(code: Column) -> Column:
     """Type name of a catalog type code; ``UNKNOWN`` for a code that is not listed."""
-    names = F.create_map(*[F.lit(x) for pair in TYPE_CODES.items() for x in pair])
-    return F.coalesce(F.try_element_at(names, F.trim(code)), F.lit(UNKNOWN_TYPE))
+    names = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in TYPE_CODES.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({names})"), F.trim(code)), F.lit(UNKNOWN_TYPE))
 
 
 def decode_catalog(view: DataFrame) -> DataFrame:

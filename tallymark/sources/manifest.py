@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.functions.types import quoted
+from tallymark.functions.sqltext import quoted
 from tallymark.sources.catalog import resolve_base_table
 
 FIELDS = [
