@@ -35,3 +35,7 @@ def inline(names: list[str], rows: list[list[str]]) -> str:
         "named_struct(" + ", ".join(f"{literal(n)}, {v}" for n, v in zip(names, values)) + ")" for values in rows
     ]
     return f"inline(array({', '.join(structs)}))"
+
+
+def chunks(items: list, size: int) -> list[list]:
+    return [items[i : i + size] for i in range(0, len(items), size)]

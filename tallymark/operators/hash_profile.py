@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.sqltext import inline, literal, quoted
+from tallymark.functions.sqltext import chunks, inline, literal, quoted
 from tallymark.functions.types import canonical, is_floating
 from tallymark.operators.align import with_common_types
 from tallymark.operators.checks import COUNT_MATCH, COUNT_MISMATCH, DATA_MATCH, DATA_MISMATCH
+from tallymark.operators.profile import COLUMNS_PER_PASS
 
 ALGORITHMS = ("murmur", "md5", "xxhash64")
 
@@ -50,36 +53,37 @@ def _profile_row(df: DataFrame, algorithm: str, *more: str) -> DataFrame:
 
 def hash_profile_long(df: DataFrame, algorithm: str = "murmur") -> DataFrame:
     """``(metric, n_values, value)``: the averages in long form with the number of values behind each."""
-    df = canonical(df)
-    names = df.columns
-    row = _profile_row(df, algorithm, *[f"count({quoted(c)}) as _n{i}" for i, c in enumerate(names)])
-    rows = [[literal(f"avg{c}"), f"_n{i}", quoted(f"avg{c}")] for i, c in enumerate(names)]
-    return row.selectExpr(inline(["metric", "n_values", "value"], rows))
+    return _long(canonical(df), algorithm).select("metric", "n_values", "value")
+
+
+def _long(df: DataFrame, algorithm: str) -> DataFrame:
+    """``(n_rows, metric, n_values, value)``, a pass for every few columns."""
+
+    def one_pass(names: list[str]) -> DataFrame:
+        counts = [f"count({quoted(c)}) as _n{i}" for i, c in enumerate(names)]
+        row = _profile_row(df.select(*[quoted(c) for c in names]), algorithm, "count(1) as n_rows", *counts)
+        rows = [[literal(f"avg{c}"), f"_n{i}", quoted(f"avg{c}")] for i, c in enumerate(names)]
+        return row.selectExpr("n_rows", inline(["metric", "n_values", "value"], rows))
+
+    return reduce(DataFrame.unionAll, [one_pass(part) for part in chunks(df.columns, COLUMNS_PER_PASS)])
 
 
 def hash_profile_compare(source: DataFrame, target: DataFrame, algorithm: str = "murmur") -> DataFrame:
     """``(key, Status, Remarks)`` with the rows ``Count`` and ``Data``, from one scan per side."""
     source, target = with_common_types(source, target)
 
-    def side(df: DataFrame, from_source: str) -> DataFrame:
-        row = _profile_row(df, algorithm, "count(1) as _rows")
-        rows = [[literal("*"), "cast(null as double)"]]
-        rows += [[literal(f"avg{c}"), quoted(f"avg{c}")] for c in df.columns]
-        return row.selectExpr(
-            f"{from_source} as from_source", "_rows as n", inline(["metric", "value"], rows)
-        )
-
     pairs = (
-        side(source, "true")
-        .unionAll(side(target, "false"))
+        _long(source, algorithm)
+        .withColumn("from_source", F.lit(True))
+        .unionAll(_long(target, algorithm).withColumn("from_source", F.lit(False)))
         .groupBy("metric")
         .agg(
             F.expr("max(value) filter (where from_source) as s"),
             F.expr("max(value) filter (where not from_source) as t"),
             F.expr("max(from_source) as has_s"),
             F.expr("max(not from_source) as has_t"),
-            F.expr("max(n) filter (where from_source) as n_s"),
-            F.expr("max(n) filter (where not from_source) as n_t"),
+            F.expr("max(n_rows) filter (where from_source) as n_s"),
+            F.expr("max(n_rows) filter (where not from_source) as n_t"),
         )
     )
     remark = """CASE WHEN NOT has_t THEN concat('Column ', metric, ' not in Target')

@@ -82,8 +82,11 @@ def fingerprint(df: DataFrame) -> DataFrame:
 def is_equal(source: DataFrame, target: DataFrame, fast: bool = False) -> bool:
     """Whether both tables hold the same rows. ``fast`` accepts equal fingerprints as proof."""
     pair = align(source, target)
-    if not pair.same_shape:
-        return False
+    return pair.same_shape and same_rows(pair, fast)
+
+
+def same_rows(pair: Aligned, fast: bool = False) -> bool:
+    """Whether the shared columns hold the same rows: fingerprints first, the full pairing only if they agree."""
     if fingerprint(pair.source).first() != fingerprint(pair.target).first():
         return False
     return fast or unmatched(pair).isEmpty()

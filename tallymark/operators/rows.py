@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.sqltext import inline, literal, quoted
 from tallymark.functions.types import render
 from tallymark.operators.align import Aligned, align
-from tallymark.operators.multiset import N_SOURCE, N_TARGET, paired_counts, unmatched
+from tallymark.operators.multiset import N_SOURCE, N_TARGET, paired_counts, same_rows, unmatched
 from tallymark.session import written
 
 MISMATCH, SOURCE_ONLY, TARGET_ONLY = "mismatch", "source_only", "target_only"
@@ -160,8 +160,12 @@ def positional_diff(source: DataFrame, target: DataFrame) -> RowDiff:
 
 
 def positional_pairs(pair: Aligned) -> RowDiff:
-    numbered = _numbered(paired_counts(pair), [], pair.columns)
-    rows = _pair_positions(numbered, [], pair.columns, "row_index")
+    if same_rows(pair):
+        row = _row(pair.columns)
+        rows = pair.source.limit(0).selectExpr("0L as row_index", f"{row} as source", f"{row} as target")
+    else:
+        numbered = _numbered(paired_counts(pair), [], pair.columns)
+        rows = _pair_positions(numbered, [], pair.columns, "row_index")
     return RowDiff(pair, rows.selectExpr("*", _STATUS), ["row_index"], pair.columns)
 
 

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.sqltext import inline, literal, quoted
+from tallymark.functions.sqltext import chunks, inline, literal, quoted
 from tallymark.functions.types import TYPE_CODES, UNKNOWN_TYPE, is_text, type_length, type_name
 
 # Fixed value: a catalog view is cut to this many leading columns.
 CATALOG_COLUMNS = 14
 
+# Columns measured per pass, few enough for generated code.
+COLUMNS_PER_PASS = 40
+
 METADATA = "ordinal int, column string, data_type string, length string, nullable boolean"
 
 
@@ -25,22 +30,25 @@ def describe_columns(df: DataFrame, observe: bool = False) -> DataFrame:
     if not observe:
         rows = [(i, f.name.strip(), type_name(f), type_length(f), f.nullable) for i, f in enumerate(fields)]
         return df.sparkSession.createDataFrame(rows, METADATA)
-    texts = [i for i, f in enumerate(fields) if is_text(f.dataType)]
-    measured = df.selectExpr(
-        "count(1) as n_rows",
-        *[f"count({quoted(f.name)}) as n{i}" for i, f in enumerate(fields)],
-        *[f"max(cast(length({quoted(fields[i].name)}) as bigint)) as l{i}" for i in texts],
-    )
-    rows = []
-    for i, f in enumerate(fields):
-        longest = f"l{i}" if i in texts else "cast(null as bigint)"
-        declared = literal(type_length(f))
+    numbered = list(enumerate(fields))
+    return reduce(DataFrame.unionAll, [_observed(df, part) for part in chunks(numbered, COLUMNS_PER_PASS)])
+
+
+def _observed(df: DataFrame, fields: list[tuple[int, T.StructField]]) -> DataFrame:
+    """Declared and observed metadata of the given columns, from one pass over them."""
+    measures, rows = ["count(1) as n_rows"], []
+    for i, f in fields:
+        measures.append(f"count({quoted(f.name)}) as n{i}")
+        longest = "cast(null as bigint)"
+        if is_text(f.dataType):
+            measures.append(f"max(cast(length({quoted(f.name)}) as bigint)) as l{i}")
+            longest = f"l{i}"
         rows.append(
             [
                 str(i),
                 literal(f.name.strip()),
                 literal(type_name(f)),
-                f"coalesce({declared}, cast({longest} as string))",
+                f"coalesce({literal(type_length(f))}, cast({longest} as string))",
                 str(f.nullable).lower(),
                 f"n{i}",
                 f"n_rows - n{i}",
@@ -48,7 +56,7 @@ def describe_columns(df: DataFrame, observe: bool = False) -> DataFrame:
             ]
         )
     names = ["ordinal", "column", "data_type", "length", "nullable", "n_values", "n_null", "max_length"]
-    return measured.selectExpr(inline(names, rows))
+    return df.selectExpr(*measures).selectExpr(inline(names, rows))
 
 
 def describe_table(spark: SparkSession, table: str, observe: bool = False) -> DataFrame:
