@@ -23,6 +23,10 @@ MISMATCH, SOURCE_ONLY, TARGET_ONLY = "mismatch", "source_only", "target_only"
 # Positions per task group when runs of equal rows are laid out position by position.
 BUCKET = 4096
 
+# Types of the arrays that become rows; an array without elements has none of its own.
+_CELLS = "array<struct<column: string, source_value: string, target_value: string>>"
+_COLUMNS = "array<struct<column: string, n_mismatch: bigint>>"
+
 
 @dataclass
 class RowDiff:
@@ -49,15 +53,17 @@ class RowDiff:
         )
         return (
             self.rows.where(f"status = '{MISMATCH}'")
-            .selectExpr(*by, f"inline(array_compact(array({cells})))")
+            .selectExpr(*by, f"inline(cast(array_compact(array({cells})) as {_CELLS}))")
             .selectExpr("*", "concat(source_value, ' vs ', target_value) as diff")
         )
 
     def columns(self) -> DataFrame:
         """``(column, n_mismatch)`` for every column in which mismatched rows differ."""
-        counts = self.rows.selectExpr(*self.mismatches())
-        rows = [[literal(c), f"c{i}"] for i, c in enumerate(self.values)]
-        return counts.selectExpr(inline(["column", "n_mismatch"], rows)).where("n_mismatch > 0")
+        counts = self.rows.selectExpr("count(1) as n", *self.mismatches())
+        columns = ", ".join(
+            f"named_struct('column', {literal(c)}, 'n_mismatch', c{i})" for i, c in enumerate(self.values)
+        )
+        return counts.selectExpr(f"inline(cast(array({columns}) as {_COLUMNS}))").where("n_mismatch > 0")
 
     @staticmethod
     def differs(column: str) -> str:
