@@ -9,7 +9,7 @@ from tallymark.operators.checks import (
 )
 from tallymark.operators.hash_profile import hash_profile, hash_profile_compare, hash_profile_long
 from tallymark.operators.multiset import bag_diff, fingerprint, is_equal, table_equality
-from tallymark.operators.profile import profile, single_check
+from tallymark.operators.profile import check_queries, profile, single_check
 from tallymark.operators.rows import duplicate_keys, keyed_diff, positional_diff, row_status_counts
 from tallymark.operators.schema_diff import metadata_diff, missing_columns, schema_diff
 from tallymark.operators.sinks import preview, write_result
@@ -24,6 +24,7 @@ __all__ = [
     "JobResult",
     "bag_diff",
     "check_compare",
+    "check_queries",
     "check_summary",
     "compare",
     "compare_profiles",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymark.operators.align import with_common_types
 from tallymark.operators.profile import metrics, profile
@@ -24,8 +25,12 @@ DATA_MISMATCH = "Data Mismatch"
 def compare_profiles(source: DataFrame, target: DataFrame) -> DataFrame:
     """Two long profiles side by side: ``(check, column, metric, source_value, target_value, status, remark)``.
 
-    The profiles hold a few rows per column, so one small shuffle pairs them.
+    The profiles hold a few rows per column, so one small shuffle pairs them. Sums and dates are equal where
+    they are the same number or time, whatever type each side has.
     """
+    same = """(source_value <=> target_value
+        OR check = 'Sum' AND try_cast(source_value AS decimal(38,12)) = try_cast(target_value AS decimal(38,12))
+        OR check = 'Max' AND try_cast(source_value AS timestamp_ntz) = try_cast(target_value AS timestamp_ntz))"""
     tagged = source.withColumn("from_source", F.lit(True)).unionByName(target.withColumn("from_source", F.lit(False)))
     paired = tagged.groupBy("check", "column", "metric").agg(
         F.expr("max(value) filter (where from_source) as source_value"),
@@ -34,6 +39,7 @@ def compare_profiles(source: DataFrame, target: DataFrame) -> DataFrame:
         F.expr("max(not from_source) as has_target"),
         F.expr("min(ok) as ok"),
     )
+    paired = paired.selectExpr("*", f"coalesce({same}, false) as same")
     return paired.selectExpr(
         "check",
         "column",
@@ -41,11 +47,11 @@ def compare_profiles(source: DataFrame, target: DataFrame) -> DataFrame:
         "source_value",
         "target_value",
         f"""CASE WHEN NOT ok THEN '{FAILED}'
-                 WHEN has_source AND has_target AND source_value <=> target_value THEN '{MATCH}'
+                 WHEN has_source AND has_target AND same THEN '{MATCH}'
                  ELSE '{NOT_MATCH}' END AS status""",
         """CASE WHEN NOT has_target THEN concat('Column ', lower(metric), ' not in Target')
                 WHEN NOT has_source THEN concat('Column ', lower(metric), ' not in Source')
-                WHEN NOT ok OR NOT source_value <=> target_value THEN lower(metric) END AS remark""",
+                WHEN NOT ok OR NOT same THEN lower(metric) END AS remark""",
     )
 
 
@@ -56,14 +62,22 @@ def check_compare(source: DataFrame, target: DataFrame) -> DataFrame:
     lengths are compared with the target's plain lengths.
     """
     source, target = with_common_types(source, target)
-    taken = {m.check for m in metrics(source.schema)} & {m.check for m in metrics(target.schema)}
-    left = profile(source, sorted(taken))
-    right = profile(target, sorted(taken - {"RLength"}))
-    if "RLength" in taken:
-        right = right.withColumn(
-            "check", F.expr("explode(if(check = 'Length', array('Length', 'RLength'), array(check)))")
-        )
-    return compare_profiles(left, right)
+    taken = common_checks(source.schema, target.schema)
+    return compare_profiles(profile(source, taken), target_profile(target, taken))
+
+
+def common_checks(source: T.StructType, target: T.StructType) -> list[str]:
+    """The checks that apply on both sides."""
+    return sorted({m.check for m in metrics(source)} & {m.check for m in metrics(target)})
+
+
+def target_profile(target: DataFrame, checks: list[str]) -> DataFrame:
+    """The target's profile, its plain lengths also standing for the right-trimmed ones."""
+    plain = profile(target, [c for c in checks if c != "RLength"])
+    if "RLength" not in checks:
+        return plain
+    both = "explode(if(check = 'Length', array('Length', 'RLength'), array(check)))"
+    return plain.withColumn("check", F.expr(both))
 
 
 def check_summary(compared: DataFrame, *table: str) -> DataFrame:

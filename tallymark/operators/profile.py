@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -96,12 +96,67 @@ def _profile_pass(df: DataFrame, part: list[Metric]) -> DataFrame:
         *[f"cast({m.value} as string) as v{i}" for i, m in enumerate(part)],
         *[f"{m.ok} as k{i}" for i, m in enumerate(part) if m.ok != "true"],
     )
-    return row.selectExpr(
-        inline(
-            ["check", "column", "metric", "value", "ok"],
-            [
-                [literal(m.check), literal(m.column), literal(m.name), f"v{i}", "true" if m.ok == "true" else f"k{i}"]
-                for i, m in enumerate(part)
-            ],
-        )
+    return row.selectExpr(_long(part, ["true" if m.ok == "true" else f"k{i}" for i, m in enumerate(part)]))
+
+
+def _long(part: list[Metric], ok: list[str]) -> str:
+    """SQL that turns the wide row ``v0, v1, …`` into the long profile."""
+    return inline(
+        ["check", "column", "metric", "value", "ok"],
+        [
+            [literal(m.check), literal(m.column), literal(m.name), f"cast(v{i} as string)", ok[i]]
+            for i, m in enumerate(part)
+        ],
     )
+
+
+def remote_metrics(schema: T.StructType) -> list[Metric]:
+    """The same metrics in plain SQL for another engine. Sums of floating columns cast each value to BIGINT."""
+    out = []
+    for m in metrics(schema):
+        if m.check == "Count":
+            out.append(replace(m, value="count(*)"))
+            continue
+        field = schema[m.column]
+        column = m.column if m.column.isidentifier() else '"' + m.column.replace('"', '""') + '"'
+        if m.check == "Null":
+            value = f"sum(case when {column} is null then 1 else 0 end)"
+        elif m.check == "Sum":
+            decimal = isinstance(field.dataType, T.DecimalType)
+            whole = f"cast({column} as bigint)" if is_floating(field.dataType) else column
+            value = f"sum(cast({column if decimal else whole} as decimal({'38,12' if decimal else '38,0'})))"
+        elif m.check == "Max":
+            value = f"{m.name[:3].lower()}({column})"
+        else:
+            trimmed = m.check == "RLength" and declared_text_type(field)[0] == "CHAR"
+            value = f"{m.name[:3]}(length({f'rtrim({column})' if trimmed else column}))"
+        out.append(replace(m, value=value, ok="true"))
+    return out
+
+
+def check_queries(schema: T.StructType, table: str, where: str = "") -> dict[str, str]:
+    """One SQL text per check over ``table``; ``where`` is a condition, with or without the word."""
+    found = remote_metrics(schema)
+    return {
+        check: _query([f"{m.value} as {m.name}" for m in found if m.check == check], table, where)
+        for check in CHECKS
+        if any(m.check == check for m in found)
+    }
+
+
+def remote_profile_query(schema: T.StructType, table: str, where: str = "") -> str:
+    """All metrics as one SQL text that returns a single row ``v0, v1, …``."""
+    return _query([f"{m.value} as v{i}" for i, m in enumerate(remote_metrics(schema))], table, where)
+
+
+def remote_profile(row: DataFrame, schema: T.StructType) -> DataFrame:
+    """The long profile from the row that ``remote_profile_query`` returned."""
+    found = remote_metrics(schema)
+    return row.selectExpr(_long(found, ["true"] * len(found)))
+
+
+def _query(values: list[str], table: str, where: str) -> str:
+    where = where.strip()
+    if where and not where.lower().startswith("where"):
+        where = f"where {where}"
+    return f"select {', '.join(values)} from {table} {where}".strip()

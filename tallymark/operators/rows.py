@@ -100,14 +100,17 @@ def row_status_counts(source: DataFrame, target: DataFrame, keys: list[str]) ->
     """
     pair = align(source, target)
     keys, _ = _keys(pair, keys)
-    per_key = (
-        paired_counts(pair)
-        .groupBy(*[quoted(k) for k in keys])
-        .agg(
-            F.expr(f"sum(least({N_SOURCE}, {N_TARGET})) as matched"),
-            F.expr(f"sum(greatest({N_SOURCE} - {N_TARGET}, 0L)) as s"),
-            F.expr(f"sum(greatest({N_TARGET} - {N_SOURCE}, 0L)) as t"),
-        )
+    # Rows without surplus only add to the matches: under one blank key they melt to a row per task.
+    differs = f"{N_SOURCE} <> {N_TARGET}"
+    blanked = paired_counts(pair).selectExpr(
+        *[f"if({differs}, {quoted(k)}, null) as {quoted(k)}" for k in keys],
+        f"{differs} as _differs",
+        f"least({N_SOURCE}, {N_TARGET}) as matched",
+        f"greatest({N_SOURCE} - {N_TARGET}, 0L) as s",
+        f"greatest({N_TARGET} - {N_SOURCE}, 0L) as t",
+    )
+    per_key = blanked.groupBy(*[quoted(k) for k in keys], "_differs").agg(
+        F.expr("sum(matched) as matched"), F.expr("sum(s) as s"), F.expr("sum(t) as t")
     )
     totals = per_key.selectExpr(
         "coalesce(sum(matched), 0L) as matched",

@@ -15,13 +15,18 @@ from tallymark.operators.checks import (
     NOT_MATCH,
     check_compare,
     check_summary,
+    common_checks,
+    compare_profiles,
     table_verdict,
+    target_profile,
 )
+from tallymark.operators.profile import remote_profile, remote_profile_query
 from tallymark.operators.rows import row_status_counts
 from tallymark.operators.schema_diff import schema_diff
 from tallymark.operators.sinks import write_result
 from tallymark.sources.manifest import FIELDS
-from tallymark.sources.readers import filtered, read_jdbc, read_location
+from tallymark.functions.types import canonical, lower_names
+from tallymark.sources.readers import condition_text, filtered, read_jdbc, read_location
 
 DETAIL = (
     "job_row int, table string, check string, column string, metric string, source_value string, "
@@ -71,27 +76,48 @@ def default_reader(jdbc: dict[str, dict] | None = None) -> Reader:
     return read
 
 
+def pushed_check_compare(
+    spark: SparkSession, options: dict, row: Row, source: DataFrame, target: DataFrame
+) -> DataFrame:
+    """``check_compare`` with the source's metrics computed by the JDBC source, which returns one row."""
+    source, target = lower_names(source), canonical(target)
+    taken = common_checks(source.schema, target.schema)
+    table = f"({row['source_query']}) a" if row["source_query"] else row["source"]
+    query = remote_profile_query(source.schema, table, condition_text(row["source_condition"]))
+    pushed = {k: v for k, v in options.items() if k not in ("partition_column", "partitions")}
+    left = remote_profile(read_jdbc(spark, query=query, **pushed), source.schema)
+    return compare_profiles(left.where(F.col("check").isin(taken)), target_profile(target, taken))
+
+
 def run(
-    spark: SparkSession, manifest: DataFrame, read: Reader | None = None, workers: int = 4, folder: str | None = None
+    spark: SparkSession,
+    manifest: DataFrame,
+    read: Reader | None = None,
+    jdbc: dict[str, dict] | None = None,
+    workers: int = 4,
+    folder: str | None = None,
 ) -> JobResult:
     """Check every pair of ``manifest``; with ``folder``, also write all reports there.
 
+    ``read`` may replace the way a side is read. Otherwise sources of a connection in ``jdbc`` compute their own
+    metrics, so that no rows leave them for the checks.
+
     A manifest lists tables, and a pair returns a few rows per column, so both fit the driver. Pairs run side
     by side as Spark jobs of their own: one that fails is reported as ``Failed with Error``, the others go on.
     """
-    read = read or default_reader()
+    connections = {} if read else jdbc or {}
+    read = read or default_reader(jdbc)
     pairs = manifest.select(*FIELDS).collect()
 
     def check_pair(number: int) -> tuple[list, list, list]:
         row = pairs[number]
         try:
             source, target = read(spark, row, "source"), read(spark, row, "target")
-            found = [
-                (number, row["table"], *r)
-                for r in check_compare(source, target)
-                .select("check", "column", "metric", "source_value", "target_value", "status", "remark")
-                .collect()
-            ]
+            if row["connection"] in connections:
+                compared = pushed_check_compare(spark, connections[row["connection"]], row, source, target)
+            else:
+                compared = check_compare(source, target)
+            found = [(number, row["table"], *r) for r in compared.collect()]
             if row["keys"]:
                 found.append((number, row["table"], *_data_check(source, target, row["keys"].split("|"))))
             drift = [(number, row["table"], *r) for r in schema_diff(source, target).collect()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,14 +87,17 @@ def read_jdbc_columns(spark: SparkSession, url: str, table: str, view: str = "db
     return decode_catalog(columns.where(wanted))
 
 
-def condition(text: str | None) -> Column:
-    """A row condition from text, with or without a leading ``where``; always true where none is given."""
+def condition_text(text: str | None) -> str:
+    """A row condition without a leading ``where``; empty where none is given."""
     text = (text or "").strip()
-    if text.lower() in ("", "nan"):
-        return F.lit(True)
-    if text.lower().startswith("where ") or text.lower().startswith("where\n"):
-        text = text[6:]
-    return F.expr(text)
+    if text.lower() == "nan":
+        return ""
+    return re.sub(r"^where\s+", "", text, flags=re.IGNORECASE)
+
+
+def condition(text: str | None) -> Column:
+    """A row condition from text; always true where none is given."""
+    return F.expr(condition_text(text) or "true")
 
 
 def filtered(df: DataFrame, text: str | None) -> DataFrame:

@@ -1,9 +1,23 @@
+import duckdb
 import pytest
 
 from tallymark.functions.types import CHAR_VARCHAR_KEY
-from tallymark.operators.checks import check_compare, check_summary, row_count_check, table_verdict
+from tallymark.operators.checks import (
+    check_compare,
+    check_summary,
+    compare_profiles,
+    row_count_check,
+    table_verdict,
+)
 from tallymark.operators.hash_profile import hash_profile, hash_profile_compare, hash_profile_long
-from tallymark.operators.profile import metrics, profile, single_check
+from tallymark.operators.profile import (
+    check_queries,
+    metrics,
+    profile,
+    remote_profile,
+    remote_profile_query,
+    single_check,
+)
 
 
 def by_metric(df):
@@ -182,3 +196,42 @@ def test_hash_profile_of_huge_doubles(spark):
 def test_hash_compare_names_missing_columns(spark):
     got = hash_profile_compare(spark.sql("select 1 as a, 2 as b"), spark.sql("select 1 as a, 3 as c"))
     assert got.collect()[1]["Remarks"] == "Column avgb not in Target, Column avgc not in Source"
+
+
+def test_remote_queries_give_the_same_profile(spark, tmp_path):
+    """The SQL meant for a source engine, run on the oracle engine, profiles like Spark itself."""
+    df = spark.sql("""
+        select id as k, cast(id % 5 as int) as i, cast(id as double) as f, cast(id / 7 as decimal(12,3)) as d,
+               if(id % 4 = 0, null, concat('s', id)) as s, concat('p', id % 9, '   ') as c,
+               timestamp_ntz '2024-01-01' as ts, date '2024-02-03' as dt, id = 3 as b
+        from range(50)""")
+    df.write.parquet(f"{tmp_path}/t")
+    df = df.withColumn("c", df.c.alias("c", metadata={CHAR_VARCHAR_KEY: "char(9)"}))
+    engine = duckdb.connect()
+    place = f"'{tmp_path}/t/*.parquet'"
+    cursor = engine.execute(remote_profile_query(df.schema, place, "k > 10"))
+    values = [None if v is None else str(v) for v in cursor.fetchall()[0]]
+    row = spark.createDataFrame([values], ", ".join(f"v{i} string" for i in range(len(values))))
+    compared = compare_profiles(remote_profile(row, df.schema), profile(df.where("k > 10"))).collect()
+    assert {r["status"] for r in compared} == {"Match"} and len(compared) == len(metrics(df.schema))
+    queries = check_queries(df.schema, place)
+    assert list(queries) == ["Count", "Null", "Sum", "Max", "Length", "RLength"]
+    for check, text in queries.items():
+        cursor = engine.execute(text)
+        assert [d[0] for d in cursor.description] == [m.name for m in metrics(df.schema) if m.check == check]
+
+
+def test_values_of_other_types_compare(spark):
+    columns = "check string, column string, metric string, value string, ok boolean"
+    left = spark.createDataFrame(
+        [("Sum", "a", "sum_a", "12", True), ("Max", "d", "MAX_d", "2024-01-01", True), ("Sum", "x", "sum_x", None, True),
+         ("Length", "s", "max_len_s", "12", True)],
+        columns,
+    )
+    right = spark.createDataFrame(
+        [("Sum", "a", "sum_a", "12.000000000000", True), ("Max", "d", "MAX_d", "2024-01-01 00:00:00", True),
+         ("Sum", "x", "sum_x", "0", True), ("Length", "s", "max_len_s", "12.0", True)],
+        columns,
+    )
+    got = {r["metric"]: r["status"] for r in compare_profiles(left, right).collect()}
+    assert got == {"sum_a": "Match", "MAX_d": "Match", "sum_x": "Not match", "max_len_s": "Not match"}

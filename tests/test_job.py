@@ -66,6 +66,28 @@ def test_reader_picks_the_connection(spark, manifest, monkeypatch):
     assert read(spark, row, "target").count() == 29
 
 
+def test_a_jdbc_source_computes_its_own_metrics(spark, manifest, monkeypatch):
+    """Stand-in for a JDBC source: it answers the metric query from a view."""
+    asked = []
+
+    def answer(session, url, table=None, query=None, **options):
+        asked.append(query or table)
+        view = session.sql("select id, id % 3 as v, concat('s', id) as s from range(30)")
+        if query is None:
+            return view
+        return session.sql(query.replace("db.a", "{view}"), view=view)
+
+    monkeypatch.setattr("tallymark.plans.job.read_jdbc", answer)
+    pairs = manifest.where("`table` in ('same', 'changed')").selectExpr(
+        "'dev' as connection", "`table`", "'db.a' as source", "target", "'where id < 20' as source_condition",
+        "'id < 20' as target_condition",
+    )
+    result = run(spark, normalise_manifest(pairs), jdbc={"dev": {"url": "jdbc:x", "partition_column": "id"}})
+    assert {r["table"]: r["Status"] for r in result.report.collect()} == {"same": "Pass", "changed": "Fail"}
+    assert sorted({a.split(" ")[0] for a in asked}) == ["db.a", "select"]
+    assert all(a.endswith("from db.a where id < 20") for a in asked if a != "db.a")
+
+
 def test_capped_sink(spark, tmp_path):
     df = spark.range(5)
     assert not write_result(df, f"{tmp_path}/no", cap=4)
