@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallymark.functions.sqltext import literal, quoted
@@ -79,14 +79,24 @@ def fingerprint(df: DataFrame) -> DataFrame:
     )
 
 
+def fingerprints(pair: Aligned) -> tuple[Row, Row]:
+    """The fingerprints of source and target, from one job over both."""
+    sides = [
+        fingerprint(df).selectExpr(f"{i} as side", "n_rows", "hash_sum")
+        for i, df in enumerate((pair.source, pair.target))
+    ]
+    source, target = sorted(sides[0].unionAll(sides[1]).collect())
+    return source, target
+
+
 def is_equal(source: DataFrame, target: DataFrame, fast: bool = False) -> bool:
     """Whether both tables hold the same rows. ``fast`` accepts equal fingerprints as proof."""
     pair = align(source, target)
-    return pair.same_shape and same_rows(pair, fast)
+    return pair.same_shape and same_rows(pair, fingerprints(pair), fast)
 
 
-def same_rows(pair: Aligned, fast: bool = False) -> bool:
-    """Whether the shared columns hold the same rows: fingerprints first, the full pairing only if they agree."""
-    if fingerprint(pair.source).first() != fingerprint(pair.target).first():
+def same_rows(pair: Aligned, prints: tuple[Row, Row], fast: bool = False) -> bool:
+    """Whether the shared columns hold the same rows: the full pairing runs only if fingerprints agree."""
+    if prints[0][1:] != prints[1][1:]:
         return False
     return fast or unmatched(pair).isEmpty()

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallymark.functions.sqltext import inline, literal, quoted
 from tallymark.functions.types import render
 from tallymark.operators.align import Aligned, align
-from tallymark.operators.multiset import N_SOURCE, N_TARGET, paired_counts, same_rows, unmatched
+from tallymark.operators.multiset import N_SOURCE, N_TARGET, fingerprints, paired_counts, same_rows, unmatched
 from tallymark.session import written
 
 MISMATCH, SOURCE_ONLY, TARGET_ONLY = "mismatch", "source_only", "target_only"
@@ -168,8 +168,8 @@ def positional_diff(source: DataFrame, target: DataFrame) -> RowDiff:
     return positional_pairs(align(source, target))
 
 
-def positional_pairs(pair: Aligned) -> RowDiff:
-    if same_rows(pair):
+def positional_pairs(pair: Aligned, prints: tuple[Row, Row] | None = None) -> RowDiff:
+    if same_rows(pair, prints or fingerprints(pair)):
         row = _row(pair.columns)
         rows = pair.source.limit(0).selectExpr("0L as row_index", f"{row} as source", f"{row} as target")
     else:

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 
 from tallymark.functions.sqltext import literal
 from tallymark.operators.align import Aligned, align
-from tallymark.operators.checks import row_count_check
 from tallymark.operators.hash_profile import manual_summary
-from tallymark.operators.multiset import unmatched
+from tallymark.operators.multiset import fingerprints, unmatched
 from tallymark.operators.rows import SOURCE_ONLY, TARGET_ONLY, RowDiff, keyed_pairs, positional_pairs
 
 MODES = ("auto", "keyed", "positional", "bag")
@@ -59,20 +58,20 @@ def compare(source: DataFrame, target: DataFrame, keys: list[str] | None = None,
     """Compare the rows of two frames.
 
     ``auto`` aligns by key where keys are given, by sorted position where the counts agree, and otherwise
-    compares the sides as multisets.
+    compares the sides as multisets. Counts come with the fingerprints, from one scan of both sides.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode}, choose from {', '.join(MODES)}")
-    counts = row_count_check(source, target).first()
-    if mode == "auto":
-        equal_counts = counts["count_source"] == counts["count_target"]
-        mode = "keyed" if keys else "positional" if equal_counts else "bag"
     pair = align(source, target)
-    out = Comparison(mode, pair, counts["count_source"], counts["count_target"])
+    prints = fingerprints(pair)
+    count_source, count_target = (p["n_rows"] for p in prints)
+    if mode == "auto":
+        mode = "keyed" if keys else "positional" if count_source == count_target else "bag"
+    out = Comparison(mode, pair, count_source, count_target)
     if mode == "keyed":
         out.rows = keyed_pairs(pair, keys or [])
     elif mode == "positional":
-        out.rows = positional_pairs(pair)
+        out.rows = positional_pairs(pair, prints)
     else:
         out.bag = unmatched(pair, "source_extra", "target_extra")
     return out

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.functions.types import canonical, lower_names
 from tallymark.operators.checks import (
     FAILED_WITH_ERROR,
     MATCH,
@@ -20,12 +21,12 @@ from tallymark.operators.checks import (
     table_verdict,
     target_profile,
 )
-from tallymark.operators.profile import remote_profile, remote_profile_query
+from tallymark.operators.profile import check_queries, remote_profile, remote_profile_query
 from tallymark.operators.rows import row_status_counts
 from tallymark.operators.schema_diff import schema_diff
 from tallymark.operators.sinks import write_result
+from tallymark.sources.catalog import describe_columns
 from tallymark.sources.manifest import FIELDS
-from tallymark.functions.types import canonical, lower_names
 from tallymark.sources.readers import condition_text, filtered, read_jdbc, read_location
 
 DETAIL = (
@@ -36,6 +37,11 @@ DRIFT = (
     "job_row int, table string, column string, issue string, source_type string, target_type string, "
     "source_length string, target_length string"
 )
+METADATA = (
+    "job_row int, table string, side string, ordinal int, column string, data_type string, length string, "
+    "nullable boolean"
+)
+SQL_TEXTS = "job_row int, table string, side string, check string, query string"
 ERRORS = "job_row int, error string"
 
 Reader = Callable[[SparkSession, Row, str], DataFrame]
@@ -44,18 +50,22 @@ Reader = Callable[[SparkSession, Row, str], DataFrame]
 @dataclass
 class JobResult:
     """``report``: manifest plus Status and Remarks. ``summary``: one row per pair and check. ``detail``: one
-    row per metric. ``drift``: schema differences."""
+    row per metric. ``drift``: schema differences. ``metadata``: the columns of both sides. ``queries``: the
+    checks as plain SQL texts."""
 
     report: DataFrame
     summary: DataFrame
     detail: DataFrame
     drift: DataFrame
+    metadata: DataFrame
+    queries: DataFrame
 
     def write(self, folder: str, fmt: str = "parquet") -> None:
         write_result(self.report, f"{folder}/report", fmt)
         write_result(self.summary, f"{folder}/summary", fmt, ["table"])
         write_result(self.detail, f"{folder}/detail", fmt, ["table", "check"])
-        write_result(self.drift, f"{folder}/drift", fmt, ["table"])
+        for name in ("drift", "metadata", "queries"):
+            write_result(getattr(self, name), f"{folder}/{name}", fmt, ["table"])
 
 
 def default_reader(jdbc: dict[str, dict] | None = None) -> Reader:
@@ -82,8 +92,7 @@ def pushed_check_compare(
     """``check_compare`` with the source's metrics computed by the JDBC source, which returns one row."""
     source, target = lower_names(source), canonical(target)
     taken = common_checks(source.schema, target.schema)
-    table = f"({row['source_query']}) a" if row["source_query"] else row["source"]
-    query = remote_profile_query(source.schema, table, condition_text(row["source_condition"]))
+    query = remote_profile_query(source.schema, _place(row, "source"), condition_text(row["source_condition"]))
     pushed = {k: v for k, v in options.items() if k not in ("partition_column", "partitions")}
     left = remote_profile(read_jdbc(spark, query=query, **pushed), source.schema)
     return compare_profiles(left.where(F.col("check").isin(taken)), target_profile(target, taken))
@@ -109,27 +118,39 @@ def run(
     read = read or default_reader(jdbc)
     pairs = manifest.select(*FIELDS).collect()
 
-    def check_pair(number: int) -> tuple[list, list, list]:
+    def check_pair(number: int) -> dict[str, list[tuple]]:
         row = pairs[number]
+        lead = (number, row["table"])
         try:
             source, target = read(spark, row, "source"), read(spark, row, "target")
             if row["connection"] in connections:
                 compared = pushed_check_compare(spark, connections[row["connection"]], row, source, target)
             else:
                 compared = check_compare(source, target)
-            found = [(number, row["table"], *r) for r in compared.collect()]
+            detail = [(*lead, *r) for r in compared.collect()]
             if row["keys"]:
-                found.append((number, row["table"], *_data_check(source, target, row["keys"].split("|"))))
-            drift = [(number, row["table"], *r) for r in schema_diff(source, target).collect()]
-            return found, drift, []
+                detail.append((*lead, *_data_check(source, target, row["keys"].split("|"))))
+            sides = {"source": source, "target": target}
+            return {
+                "detail": detail,
+                "drift": [(*lead, *r) for r in schema_diff(source, target).collect()],
+                "metadata": [(*lead, k, *r) for k, df in sides.items() for r in describe_columns(df).collect()],
+                "queries": [
+                    (*lead, k, check, text)
+                    for k, df in sides.items()
+                    for check, text in check_queries(df.schema, _place(row, k), row[f"{k}_condition"] or "").items()
+                ],
+            }
         except Exception as error:  # whatever ends one pair must not end the job
-            return [], [], [(number, f"{type(error).__name__}: {str(error).splitlines()[0]}")]
+            return {"errors": [(number, f"{type(error).__name__}: {str(error).splitlines()[0]}")]}
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         results = list(pool.map(check_pair, range(len(pairs))))
-    detail = spark.createDataFrame([x for r in results for x in r[0]], DETAIL)
-    drift = spark.createDataFrame([x for r in results for x in r[1]], DRIFT)
-    errors = spark.createDataFrame([x for r in results for x in r[2]], ERRORS)
+
+    def gathered(name: str, schema: str) -> DataFrame:
+        return spark.createDataFrame([x for r in results for x in r.get(name, [])], schema)
+
+    detail, errors = gathered("detail", DETAIL), gathered("errors", ERRORS)
     numbered = spark.createDataFrame(
         [(i, *[r[f] for f in FIELDS]) for i, r in enumerate(pairs)],
         "job_row int, " + ", ".join(f"{f} string" for f in FIELDS),
@@ -146,12 +167,24 @@ def run(
             F.coalesce("Remarks", "error", F.lit("no check applies")).alias("Remarks"),
         )
     )
-    result = JobResult(report, summary, detail, drift)
+    result = JobResult(
+        report,
+        summary,
+        detail,
+        gathered("drift", DRIFT),
+        gathered("metadata", METADATA),
+        gathered("queries", SQL_TEXTS),
+    )
     if folder:
         result.write(folder)
     return result
 
 
+def _place(row: Row, side: str) -> str:
+    """What a side's SQL selects from."""
+    return f"({row[f'{side}_query']}) a" if row[f"{side}_query"] else row[side]
+
+
 def _data_check(source: DataFrame, target: DataFrame, keys: list[str]) -> tuple:
     """The ``Data`` check of a pair with keys, as one metric row."""
     counts = {r["status"]: r["n_rows"] for r in row_status_counts(source, target, keys).collect()}

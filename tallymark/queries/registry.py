@@ -286,7 +286,8 @@ def q_hash_profile_compare(spark, folder):
 
 @query("""
     SELECT 'o_orderstatus' AS "column", 'data_type' AS issue, 'STRING' AS source_type, 'DATE' AS target_type,
-           CAST(max(length(o_orderstatus)) AS VARCHAR) AS source_length, NULL AS target_length FROM orders
+           CAST(max(length(o_orderstatus)) AS VARCHAR) AS source_length, CAST(NULL AS VARCHAR) AS target_length
+    FROM orders
     UNION ALL
     SELECT 'o_orderpriority', 'missing_in_target', 'STRING', NULL, CAST(max(length(o_orderpriority)) AS VARCHAR), NULL
     FROM orders

@@ -68,23 +68,31 @@ def jdbc_options(
 
 
 def read_jdbc(spark: SparkSession, url: str, partition_column=None, partitions: int = 16, **request) -> DataFrame:
-    """A JDBC table or query. ``partition_column`` splits the read between the column's smallest and largest value."""
+    """A JDBC table or query. ``partition_column`` splits the read between the column's smallest and largest value,
+    which the source is asked for first."""
+
+    def scan(**more) -> DataFrame:
+        return spark.read.format("jdbc").options(**jdbc_options(url, **{**request, **more})).load()
+
     if partition_column is None:
-        return spark.read.format("jdbc").options(**jdbc_options(url, **request)).load()
-    whole = spark.read.format("jdbc").options(**jdbc_options(url, **request)).load()
-    lower, upper = whole.agg(F.min(partition_column), F.max(partition_column)).first()
-    if lower is None:
-        return whole
-    split = (partition_column, lower, upper, partitions)
-    return spark.read.format("jdbc").options(**jdbc_options(url, partition=split, **request)).load()
+        return scan()
+    lower, upper = scan(table=None, query=bounds_query(partition_column, **request)).first()
+    return scan() if lower is None else scan(partition=(partition_column, lower, upper, partitions))
+
+
+def bounds_query(column: str, table: str | None = None, query: str | None = None, **_) -> str:
+    return f"select min({column}) as lo, max({column}) as hi from {table or f'({query}) a'}"
+
+
+def columns_query(table: str, view: str) -> str:
+    """The catalog rows of ``database.table``, filtered at the source."""
+    database, _, name = (part.replace("'", "''") for part in table.partition("."))
+    return f"select * from {view} where databasename = '{database}' and tablename = '{name}'"
 
 
 def read_jdbc_columns(spark: SparkSession, url: str, table: str, view: str = "dbc.columns", **options) -> DataFrame:
-    """Decoded column metadata of ``database.table`` from a catalog view; both filters run at the source."""
-    database, _, name = table.partition(".")
-    columns = read_jdbc(spark, url, table=view, **options)
-    wanted = (F.trim("databasename") == database) & (F.trim("tablename") == name)
-    return decode_catalog(columns.where(wanted))
+    """Decoded column metadata of ``database.table`` from a catalog view."""
+    return decode_catalog(read_jdbc(spark, url, query=columns_query(table, view), **options))
 
 
 def condition_text(text: str | None) -> str:

@@ -46,6 +46,9 @@ def test_job(spark, manifest, tmp_path):
     checks = {(r["table"], r["TestCases"]): r["Status"] for r in result.summary.collect()}
     assert checks[("changed", "Null")] == "Match" and checks[("changed", "Data")] == "Not match"
     assert read_files(spark, f"{tmp_path}/out/report").count() == 6
+    assert read_files(spark, f"{tmp_path}/out/metadata").where("side = 'target' and `table` = 'same'").count() == 3
+    texts = {(r["side"], r["check"]): r["query"] for r in result.queries.where("`table` = 'filtered'").collect()}
+    assert texts[("source", "Count")].endswith("/a where id <> 4") and ("target", "RLength") in texts
     detail = read_files(spark, f"{tmp_path}/out/detail").where("`table` = 'changed' and status = 'Not match'")
     assert {r["metric"] for r in detail.collect()} == {"sum_v", "rows"}
 

@@ -6,7 +6,16 @@ from tallymark.functions.types import TYPE_CODES, UNKNOWN_TYPE
 from tallymark.operators.schema_diff import metadata_diff, missing_columns, schema_diff
 from tallymark.sources.catalog import decode_catalog, describe_columns, resolve_base_table, split_type_text
 from tallymark.sources.manifest import connections, read_manifest, with_base_tables
-from tallymark.sources.readers import condition, filtered, jdbc_options, read_files, read_location, read_query
+from tallymark.sources.readers import (
+    bounds_query,
+    columns_query,
+    condition,
+    filtered,
+    jdbc_options,
+    read_files,
+    read_location,
+    read_query,
+)
 
 META = "column string, data_type string, length string"
 
@@ -170,3 +179,11 @@ def test_jdbc_options():
     )
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x")
+
+
+def test_texts_sent_to_the_source():
+    assert bounds_query("a", query="select a from t") == "select min(a) as lo, max(a) as hi from (select a from t) a"
+    assert bounds_query("a", table="db.t", user="u") == "select min(a) as lo, max(a) as hi from db.t"
+    assert columns_query("db.o'x", "dbc.columns") == (
+        "select * from dbc.columns where databasename = 'db' and tablename = 'o''x'"
+    )
