@@ -134,32 +134,51 @@ def duplicate_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> Dat
     return counts.where("count_source > 1 or count_target > 1")
 
 
-def keyed_diff(source: DataFrame, target: DataFrame, keys: list[str]) -> RowDiff:
+def keyed_diff(source: DataFrame, target: DataFrame, keys: list[str], unique: bool = False) -> RowDiff:
     """Differing rows aligned by ``keys``.
 
     Within a key identical rows cancel out first. The surplus rows of both sides then pair by their order
     over the other columns, nulls last; ``occurrence`` counts those pairs from 0.
+
+    With ``unique`` the keys are checked to be unique and not null, and the sides are joined on them. Tables
+    bucketed by the key are then compared without any shuffle.
     """
-    return keyed_pairs(align(source, target), keys)
+    return keyed_pairs(align(source, target), keys, unique)
 
 
-def keyed_pairs(pair: Aligned, keys: list[str]) -> RowDiff:
+def keyed_pairs(pair: Aligned, keys: list[str], unique: bool = False) -> RowDiff:
     keys, values = _keys(pair, keys)
-    left = written(unmatched(pair), "unmatched")
     cols = [quoted(k) for k in keys]
-    repeated = left.groupBy(*cols).agg(F.expr(f"sum({N_SOURCE}) as s"), F.expr(f"sum({N_TARGET}) as t"))
-    if repeated.where("s > 1 or t > 1").isEmpty():
-        row = _row(values)
-        rows = left.groupBy(*cols).agg(
-            F.expr("0L as occurrence"),
-            F.expr(f"first({row}) filter (where {N_SOURCE} > 0) as source"),
-            F.expr(f"first({row}) filter (where {N_TARGET} > 0) as target"),
-        )
+    if unique:
+        rows = _joined(pair, keys, values)
     else:
-        rows = _pair_positions(_numbered(left, keys, values), keys, values, "occurrence")
+        left = written(unmatched(pair), "unmatched")
+        repeated = left.groupBy(*cols).agg(F.expr(f"sum({N_SOURCE}) as s"), F.expr(f"sum({N_TARGET}) as t"))
+        if repeated.where("s > 1 or t > 1").isEmpty():
+            row = _row(values)
+            rows = left.groupBy(*cols).agg(
+                F.expr("0L as occurrence"),
+                F.expr(f"first({row}) filter (where {N_SOURCE} > 0) as source"),
+                F.expr(f"first({row}) filter (where {N_TARGET} > 0) as target"),
+            )
+        else:
+            rows = _pair_positions(_numbered(left, keys, values), keys, values, "occurrence")
     return RowDiff(pair, rows.selectExpr("*", _STATUS), keys + ["occurrence"], values)
 
 
+def _joined(pair: Aligned, keys: list[str], values: list[str]) -> DataFrame:
+    cols = [quoted(k) for k in keys]
+    for name, df in (("source", pair.source), ("target", pair.target)):
+        counts = df.groupBy(*cols).agg(F.expr("count(1) as _copies"))
+        if not counts.where(" or ".join(["_copies > 1"] + [f"{c} is null" for c in cols])).isEmpty():
+            raise ValueError(f"the key {', '.join(keys)} is not unique in the {name}, or holds nulls")
+    row = _row(values)
+    source = pair.source.selectExpr(*cols, f"{row} as source")
+    target = pair.target.selectExpr(*cols, f"{row} as target")
+    both = source.join(target, keys, "full_outer").where("not source <=> target")
+    return both.selectExpr(*cols, "0L as occurrence", "source", "target")
+
+
 def positional_diff(source: DataFrame, target: DataFrame) -> RowDiff:
     """Differing rows aligned by position after both sides are sorted by all columns, nulls last.
 

@@ -17,22 +17,24 @@ from tallymark.sources.catalog import describe_columns
 MISSING_IN_TARGET, MISSING_IN_SOURCE = "missing_in_target", "missing_in_source"
 
 
-def metadata_diff(source: DataFrame, target: DataFrame) -> DataFrame:
-    """``(column, issue, source_type, target_type, source_length, target_length)`` from two metadata frames.
+def metadata_diff(source: DataFrame, target: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``(by…, column, issue, source_type, target_type, source_length, target_length)`` from two metadata frames.
 
     ``issue`` is ``missing_in_target``, ``missing_in_source``, ``data_type`` or ``length``. Types agree within
-    the source type's family; a source type of no family accepts any target type.
+    the source type's family; a source type of no family accepts any target type. ``by`` names columns that
+    tell several pairs of tables apart.
     """
 
     def side(metadata: DataFrame, name: str) -> DataFrame:
         return metadata.select(
+            *by,
             F.upper("column").alias("key"),
             F.col("column").alias(f"{name}_column"),
             F.col("data_type").alias(f"{name}_type"),
             F.col("length").alias(f"{name}_length"),
         )
 
-    joined = side(source, "source").join(side(target, "target"), "key", "full_outer")
+    joined = side(source, "source").join(side(target, "target"), [*by, "key"], "full_outer")
     s, t = F.col("source_type"), F.col("target_type")
     resized = F.when(F.col("source_length") != F.col("target_length"), "length")
     issue = (
@@ -46,6 +48,7 @@ def metadata_diff(source: DataFrame, target: DataFrame) -> DataFrame:
         .when(s.isin(TIMESTAMP_FAMILY), F.when(~t.isin(TIMESTAMP_FAMILY), "data_type"))
     )
     return joined.select(
+        *by,
         F.lower(F.coalesce("source_column", "target_column")).alias("column"),
         issue.alias("issue"),
         "source_type",

@@ -23,9 +23,9 @@ from tallymark.operators.checks import (
 )
 from tallymark.operators.profile import check_queries, remote_profile, remote_profile_query
 from tallymark.operators.rows import row_status_counts
-from tallymark.operators.schema_diff import schema_diff
+from tallymark.operators.schema_diff import metadata_diff
 from tallymark.operators.sinks import write_result
-from tallymark.sources.catalog import describe_columns
+from tallymark.sources.catalog import column_rows
 from tallymark.sources.manifest import FIELDS
 from tallymark.sources.readers import condition_text, filtered, read_jdbc, read_location
 
@@ -33,10 +33,6 @@ DETAIL = (
     "job_row int, table string, check string, column string, metric string, source_value string, "
     "target_value string, status string, remark string"
 )
-DRIFT = (
-    "job_row int, table string, column string, issue string, source_type string, target_type string, "
-    "source_length string, target_length string"
-)
 METADATA = (
     "job_row int, table string, side string, ordinal int, column string, data_type string, length string, "
     "nullable boolean"
@@ -133,8 +129,7 @@ def run(
             sides = {"source": source, "target": target}
             return {
                 "detail": detail,
-                "drift": [(*lead, *r) for r in schema_diff(source, target).collect()],
-                "metadata": [(*lead, k, *r) for k, df in sides.items() for r in describe_columns(df).collect()],
+                "metadata": [(*lead, k, *r) for k, df in sides.items() for r in column_rows(df.schema)],
                 "queries": [
                     (*lead, k, check, text)
                     for k, df in sides.items()
@@ -167,14 +162,9 @@ def run(
             F.coalesce("Remarks", "error", F.lit("no check applies")).alias("Remarks"),
         )
     )
-    result = JobResult(
-        report,
-        summary,
-        detail,
-        gathered("drift", DRIFT),
-        gathered("metadata", METADATA),
-        gathered("queries", SQL_TEXTS),
-    )
+    metadata = gathered("metadata", METADATA)
+    drift = metadata_diff(metadata.where("side = 'source'"), metadata.where("side = 'target'"), ("job_row", "table"))
+    result = JobResult(report, summary, detail, drift, metadata, gathered("queries", SQL_TEXTS))
     if folder:
         result.write(folder)
     return result

@@ -373,6 +373,12 @@ def q_cell_diff_keyed(spark, folder):
     return _orders_diff(spark, folder).cells().drop("occurrence")
 
 
+@query(_ORDERS_CELLS)
+def q_cell_diff_unique_key(spark, folder):
+    orders, changed = table(spark, folder, "orders"), table(spark, folder, "orders_target")
+    return keyed_diff(orders, changed, ["o_orderkey"], unique=True).cells().drop("occurrence")
+
+
 @query(f'SELECT "column", count(*) AS n_mismatch FROM ({_ORDERS_CELLS}) AS c GROUP BY "column"')
 def q_column_mismatch(spark, folder):
     return _orders_diff(spark, folder).columns()

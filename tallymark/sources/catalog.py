@@ -26,12 +26,19 @@ def describe_columns(df: DataFrame, observe: bool = False) -> DataFrame:
     With ``observe`` one pass over the data adds ``n_values``, ``n_null`` and ``max_length`` (text columns),
     and a text column without a declared length takes the longest one seen.
     """
-    fields = [f for f in df.schema.fields if f.name.strip() and not isinstance(f.dataType, T.NullType)]
     if not observe:
-        rows = [(i, f.name.strip(), type_name(f), type_length(f), f.nullable) for i, f in enumerate(fields)]
-        return df.sparkSession.createDataFrame(rows, METADATA)
-    numbered = list(enumerate(fields))
-    return reduce(DataFrame.unionAll, [_observed(df, part) for part in chunks(numbered, COLUMNS_PER_PASS)])
+        return df.sparkSession.createDataFrame(column_rows(df.schema), METADATA)
+    parts = chunks(_described_fields(df.schema), COLUMNS_PER_PASS)
+    return reduce(DataFrame.unionAll, [_observed(df, part) for part in parts])
+
+
+def _described_fields(schema: T.StructType) -> list[tuple[int, T.StructField]]:
+    return list(enumerate(f for f in schema.fields if f.name.strip() and not isinstance(f.dataType, T.NullType)))
+
+
+def column_rows(schema: T.StructType) -> list[tuple]:
+    """The declared metadata of a schema as plain rows."""
+    return [(i, f.name.strip(), type_name(f), type_length(f), f.nullable) for i, f in _described_fields(schema)]
 
 
 def _observed(df: DataFrame, fields: list[tuple[int, T.StructField]]) -> DataFrame:

@@ -43,6 +43,7 @@ def test_job(spark, manifest, tmp_path):
     assert remarks["same"] == ".."
     assert remarks["changed"] == "Data: Not match 1 mismatch; Sum: Not match sum_v"
     assert "none" in remarks["gone"]
+    assert result.drift.count() == 0
     checks = {(r["table"], r["TestCases"]): r["Status"] for r in result.summary.collect()}
     assert checks[("changed", "Null")] == "Match" and checks[("changed", "Data")] == "Not match"
     assert read_files(spark, f"{tmp_path}/out/report").count() == 6

@@ -63,3 +63,21 @@ def test_aligned_rows_never_meet_in_one_task(orders, changed):
         # Only the totals per range partition may be summed up in one place.
         for before in re.findall(r"Exchange SinglePartition.*\n(.*)", text):
             assert "HashAggregate" in before
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, orders, changed, tmp_path):
+    names = []
+    for name, df in (("bucketed_source", orders), ("bucketed_target", changed)):
+        writer = df.write.bucketBy(8, "o_orderkey").sortBy("o_orderkey").mode("overwrite")
+        writer.option("path", f"{tmp_path}/{name}").saveAsTable(name)
+        names.append(name)
+    try:
+        # Small tables would be broadcast, which hides the question.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        diff = keyed_diff(*[spark.table(n) for n in names], ["o_orderkey"], unique=True)
+        assert "SortMergeJoin" in plan(diff.cells()) and "Exchange" not in plan(diff.cells())
+        assert diff.rows.count() == keyed_diff(orders, changed, ["o_orderkey"]).rows.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            spark.sql(f"drop table {name}")

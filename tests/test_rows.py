@@ -215,3 +215,18 @@ def test_compare_reports_columns_it_cannot_compare(spark):
     )
     equal = compare(left, left).summary().collect()[1]
     assert tuple(equal)[1:] == ("Data Match", "-")
+
+
+def test_unique_keys(spark):
+    source = spark.sql("select id as k, id % 3 as a, concat('s', id) as b from range(200)")
+    target = source.selectExpr("k", "if(k % 20 = 0, null, a) as a", "b").where("k <> 7").unionAll(
+        spark.sql("select -1L, 0L, 'new'")
+    )
+    one, two = keyed_diff(source, target, ["k"], unique=True), keyed_diff(source, target, ["k"])
+    assert sorted(one.rows.collect(), key=repr) == sorted(two.rows.select(one.rows.columns).collect(), key=repr)
+    assert sorted(map(tuple, one.cells().collect())) == sorted(map(tuple, two.cells().collect()))
+    for bad in (source.unionAll(source), source.selectExpr("nullif(k, 3) as k", "a", "b")):
+        with pytest.raises(ValueError, match="not unique"):
+            keyed_diff(bad, target, ["k"], unique=True)
+        with pytest.raises(ValueError, match="not unique"):
+            keyed_diff(source, bad, ["k"], unique=True)
