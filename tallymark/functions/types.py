@@ -68,6 +68,7 @@ _NAMES = {
     T.DateType: "DATE",
     T.TimestampNTZType: "TIMESTAMP",
     T.TimestampType: "TIMESTAMP WITH TIME ZONE",
+    T.TimeType: "TIME",
     T.BinaryType: "BYTE",
     T.NullType: "VOID",
 }
@@ -113,7 +114,7 @@ def is_text(dtype: T.DataType) -> bool:
 
 
 def is_temporal(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return isinstance(dtype, (T.DateType, T.TimeType, T.TimestampType, T.TimestampNTZType))
 
 
 def is_floating(dtype: T.DataType) -> bool:
@@ -192,6 +193,8 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
             scale = max(scale_a, scale_b)
             return T.DecimalType(min(38, max(whole_a, whole_b) + scale), scale)
         return a if _INTEGRAL_DIGITS[type(a)] > _INTEGRAL_DIGITS[type(b)] else b
+    if isinstance(a, T.TimeType) or isinstance(b, T.TimeType):
+        return None
     if is_temporal(a) and is_temporal(b):
         if isinstance(a, T.TimestampType) or isinstance(b, T.TimestampType):
             return T.TimestampType()

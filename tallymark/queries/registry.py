@@ -55,11 +55,11 @@ def _text(df: DataFrame) -> DataFrame:
 
 
 @query(
-    "SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase' AND value > 50 AND user_id % 2 = 0"
+    "SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase' AND value > 50 AND user_id IS NOT NULL"
 )
 def q_source_scan(spark, folder):
     events = filtered(table(spark, folder, "events"), "where event_type = 'purchase' and value > 50")
-    return filtered(events, "user_id % 2 = 0").select("event_id", "ts", "user_id", "value")
+    return filtered(events, "user_id is not null").select("event_id", "ts", "user_id", "value")
 
 
 _TYPES = {"n": ("BIGINT", None), "f": ("FLOAT", None), "t": ("TIMESTAMP", None), "s": ("STRING", None)}
@@ -246,12 +246,14 @@ def q_table_verdict(spark, folder):
 
 @query(
     o.summary_sql(
-        o.compare_sql("orders", "orders_target", ORDERS, "o_orderkey % 97 > 0 AND o_orderstatus = 'F'", "o_orderkey >= 0 AND o_orderstatus = 'F'")
+        o.compare_sql(
+            "orders", "orders_target", ORDERS, "o_orderpriority <> '1-URGENT'", "o_orderstatus IN ('F', 'O', 'X')"
+        )
     )
 )
 def q_filtered_check(spark, folder):
-    source = filtered(table(spark, folder, "orders"), "WHERE o_orderkey % 97 > 0 AND o_orderstatus = 'F'")
-    target = filtered(table(spark, folder, "orders_target"), "where o_orderkey >= 0 and o_orderstatus = 'F'")
+    source = filtered(table(spark, folder, "orders"), "WHERE o_orderpriority <> '1-URGENT'")
+    target = filtered(table(spark, folder, "orders_target"), "o_orderstatus in ('F', 'O', 'X')")
     return check_summary(check_compare(source, target))
 
 

@@ -5,6 +5,10 @@ from pyspark.sql import types as T
 
 from tallymark.functions.types import canonical, common_type, exact_cast, lower_names, type_length, type_name
 from tallymark.operators.align import align
+from tallymark.operators.checks import check_compare, check_summary
+from tallymark.operators.hash_profile import hash_profile_compare
+from tallymark.operators.multiset import bag_diff, is_equal
+from tallymark.operators.rows import keyed_diff, positional_diff
 
 
 def test_names_that_differ_in_case_collide(spark):
@@ -86,3 +90,28 @@ def test_declared_names_and_lengths():
 def test_exact_cast_is_plain_where_it_fits():
     assert exact_cast("x", T.IntegerType(), T.IntegerType()) == "x"
     assert exact_cast("x", T.IntegerType(), T.DecimalType(12, 2)) == "cast(x as decimal(12,2))"
+
+
+def test_every_type_goes_through_every_operator(spark):
+    text = """
+        select id as k, interval '1' day * (id % 4) as iv, make_ym_interval(int(id % 3)) as ym,
+               parse_json(concat('{"a":', id % 5, '}')) as v, binary(concat('b', id % 3)) as bin,
+               array(named_struct('x', id % 2, 'y', map('q', double(id % 3)))) as nest,
+               timestamp '2024-01-01' + make_dt_interval(int(id % 9)) as tz, null as n, time '10:00:00' as tt,
+               id % 2 = 0 as bo, cast(id as float) as fl, cast(id as tinyint) as ti
+        from range(100)"""
+    spark.conf.set("spark.sql.timeType.enabled", True)
+    try:
+        source = spark.sql(text)
+        target = spark.sql(text.replace("'b', id % 3", "'b', if(id = 9, 7, id % 3)").replace("double(id % 3)", "double(if(id = 11, 5, id % 3))"))  # noqa: E501
+        assert {r["Status"] for r in check_summary(check_compare(source, target)).collect()} == {"Match"}
+        assert hash_profile_compare(source, target).collect()[1]["Remarks"] == "avgbin, avgnest"
+        for diff in (keyed_diff(source, target, ["k"]), positional_diff(source, target)):
+            assert {(r["column"], r["diff"]) for r in diff.cells().collect()} == {
+                ("bin", "YjA= vs Yjc="),
+                ("nest", "[{1, [{q, 2.0}]}] vs [{1, [{q, 5.0}]}]"),
+            }
+        assert bag_diff(source, target).count() == 4
+        assert not is_equal(source, target) and is_equal(source, source.repartition(3))
+    finally:
+        spark.conf.unset("spark.sql.timeType.enabled")
