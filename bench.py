@@ -24,6 +24,7 @@ HEADLINE = [
     "bag_diff",
     "row_status_counts",
     "cell_diff_keyed",
+    "cell_diff_unique_key",
     "column_mismatch",
     "keyed_diff_duplicates",
     "cell_diff_positional",

@@ -55,12 +55,21 @@ def wide_sql(table: str, columns: dict[str, str], check: str, cast: str = "BIGIN
 
 
 def compare_sql(
-    source: str, target: str, columns: dict[str, str], source_where: str = "true", target_where: str = "true"
+    source: str,
+    target: str,
+    columns: dict[str, str],
+    source_where: str = "true",
+    target_where: str = "true",
+    padded: tuple[str, ...] = (),
 ) -> str:
-    """Every metric of both sides with its status and remark."""
+    """Every metric of both sides with its status and remark; RLength trims the ``padded`` columns of the source."""
+
+    def at_source(check: str, column: str, value: str) -> str:
+        return value.replace(column, f"rtrim({column})") if check == "RLength" and column in padded else value
+
     parts = [
         f"""SELECT '{check}' AS "check", '{column}' AS "column", '{metric}' AS metric,
-            (SELECT CAST({value} AS VARCHAR) FROM {sql(source)} AS s WHERE {source_where}) AS source_value,
+            (SELECT CAST({at_source(check, column, value)} AS VARCHAR) FROM {sql(source)} AS s WHERE {source_where}) AS source_value,
             (SELECT CAST({value} AS VARCHAR) FROM {sql(target)} AS t WHERE {target_where}) AS target_value"""
         for check, column, metric, value in metric_list(columns)
     ]

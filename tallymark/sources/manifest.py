@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +38,11 @@ HEADER_NAMES = {
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """A CSV (with header) or JSON manifest as text columns ``FIELDS``; ``keys`` are joined by ``|``."""
     if path.rstrip("/").lower().endswith((".json", ".jsonl")):
-        raw = spark.read.option("primitivesAsString", True).option("multiLine", path.lower().endswith(".json")).json(path)
+        first = spark.read.text(path).first()
+        per_line = first is not None and re.fullmatch(r"\s*\{.*\}\s*", first[0]) is not None
+        raw = spark.read.option("primitivesAsString", True).option("multiLine", not per_line).json(path)
     else:
-        raw = spark.read.option("header", True).csv(path)
+        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return normalise_manifest(raw)
 
 

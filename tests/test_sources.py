@@ -148,6 +148,12 @@ def test_manifest_formats(spark, tmp_path):
     assert {r[0] for r in connections(read_manifest(spark, str(csv))).collect()} == {"dev", "uat"}
     jsons = tmp_path / "jobs.json"
     jsons.write_text(json.dumps([{"table": "t", "source": "/a", "target": "/b", "keys": ["k", "l"]}]))
+    lines = tmp_path / "lines.json"
+    lines.write_text("\n".join(json.dumps({"table": t, "source": "/a", "target": "/b"}) for t in "tu"))
+    assert {r["table"] for r in read_manifest(spark, str(lines)).collect()} == {"t", "u"}
+    quoted = tmp_path / "quoted.csv"
+    quoted.write_text('table,source_query\nt,"select ""a"",\n b from t"\n')
+    assert read_manifest(spark, str(quoted)).first()["source_query"] == 'select "a",\n b from t'
     row = read_manifest(spark, str(jsons)).first()
     assert (row["table"], row["keys"], row["source_condition"]) == ("t", "k|l", None)
 
