@@ -1,8 +1,8 @@
 """Row and cell differences, aligned by key or by sorted position.
 
 Both alignments start from the multiset pairing, so identical rows never travel further than one shuffle.
-What is left is numbered by a range-partitioned running sum rather than by one window per key or table: a
-key that holds much of the data is numbered by many tasks.
+What is left is numbered by a range-partitioned running sum, so that many tasks share a key that holds much of
+the data. Only keys whose size has been checked are numbered by a window each.
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ MISMATCH, SOURCE_ONLY, TARGET_ONLY = "mismatch", "source_only", "target_only"
 # Positions per task group when runs of equal rows are laid out position by position.
 BUCKET = 4096
 
+# Surplus rows of one key that a single window may number; larger keys are numbered over range partitions.
+KEY_ROWS = 100_000
+
 # Types of the arrays that become rows; an array without elements has none of its own.
 _CELLS = "array<struct<column: string, source_value: string, target_value: string>>"
 _COLUMNS = "array<struct<column: string, n_mismatch: bigint>>"
@@ -153,14 +156,17 @@ def keyed_pairs(pair: Aligned, keys: list[str], unique: bool = False) -> RowDiff
         rows = _joined(pair, keys, values)
     else:
         left = written(unmatched(pair), "unmatched")
-        repeated = left.groupBy(*cols).agg(F.expr(f"sum({N_SOURCE}) as s"), F.expr(f"sum({N_TARGET}) as t"))
-        if repeated.where("s > 1 or t > 1").isEmpty():
+        per_key = left.groupBy(*cols).agg(F.expr(f"greatest(sum({N_SOURCE}), sum({N_TARGET})) as n"))
+        most = per_key.selectExpr("max(n)").first()[0] or 0
+        if most <= 1:
             row = _row(values)
             rows = left.groupBy(*cols).agg(
                 F.expr("0L as occurrence"),
                 F.expr(f"first({row}) filter (where {N_SOURCE} > 0) as source"),
                 F.expr(f"first({row}) filter (where {N_TARGET} > 0) as target"),
             )
+        elif most <= KEY_ROWS:
+            rows = _pair_positions(_numbered_per_key(left, keys, values), keys, values, "occurrence", spread=False)
         else:
             rows = _pair_positions(_numbered(left, keys, values), keys, values, "occurrence")
     return RowDiff(pair, rows.selectExpr("*", _STATUS), keys + ["occurrence"], values)
@@ -203,6 +209,18 @@ def _row(values: list[str]) -> str:
     return f"named_struct({', '.join(fields)})"
 
 
+def _numbered_per_key(runs: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """As ``_numbered``, by one window per key, for keys of a checked size."""
+    order = ", ".join(f"{quoted(c)} ASC NULLS LAST" for c in values or keys)
+    before = f"""(PARTITION BY {", ".join(quoted(k) for k in keys)} ORDER BY {order}
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+    return runs.selectExpr(
+        "*",
+        f"coalesce(sum({N_SOURCE}) OVER {before}, 0L) as _source_at",
+        f"coalesce(sum({N_TARGET}) OVER {before}, 0L) as _target_at",
+    )
+
+
 def _numbered(runs: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """Add ``_source_at`` and ``_target_at``: the copies of each side that sort before a run in its group.
 
@@ -242,7 +260,9 @@ def _numbered(runs: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def _pair_positions(numbered: DataFrame, group: list[str], values: list[str], name: str) -> DataFrame:
+def _pair_positions(
+    numbered: DataFrame, group: list[str], values: list[str], name: str, spread: bool = True
+) -> DataFrame:
     """Pair the sides position by position: ``(group…, name, source, target)``, positions of equal rows left out.
 
     A run covers an interval of positions on each side. Where a run's two intervals overlap, both sides hold
@@ -266,24 +286,26 @@ def _pair_positions(numbered: DataFrame, group: list[str], values: list[str], na
         )
     )
     laid = ends.selectExpr(*groups, "row", f"inline(filter(array({pieces}), piece -> piece.hi > piece.lo))")
-    # Cut long intervals in two steps, so that no generated array grows with the length of a run.
-    for width in (BUCKET * BUCKET, BUCKET):
-        laid = laid.selectExpr(
-            *groups, "row", "from_source", "lo", "hi",
-            f"explode(sequence(lo div {width}, (hi - 1) div {width})) as bucket",
-        ).selectExpr(
-            *groups, "row", "from_source", "bucket",
-            f"greatest(lo, bucket * {width}) as lo", f"least(hi, (bucket + 1) * {width}) as hi",
-        )
-    # One shuffle spreads the pieces; the grouping below keeps its partitioning.
-    spread = laid.repartition(*groups, "bucket").selectExpr(
-        *groups, "row", "from_source", "bucket", f"explode(sequence(lo, hi - 1)) as {name}"
-    )
-    return (
-        spread.groupBy(*groups, "bucket", name)
-        .agg(
-            F.expr("first(row) filter (where from_source) as source"),
-            F.expr("first(row) filter (where not from_source) as target"),
-        )
-        .drop("bucket")
+    at = f"explode(sequence(lo, hi - 1)) as {name}"
+    if spread:
+        # Cut long intervals in two steps, so that no generated array grows with the length of a run.
+        for width in (BUCKET * BUCKET, BUCKET):
+            laid = laid.selectExpr(
+                *groups, "row", "from_source", "lo", "hi",
+                f"explode(sequence(lo div {width}, (hi - 1) div {width})) as bucket",
+            ).selectExpr(
+                *groups, "row", "from_source", "bucket",
+                f"greatest(lo, bucket * {width}) as lo", f"least(hi, (bucket + 1) * {width}) as hi",
+            )
+        # One shuffle spreads the pieces; the grouping below keeps its partitioning.
+        laid = laid.repartition(*groups, "bucket").selectExpr(*groups, "row", "from_source", "bucket", at)
+        places = [*groups, "bucket", name]
+    else:
+        # Numbered per key, the rows of a key already lie together.
+        laid = laid.selectExpr(*groups, "row", "from_source", at)
+        places = [*groups, name]
+    pairs = laid.groupBy(*places).agg(
+        F.expr("first(row) filter (where from_source) as source"),
+        F.expr("first(row) filter (where not from_source) as target"),
     )
+    return pairs.select(*groups, name, "source", "target")

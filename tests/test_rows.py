@@ -51,9 +51,11 @@ def struct(row):
     return None if row is None else tuple(row)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_keyed_against_brute_force(spark, monkeypatch, seed):
+@pytest.mark.parametrize("key_rows", [0, 100_000])
+@pytest.mark.parametrize("seed", range(3))
+def test_keyed_against_brute_force(spark, monkeypatch, seed, key_rows):
     monkeypatch.setattr(rows_module, "BUCKET", 3)
+    monkeypatch.setattr(rows_module, "KEY_ROWS", key_rows)
     rng = random.Random(seed)
     # A third of all rows under one key.
     source = random_rows(rng, 200, list(range(40)) + [7] * 20 + [None])
@@ -108,7 +110,9 @@ def test_one_row_fills_a_third(spark):
     assert diff.rows.selectExpr("min(row_index)", "max(row_index)").first() == (0, 29999)
 
 
-def test_one_key_fills_a_third(spark):
+@pytest.mark.parametrize("key_rows", [1000, 100_000])
+def test_one_key_fills_a_third(spark, monkeypatch, key_rows):
+    monkeypatch.setattr(rows_module, "KEY_ROWS", key_rows)
     source = spark.sql("""
         select if(id < 20000, 1, int(id)) as k, int(id) as a, 'x' as b from range(60000)""")
     target = source.selectExpr("k", "a", "if(k = 1 and a % 2 = 0, 'z', b) as b").where("a <> 5")
