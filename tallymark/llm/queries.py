@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import mixing, quality_rules, secrets
+from tallymark.llm import mixing, ngram_join, quality_rules, secrets
 from tallymark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(documents(spark, sf_dir)))
 
 
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_components(documents(spark, sf_dir), n=3, percent=90)
+
+
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.copies(documents(spark, sf_dir))
