@@ -90,9 +90,14 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = P
             first = last
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Bytes of words: all but spaces; letters, digits and everything beyond ASCII.
+SOLID = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
+LETTERS = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, bounds: np.ndarray, members: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and the first word of each text (one more entry than texts)."""
-    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    solid = members[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True
     before = np.zeros(len(data), bool)

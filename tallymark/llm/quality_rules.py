@@ -167,5 +167,5 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def passing(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents that the rules keep, all columns. A document id decides: rows that share an id stand or fall together."""
-    bad = judged(docs, limits).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    bad = kept(judged(docs, limits).where(~F.col("kept")).select("doc_id").distinct(), "quality-bad")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti").select(*docs.columns)
