@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontamination, mixing, ngram_join, quality_rules, secrets
+from tallymark.llm import decontamination, mixing, ngram_join, quality_model, quality_rules, secrets, toxicity
 from tallymark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,22 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(documents(spark, sf_dir), n=3, percent=90)
 
 
+def _predicted(rows: DataFrame, least: float) -> DataFrame:
+    return rows.withColumn("predicted", (F.col("score") >= least).cast("int"))
+
+
+@query
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _predicted(quality_model.scored(documents(spark, sf_dir), labels), 0.7)
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _predicted(toxicity.scored(documents(spark, sf_dir), labels), 0.5)
+
+
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.copies(documents(spark, sf_dir))
