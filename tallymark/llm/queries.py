@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontamination, mixing, ngram_join, quality_model, quality_rules, secrets, toxicity
+from tallymark.llm import decontamination, fixity, licences, mixing, ngram_join, quality_model, quality_rules, secrets, toxicity
 from tallymark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,27 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return fixity.audit(pages, fixity.decayed(pages))
+
+
+ORACLES["op1_fixity"] = """
+WITH sized AS (
+  SELECT *, page_id // 4096 AS archive, page_id % 4096 AS slot,
+    strlen('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id
+      || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Length: ' || strlen(html))
+      + 8 + strlen(html) AS length
+  FROM pages),
+placed AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY archive ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM sized),
+faults AS (SELECT *, page_id % 211 = 7 AS lost, page_id % 97 = 5 AS changed, page_id % 499 = 11 AS twice FROM placed)
+SELECT archive::BIGINT AS archive, slot::INT AS slot, page_id, CASE WHEN lost THEN 'missing' ELSE 'damaged' END AS status,
+  1::BIGINT AS n_primary, CASE WHEN lost THEN 0 WHEN twice THEN 2 ELSE 1 END::BIGINT AS n_copy, start::BIGINT AS start, length::BIGINT AS bytes
+FROM faults WHERE lost OR changed OR twice
+"""
+
+
 @query
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(documents(spark, sf_dir)))
@@ -58,6 +79,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@query
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(licences.with_paths(documents(spark, sf_dir)))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir)).select(
