@@ -37,5 +37,7 @@ def inline(names: list[str], rows: list[list[str]]) -> str:
     return f"inline(array({', '.join(structs)}))"
 
 
-def chunks(items: list, size: int) -> list[list]:
+def chunks(items: list, size: int | None) -> list[list]:
+    """The items in parts of ``size``, or as one part."""
+    size = size or max(len(items), 1)
     return [items[i : i + size] for i in range(0, len(items), size)]

@@ -219,10 +219,14 @@ def _digits(dtype: T.DataType) -> tuple[int, int]:
 
 
 def exact_cast(value: str, source: T.DataType, target: T.DataType) -> str:
-    """Cast for comparison. A decimal that does not fit raises; it never rounds or turns null."""
+    """Cast for comparison. A value that the target does not hold raises; it never rounds or turns null."""
     if source == target:
         return value
     kind = sql_type(target)
+    if is_floating(target) and isinstance(source, (T.LongType, T.DecimalType)):
+        back = f"try_cast(cast({value} as {kind}) as {sql_type(source)})"
+        error = f"cast(raise_error('value does not fit {kind}') as {kind})"
+        return f"if({value} is null or {back} <=> {value}, cast({value} as {kind}), {error})"
     if (
         isinstance(target, T.DecimalType)
         and isinstance(source, T.NumericType)

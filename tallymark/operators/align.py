@@ -30,6 +30,11 @@ class Aligned:
             + [f"Column {c} of another type" for c in self.incompatible]
         )
 
+    @property
+    def unaligned(self) -> list[str]:
+        """The columns that are not compared."""
+        return self.missing_in_target + self.missing_in_source + self.incompatible
+
     @property
     def same_shape(self) -> bool:
         return not self.remarks

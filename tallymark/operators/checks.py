@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymark.functions.types import common_type
 from tallymark.operators.align import with_common_types
 from tallymark.operators.profile import metrics, profile
 
@@ -55,25 +56,40 @@ def compare_profiles(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def check_compare(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Every metric of every check both sides take, from one scan per side.
+def check_compare(source: DataFrame, target: DataFrame, columns_per_pass: int | None = None) -> DataFrame:
+    """Every metric of every check either side takes, from one scan per side.
 
     Shared columns are first cast to a common type, so ``1`` and ``1.0`` agree. The source's right-trimmed
-    lengths are compared with the target's plain lengths.
+    lengths are compared with the target's plain lengths. A metric of one side only does not match, and neither does
+    a shared column without a common type.
     """
     source, target = with_common_types(source, target)
-    taken = common_checks(source.schema, target.schema)
-    return compare_profiles(profile(source, taken), target_profile(target, taken))
+    taken = all_checks(source.schema, target.schema)
+    compared = compare_profiles(
+        profile(source, taken, columns_per_pass), target_profile(target, taken, columns_per_pass)
+    )
+    return with_retyped(compared, source.schema, target.schema)
+
+
+def all_checks(source: T.StructType, target: T.StructType) -> list[str]:
+    """The checks that apply on a side."""
+    return sorted({m.check for m in metrics(source)} | {m.check for m in metrics(target)})
 
 
-def common_checks(source: T.StructType, target: T.StructType) -> list[str]:
-    """The checks that apply on both sides."""
-    return sorted({m.check for m in metrics(source)} & {m.check for m in metrics(target)})
+def with_retyped(compared: DataFrame, source: T.StructType, target: T.StructType) -> DataFrame:
+    """Add a row to the check ``Null``, which every column takes, for each shared column without a common type."""
+    left, right = ({f.name.lower(): f.dataType for f in side.fields} for side in (source, target))
+    rows = [
+        ("Null", c, f"type_{c}", left[c].simpleString(), right[c].simpleString(), NOT_MATCH, f"Column {c} of another type")
+        for c in left
+        if c in right and common_type(left[c], right[c]) is None
+    ]
+    return compared.unionByName(compared.sparkSession.createDataFrame(rows, compared.schema)) if rows else compared
 
 
-def target_profile(target: DataFrame, checks: list[str]) -> DataFrame:
+def target_profile(target: DataFrame, checks: list[str], columns_per_pass: int | None = None) -> DataFrame:
     """The target's profile, its plain lengths also standing for the right-trimmed ones."""
-    plain = profile(target, [c for c in checks if c != "RLength"])
+    plain = profile(target, [c for c in checks if c != "RLength"], columns_per_pass)
     if "RLength" not in checks:
         return plain
     both = "explode(if(check = 'Length', array('Length', 'RLength'), array(check)))"

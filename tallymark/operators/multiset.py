@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tallymark.functions.sqltext import literal, quoted
+from tallymark.functions.sqltext import literal, quoted, sql_type
 from tallymark.functions.types import canonical
 from tallymark.operators.align import Aligned, align
 from tallymark.operators.checks import DATA_MATCH, DATA_MISMATCH
@@ -43,8 +43,21 @@ def unmatched(pair: Aligned, source: str = N_SOURCE, target: str = N_TARGET) ->
 
 
 def bag_diff(source: DataFrame, target: DataFrame) -> DataFrame:
-    """The shared columns of every differing row, with ``source_extra`` and ``target_extra`` copies."""
-    return unmatched(align(source, target), "source_extra", "target_extra")
+    """The shared columns of every differing row, with ``source_extra`` and ``target_extra`` copies.
+
+    Where columns are lost, gained or retyped, a column ``remarks`` and a row of its own, without values, say so.
+    """
+    pair = align(source, target)
+    rows = unmatched(pair, "source_extra", "target_extra")
+    if pair.same_shape:
+        return rows
+    note = rows.sparkSession.range(1).selectExpr(
+        *[f"cast(null as {sql_type(rows.schema[c].dataType)}) as {quoted(c)}" for c in pair.columns],
+        "0L as source_extra",
+        "0L as target_extra",
+        f"{literal(', '.join(pair.remarks))} as remarks",
+    )
+    return rows.selectExpr("*", "cast(null as string) as remarks").unionAll(note)
 
 
 def table_equality(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -14,10 +14,6 @@ from tallymark.functions.types import declared_text_type, is_floating, is_tempor
 # The names of the checks.
 CHECKS = ["Count", "Null", "Sum", "Max", "Length", "RLength"]
 
-# Columns per pass. Beyond 100 aggregation buffers Spark leaves generated code, and a pass over many columns
-# becomes several times slower. Columnar files are read once all the same, as passes share no column.
-COLUMNS_PER_PASS = 20
-
 
 @dataclass(frozen=True)
 class Metric:
@@ -77,11 +73,12 @@ def single_check(df: DataFrame, check: str) -> DataFrame:
     return df.selectExpr(*[f"{m.value} as {quoted(m.name)}" for m in found])
 
 
-def profile(df: DataFrame, checks: list[str] | None = None, columns_per_pass: int = COLUMNS_PER_PASS) -> DataFrame:
+def profile(df: DataFrame, checks: list[str] | None = None, columns_per_pass: int | None = None) -> DataFrame:
     """All checks in long form: ``(check, column, metric, value, ok)``, values as text.
 
-    ``ok`` is false where a value did not fit its metric; the value is then null. For a source read by rows,
-    such as JDBC, a high ``columns_per_pass`` keeps it to one read.
+    ``ok`` is false where a value did not fit its metric; the value is then null. All columns are measured in one
+    pass. Beyond 100 aggregation buffers Spark leaves generated code; for wide columnar files that are cheap to
+    read again, ``columns_per_pass`` takes a pass for every few columns, which share no column.
     """
     df = lower_names(df)
     found = [m for m in metrics(df.schema) if checks is None or m.check in checks]
@@ -110,20 +107,38 @@ def _long(part: list[Metric], ok: list[str]) -> str:
     )
 
 
-def remote_metrics(schema: T.StructType) -> list[Metric]:
-    """The same metrics in plain SQL for another engine. Sums of floating columns cast each value to BIGINT."""
+# Words that plain SQL does not take as names without quotes.
+RESERVED = frozenset(
+    """all alter and any as asc between by case cast check column constraint create cross current date default delete
+    desc distinct drop else end except exists false fetch for foreign from full grant group having in index inner insert
+    intersect interval into is join key left like limit natural not null offset on or order outer primary references
+    right row rows select set some table then time timestamp to true union unique update user using values view when
+    where window with year""".split()
+)
+
+
+def sql_name(name: str, quote: str = '"') -> str:
+    """A name for another engine, in quotes where it is reserved or not a plain word."""
+    plain = name.isidentifier() and name.isascii() and name.lower() not in RESERVED
+    return name if plain else quote + name.replace(quote, quote * 2) + quote
+
+
+def remote_metrics(schema: T.StructType, quote: str = '"') -> list[Metric]:
+    """The same metrics in plain SQL for another engine. Sums of floating columns truncate each value to BIGINT."""
     out = []
     for m in metrics(schema):
         if m.check == "Count":
             out.append(replace(m, value="count(*)"))
             continue
         field = schema[m.column]
-        column = m.column if m.column.isidentifier() else '"' + m.column.replace('"', '""') + '"'
+        column = sql_name(m.column, quote)
         if m.check == "Null":
             value = f"sum(case when {column} is null then 1 else 0 end)"
         elif m.check == "Sum":
             decimal = isinstance(field.dataType, T.DecimalType)
-            whole = f"cast({column} as bigint)" if is_floating(field.dataType) else column
+            # Truncated before the cast, as some engines round.
+            cut = f"case when {column} < 0 then ceil({column}) else floor({column}) end"
+            whole = f"cast({cut} as bigint)" if is_floating(field.dataType) else column
             value = f"sum(cast({column if decimal else whole} as decimal({'38,12' if decimal else '38,0'})))"
         elif m.check == "Max":
             value = f"{m.name[:3].lower()}({column})"
@@ -134,11 +149,11 @@ def remote_metrics(schema: T.StructType) -> list[Metric]:
     return out
 
 
-def check_queries(schema: T.StructType, table: str, where: str = "") -> dict[str, str]:
+def check_queries(schema: T.StructType, table: str, where: str = "", quote: str = '"') -> dict[str, str]:
     """One SQL text per check over ``table``; ``where`` is a condition, with or without the word."""
-    found = remote_metrics(schema)
+    found = remote_metrics(schema, quote)
     return {
-        check: _query([f"{m.value} as {m.name}" for m in found if m.check == check], table, where)
+        check: _query([f"{m.value} as {sql_name(m.name, quote)}" for m in found if m.check == check], table, where)
         for check in CHECKS
         if any(m.check == check for m in found)
     }

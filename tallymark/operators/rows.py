@@ -2,7 +2,7 @@
 
 Both alignments start from the multiset pairing, so identical rows never travel further than one shuffle.
 What is left is numbered by a range-partitioned running sum, so that many tasks share a key that holds much of
-the data. Only keys whose size has been checked are numbered by a window each.
+the data.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from tallymark.session import written
 
 MISMATCH, SOURCE_ONLY, TARGET_ONLY = "mismatch", "source_only", "target_only"
 
+# Status whose count is that of the columns which are not compared: lost, gained or retyped.
+UNALIGNED = "unaligned_columns"
+
 # Positions per task group when runs of equal rows are laid out position by position.
 BUCKET = 4096
 
-# Surplus rows of one key that a single window may number; larger keys are numbered over range partitions.
-KEY_ROWS = 100_000
-
 # Types of the arrays that become rows; an array without elements has none of its own.
 _CELLS = "array<struct<column: string, source_value: string, target_value: string>>"
 _COLUMNS = "array<struct<column: string, n_mismatch: bigint>>"
@@ -61,12 +61,14 @@ class RowDiff:
         )
 
     def columns(self) -> DataFrame:
-        """``(column, n_mismatch)`` for every column in which mismatched rows differ."""
+        """``(column, n_mismatch)`` for every column in which mismatched rows differ; null for columns not compared."""
         counts = self.rows.selectExpr("count(1) as n", *self.mismatches())
         columns = ", ".join(
             f"named_struct('column', {literal(c)}, 'n_mismatch', c{i})" for i, c in enumerate(self.values)
         )
-        return counts.selectExpr(f"inline(cast(array({columns}) as {_COLUMNS}))").where("n_mismatch > 0")
+        found = counts.selectExpr(f"inline(cast(array({columns}) as {_COLUMNS}))").where("n_mismatch > 0")
+        lost = [(c, None) for c in self.pair.unaligned]
+        return found.unionAll(found.sparkSession.createDataFrame(lost, found.schema)) if lost else found
 
     @staticmethod
     def differs(column: str) -> str:
@@ -79,8 +81,14 @@ class RowDiff:
         ]
 
     def statuses(self) -> DataFrame:
-        """``(status, n_rows)`` of the differing rows."""
-        return self.rows.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"))
+        """``(status, n_rows)`` of the differing rows, and the number of columns not compared, if any."""
+        return _with_unaligned(self.rows.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows")), self.pair)
+
+
+def _with_unaligned(statuses: DataFrame, pair: Aligned) -> DataFrame:
+    if not pair.unaligned:
+        return statuses
+    return statuses.unionAll(statuses.sparkSession.createDataFrame([(UNALIGNED, len(pair.unaligned))], statuses.schema))
 
 
 _STATUS = f"""CASE WHEN source IS NULL THEN '{TARGET_ONLY}' WHEN target IS NULL THEN '{SOURCE_ONLY}'
@@ -96,7 +104,8 @@ def _keys(pair: Aligned, keys: list[str]) -> tuple[list[str], list[str]]:
 
 
 def row_status_counts(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """``(status, n_rows)`` over match, mismatch, source_only and target_only.
+    """``(status, n_rows)`` over match, mismatch, source_only and target_only, and where columns are lost, gained or
+    retyped, their number under the status ``unaligned_columns``.
 
     Needs no pairing of single rows: per key, the surplus rows of both sides pair up to a mismatch as far as
     they go, and the rest exists on one side only.
@@ -122,7 +131,8 @@ def row_status_counts(source: DataFrame, target: DataFrame, keys: list[str]) ->
         "coalesce(sum(greatest(t - s, 0L)), 0L) as t",
     )
     statuses = {"match": "matched", MISMATCH: "paired", SOURCE_ONLY: "s", TARGET_ONLY: "t"}
-    return totals.selectExpr(inline(["status", "n_rows"], [[literal(k), v] for k, v in statuses.items()]))
+    counts = totals.selectExpr(inline(["status", "n_rows"], [[literal(k), v] for k, v in statuses.items()]))
+    return _with_unaligned(counts, pair)
 
 
 def duplicate_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -165,8 +175,6 @@ def keyed_pairs(pair: Aligned, keys: list[str], unique: bool = False) -> RowDiff
                 F.expr(f"first({row}) filter (where {N_SOURCE} > 0) as source"),
                 F.expr(f"first({row}) filter (where {N_TARGET} > 0) as target"),
             )
-        elif most <= KEY_ROWS:
-            rows = _pair_positions(_numbered_per_key(left, keys, values), keys, values, "occurrence", spread=False)
         else:
             rows = _pair_positions(_numbered(left, keys, values), keys, values, "occurrence")
     return RowDiff(pair, rows.selectExpr("*", _STATUS), keys + ["occurrence"], values)
@@ -209,18 +217,6 @@ def _row(values: list[str]) -> str:
     return f"named_struct({', '.join(fields)})"
 
 
-def _numbered_per_key(runs: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """As ``_numbered``, by one window per key, for keys of a checked size."""
-    order = ", ".join(f"{quoted(c)} ASC NULLS LAST" for c in values or keys)
-    before = f"""(PARTITION BY {", ".join(quoted(k) for k in keys)} ORDER BY {order}
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
-    return runs.selectExpr(
-        "*",
-        f"coalesce(sum({N_SOURCE}) OVER {before}, 0L) as _source_at",
-        f"coalesce(sum({N_TARGET}) OVER {before}, 0L) as _target_at",
-    )
-
-
 def _numbered(runs: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """Add ``_source_at`` and ``_target_at``: the copies of each side that sort before a run in its group.
 
@@ -260,9 +256,7 @@ def _numbered(runs: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def _pair_positions(
-    numbered: DataFrame, group: list[str], values: list[str], name: str, spread: bool = True
-) -> DataFrame:
+def _pair_positions(numbered: DataFrame, group: list[str], values: list[str], name: str) -> DataFrame:
     """Pair the sides position by position: ``(group…, name, source, target)``, positions of equal rows left out.
 
     A run covers an interval of positions on each side. Where a run's two intervals overlap, both sides hold
@@ -287,23 +281,18 @@ def _pair_positions(
     )
     laid = ends.selectExpr(*groups, "row", f"inline(filter(array({pieces}), piece -> piece.hi > piece.lo))")
     at = f"explode(sequence(lo, hi - 1)) as {name}"
-    if spread:
-        # Cut long intervals in two steps, so that no generated array grows with the length of a run.
-        for width in (BUCKET * BUCKET, BUCKET):
-            laid = laid.selectExpr(
-                *groups, "row", "from_source", "lo", "hi",
-                f"explode(sequence(lo div {width}, (hi - 1) div {width})) as bucket",
-            ).selectExpr(
-                *groups, "row", "from_source", "bucket",
-                f"greatest(lo, bucket * {width}) as lo", f"least(hi, (bucket + 1) * {width}) as hi",
-            )
-        # One shuffle spreads the pieces; the grouping below keeps its partitioning.
-        laid = laid.repartition(*groups, "bucket").selectExpr(*groups, "row", "from_source", "bucket", at)
-        places = [*groups, "bucket", name]
-    else:
-        # Numbered per key, the rows of a key already lie together.
-        laid = laid.selectExpr(*groups, "row", "from_source", at)
-        places = [*groups, name]
+    # Cut long intervals in two steps, so that no generated array grows with the length of a run.
+    for width in (BUCKET * BUCKET, BUCKET):
+        laid = laid.selectExpr(
+            *groups, "row", "from_source", "lo", "hi",
+            f"explode(sequence(lo div {width}, (hi - 1) div {width})) as bucket",
+        ).selectExpr(
+            *groups, "row", "from_source", "bucket",
+            f"greatest(lo, bucket * {width}) as lo", f"least(hi, (bucket + 1) * {width}) as hi",
+        )
+    # One shuffle spreads the pieces; the grouping below keeps its partitioning.
+    laid = laid.repartition(*groups, "bucket").selectExpr(*groups, "row", "from_source", "bucket", at)
+    places = [*groups, "bucket", name]
     pairs = laid.groupBy(*places).agg(
         F.expr("first(row) filter (where from_source) as source"),
         F.expr("first(row) filter (where not from_source) as target"),

@@ -1,27 +1,20 @@
-"""Write results: whole and partitioned, or only where they stay small."""
+"""Write results, whole and partitioned."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows shown in a preview and rows above which a detail file is left out.
+# Fixed value: rows shown in a preview.
 PREVIEW_ROWS = 1000
-DETAIL_ROWS = 10000
 
 
-def write_result(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(), cap: int | None = None) -> bool:
-    """Write ``df`` as Parquet, ORC, CSV or JSON. With ``cap``, only if it has no more rows than that.
-
-    Returns whether it was written. Without a cap, which is the default, everything is written.
-    """
-    if cap is not None and df.limit(cap + 1).count() > cap:
-        return False
-    writer = df.write.format(fmt).partitionBy(*partition_by)
+def write_result(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(), mode: str = "error") -> None:
+    """Write all of ``df`` as Parquet, ORC, CSV or JSON."""
+    writer = df.write.format(fmt).mode(mode).partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.save(path)
-    return True
 
 
 def preview(df: DataFrame, order: list[str], rows: int = PREVIEW_ROWS) -> DataFrame:

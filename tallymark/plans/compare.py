@@ -10,7 +10,9 @@ from tallymark.functions.sqltext import literal
 from tallymark.operators.align import Aligned, align
 from tallymark.operators.hash_profile import manual_summary
 from tallymark.operators.multiset import fingerprints, unmatched
+from tallymark.operators.sinks import write_result
 from tallymark.operators.rows import SOURCE_ONLY, TARGET_ONLY, RowDiff, keyed_pairs, positional_pairs
+from tallymark.session import written
 
 MODES = ("auto", "keyed", "positional", "bag")
 
@@ -31,6 +33,15 @@ class Comparison:
             raise ValueError("a bag comparison has no cells; give keys")
         return self.rows.cells()
 
+    def write(self, folder: str, fmt: str = "parquet") -> None:
+        """Write the summary and all differences: cells and statuses, or in bag mode the differing rows."""
+        write_result(self.summary(), f"{folder}/summary", fmt)
+        if self.rows is None:
+            write_result(self.bag, f"{folder}/rows", fmt)
+        else:
+            write_result(self.rows.statuses(), f"{folder}/statuses", fmt)
+            write_result(self.cells(), f"{folder}/cells", fmt)
+
     def summary(self) -> DataFrame:
         """``(key, Status, Remarks)`` with the rows ``Count`` and ``Data``."""
         if self.rows is not None:
@@ -57,21 +68,18 @@ class Comparison:
 def compare(source: DataFrame, target: DataFrame, keys: list[str] | None = None, mode: str = "auto") -> Comparison:
     """Compare the rows of two frames.
 
-    ``auto`` aligns by key where keys are given, by sorted position where the counts agree, and otherwise
-    compares the sides as multisets. Counts come with the fingerprints, from one scan of both sides.
+    ``auto`` aligns by key where keys are given and by sorted position otherwise; ``bag`` compares the sides as
+    multisets. Counts need no column and so next to no reading; by position they come with the fingerprints.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode}, choose from {', '.join(MODES)}")
     pair = align(source, target)
-    prints = fingerprints(pair)
-    count_source, count_target = (p["n_rows"] for p in prints)
     if mode == "auto":
-        mode = "keyed" if keys else "positional" if count_source == count_target else "bag"
-    out = Comparison(mode, pair, count_source, count_target)
+        mode = "keyed" if keys else "positional"
+    if mode == "positional":
+        prints = fingerprints(pair)
+        return Comparison(mode, pair, *(p["n_rows"] for p in prints), rows=positional_pairs(pair, prints))
+    counts = pair.source.count(), pair.target.count()
     if mode == "keyed":
-        out.rows = keyed_pairs(pair, keys or [])
-    elif mode == "positional":
-        out.rows = positional_pairs(pair, prints)
-    else:
-        out.bag = unmatched(pair, "source_extra", "target_extra")
-    return out
+        return Comparison(mode, pair, *counts, rows=keyed_pairs(pair, keys or []))
+    return Comparison(mode, pair, *counts, bag=written(unmatched(pair, "source_extra", "target_extra"), "bag"))

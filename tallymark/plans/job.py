@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +17,15 @@ from tallymark.operators.checks import (
     NOT_MATCH,
     check_compare,
     check_summary,
-    common_checks,
+    all_checks,
     compare_profiles,
     table_verdict,
     target_profile,
+    with_retyped,
 )
 from tallymark.operators.profile import check_queries, remote_profile, remote_profile_query
-from tallymark.operators.rows import row_status_counts
+from tallymark.operators.align import align
+from tallymark.operators.rows import UNALIGNED, row_status_counts
 from tallymark.operators.schema_diff import metadata_diff
 from tallymark.operators.sinks import write_result
 from tallymark.sources.catalog import column_rows
@@ -56,12 +59,14 @@ class JobResult:
     metadata: DataFrame
     queries: DataFrame
 
+    run_id: str
+
     def write(self, folder: str, fmt: str = "parquet") -> None:
-        write_result(self.report, f"{folder}/report", fmt)
-        write_result(self.summary, f"{folder}/summary", fmt, ["table"])
-        write_result(self.detail, f"{folder}/detail", fmt, ["table", "check"])
-        for name in ("drift", "metadata", "queries"):
-            write_result(getattr(self, name), f"{folder}/{name}", fmt, ["table"])
+        """Append all reports below ``folder``, each row with its ``run_id``."""
+        parts = {"report": [], "detail": ["table", "check"]}
+        for name in ("report", "summary", "detail", "drift", "metadata", "queries"):
+            df = getattr(self, name).withColumn("run_id", F.lit(self.run_id))
+            write_result(df, f"{folder}/{name}", fmt, ["run_id", *parts.get(name, ["table"])], "append")
 
 
 def default_reader(jdbc: dict[str, dict] | None = None) -> Reader:
@@ -87,11 +92,12 @@ def pushed_check_compare(
 ) -> DataFrame:
     """``check_compare`` with the source's metrics computed by the JDBC source, which returns one row."""
     source, target = lower_names(source), canonical(target)
-    taken = common_checks(source.schema, target.schema)
+    taken = all_checks(source.schema, target.schema)
     query = remote_profile_query(source.schema, _place(row, "source"), condition_text(row["source_condition"]))
     pushed = {k: v for k, v in options.items() if k not in ("partition_column", "partitions")}
     left = remote_profile(read_jdbc(spark, query=query, **pushed), source.schema)
-    return compare_profiles(left.where(F.col("check").isin(taken)), target_profile(target, taken))
+    compared = compare_profiles(left.where(F.col("check").isin(taken)), target_profile(target, taken))
+    return with_retyped(compared, source.schema, target.schema)
 
 
 def run(
@@ -101,8 +107,10 @@ def run(
     jdbc: dict[str, dict] | None = None,
     workers: int = 4,
     folder: str | None = None,
+    run_id: str | None = None,
 ) -> JobResult:
-    """Check every pair of ``manifest``; with ``folder``, also write all reports there.
+    """Check every pair of ``manifest``; with ``folder``, also append all reports there, under ``run_id`` (by
+    default the time of the start).
 
     ``read`` may replace the way a side is read. Otherwise sources of a connection in ``jdbc`` compute their own
     metrics, so that no rows leave them for the checks.
@@ -110,6 +118,7 @@ def run(
     A manifest lists tables, and a pair returns a few rows per column, so both fit the driver. Pairs run side
     by side as Spark jobs of their own: one that fails is reported as ``Failed with Error``, the others go on.
     """
+    run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%fZ")
     connections = {} if read else jdbc or {}
     read = read or default_reader(jdbc)
     pairs = manifest.select(*FIELDS).collect()
@@ -137,7 +146,8 @@ def run(
                 ],
             }
         except Exception as error:  # whatever ends one pair must not end the job
-            return {"errors": [(number, f"{type(error).__name__}: {str(error).splitlines()[0]}")]}
+            said = str(error).strip().splitlines() or ["no message"]
+            return {"errors": [(number, f"{type(error).__name__}: {said[0]}")]}
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         results = list(pool.map(check_pair, range(len(pairs))))
@@ -164,7 +174,7 @@ def run(
     )
     metadata = gathered("metadata", METADATA)
     drift = metadata_diff(metadata.where("side = 'source'"), metadata.where("side = 'target'"), ("job_row", "table"))
-    result = JobResult(report, summary, detail, drift, metadata, gathered("queries", SQL_TEXTS))
+    result = JobResult(report, summary, detail, drift, metadata, gathered("queries", SQL_TEXTS), run_id)
     if folder:
         result.write(folder)
     return result
@@ -178,9 +188,10 @@ def _place(row: Row, side: str) -> str:
 def _data_check(source: DataFrame, target: DataFrame, keys: list[str]) -> tuple:
     """The ``Data`` check of a pair with keys, as one metric row."""
     counts = {r["status"]: r["n_rows"] for r in row_status_counts(source, target, keys).collect()}
+    counts.pop(UNALIGNED, None)
     matched = counts.pop("match")
-    bad = {k: v for k, v in counts.items() if v}
-    remark = ", ".join(f"{v} {k}" for k, v in bad.items()) or None
+    bad = [f"{v} {k}" for k, v in counts.items() if v] + align(source, target).remarks
+    remark = ", ".join(bad) or None
     status = NOT_MATCH if bad else MATCH
     total_s = matched + counts["mismatch"] + counts["source_only"]
     total_t = matched + counts["mismatch"] + counts["target_only"]

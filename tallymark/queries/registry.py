@@ -91,7 +91,7 @@ def q_schema_metadata(spark, folder):
     parts = [
         describe_columns(table(spark, folder, n), observe=True).select(F.lit(n).alias("table"), "*") for n in names
     ]
-    return reduce(DataFrame.unionByName, parts).withColumn("nullable", F.lit(True))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(f"""

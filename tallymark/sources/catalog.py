@@ -11,24 +11,18 @@ from pyspark.sql import types as T
 from tallymark.functions.sqltext import chunks, inline, literal, quoted
 from tallymark.functions.types import TYPE_CODES, UNKNOWN_TYPE, is_text, type_length, type_name
 
-# Fixed value: a catalog view is cut to this many leading columns.
-CATALOG_COLUMNS = 14
-
-# Columns measured per pass, few enough for generated code.
-COLUMNS_PER_PASS = 40
-
 METADATA = "ordinal int, column string, data_type string, length string, nullable boolean"
 
 
-def describe_columns(df: DataFrame, observe: bool = False) -> DataFrame:
+def describe_columns(df: DataFrame, observe: bool = False, columns_per_pass: int | None = None) -> DataFrame:
     """``(ordinal, column, data_type, length, nullable)`` of every named, typed column.
 
-    With ``observe`` one pass over the data adds ``n_values``, ``n_null`` and ``max_length`` (text columns),
+    With ``observe`` one pass over the data, or one for every ``columns_per_pass`` columns, adds ``n_values``, ``n_null`` and ``max_length`` (text columns),
     and a text column without a declared length takes the longest one seen.
     """
     if not observe:
         return df.sparkSession.createDataFrame(column_rows(df.schema), METADATA)
-    parts = chunks(_described_fields(df.schema), COLUMNS_PER_PASS)
+    parts = chunks(_described_fields(df.schema), columns_per_pass)
     return reduce(DataFrame.unionAll, [_observed(df, part) for part in parts])
 
 
@@ -80,10 +74,9 @@ def decode_catalog(view: DataFrame) -> DataFrame:
     """``(column, data_type, length, nullable)`` from a columns view with type codes.
 
     The view holds ``ColumnName, ColumnType, Nullable`` and, for decimals, ``DecimalTotalDigits`` and
-    ``DecimalFractionalDigits``, among its first 14 columns. Any further leading columns are kept.
+    ``DecimalFractionalDigits``, wherever they stand. All other columns are kept.
     """
     used = ["columnname", "columntype", "nullable", "decimaltotaldigits", "decimalfractionaldigits"]
-    view = view.select(*[F.col(quoted(c)) for c in view.columns[:CATALOG_COLUMNS]])
     kept = [F.col(quoted(c)) for c in view.columns if c.lower() not in used]
     decoded = view.select(
         *kept,

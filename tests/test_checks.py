@@ -235,3 +235,17 @@ def test_values_of_other_types_compare(spark):
     )
     got = {r["metric"]: r["status"] for r in compare_profiles(left, right).collect()}
     assert got == {"sum_a": "Match", "MAX_d": "Match", "sum_x": "Not match", "max_len_s": "Not match"}
+
+
+def test_hashed_averages_see_one_changed_key(spark):
+    left = spark.sql("select 100000000000000000 + id as k from range(1000)")
+    right = left.selectExpr("if(k = 100000000000000500, k + 1, k) as k")
+    status = {r["key"]: r["Status"] for r in hash_profile_compare(left, right, "md5").collect()}
+    assert status == {"Count": "Count Match", "Data": "Data Mismatch"}
+
+
+def test_one_pass_unless_asked(spark, tmp_path):
+    spark.range(5).selectExpr(*[f"id + {i} as c{i}" for i in range(60)]).write.csv(f"{tmp_path}/wide")
+    wide = spark.read.csv(f"{tmp_path}/wide")
+    plan = check_compare(wide, wide)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2

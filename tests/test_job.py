@@ -92,12 +92,39 @@ def test_a_jdbc_source_computes_its_own_metrics(spark, manifest, monkeypatch):
     assert all(a.endswith("from db.a where id < 20") for a in asked if a != "db.a")
 
 
-def test_capped_sink(spark, tmp_path):
-    df = spark.range(5)
-    assert not write_result(df, f"{tmp_path}/no", cap=4)
-    assert not (tmp_path / "no").exists()
-    assert write_result(df, f"{tmp_path}/yes", "csv", cap=5)
-    assert read_files(spark, f"{tmp_path}/yes", "csv").count() == 5
+def test_sink_writes_everything(spark, tmp_path):
+    write_result(spark.range(20000), f"{tmp_path}/all", "csv")
+    assert read_files(spark, f"{tmp_path}/all", "csv").count() == 20000
+
+
+def test_runs_append_under_their_own_id(spark, tmp_path):
+    pair = spark.createDataFrame([("dev", "t", "select 1 as a", "select 1 as a")], "connection string, `table` string, source_query string, target_query string")
+    for _ in range(2):
+        run(spark, normalise_manifest(pair), folder=str(tmp_path))
+    report = spark.read.parquet(f"{tmp_path}/report")
+    assert report.count() == 2 and report.select("run_id").distinct().count() == 2
+
+
+def test_an_error_without_text_is_one_failed_pair(spark):
+    def broken(*_):
+        raise RuntimeError
+
+    pair = spark.createDataFrame([("dev", "t")], "connection string, `table` string")
+    report = run(spark, normalise_manifest(pair), read=broken).report.collect()
+    assert [(r["Status"], r["Remarks"]) for r in report] == [("Failed with Error", "RuntimeError: no message")]
+
+
+@pytest.mark.parametrize("keys", [None, "k"])
+@pytest.mark.parametrize(
+    "target", ["int(1) as x", "true as x", "array(1) as x", "'a' as x", "1 as y", "date'2020-01-01' as x, 1 as y"]
+)
+def test_retyped_and_lost_columns_never_pass(spark, keys, target):
+    for source in ("date'2020-01-01' as x", "array(true) as x"):
+        pair = spark.createDataFrame(
+            [("t", f"select 1 as k, {source}", f"select 1 as k, {target}", keys)],
+            "`table` string, source_query string, target_query string, keys string",
+        )
+        assert run(spark, normalise_manifest(pair)).report.first()["Status"] != "Pass"
 
 
 def test_preview(spark):

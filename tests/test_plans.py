@@ -81,9 +81,3 @@ def test_bucketed_tables_join_without_a_shuffle(spark, orders, changed, tmp_path
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in names:
             spark.sql(f"drop table {name}")
-
-
-def test_repeated_keys_of_checked_size_shuffle_once_more(spark):
-    lines, changed = table(spark, FOLDER, "lineitem"), table(spark, FOLDER, "lineitem_changed")
-    text = plan(keyed_diff(lines, changed, ["l_orderkey", "l_linenumber"]).rows)
-    assert "Window" in text and text.count("Exchange") == 1

@@ -8,6 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 from check_oracles import compare, connect  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from tallymark.queries import ORACLES, QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,7 +18,7 @@ def connection():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_against_oracle(spark, connection, name):
     assert compare(spark, connection, name, FOLDER) is None
 
@@ -27,4 +28,5 @@ def test_entry(spark):
 
 
 def test_only_the_spark_specific_hash_has_no_oracle():
-    assert set(queries()) - set(oracle_sql()) == {"hash_profile_murmur"}
+    assert set(QUERIES) - set(ORACLES) == {"hash_profile_murmur"}
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())

@@ -89,12 +89,14 @@ def test_every_type_code(spark):
         assert got[f"C{i}"]["nullable"] is True
 
 
-def test_catalog_view_is_cut_to_its_leading_columns(spark):
+def test_catalog_view_finds_its_columns_anywhere(spark):
     view = spark.sql(
-        "select 'a' as ColumnName, 'I' as ColumnType, 'N' as Nullable, 1 as DecimalTotalDigits,"
-        " 0 as DecimalFractionalDigits, " + ", ".join(f"{i} as x{i}" for i in range(20))
+        "select " + ", ".join(f"{i} as x{i}" for i in range(20)) + ", 'a' as ColumnName, 'D' as ColumnType,"
+        " 'N' as Nullable, 10 as DecimalTotalDigits, 2 as DecimalFractionalDigits"
     )
-    assert decode_catalog(view).columns == [f"x{i}" for i in range(9)] + ["column", "data_type", "length", "nullable"]
+    got = decode_catalog(view)
+    assert got.columns == [f"x{i}" for i in range(20)] + ["column", "data_type", "length", "nullable"]
+    assert got.first()["length"] == "10,2"
 
 
 def test_type_text(spark):
