@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontamination, fixity, licences, mixing, ngram_join, quality_model, quality_rules, secrets, suffix_dedup, toxicity
+from tallymark.llm import decontamination, fixity, licences, mixing, ngram_join, oracles, quality_model, quality_rules, secrets, suffix_dedup, toxicity
 from tallymark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(documents(spark, sf_dir)).drop("kept")
+
+
+ORACLES["op2_secrets"] = oracles.secrets_sql()
+ORACLES["op6_mixing"] = oracles.mixing_sql()
+ORACLES["op8_quality_rules"] = oracles.quality_rules_sql()
