@@ -54,7 +54,18 @@ DERIVED = {
                CAST(l_extendedprice AS DECIMAL(18, 2)) AS l_extendedprice,
                CAST(l_discount AS DECIMAL(18, 2)) AS l_discount, CAST(l_tax AS DECIMAL(18, 2)) AS l_tax
         FROM {lineitem}""",
-    "part_padded": "SELECT p_partkey, p_name, concat(p_type, '  ') AS p_type FROM {part}",
+    "part_padded": """
+        SELECT p_partkey, p_name, p_brand, concat(p_type, '  ') AS p_type, p_size, p_retailprice FROM {part}""",
+    "part_shorter": "SELECT * FROM {part} WHERE p_partkey % 500 <> 250",
+    "orders_retyped": """
+        SELECT o_orderkey, o_custkey, CAST(o_orderkey % 2 AS INT) AS o_orderstatus, o_totalprice,
+               CAST(o_orderkey AS INT) AS o_orderdate FROM {orders}""",
+    "orders_lost": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM {orders} WHERE o_orderkey % 97 <> 0",
+    # Keys in a range where doubles no longer tell neighbours apart.
+    "far_keys": "SELECT 100000000000000000 + l_orderkey * 10 + l_linenumber AS k FROM {lineitem}",
+    "far_keys_changed": """
+        SELECT 100000000000000000 + l_orderkey * 10 + l_linenumber + CASE WHEN l_linenumber = 1 AND l_orderkey = 7 THEN 1 ELSE 0 END AS k
+        FROM {lineitem}""",
     "orders_shuffled": """
         SELECT o_orderpriority, o_totalprice, o_orderdate, o_orderstatus, o_custkey, o_orderkey FROM {orders}""",
     # A catalog's columns view, one row per part.

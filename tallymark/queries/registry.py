@@ -177,23 +177,23 @@ def _char_part(spark, folder):
     return padded.withColumn("p_type", F.col("p_type").alias("p_type", metadata=declared))
 
 
-@query(o.wide_sql("part_padded", dict(p_partkey="n", p_name="s", p_type="s"), "Length"))
+@query(o.wide_sql("part_padded", PART, "Length"))
 def q_length_check(spark, folder):
     return single_check(_char_part(spark, folder), "Length")
 
 
 @query(f"""
     SELECT max(length(p_name)) AS max_len_p_name, min(length(p_name)) AS min_len_p_name,
+           max(length(p_brand)) AS max_len_p_brand, min(length(p_brand)) AS min_len_p_brand,
            max(length(rtrim(p_type))) AS max_len_p_type, min(length(rtrim(p_type))) AS min_len_p_type
     FROM {sql("part_padded")} AS p""")
 def q_rtrim_length_check(spark, folder):
     return single_check(_char_part(spark, folder), "RLength")
 
 
-@query(o.compare_sql("part_padded", "part", dict(p_partkey="n", p_name="s", p_type="s"), padded=("p_type",)))
+@query(o.compare_sql("part_padded", "part", PART, padded=("p_type",)))
 def q_rtrim_length_compare(spark, folder):
-    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_type")
-    return check_compare(_char_part(spark, folder), part)
+    return check_compare(_char_part(spark, folder), table(spark, folder, "part"))
 
 
 @query(o.profile_sql("orders_target", ORDERS))
@@ -420,6 +420,57 @@ def q_cell_diff_positional_repeats(spark, folder):
     return positional_diff(table(spark, folder, "flags"), table(spark, folder, "flags_target")).cells()
 
 
+@query(o.positional_sql("part", "part_shorter", list(PART)))
+def q_compare_unequal_counts(spark, folder):
+    return compare(table(spark, folder, "part"), table(spark, folder, "part_shorter")).cells()
+
+
+# ---------------------------------------------------------------- lost and retyped columns
+
+_LOST = "Column o_orderpriority not in Target"
+_KEPT = ", ".join(c for c in ORDERS if c != "o_orderpriority")
+
+
+@query(f"""
+    SELECT k.status, n_rows::BIGINT AS n_rows FROM (
+      SELECT count(*) FILTER (WHERE o_orderkey % 97 <> 0) AS match, 0 AS mismatch,
+             count(*) FILTER (WHERE o_orderkey % 97 = 0) AS source_only, 0 AS target_only, 1 AS unaligned_columns
+      FROM orders) AS c UNPIVOT (n_rows FOR status IN (match, mismatch, source_only, target_only, unaligned_columns)) AS k""")
+def q_row_status_lost_column(spark, folder):
+    return row_status_counts(table(spark, folder, "orders"), table(spark, folder, "orders_lost"), ["o_orderkey"])
+
+
+@query(f"""
+    SELECT {_KEPT}, 1::BIGINT AS source_extra, 0::BIGINT AS target_extra, CAST(NULL AS VARCHAR) AS remarks
+    FROM orders WHERE o_orderkey % 97 = 0
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 0, 0, '{_LOST}'""")
+def q_bag_diff_lost_column(spark, folder):
+    return bag_diff(table(spark, folder, "orders"), table(spark, folder, "orders_lost"))
+
+
+@query("""
+    SELECT * FROM (VALUES
+      ('Count', 'Match', '-'),
+      ('Null', 'Not match', 'Column number_of_null_values_o_orderpriority not in Target, Column o_orderdate of another type, Column o_orderstatus of another type'),
+      ('Sum', 'Not match', 'Column sum_o_orderdate not in Source, Column sum_o_orderstatus not in Source'),
+      ('Max', 'Not match', 'Column max_o_orderdate not in Target, Column min_o_orderdate not in Target'),
+      ('Length', 'Not match', 'Column max_len_o_orderpriority not in Target, Column max_len_o_orderstatus not in Target, Column min_len_o_orderpriority not in Target, Column min_len_o_orderstatus not in Target'),
+      ('RLength', 'Not match', 'Column max_len_o_orderpriority not in Target, Column max_len_o_orderstatus not in Target, Column min_len_o_orderpriority not in Target, Column min_len_o_orderstatus not in Target')
+    ) AS t(TestCases, Status, Remarks)""")  # noqa: E501
+def q_check_compare_retyped(spark, folder):
+    return check_summary(check_compare(table(spark, folder, "orders"), table(spark, folder, "orders_retyped")))
+
+
+@query(f"""
+    WITH s AS (SELECT count(*) AS n, sum(k::HUGEINT) AS total FROM {sql("far_keys")} AS a),
+         t AS (SELECT count(*) AS n, sum(k::HUGEINT) AS total FROM {sql("far_keys_changed")} AS b)
+    SELECT 'Count' AS key, CASE WHEN s.n = t.n THEN 'Count Match' ELSE 'Count Mismatch' END AS Status, concat(s.n, ' vs ', t.n) AS Remarks FROM s, t
+    UNION ALL
+    SELECT 'Data', CASE WHEN s.total = t.total THEN 'Data Match' ELSE 'Data Mismatch' END, CASE WHEN s.total = t.total THEN '-' ELSE 'avgk' END FROM s, t""")
+def q_hash_profile_compare_exact(spark, folder):
+    return hash_profile_compare(table(spark, folder, "far_keys"), table(spark, folder, "far_keys_changed"), "md5")
+
+
 # ---------------------------------------------------------------- reports
 
 _BY_FLAG = "SELECT l_returnflag, l_linestatus, count(*) AS n, max(l_quantity) AS top FROM {l} GROUP BY ALL"
