@@ -72,14 +72,15 @@ class JobResult:
 def default_reader(jdbc: dict[str, dict] | None = None) -> Reader:
     """Read a side by its query where one is set, else by its name.
 
-    ``jdbc`` maps connection names to JDBC options; a source of such a connection is read there.
+    ``jdbc`` maps connection names to JDBC options; a source of such a connection is read there, split as the manifest
+    says for its table.
     """
 
     def read(spark: SparkSession, row: Row, side: str) -> DataFrame:
         query, name = row[f"{side}_query"], row[side]
         options = (jdbc or {}).get(row["connection"]) if side == "source" else None
         if options:
-            df = read_jdbc(spark, **options, **({"query": query} if query else {"table": name}))
+            df = read_jdbc(spark, **_split(options, row), **({"query": query} if query else {"table": name}))
         else:
             df = spark.sql(query) if query else read_location(spark, name)
         return filtered(df, row[f"{side}_condition"])
@@ -87,6 +88,14 @@ def default_reader(jdbc: dict[str, dict] | None = None) -> Reader:
     return read
 
 
+def _split(options: dict, row: Row) -> dict:
+    """The options of a connection with the split of the pair's own table, if it has one."""
+    if not row["split_column"]:
+        return options
+    own = {"partition_column": row["split_column"]}
+    return options | own | ({"partitions": int(row["splits"])} if row["splits"] else {})
+
+
 def pushed_check_compare(
     spark: SparkSession, options: dict, row: Row, source: DataFrame, target: DataFrame
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,6 +37,8 @@ def work_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallymark-"))
         folder = context.getCheckpointDir()
+    if not context.master.startswith("local") and re.match(r"(file:/+)?(tmp|var/tmp)/", folder.removeprefix("/")):
+        raise RuntimeError(f"{folder} lies on each machine by itself; set spark.checkpoint.dir to a shared folder")
     return folder.rstrip("/")
 
 

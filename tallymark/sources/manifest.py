@@ -20,6 +20,8 @@ FIELDS = [
     "source_condition",
     "target_condition",
     "keys",
+    "split_column",
+    "splits",
 ]
 
 # Header names of existing manifest files and the fields they fill.
@@ -36,7 +38,10 @@ HEADER_NAMES = {
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV (with header) or JSON manifest as text columns ``FIELDS``; ``keys`` are joined by ``|``."""
+    """A CSV (with header) or JSON manifest as text columns ``FIELDS``; ``keys`` are joined by ``|``.
+
+    ``split_column`` and ``splits`` say how a JDBC source's table is read: by ranges of a column, and in how many.
+    """
     if path.rstrip("/").lower().endswith((".json", ".jsonl")):
         first = spark.read.text(path).first()
         per_line = first is not None and re.fullmatch(r"\s*\{.*\}\s*", first[0]) is not None
