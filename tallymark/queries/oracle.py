@@ -178,3 +178,26 @@ def metadata_sql(label: str, table: str, types: dict[str, tuple[str, str | None]
             {longest} AS max_length FROM {sql(table)} AS m"""
         )
     return " UNION ALL ".join(parts)
+
+
+def murmur_sql(text: str) -> str:
+    """Murmur3 (32 bits, seed 42) of ASCII text as a signed number; null gives the seed. Whole words of four bytes are
+    mixed in first, then the bytes left over one by one, then the length."""
+    wrap, let = "4294967296", "list_transform([{0}], lambda {1}: {2})[1]"
+
+    def turned(x: str, bits: int) -> str:
+        return f"(({x} * {1 << bits}::UBIGINT) % {wrap} + {x} // {1 << (32 - bits)}::UBIGINT)"
+
+    def times(x: str, factor: int) -> str:
+        return f"(({x} * {factor}::UBIGINT) % {wrap})"
+
+    key = let.format(times("k", 0xCC9E2D51), "a", times(turned("a", 15), 0x1B873593))
+    mixed = let.format(f"xor(h, {key})", "b", f"(({turned('b', 13)} * 5 + {0xE6546B64}::UBIGINT) % {wrap})")
+    code = f"ord({text}[4 * i + {{0}}])::UBIGINT"
+    whole = " + ".join(f"{code.format(j + 1)} * {256**j}::UBIGINT" for j in range(4))
+    left = f"ord({text}[length({text}) // 4 * 4 + i + 1])::UBIGINT"
+    words = f"list_concat([42::UBIGINT], list_transform(range(length({text}) // 4), lambda i: {whole}), list_transform(range(length({text}) % 4), lambda i: {left}))"
+    value = f"xor(list_reduce({words}, lambda h, k: {mixed}), length({text})::UBIGINT)"
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        value = let.format(value, "c", let.format(f"xor(c, c // {1 << shift}::UBIGINT)", "e", times("e", factor)))
+    return f"CASE WHEN {text} IS NULL THEN 42 ELSE {let.format(value, 'f', 'CASE WHEN f >= 2147483648 THEN f::BIGINT - 4294967296 ELSE f::BIGINT END')} END"

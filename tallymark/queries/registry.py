@@ -249,7 +249,20 @@ def q_hash_profile_md5(spark, folder):
     return hash_profile_long(table(spark, folder, "customer"), "md5")
 
 
-@query()
+_MURMUR_MEANS = {
+    "n": "CAST(sum(CAST({0} AS BIGINT)) AS DOUBLE) / count({0})",
+    "f": "CAST(sum(CAST({0} AS DECIMAL(18, 2))) AS DECIMAL(18, 2))::DOUBLE / count({0})",
+}
+
+
+@query(
+    "SELECT "
+    + ", ".join(
+        (_MURMUR_MEANS[k].format(c) if k in _MURMUR_MEANS else f"CAST(sum({o.murmur_sql(c)}) AS DOUBLE) / count(*)") + f' AS "avg{c}"'
+        for c, k in CUSTOMER.items()
+    )
+    + " FROM customer"
+)
 def q_hash_profile_murmur(spark, folder):
     return hash_profile(table(spark, folder, "customer"))
 
