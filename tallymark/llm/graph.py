@@ -11,18 +11,32 @@ from tallymark.llm.common import kept
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node each node of the edges `a`, `b` can reach.
 
-    Each round takes the smallest label among the neighbours and then the label of that label, so paths halve. A node
-    with many neighbours is one group of a minimum, which is merged before the shuffle, and one key of a join, which
-    adaptive execution splits. Each round's labels are a written table.
+    Each round labels a node with its smallest neighbour and then with that one's label, and contracts the edges to the
+    labels: edges within a label are gone, the others are few. A node with many neighbours is one group of a minimum,
+    which is merged before the shuffle, and one key of a join, which adaptive execution splits. All that a round
+    hands on is a written table.
     """
-    both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b")
-    both = kept(both, "edges")
-    labels = kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+
+    def ordered(x: DataFrame) -> DataFrame:
+        return x.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    edges = kept(ordered(edges), "edges")
+    found = None
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        step = labels.join(near, labels["node"] == near["a"]).select("node", "root", F.least("root", "near").alias("low"))
-        far = labels.select(F.col("node").alias("low"), F.col("root").alias("far"))
-        new = kept(step.join(far, "low").select("node", F.least("low", "far").alias("root"), F.col("root").alias("was")), "labels")
-        if new.where("root <> was").isEmpty():
-            return new.select("node", "root")
-        labels = new.select("node", "root")
+        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("low")), "labels")
+        far = low.select(F.col("node").alias("low"), F.col("low").alias("root"))
+        labels = kept(low.join(far, "low").select("node", F.least("low", "root").alias("root")), "labels")
+        # A label that is itself relabelled stays linked to its own label.
+        of_roots = labels.select("root").distinct().join(labels.select(F.col("node").alias("root"), F.col("root").alias("b")), "root")
+        moved = of_roots.where("root <> b").select(F.col("root").alias("a"), "b")
+        ends = [labels.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b")]
+        across = edges.join(ends[0], "a").join(ends[1], "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+        edges = kept(ordered(across.unionAll(moved)), "edges")
+        if found is None:
+            found = labels
+        else:
+            new = labels.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+            found = kept(found.join(new, "root", "left").select("node", F.coalesce("new_root", "root").alias("root")), "components")
+        if edges.isEmpty():
+            return found
