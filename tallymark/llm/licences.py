@@ -54,7 +54,8 @@ def matched_lines(lines: DataFrame) -> DataFrame:
     """line, licence, cosine: the closest template of each distinct line that reaches the limit."""
     spark = lines.sparkSession
     distinct = lines.select("line").distinct()
-    templates = spark.createDataFrame(list(TEMPLATES.items()), "licence string, line string")
+    pairs = F.array(*[F.struct(F.lit(k).alias("licence"), F.lit(v).alias("line")) for k, v in TEMPLATES.items()])
+    templates = spark.range(1).select(F.explode(pairs).alias("t")).select("t.licence", "t.line")
     terms = kept(_terms(distinct, "line"), "licence-terms")
     known = _terms(templates, "licence")
     every = terms.select("term").unionAll(known.select("term"))
