@@ -100,11 +100,33 @@ def values(words: np.ndarray, table: np.ndarray) -> np.ndarray:
     return sums(words, table) / lengths(words)
 
 
-def _map(word: bytes) -> np.ndarray:
-    out = np.zeros(1 << 18, np.float32)
-    for codes, weight, real in subsequences(_padded([word])):
-        np.add.at(out, codes[real], weight)
-    return out / max(float(np.linalg.norm(out)), 1e-6)
+class Landmarks:
+    """Unit vectors of some words, over the subsequences that any of them has."""
+
+    def __init__(self, words: list[bytes]):
+        found = [(codes[real], weight) for codes, weight, real in subsequences(_padded(words))]
+        self.codes = np.unique(np.concatenate([c for c, _ in found]))
+        #: Place of a subsequence among those, 0 for all others.
+        self.place = np.zeros(1 << 18, np.int32)
+        self.place[self.codes] = np.arange(1, len(self.codes) + 1)
+        self.maps = np.zeros((len(self.codes) + 1, len(words)), np.float32)
+        for codes, weight, real in subsequences(_padded(words)):
+            rows = np.broadcast_to(np.arange(len(words))[:, None], codes.shape)[real]
+            np.add.at(self.maps, (self.place[codes[real]], rows), np.float32(weight))
+        self.maps /= np.maximum(np.linalg.norm(self.maps, axis=0), 1e-6)
+
+    def kernel(self, words: np.ndarray) -> np.ndarray:
+        """Kernel of each row of bytes with each landmark."""
+        total = np.zeros((len(words), self.maps.shape[1]), np.float32)
+        for codes, weight, real in subsequences(words):
+            total += np.float32(weight) * self.maps[np.where(real, self.place[codes], 0)].sum(1)
+        return total / lengths(words)[:, None].astype(np.float32)
+
+    def folded(self, weights: np.ndarray) -> np.ndarray:
+        """The weighted sum of the landmarks as one number per subsequence."""
+        out = np.zeros(1 << 18, np.float32)
+        out[self.codes] = self.maps[1:] @ weights
+        return out
 
 
 def _parts(word: bytes) -> list[bytes]:
@@ -167,15 +189,14 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rng, steps: int =
     return mean_w / kept, mean_b / kept
 
 
-def _matrix(words: list[bytes], maps: np.ndarray) -> np.ndarray:
+def _matrix(words: list[bytes], landmarks: Landmarks) -> np.ndarray:
     """Kernel of each word with each landmark, words of like length together."""
-    out = np.zeros((len(words), len(maps)))
+    out = np.zeros((len(words), landmarks.maps.shape[1]), np.float32)
     size = np.array([len(w) for w in words])
     for low, width in WIDTHS:
         at = np.flatnonzero((size >= low) & (size <= width))
-        if len(at):
-            rows = _padded([words[i] for i in at], width)
-            out[at] = np.stack([sums(rows, m) for m in maps], axis=1) / lengths(rows)[:, None]
+        for part in np.array_split(at, -(-len(at) // 2048)) if len(at) else ():
+            out[part] = landmarks.kernel(_padded([words[i] for i in part], width))
     return out
 
 
@@ -196,12 +217,12 @@ def train(rows: list[tuple[str, int]], seed: int = 3) -> Model | None:
     apart = (in_toxic - in_clean) / np.sqrt(in_toxic + in_clean + 1 / len(rows))
     marked = np.concatenate([np.argsort(-apart, kind="stable")[: 2 * LANDMARKS // 3], np.argsort(-in_clean, kind="stable")[: LANDMARKS // 3]])
     marked = list(dict.fromkeys(marked.tolist()))
-    maps = np.stack([_map(words[i]) for i in marked])
-    matrix = _matrix(words, maps)
-    inner = matrix[marked]
+    landmarks = Landmarks([words[i] for i in marked])
+    matrix = _matrix(words, landmarks)
+    inner = matrix[marked].astype(np.float64)
     low, turn = np.linalg.eigh((inner + inner.T) / 2 + 1e-3 * np.eye(len(marked)))
     whiten = turn / np.sqrt(np.maximum(low, 1e-6)) @ turn.T
-    x = matrix @ whiten
+    x = matrix @ whiten.astype(np.float32)
     clean = np.flatnonzero(in_clean > 0)
     clean = clean[np.argsort(-in_clean[clean], kind="stable")]
     if len(clean) > NEGATIVES:
@@ -239,7 +260,7 @@ def train(rows: list[tuple[str, int]], seed: int = 3) -> Model | None:
         p = 1 / (1 + np.exp(-np.clip(slope * best + offset, -50, 50)))
         slope -= 0.5 * float(((p - label) * best).mean())
         offset -= 0.5 * float((p - label).mean())
-    return Model((whiten @ w @ maps).astype(np.float32), float(b), slope, offset)
+    return Model(landmarks.folded(whiten @ w), float(b), slope, offset)
 
 
 def _worst(piece: Piece, model: Model) -> np.ndarray:
