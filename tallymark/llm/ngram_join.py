@@ -2,13 +2,14 @@
 
 A document is the set of hashes of its word n-grams. Equal sets are one node. A sketch toggles one bit per element, so
 two sketches differ in at most as many bits as the sets differ in elements, and a similarity of p percent bounds that
-by d = (100 - p) / (100 + p) * (|A| + |B|). The sketch is cut into d + 1 + t blocks; d toggles leave t + 1 of them
-equal, so the d + 1 blocks of each sketch that come first in a fixed order (most bits set first) have one in common.
-Where d is 1 to 3, combinations of blocks are keys instead, which are more selective. Layouts belong to bands of sizes:
-a node has keys in its own band and in those its larger partners may lie in.
+by d = (100 - p) / (100 + p) * (|A| + |B|). The sketch is cut into g groups of three blocks with d < 2g; d toggles leave
+more than g of the 3g blocks equal, so some group has two equal blocks, and the pairs of blocks within groups are the
+keys: more selective than one block in d + 1. Where d is 1 to 3, larger combinations of blocks are keys. Layouts belong
+to bands of sizes: a node has keys in its own band and in those its larger partners may lie in.
 
-Nodes that share keys are families. A family is compared in tiles of bounded size: sketches first, then the sets
-themselves, and a tile hands on a spanning forest of its links, never all pairs. Links of all tiles join to components.
+Nodes that share keys are families. A family is compared in tiles of bounded size, by whole sketches; what these can't
+tell apart are closer families, which are compared in tiles by the sets themselves. A tile hands on a spanning forest of
+its links, never all pairs. Links of all tiles join to components.
 
 Cases: null or word-less texts have an empty set, link with nothing and are components of their own. Texts of fewer
 words than n are one element. Rows without an id bring no
@@ -31,7 +32,7 @@ from tallymark.llm.common import Piece, kept, lower_ascii, mixed, pieces, prefix
 from tallymark.llm.graph import components
 
 #: Ratio of a band's largest to its smallest size.
-BAND = 1.4
+BAND = 1.2
 #: Nodes per side of a tile.
 TILE = 512
 #: Key rows a task gathers before it hands them on.
@@ -79,8 +80,13 @@ def _bands(percent: int) -> tuple[np.ndarray, np.ndarray]:
 def sketch(values: np.ndarray, blocks: int, layout: int) -> np.ndarray:
     """`blocks` words of 64 parity bits."""
     spread = mixed(values + np.uint64(layout))
-    bit = ((spread >> np.uint64(32)) % np.uint64(blocks * 64)).astype(np.int64)
-    return np.packbits(np.bincount(bit, minlength=blocks * 64).astype(np.uint8) & 1).view(np.uint64)
+    bit = (spread % np.uint64(blocks * 64)).astype(np.int64)
+    return np.packbits(np.bincount(bit, minlength=blocks * 64).astype(np.uint8) & 1, bitorder="little").view(np.uint64)
+
+
+@cache
+def _combinations(n: int, k: int) -> np.ndarray:
+    return np.array(list(combinations(range(n), k)))
 
 
 def keys(values: np.ndarray, percent: int) -> np.ndarray:
@@ -92,48 +98,53 @@ def keys(values: np.ndarray, percent: int) -> np.ndarray:
         d = int(toggles[band])
         if d == 0:
             continue
-        blocks = _SMALL.get(d) or d + 1 + (d + 1) // 4
-        words = sketch(values, blocks, band)
-        words = mixed(words ^ mixed(np.arange(blocks, dtype=np.uint64) + np.uint64(band << 32))), words
+        groups = (d + 2) // 2
+        blocks = _SMALL.get(d) or 3 * groups
+        words = mixed(sketch(values, blocks, band) ^ mixed(np.arange(blocks, dtype=np.uint64) + np.uint64(band << 32)))
         if d in _SMALL:
-            chosen = np.array(list(combinations(range(blocks), blocks - d)))
-            out.append(mixed((words[0][chosen] * _ODD[: blocks - d]).sum(1, dtype=np.uint64)))
+            chosen = _combinations(blocks, blocks - d)
         else:
-            full = np.bitwise_count(words[1]).astype(np.int64)
-            out.append(words[0][np.lexsort((words[0], -full))[: d + 1]])
+            chosen = (3 * np.arange(groups)[:, None, None] + _combinations(3, 2)).reshape(-1, 2)
+        out.append(mixed((words[chosen] * _ODD[: chosen.shape[1]]).sum(1, dtype=np.uint64)))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def whole_sketch(values: np.ndarray) -> np.ndarray:
+    """A sketch of four to eight bits per element, a power of two of words. Its halves XORed are that of half the size."""
+    return sketch(values, 1 << max(0, (4 * len(values) - 1).bit_length() - 6), 0)
+
+
 def _nodes(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            rows = [(len(v), set_node(v)) for v in shingle_sets(piece, n)]
-            sizes, nodes = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], ["doc_id", "n_shingles", "node"]
-            )
+            rows = [(len(v), set_node(v), whole_sketch(v).tobytes()) for v in shingle_sets(piece, n)]
+            columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)]
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], ["doc_id", "n_shingles", "node", "elements"])
 
     return run
 
 
+PACKED = ("keys", "nodes", "counts")
+
+
 def _key_rows(n: int, percent: int, deal: int):
-    """Rows (part, keys, nodes): packed 64-bit arrays, each key in the part it belongs to."""
+    """Rows (part, keys, nodes, counts): the keys of a part, 48 bits each besides those that the part tells, and each
+    node once with the number of its keys there."""
 
     def flush(key_list: list[np.ndarray], node_list: list[np.ndarray]) -> pa.RecordBatch:
         k, v = np.concatenate(key_list), np.concatenate(node_list)
         part = (k % np.uint64(deal)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        k, v, part = k[order], v[order], part[order]
+        k, v, part = k[order] // np.uint64(deal), v[order], part[order]
+        short = k.view(np.uint8).reshape(-1, 8)[:, :6]
         cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        ends = np.append(cuts[1:], len(k))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(part[cuts], pa.int64()),
-                pa.array([k[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-                pa.array([v[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-            ],
-            ["part", "keys", "nodes"],
-        )
+        arrays: list[list[bytes]] = [[], [], []]
+        for a, b in zip(cuts, np.append(cuts[1:], len(k)), strict=True):
+            runs = a + np.flatnonzero(np.concatenate([[True], v[a + 1 : b] != v[a : b - 1]]))
+            arrays[0].append(short[a:b].tobytes())
+            arrays[1].append(v[runs].tobytes())
+            arrays[2].append(np.diff(np.append(runs, b)).astype(np.uint32).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts], pa.int64()), *[pa.array(x, pa.binary()) for x in arrays]], ["part", *PACKED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_list, node_list, held = [], [], 0
@@ -154,21 +165,34 @@ def _key_rows(n: int, percent: int, deal: int):
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each node of a key with the key's smallest node, without the keys and without repeats."""
-    rows = [(k, v) for b in batches for k, v in zip(b.column("keys").to_pylist(), b.column("nodes").to_pylist(), strict=True)]
-    if not rows:
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for b in batches:
+        for part, *raw in zip(b.column("part").to_pylist(), *[b.column(c).to_pylist() for c in PACKED], strict=True):
+            short = np.frombuffer(raw[0], np.uint8).reshape(-1, 6)
+            wide = np.zeros((len(short), 8), np.uint8)
+            wide[:, :6] = short
+            keys_here = wide.view(np.uint64).ravel() | (np.uint64(part & 0xFFFF) << np.uint64(48))
+            found.append((keys_here, np.repeat(np.frombuffer(raw[1], np.int64), np.frombuffer(raw[2], np.uint32))))
+    if not found:
         return
-    k = np.frombuffer(b"".join(r[0] for r in rows), np.uint64)
-    v = np.frombuffer(b"".join(r[1] for r in rows), np.int64)
-    del rows
+    k, v = (np.concatenate(x) for x in zip(*found, strict=True))
+    del found
     order = np.argsort(k)
     k, v = k[order], v[order]
-    cuts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+    del order
+    new = np.concatenate([[True], k[1:] != k[:-1]])
+    cuts = np.flatnonzero(new)
+    del k
     lows = np.minimum.reduceat(v, cuts)
-    leader = np.repeat(lows, np.diff(np.append(cuts, len(k))))
-    pairs = np.column_stack([v, leader])[v != leader]
-    if len(pairs):
-        pairs = np.unique(pairs, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    leader = lows[np.cumsum(new) - 1]
+    other = v != leader
+    a, b = v[other], leader[other]
+    del v, leader
+    if len(a):
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        first = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first])], ["a", "b"])
 
 
 class _Forest:
@@ -214,24 +238,57 @@ def tile_links(nodes: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, per
     return links
 
 
-def _tiles(percent: int):
-    def done(nodes, sets, sides) -> Iterator[tuple[int, int]]:
-        unique = np.unique(np.array(nodes), return_index=True)[1]
+def sketch_links(nodes: np.ndarray, sketches: list[np.ndarray], sizes: np.ndarray, sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that sketches and sizes can't rule out."""
+    order = np.argsort(sizes, kind="stable")
+    words = np.array([len(s) for s in sketches])
+    folded: dict[int, np.ndarray] = {}
+    for width in np.unique(words):
+        rows = np.zeros((len(nodes), width), np.uint64)
+        for i in np.flatnonzero((words == width) | (words == 2 * width)):
+            rows[i] = sketches[i] if words[i] == width else sketches[i][:width] ^ sketches[i][width:]
+        folded[width] = rows
+    forest, links = _Forest(len(nodes)), []
+    one_side = len(np.unique(sides)) == 1
+    ranked = sizes[order]
+    for at, i in enumerate(order):
+        rest = order[at + 1 : np.searchsorted(ranked, sizes[i] * 100 // percent, "right")]
+        if not one_side:
+            rest = rest[sides[rest] != sides[i]]
+        if len(rest):
+            rows = folded[words[i]]
+            apart = np.bitwise_count(rows[rest] ^ rows[i]).sum(1, dtype=np.int64)
+            for j in rest[(100 + percent) * apart <= (100 - percent) * (sizes[rest] + sizes[i])]:
+                if forest.join(i, j):
+                    links.append((int(nodes[i]), int(nodes[j])))
+    return links
+
+
+def _tiles(percent: int, whole: bool):
+    """Links of each tile, from sets or (with their sizes) from whole sketches."""
+
+    def done(nodes, sets, sides, sizes) -> Iterator[tuple[int, int]]:
+        unique = np.unique(np.array(nodes, np.int64), return_index=True)[1]
         if len(unique) > 1:
-            yield from tile_links(np.array(nodes)[unique], [sets[i] for i in unique], np.array(sides)[unique], percent)
+            parts = np.array(nodes)[unique], [sets[i] for i in unique], np.array(sides)[unique]
+            if whole:
+                yield from tile_links(*parts, percent)
+            else:
+                yield from sketch_links(*parts[:2], np.array(sizes)[unique], parts[2], percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, nodes, sets, sides, links = None, [], [], [], []
+        current, nodes, sets, sides, sizes, links = None, [], [], [], [], []
         for batch in batches:
-            tile, node, side, blob = (batch.column(batch.schema.get_field_index(c)) for c in ("tile", "node", "side", "elements"))
-            for t, v, s, raw in zip(tile.to_pylist(), node.to_pylist(), side.to_pylist(), blob, strict=True):
+            tile, node, side, size, blob = (batch.column(batch.schema.get_field_index(c)) for c in ("tile", "node", "side", "n_shingles", "elements"))
+            for t, v, s, k, raw in zip(tile.to_pylist(), node.to_pylist(), side.to_pylist(), size.to_pylist(), blob, strict=True):
                 if t != current:
-                    links += done(nodes, sets, sides)
-                    current, nodes, sets, sides = t, [], [], []
+                    links += done(nodes, sets, sides, sizes)
+                    current, nodes, sets, sides, sizes = t, [], [], [], []
                 nodes.append(v)
                 sides.append(s)
+                sizes.append(k)
                 sets.append(np.frombuffer(raw.as_buffer(), np.uint64))
-        links += done(nodes, sets, sides)
+        links += done(nodes, sets, sides, sizes)
         if links:
             a, b = zip(*links, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -247,34 +304,47 @@ def _elements(n: int):
             own = [(i, v.tobytes()) for i, v in enumerate(shingle_sets(piece, n)) if len(v) and set_node(v) == wanted[i]]
             batch = piece.batch.take(pa.array([i for i, _ in own], pa.int64()))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ("node", "family", "parts")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([b for _, b in own], pa.binary())], ["node", "family", "parts", "elements"])
+            sizes = pa.array([len(b) // 8 for _, b in own], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*columns, sizes, pa.array([b for _, b in own], pa.binary())], ["node", "family", "parts", "n_shingles", "elements"]
+            )
 
     return run
 
 
+def _members(pairs: DataFrame) -> DataFrame:
+    """node, family, parts: the families of some pairs and the number of sides their tiles have."""
+    families = components(pairs)
+    large = kept(families.groupBy("root").agg(F.ceil(F.count("*") / TILE).alias("parts")).where("parts > 1"), "large-families")
+    return families.join(large, "root", "left").select("node", F.col("root").alias("family"), F.coalesce("parts", F.lit(1)).alias("parts"))
+
+
+def _linked(rows: DataFrame, percent: int, whole: bool, deal: int) -> DataFrame:
+    """Links of rows (node, family, parts, n_shingles, elements), compared side by side in tiles."""
+    side = F.pmod(F.xxhash64("node"), F.col("parts"))
+    tiles = rows.withColumn("side", side).withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
+    tile = F.xxhash64("family", F.least("side", "other"), F.greatest("side", "other"))
+    tiles = tiles.select(tile.alias("tile"), "node", "side", "n_shingles", "elements").repartition(deal, "tile").sortWithinPartitions("tile")
+    return kept(tiles.mapInArrow(_tiles(percent, whole), "a long, b long"), "links")
+
+
 def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, a row per document row."""
     spark = docs.sparkSession
-    deal = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    deal = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = texts(docs)
-    rows = kept(source.mapInArrow(_nodes(n), "doc_id long, n_shingles long, node long"), "shingle-nodes")
+    rows = kept(source.mapInArrow(_nodes(n), "doc_id long, n_shingles long, node long, elements binary"), "shingle-nodes")
     classes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    packed = source.mapInArrow(_key_rows(n, percent, deal), "part long, keys binary, nodes binary")
-    stars = kept(packed.repartition(deal // 4, "part").mapInArrow(_stars, "a long, b long"), "stars")
-    families = components(stars)
-    large = families.groupBy("root").agg(F.ceil(F.count("*") / TILE).alias("parts")).where("parts > 1")
-    members = families.join(kept(large, "large-families"), "root", "left").select("node", F.col("root").alias("family"), F.coalesce("parts", F.lit(1)).alias("parts"))
-    # One text per node that has a family, by the node's first id.
-    ids = kept(classes.join(members, "node").where("first_id is not null"), "family-nodes")
-    sets = source.join(ids, source["doc_id"] == ids["first_id"]).select("text", "node", "family", "parts")
-    sets = sets.mapInArrow(_elements(n), "node long, family long, parts long, elements binary")
-    side = F.pmod(F.xxhash64("node"), F.col("parts"))
-    other = F.explode(F.expr("sequence(0L, parts - 1)"))
-    tiles = sets.withColumn("side", side).withColumn("other", other)
-    tile = F.xxhash64("family", F.least("side", "other"), F.greatest("side", "other"))
-    tiles = tiles.select(tile.alias("tile"), "node", "side", "elements").repartition(deal // 4, "tile").sortWithinPartitions("tile")
-    links = kept(tiles.mapInArrow(_tiles(percent), "a long, b long"), "links")
-    roots = components(links)
+    packed = source.mapInArrow(_key_rows(n, percent, deal), "part long, keys binary, nodes binary, counts binary")
+    stars = kept(packed.repartition(deal, "part").mapInArrow(_stars, "a long, b long").distinct(), "stars")
+    # Joins of one kind at every size, so that what is shuffled grows with the input and not by steps.
+    sketches = rows.where("n_shingles > 0").select("node", "n_shingles", "elements").join(_members(stars).hint("merge"), "node").dropDuplicates(["node"])
+    closer = _linked(sketches, percent, False, deal)
+    # One text per node of a closer family, by the node's first id.
+    ids = kept(classes.join(_members(closer), "node").where("first_id is not null"), "family-nodes")
+    sets = source.join(ids.hint("merge"), source["doc_id"] == ids["first_id"]).select("text", "node", "family", "parts")
+    sets = sets.mapInArrow(_elements(n), "node long, family long, parts long, n_shingles long, elements binary")
+    roots = components(_linked(sets, percent, True, deal))
     groups = classes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     groups = kept(groups, "near-classes")
     least = groups.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -292,5 +362,7 @@ def distinct_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     repeated = kept(found.groupBy("doc_id").count().where("count > 1 AND doc_id is not null").select("doc_id"), "repeated-ids")
     left = docs.join(kept(gone, "near-gone"), "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return left
     once = left.join(repeated, "doc_id", "left_anti").select(*docs.columns)
     return once.unionAll(left.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
