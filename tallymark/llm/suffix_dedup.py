@@ -36,10 +36,10 @@ WIDE = LENGTH - KMER + 1
 #: Bits of the filter of shared anchors, and bits set per anchor.
 FILTER_BITS, FILTER_HASHES = 1 << 27, 3
 SLICES = 64
-#: Bytes of contexts in one suffix array; the contexts of an anchor are not parted.
-STRING = 1 << 15
+#: Symbols of contexts in one suffix array; the contexts of an anchor are not parted.
+STRING = 1 << 13
 #: Context bytes that a task gathers before it compares and sends them.
-GATHER = 24 << 20
+GATHER = 6 << 20
 
 _LOW = np.uint64((1 << 26) - 1)
 _LAST = (1 << 63) - 1
@@ -240,19 +240,26 @@ def _contexts(deal: int, sieve):
     return run
 
 
-def repeated_windows(contexts: list[np.ndarray], docs: np.ndarray) -> list[np.ndarray]:
-    """For each context, which of its windows also stand in a context of a smaller document."""
-    starts = np.cumsum([0, *[len(c) + 1 for c in contexts]])[:-1]
-    text = np.ones(int(starts[-1]) + len(contexts[-1]) + 1, np.int32)
+def repeated_windows(contexts: list[np.ndarray], shifts: list[int], anchors: list[int], docs: np.ndarray) -> list[np.ndarray]:
+    """For each context, which of its windows also stand in a context of a smaller document.
+
+    `shifts` is where the anchor stands in each context, `anchors` its number. As every window holds the anchor, the
+    anchor's bytes are one symbol of their own, and a window is WIDE symbols long.
+    """
+    starts = np.cumsum([0, *[len(c) - KMER + 2 for c in contexts]])[:-1]
+    text = np.ones(int(starts[-1]) + len(contexts[-1]) - KMER + 2, np.int32)
     which = np.zeros(len(text), np.int64)
     room = np.zeros(len(text), np.int64)
-    for i, (s, c) in enumerate(zip(starts, contexts, strict=True)):
-        text[s : s + len(c)] = c.astype(np.int32) + 2
-        which[s : s + len(c)] = i
-        room[s : s + len(c)] = len(c) - np.arange(len(c))
+    for i, (s, c, x) in enumerate(zip(starts, contexts, shifts, strict=True)):
+        n = len(c) - KMER + 1
+        text[s : s + x] = c[:x].astype(np.int32) + 2
+        text[s + x + 1 : s + n] = c[x + KMER :].astype(np.int32) + 2
+        text[s + x] = 300 + anchors[i]
+        which[s : s + n] = i
+        room[s : s + n] = n - np.arange(n)
     order = np.array(suffix_array(text.tolist()), np.int64)
-    order = order[room[order] >= LENGTH]
-    rows = text[order[:, None] + np.arange(LENGTH)]
+    order = order[room[order] >= WIDE]
+    rows = text[order[:, None] + np.arange(WIDE)]
     new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])
     cuts = np.flatnonzero(new)
     lowest = np.minimum.reduceat(docs[which[order]], cuts)
@@ -285,8 +292,13 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     c = {k: np.frombuffer(b"".join(held.pop(k)), kind) for k, kind in names.items()}
     begin = np.cumsum(c["length"], dtype=np.int64) - c["length"]
-    sums = prefix_hash(c["bytes"])
-    context = mixed(span_hash(sums, begin, begin + c["length"]) + c["shift"].astype(np.uint64))
+    context = np.zeros(len(begin), np.uint64)
+    for a in range(0, len(begin), 8192):
+        some = slice(a, a + 8192)
+        at = begin[some] - begin[a]
+        sums = prefix_hash(c["bytes"][begin[a] : begin[a] + int(c["length"][some].sum(dtype=np.int64))])
+        context[some] = span_hash(sums, at, at + c["length"][some])
+    context = mixed(context + c["shift"].astype(np.uint64))
     order = np.lexsort((c["doc"], context, c["anchor"]))
     anchor, context, doc = c["anchor"][order], context[order], c["doc"][order]
     new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
@@ -306,7 +318,9 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def settle(block: list[int]) -> None:
         texts = [c["bytes"][begin[order[cuts[x]]] : begin[order[cuts[x]]] + c["length"][order[cuts[x]]]] for x in block]
-        for x, flags in zip(block, repeated_windows(texts, lowest[block]), strict=True):
+        shifts = [int(c["shift"][order[cuts[x]]]) for x in block]
+        numbers = (group[block] - group[block[0]]).tolist()
+        for x, flags in zip(block, repeated_windows(texts, shifts, numbers, lowest[block]), strict=True):
             starts, counts = _ranges(flags)
             if len(starts):
                 for m in members[owners_at[x] : owners_at[x + 1]]:
@@ -356,7 +370,7 @@ def shared_filter(rows: DataFrame, deal: int) -> bytes:
     """A bit array of fixed size with FILTER_HASHES bits set for each anchor of two documents."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sent = rows.select("doc_id", "text").mapInArrow(_anchors(deal), "part long, anchors binary").repartition(n, "part")
+    sent = rows.select("doc_id", "text").mapInArrow(_anchors(deal), "part long, anchors binary").repartition(2 * n, "part")
     bits = sent.mapInArrow(_shared, "part long, bits binary").repartition("part").mapInArrow(_slices, "part long, bits binary")
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     size = FILTER_BITS // SLICES // 8
@@ -374,7 +388,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     sieve = spark.sparkContext.broadcast(shared_filter(rows, 4 * n))
     kinds = ", ".join(f"{k} binary" for k in ("anchor", "doc", "key", "start", "shift", "length", "bytes"))
-    sent = rows.mapInArrow(_contexts(4 * n, sieve), f"part long, {kinds}").repartition(n, "part")
+    sent = rows.mapInArrow(_contexts(4 * n, sieve), f"part long, {kinds}").repartition(4 * n, "part")
     found = kept(sent.mapInArrow(_repeats, "key long, range long"), "repeats")
     per = found.groupBy("key").agg(F.collect_list("range").alias("ranges"))
     joined = rows.join(per, "key", "left").select("doc_id", "text", "ranges")
