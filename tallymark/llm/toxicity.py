@@ -15,8 +15,8 @@ more. Words beyond `WIDTH` bytes are covered by overlapping parts. At most `PER_
 learned from.
 
 Cases: null and empty texts, and texts of words under three bytes, have the lowest value there is, that of no evidence. A
-null id is scored and not held out. Repeated rows each get a row. Without labelled rows of both labels every score is
-0.5. An empty table gives an empty result. Other columns are ignored.
+null id is scored and not held out. Repeated rows each get a row. Without labelled rows of both labels, or if
+no word tells them apart, every score is 0.5. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -245,6 +245,8 @@ def train(rows: list[tuple[str, int]], seed: int = 3) -> Model | None:
                 continue
             top = max(worst, key=lambda i: worth[i])
             witness.update({top, *[i for i in worst if w is not None and worth[i] > 0]})
+        if not witness or not len(clean):
+            return None
         positive = np.array(list(witness))
         sample = np.concatenate([positive, clean])
         y = np.concatenate([np.ones(len(positive)), -np.ones(len(clean))])
