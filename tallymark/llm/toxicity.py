@@ -1,7 +1,8 @@
 """Toxicity: a support vector machine on a subsequence string kernel, with Nystroem landmarks.
 
-The kernel compares two strings by their common subsequences of three characters within a window of `SPAN` bytes, each
-occurrence weighing `DECAY` to the power of its gaps, so `i-d-i-o-t` is near `idiot`. Landmarks are words of the
+The kernel compares two strings by their common subsequences of three letters within a window of `SPAN` letters, each
+occurrence weighing `DECAY` to the power of its gaps, so `i-d-i-o-t` is near `idiot`. Characters are code points. Those that are
+neither letters nor digits (signs, marks, zero-width ones) are skipped: they make a gap, however many, of at most `GAP`. Landmarks are words of the
 labelled sentences. The kernel against the landmarks, whitened by their own kernel matrix, is the feature vector of
 a linear machine with hinge loss.
 
@@ -10,11 +11,12 @@ which words these are is decided and learned in turn. A text's value is that of
 fitted on the training texts turns it into a score. As kernel sums are linear in the subsequences, all landmarks fold
 into one number per subsequence, and scoring a word is a sum over its subsequences.
 
-Words are maximal runs of non-spaces, in small letters; three or more adjacent words of one character are joined to one
-more. Words beyond `WIDTH` bytes are covered by overlapping parts. At most `PER_CLASS` labelled rows of each label are
+Words are maximal runs of non-spaces, in small letters; three or more adjacent words of one letter are joined to one
+more, and a word with one and the same letter at every second place, or at all but every third, gives the rest of it as one more
+(`ixdxixoxt`). Words beyond `WIDTH` letters are covered by overlapping parts. At most `PER_CLASS` labelled rows of each label are
 learned from.
 
-Cases: null and empty texts, and texts of words under three bytes, have the lowest value there is, that of no evidence. A
+Cases: null and empty texts, and texts of words under three letters, have the lowest value there is, that of no evidence. A
 null id is scored and not held out. Repeated rows each get a row. Without labelled rows of both labels, or if
 no word tells them apart, every score is 0.5. An empty table gives an empty result. Other columns are ignored.
 """
@@ -22,18 +24,22 @@ no word tells them apart, every score is 0.5. An empty table gives an empty resu
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallymark.llm.common import Piece, lower_ascii, pieces, prefix_hash, span_hash, texts, word_spans
+from tallymark.llm.common import Piece, pieces, prefix_hash, span_hash, texts, word_spans
 from tallymark.llm.labelled import held_out, training_rows
 
-SPAN, DECAY, WIDTH = 6, 0.5, 24
+SPAN, DECAY, WIDTH = 7, 0.5, 24
+#: Skipped characters that count in one gap.
+GAP = 3
 #: Words are valued in arrays by length.
 WIDTHS = ((3, 6), (7, 10), (11, WIDTH))
 PER_CLASS = 1000
@@ -43,26 +49,67 @@ NEGATIVES = 20000
 _PAIRS = [(j, k, DECAY ** (k - 2)) for k in range(2, SPAN) for j in range(1, k)]
 
 
-def _symbols() -> np.ndarray:
-    """Six-bit symbols: 1 to 26 for letters, 27 to 63 for digits and bytes beyond ASCII, several to a symbol. 0 is a gap:
-    no byte, or a sign, which takes up room between letters but is in no subsequence."""
-    out = np.zeros(256, np.int32)
-    out[97:123] = np.arange(1, 27)
-    for b in [*range(48, 58), *range(128, 256)]:
-        out[b] = 27 + b * 7 % 37
-    return out
-
-
-_SYMBOL = _symbols()
-
-
-def subsequences(words: np.ndarray) -> Iterator[tuple[np.ndarray, float, np.ndarray]]:
-    """(codes, weight, which are real) per pair of offsets, for rows of bytes padded with 0."""
-    s = _SYMBOL[words]
+_ASCII = np.array([c - 96 if 97 <= c <= 122 else c - 64 if 65 <= c <= 90 else 27 + c * 7 % 37 if 48 <= c <= 57 else 0 for c in range(128)], np.uint8)
+
+
+@lru_cache(1 << 16)
+def _symbol(code: int) -> int:
+    """Six-bit symbols: 1 to 26 for letters, 27 to 63 for digits and letters beyond ASCII, several to a symbol. 0 is skipped."""
+    if code < 128:
+        return int(_ASCII[code])
+    small = chr(code).lower()[0]
+    if ord(small) < 128:
+        return int(_ASCII[ord(small)])
+    return 27 + ord(small) * 7 % 37 if unicodedata.category(small)[0] in "LN" else 0
+
+
+def spelled(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The letters of UTF-8 texts, one byte each: its symbol, and above it the gap before it inside its word; start and end
+    of each word that has letters, and the first such word of each text."""
+    try:
+        whole = data.tobytes().decode()
+        at = np.append(0, np.cumsum((data & 0xC0) != 0x80))[bounds]
+    except UnicodeDecodeError:
+        each = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        whole, at = "".join(each), np.append(0, np.cumsum([len(t) for t in each]))
+    codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+    symbol = _ASCII[np.minimum(codes, 127)]
+    wide = np.flatnonzero(codes > 127)
+    if len(wide):
+        one, back = np.unique(codes[wide], return_inverse=True)
+        symbol[wide] = np.array([_symbol(int(c)) for c in one], np.uint8)[back]
+    starts, ends, first = word_spans(np.minimum(codes, 255).astype(np.uint8), at)
+    place = np.flatnonzero(symbol)
+    letters = symbol[place]
+    low, high = np.searchsorted(place, starts), np.searchsorted(place, ends)
+    gap = np.minimum(np.diff(place, prepend=place[:1]) - (np.arange(len(place)) > 0), GAP)
+    some = high > low
+    gap[low[some]] = 0
+    return letters | (gap.astype(np.uint8) << 6), low[some], high[some], np.append(0, np.cumsum(some))[first]
+
+
+@lru_cache(1 << 16)
+def _spelled(word: str) -> bytes:
+    out, gap = bytearray(), 0
+    for c in word:
+        symbol = _symbol(ord(c))
+        if symbol:
+            out.append(symbol | (min(gap, GAP) << 6 if out else 0))
+        gap = 0 if symbol else gap + 1
+    return bytes(out)
+
+
+def subsequences(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(codes, weights, which are real) per pair of offsets, for rows of letters padded with 0."""
+    s = (words & 63).astype(np.int32)
+    gaps = np.cumsum(words >> 6, axis=1, dtype=np.int32)
+    faded = DECAY ** np.arange(GAP * words.shape[1] + 1, dtype=np.float32) if gaps[:, -1].any() else None
     for j, k, weight in _PAIRS:
         if k < s.shape[1]:
             x, y, z = s[:, :-k], s[:, j : j - k], s[:, k:]
-            yield (x << 12) | (y << 6) | z, weight, (x > 0) & (y > 0) & (z > 0)
+            real = (x > 0) & (y > 0) & (z > 0)
+            each = np.float32(weight) if faded is None else np.float32(weight) * faded[gaps[:, k:] - gaps[:, :-k]]
+            yield (x << 12) | (y << 6) | z, np.broadcast_to(each, real.shape), real
 
 
 def _padded(words: list[bytes], width: int = WIDTH) -> np.ndarray:
@@ -92,7 +139,7 @@ def sums(words: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Sum of the table over each row's weighted subsequences."""
     total = np.zeros(len(words))
     for codes, weight, real in subsequences(words):
-        total += weight * np.where(real, table[codes], 0).sum(1)
+        total += np.where(real, weight * table[codes], 0).sum(1)
     return total
 
 
@@ -104,22 +151,22 @@ class Landmarks:
     """Unit vectors of some words, over the subsequences that any of them has."""
 
     def __init__(self, words: list[bytes]):
-        found = [(codes[real], weight) for codes, weight, real in subsequences(_padded(words))]
-        self.codes = np.unique(np.concatenate([c for c, _ in found]))
+        found = [codes[real] for codes, _, real in subsequences(_padded(words))]
+        self.codes = np.unique(np.concatenate(found))
         #: Place of a subsequence among those, 0 for all others.
         self.place = np.zeros(1 << 18, np.int32)
         self.place[self.codes] = np.arange(1, len(self.codes) + 1)
         self.maps = np.zeros((len(self.codes) + 1, len(words)), np.float32)
         for codes, weight, real in subsequences(_padded(words)):
             rows = np.broadcast_to(np.arange(len(words))[:, None], codes.shape)[real]
-            np.add.at(self.maps, (self.place[codes[real]], rows), np.float32(weight))
+            np.add.at(self.maps, (self.place[codes[real]], rows), weight[real])
         self.maps /= np.maximum(np.linalg.norm(self.maps, axis=0), 1e-6)
 
     def kernel(self, words: np.ndarray) -> np.ndarray:
         """Kernel of each row of bytes with each landmark."""
         total = np.zeros((len(words), self.maps.shape[1]), np.float32)
         for codes, weight, real in subsequences(words):
-            total += np.float32(weight) * self.maps[np.where(real, self.place[codes], 0)].sum(1)
+            total += (weight[:, :, None] * self.maps[np.where(real, self.place[codes], 0)]).sum(1)
         return total / lengths(words)[:, None].astype(np.float32)
 
     def folded(self, weights: np.ndarray) -> np.ndarray:
@@ -130,7 +177,7 @@ class Landmarks:
 
 
 def _parts(word: bytes) -> list[bytes]:
-    """The word, or overlapping parts that hold each of its windows of SPAN bytes."""
+    """The word, or overlapping parts that hold each of its windows of SPAN letters."""
     if len(word) <= WIDTH:
         return [word]
     step = WIDTH - SPAN
@@ -138,7 +185,7 @@ def _parts(word: bytes) -> list[bytes]:
 
 
 def _joined(words: list[bytes]) -> list[bytes]:
-    """Runs of three or more words of one character, joined."""
+    """Runs of three or more words of one letter, joined."""
     out, run = [], []
     for w in [*words, b"  "]:
         if len(w) == 1:
@@ -150,11 +197,24 @@ def _joined(words: list[bytes]) -> list[bytes]:
     return out
 
 
+def _unfilled(word: bytes) -> list[bytes]:
+    """The word without a letter that stands at every second place, or at all places but every third."""
+    out = []
+    for step in (2, 3):
+        rest = word[::step]
+        if len(rest) >= 3:
+            filler = {b & 63 for i, b in enumerate(word) if i % step}
+            if len(filler) == 1 and {b & 63 for b in rest} != filler:
+                out.append(bytes(b & 63 for b in rest))
+    return out
+
+
 def _sentences(text: str) -> list[list[bytes]]:
     out = []
     for sentence in re.split(r"(?<=[.!?])\s+|\n", text):
-        words = [w for w in re.split(rb"[\x20\x09-\x0D]+", sentence.encode().lower()) if w]
-        out.append([p for w in words + _joined(words) for p in _parts(w) if len(w) >= 3])
+        words = [w for w in map(_spelled, re.split("[\x20\x09-\x0D]+", sentence)) if w]
+        words += _joined(words)
+        out.append([p for w in words + [u for w in words for u in _unfilled(w)] for p in _parts(w) if len(p) >= 3])
     return [s for s in out if s]
 
 
@@ -169,7 +229,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * value + self.offset, -500, 500)))
 
 
-#: Value of a text without any word of three bytes, before the bias.
+#: Value of a text without any word of three letters, before the bias.
 NOTHING = -1.0
 
 
@@ -267,8 +327,7 @@ def train(rows: list[tuple[str, int]], seed: int = 3) -> Model | None:
 
 def _worst(piece: Piece, model: Model) -> np.ndarray:
     """The highest value of each text's words. Equal words of a piece are valued once."""
-    data = lower_ascii(piece.data)
-    starts, ends, first = word_spans(data, piece.bounds)
+    data, starts, ends, first = spelled(piece.data, piece.bounds)
     best = np.full(len(piece), NOTHING)
     if not len(starts):
         return best
@@ -276,23 +335,35 @@ def _worst(piece: Piece, model: Model) -> np.ndarray:
     value = np.full(len(one), NOTHING)
     length = (ends - starts)[one]
     padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
-    for low, width in WIDTHS:
-        at = np.flatnonzero((length >= low) & (length <= width))
+    gaps = np.append(0, np.cumsum(data > 63))
+    gapped = (gaps[ends] > gaps[starts])[one]
+    for low, width, some in [(*w, some) for w in WIDTHS for some in (False, True)]:
+        at = np.flatnonzero((length >= low) & (length <= width) & (gapped == some))
         for part in np.array_split(at, -(-len(at) // 8192)) if len(at) else ():
             rows = padded[starts[one[part]][:, None] + np.arange(width)]
             rows[np.arange(width) >= length[part][:, None]] = 0
             value[part] = values(rows, model.table)
+
+    def also(i: int, words: list[bytes]) -> None:
+        if found := [p for w in words for p in _parts(w) if len(p) >= 3]:
+            value[i] = max(value[i], values(_padded(found), model.table).max())
+
     for i in np.flatnonzero(length > WIDTH):
-        word = data[starts[one[i]] : ends[one[i]]].tobytes()
-        value[i] = values(_padded(_parts(word)), model.table).max()
+        also(i, [data[starts[one[i]] : ends[one[i]]].tobytes()])
+    # A filler letter stands at the second place and at the fourth or third and last: most words are ruled out by that.
+    at = np.flatnonzero(length >= 5)
+    second, third, fourth = (data[starts[one[at]] + k] & 63 for k in (1, 2, 3))
+    for i in at[(second == fourth) | (second == third)]:
+        also(i, _unfilled(data[starts[one[i]] : ends[one[i]]].tobytes()))
     has = np.flatnonzero(first[1:] > first[:-1])
     best[has] = np.maximum.reduceat(value[back], first[has])
     single = (ends - starts) == 1
     runs = np.flatnonzero(single[2:] & single[1:-1] & single[:-2]) if len(single) > 2 else []
     for i in np.unique(np.searchsorted(first, runs, "right") - 1):
         words = [data[a:b].tobytes() for a, b in zip(starts[first[i] : first[i + 1]], ends[first[i] : first[i + 1]], strict=True)]
-        if joined := [p for w in _joined(words) for p in _parts(w)]:
-            best[i] = max(best[i], values(_padded(joined), model.table).max())
+        joined = _joined(words)
+        if found := [p for w in joined + [u for w in joined for u in _unfilled(w)] for p in _parts(w) if len(p) >= 3]:
+            best[i] = max(best[i], values(_padded(found), model.table).max())
     return best
 
 

@@ -2,7 +2,10 @@
 
 import random
 
-from tallymark.llm import decontamination
+import pyarrow as pa
+import pytest
+
+from tallymark.llm import decontamination, toxicity
 
 
 def prose(rng, n):
@@ -29,3 +32,35 @@ def test_copies_of_items_with_frequent_words(spark):
     rows = [(i, " ".join(words)) for i, words in docs]
     got = decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+
+
+@pytest.fixture(scope="module")
+def insults():
+    toxic = [(f"the day was fine you {w} of a man . good night", 1) for w in ("idiot", "moron", "loser") for _ in range(20)]
+    clean = [(f"the day was fine you number{i} of a man . good night to all", 0) for i in range(60)]
+    model = toxicity.train(toxic + clean)
+
+    def score(*texts):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+        return next(toxicity._score(model)(iter([batch]))).column(1).to_pylist()
+
+    return score
+
+
+FILLERS = [".", "-", "--", "...", "*_*", "\u00b7", "\u200b", "\u200b\u200b", "\u0336", "\u2014", "x", "xx", "9"]
+
+
+@pytest.mark.parametrize("filler", FILLERS)
+def test_inserted_characters(insults, filler):
+    found = insults(*[f"what an {filler.join(w)} he is" for w in ("idiot", "moron", "loser", "IDIOT")])
+    plain = insults("what a fine day", f"one{filler} of the fine{filler}days", f"{filler} {filler}", "", "good\u200bnight to all, caf\u00e9 number9")
+    assert min(found) >= 0.5 > max(plain)
+
+
+def test_letters_of_texts_are_those_of_words():
+    texts = ["An i\u00b7d-iot, --x-- \u00c9t\u00e9", "", "...", "z\u200b\u200b\u200b\u200b\u200bz \u4e2d1 a"]
+    piece = toxicity.Piece(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]))
+    data, starts, ends, first = toxicity.spelled(piece.data, piece.bounds)
+    for i, text in enumerate(texts):
+        want = [w for w in map(toxicity._spelled, text.split(" ")) if w]
+        assert [data[a:b].tobytes() for a, b in zip(starts[first[i] : first[i + 1]], ends[first[i] : first[i + 1]], strict=True)] == want
