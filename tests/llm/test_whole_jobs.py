@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -64,3 +65,30 @@ def test_letters_of_texts_are_those_of_words():
     for i, text in enumerate(texts):
         want = [w for w in map(toxicity._spelled, text.split(" ")) if w]
         assert [data[a:b].tobytes() for a, b in zip(starts[first[i] : first[i + 1]], ends[first[i] : first[i + 1]], strict=True)] == want
+
+
+def test_copies_of_short_and_long_items(spark):
+    rng = random.Random(9)
+    lengths = [5, 5, 8, 2, 300, 300, 1200, 64, 65, 116]
+    items = [(i, prose(rng, n)) for i, n in enumerate(lengths)]
+    docs, want = [(i, prose(rng, 300)) for i in range(60)], set()
+    for i, item in items:
+        for k in range(5):
+            docs.append((1000 + 10 * i + k, prose(rng, 33 + 7 * k) + item + prose(rng, 90)))
+            want.add((1000 + 10 * i + k, i))
+    # Half of a long item's words in its order, in runs.
+    docs.append((5000, prose(rng, 40) + items[4][1][40:230] + prose(rng, 90)))
+    want.add((5000, 4))
+    tables = [spark.createDataFrame([(i, " ".join(words)) for i, words in rows], f"{name} long, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(*tables).collect()} == want
+
+
+def test_every_part_reaches_the_limit_in_its_windows():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 3, 9, 30, 64, 65, 300):
+        for _ in range(20):
+            seen = rng.integers(1, 1000, 400).astype(float)
+            item, full = rng.integers(0, 400, n), np.log(1001 / seen)
+            parts = list(decontamination.parted(item, seen, full, float(full.max()), 0.45))
+            assert {t for _, p in parts for t in p} == set(item)
+            assert all(decontamination.reach(p, seen, full, float(full.max()), half)[1][-1] >= 0.45 for half, p in parts)
