@@ -1,12 +1,15 @@
-"""Licence scan: licence lines matched to templates by TF-IDF cosine, then inheritance along directories.
+"""Licence scan: licence statements, headers and texts matched to templates by TF-IDF cosine, then inheritance along directories.
 
-Every line of every text that names a licence or a copyright is a candidate. Its words, and those of the templates, are
+Candidates are the lines of a text that name a licence or a copyright, the sentences of such lines, the blocks of
+lines around them up to an empty line (headers), and the whole text if one of its first lines names one (licence files).
+Templates are usual statements, titles, SPDX tags, standard headers, and full licence texts. A whole text that reaches the
+limit goes before blocks, a block before lines and sentences, which may hold for several licences. A candidate is called line below. Its words, and those of the templates, are
 weighted by frequency and inverse frequency over all candidates and templates, and the closest template from the limit
 on is the line's licence; the closest line is the document's. A document that opens or closes
-with its licence line speaks for its directory, as a licence file does. A document without a licence of its own inherits that of the nearest
+with its licence line, or is a full licence text, speaks for its directory, as a licence file does. A document without a licence of its own inherits that of the nearest
 ancestor directory that has a licence file, found by joining the document's ancestors with the directories.
 
-Built-in functions only. Texts never cross a shuffle; lines and paths do.
+Built-in functions only. Texts cross no shuffle but as candidates; lines and paths do.
 
 Cases: null and empty texts have no lines and may inherit. Null path parts are written `none`; a null id has
 a path of its own name. Among equally close lines and templates the first by template name and line is taken, among a
@@ -16,6 +19,8 @@ result. Other columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,10 +42,44 @@ TEMPLATES = {
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0.",
     "Proprietary": "Copyright. All rights reserved.",
 }
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details. You should have received a copy of the GNU {0} along with this program. If not, see <https://www.gnu.org/licenses/>."
+#: Titles and standard headers.
+HEADERS = [
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("Apache-2.0", "Apache License"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("GPL-3.0", _GNU.format("General Public License", "3")),
+    ("GPL-2.0", _GNU.format("General Public License", "2")),
+    ("LGPL-3.0", _GNU.format("Lesser General Public License", "3")),
+    ("AGPL-3.0", _GNU.format("Affero General Public License", "3")),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+]
+_TAGGED = [k for k in TEMPLATES if k != "Proprietary"] + ["BSD-2-Clause"]
+TAGS = [(k, f"SPDX-License-Identifier: {k}{end}") for k in _TAGGED for end in ["", *(("-only", "-or-later") if "GPL" in k else ())]]
+
+
+FULL = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
+
+
+def templates() -> list[tuple[str, str]]:
+    """(licence, text) of all templates; full texts are the files of `licence_texts`."""
+    return [*TEMPLATES.items(), *HEADERS, *TAGS, *FULL]
+
+
 #: Least cosine of a match.
 COSINE = 0.7
 
-_NAMES = "licen[sc]|copyright|rights reserved|public domain|redistribution|creative commons"
+_NAMES = "licen[sc]|copyright|rights reserved|public domain|redistribution|creative commons|permission is hereby"
 _TERMS = "filter(split(lower(line), '[^a-z0-9.+-]+'), w -> w rlike '[a-z0-9]')"
 
 
@@ -51,15 +90,16 @@ def _terms(lines: DataFrame, *keys: str) -> DataFrame:
 
 
 def matched_lines(lines: DataFrame) -> DataFrame:
-    """line, licence, cosine: the closest template of each distinct line that reaches the limit."""
+    """line, licence, full (a full text), cosine: the closest template of each distinct line that reaches the limit."""
     spark = lines.sparkSession
     distinct = lines.select("line").distinct()
-    pairs = F.array(*[F.struct(F.lit(k).alias("licence"), F.lit(v).alias("line")) for k, v in TEMPLATES.items()])
-    templates = spark.range(1).select(F.explode(pairs).alias("t")).select("t.licence", "t.line")
+    texts = templates()
+    rows = F.array(*[F.struct(F.lit(k).alias("licence"), F.lit(i).alias("template"), F.lit(v).alias("line")) for i, (k, v) in enumerate(texts)])
+    given = spark.range(1).select(F.explode(rows).alias("t")).select("t.*")
     terms = kept(_terms(distinct, "line"), "licence-terms")
-    known = _terms(templates, "licence")
+    known = _terms(given, "licence", "template")
     every = terms.select("term").unionAll(known.select("term"))
-    count = terms.select("line").distinct().count() + len(TEMPLATES)
+    count = terms.select("line").distinct().count() + len(texts)
     weights = every.groupBy("term").agg(F.log(1 + F.lit(count) / F.count("*")).alias("idf"))
     weights = kept(weights, "licence-idf")
 
@@ -68,25 +108,39 @@ def matched_lines(lines: DataFrame) -> DataFrame:
         return x.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keys))))
 
     of_lines = weighted(terms, "line").select("line", "term", F.col("w").alias("a"))
-    of_templates = weighted(known, "licence").select("licence", "term", F.col("w").alias("b"))
-    cosine = of_lines.join(of_templates, "term").groupBy("line", "licence").agg(F.round(F.sum(F.col("a") * F.col("b")), 6).alias("cosine"))
-    best = cosine.groupBy("line").agg(F.max_by("licence", F.struct("cosine", F.col("licence"))).alias("licence"), F.max("cosine").alias("cosine"))
+    of_templates = weighted(known, "licence", "template").select("licence", "template", "term", F.col("w").alias("b"))
+    cosine = of_lines.join(of_templates, "term").groupBy("line", "licence", "template").agg(F.round(F.sum(F.col("a") * F.col("b")), 6).alias("cosine"))
+    best = cosine.groupBy("line").agg(F.max_by(F.struct("licence", "template"), F.struct("cosine", "licence")).alias("t"), F.max("cosine").alias("cosine"))
+    best = best.select("line", "t.licence", (F.col("t.template") >= len(texts) - len(FULL)).alias("full"), "cosine")
     return best.where(F.col("cosine") >= COSINE)
 
 
+def _unit(kind: int):
+    return lambda line: F.struct(F.lit(kind).alias("kind"), line.alias("line"))
+
+
 def scan(files: DataFrame, path: str = "path") -> DataFrame:
     """path, doc_id, licence, origin (own, inherited, none), cosine, licence_path, a row per row of `files`."""
     lines = "filter(split(coalesce(text, ''), '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')"
-    read = files.select(F.col(path).alias("path"), "doc_id", F.expr(lines).alias("lines"))
+    parts = "filter(split(coalesce(text, ''), '\\n[\\\\x20\\\\x09\\\\x0D]*\\n'), b -> b rlike '[^\\\\x20\\\\x09-\\\\x0D]')"
+    read = files.select(F.col(path).alias("path"), "doc_id", F.expr(lines).alias("lines"), F.expr(parts).alias("blocks"))
     named = F.expr(f"filter(lines, l -> lower(l) rlike '{_NAMES}')")
-    read = read.select("path", "doc_id", named.alias("named"), F.expr("array(get(lines, 0), get(lines, size(lines) - 1))").alias("ends"))
+    sentences = F.expr("flatten(transform(named, l -> split(l, '(?<=[.;!?])\\\\s+')))")
+    # Blocks of several lines; the whole text where one of its first lines names a licence.
+    blocks = F.expr(f"filter(blocks, b -> lower(b) rlike '{_NAMES}' and trim(b) like '%\\n%')")
+    whole = F.expr(f"if(exists(slice(lines, 1, 3), l -> lower(l) rlike '{_NAMES}') and size(lines) > 1, array(array_join(lines, '\\n')), array())")
+    ends = F.expr("array(get(lines, 0), get(lines, size(lines) - 1))")
+    read = read.withColumn("named", named)
+    read = read.select("path", "doc_id", "named", ends.alias("ends"), sentences.alias("sentences"), blocks.alias("blocks"), whole.alias("whole"))
     rows = kept(read.withColumn("ends", F.when(F.size("named") > 0, F.col("ends"))), "licence-files")
-    found = rows.select("path", "ends", F.explode(F.array_distinct("named")).alias("line")).distinct()
+    kinds = [(0, F.array_union("named", F.expr(f"filter(sentences, l -> lower(l) rlike '{_NAMES}')"))), (1, F.col("blocks")), (2, F.col("whole"))]
+    units = F.flatten(F.array(*[F.transform(lines, _unit(k)) for k, lines in kinds]))
+    found = rows.select("path", "ends", F.explode(units).alias("unit")).select("path", "ends", "unit.*").distinct()
     best = kept(matched_lines(found), "licence-lines")
     per_line = found.join(best, "line")
     own = per_line.groupBy("path").agg(
-        F.max_by(F.struct("licence", "cosine"), F.struct("cosine", "licence", "line")).alias("own"),
-        F.max(F.array_contains("ends", F.col("line"))).alias("is_file"),
+        F.max_by(F.struct("licence", "cosine"), F.struct("kind", "cosine", "licence", "line")).alias("own"),
+        F.max(F.coalesce(F.array_contains("ends", F.col("line")), F.lit(False)) | ((F.col("kind") == 2) & F.col("full"))).alias("is_file"),
     )
     own = kept(own, "licence-own")
     directory = F.regexp_replace("path", "/[^/]*$", "")

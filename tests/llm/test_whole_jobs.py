@@ -1,12 +1,13 @@
 """What the operators must find beyond the given tables: frequent words, disguises, full licence texts, items of any length."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallymark.llm import decontamination, toxicity
+from tallymark.llm import decontamination, licences, toxicity
 
 
 def prose(rng, n):
@@ -92,3 +93,17 @@ def test_every_part_reaches_the_limit_in_its_windows():
             parts = list(decontamination.parted(item, seen, full, float(full.max()), 0.45))
             assert {t for _, p in parts for t in p} == set(item)
             assert all(decontamination.reach(p, seen, full, float(full.max()), half)[1][-1] >= 0.45 for half, p in parts)
+
+
+def test_licence_files_headers_tags_and_long_lines(spark):
+    full = {p.stem: p.read_text() for p in (Path(licences.__file__).parent / "licence_texts").glob("*.txt")}
+    apache = dict(text for text in licences.HEADERS if len(text[1]) > 400 and text[0] == "Apache-2.0")["Apache-2.0"]
+    header = "\n".join("# " + " ".join(apache.split()[i : i + 9]) for i in range(0, len(apache.split()), 9))
+    files = [(k, f"Copyright (c) 2019 Some Body\n\n{v}") for k, v in full.items()]
+    files += [("MIT", "/* SPDX-License-Identifier: MIT */\nint x;"), ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-only\nint x;")]
+    files += [("MIT", "MIT License\nCopyright (c) 2020 A B"), ("MIT", "The MIT License (MIT)\n\nwords"), ("Apache-2.0", f"{header}\n\nimport os")]
+    files += [("MIT", f"{' '.join(['plain words of no use'] * 30)}. Released under the MIT License. {' '.join(['and more of them'] * 30)}")]
+    files += [(None, "SPDX-License-Identifier: Zlib\nint x;"), (None, "my driving license is lost\nsince May")]
+    rows = [(f"d{i}/f", i, text) for i, (_, text) in enumerate(files)]
+    got = {r["doc_id"]: r["licence"] for r in licences.scan(spark.createDataFrame(rows, "path string, doc_id long, text string")).collect()}
+    assert got == {i: k for i, (k, _) in enumerate(files)}
