@@ -113,3 +113,67 @@ FROM y
 def _divergence(pairs: str) -> str:
     one = "CASE WHEN {0} > 0 THEN {0} * log2({0} / ((z[1] + z[2]) / 2)) ELSE 0 END"
     return f"sqrt(greatest(0, list_sum(list_transform({pairs}, lambda z: {one.format('z[1]')} + {one.format('z[2]')})) / 2))"
+
+
+def lexical_search_sql(k: int = 10) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    found = rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, {found} AS terms FROM documents),
+n AS (SELECT row_id, doc_id, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0),
+sums AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM n),
+p AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, sums GROUP BY term, n_docs),
+q AS (SELECT DISTINCT item_id, unnest({found}) AS term FROM benchmark),
+s AS (
+  SELECT q.item_id, n.doc_id, row_id, sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * n.n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN n USING (row_id), sums GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, row_id)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {k}
+"""
+
+
+def manifest_sql(levels: int = 11, group_levels: int = 6) -> str:
+    """For sources of up to 3 ** levels rows and up to 3 ** group_levels sources; levels that a tree lacks do nothing."""
+
+    def leaf(text: str) -> str:
+        parts = ["doc_id", "source", "lang", "n_chars", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen(({p})::VARCHAR) || ':' || ({p})::VARCHAR, '-')" for p in parts) + ")"
+
+    def climb(name: str, depth: int) -> str:
+        out = []
+        for level in range(depth):
+            out.append(f"""{name}_runs{level} AS MATERIALIZED (
+  SELECT tree, i // 3 AS i, (n + 2) // 3 AS n, list(h ORDER BY i) AS hs FROM {name}{level} WHERE n > 1 GROUP BY ALL),
+{name}{level + 1} AS MATERIALIZED (
+  SELECT tree, i, n, sha256(array_to_string(hs, '')) AS h FROM {name}_runs{level} UNION ALL SELECT tree, i, n, h FROM {name}{level} WHERE n <= 1),
+{name}_path{level + 1} AS MATERIALIZED (
+  SELECT p.id, p.tree, p.i // 3 AS i, coalesce(sha256(array_to_string(list_transform(hs, lambda h, k: CASE WHEN k = p.i % 3 + 1 THEN p.f ELSE h END), '')), p.f) AS f,
+    p.proof || coalesce(array_to_string(list_filter(hs, lambda h, k: k <> p.i % 3 + 1), ''), '') AS proof
+  FROM {name}_path{level} p LEFT JOIN {name}_runs{level} r ON r.tree = p.tree AND r.i = p.i // 3)""")
+        return ",\n".join(out)
+
+    return f"""
+WITH RECURSIVE ids AS (SELECT row_number() OVER () AS id, * FROM documents),
+crc AS (
+  SELECT id, doc_id::VARCHAR AS t, 0 AS step, 4294967295::BIGINT AS c FROM ids WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT id, t, step + 1, xor(x >> 1, 3988292384 * (x & 1))
+  FROM (SELECT *, CASE WHEN step % 8 = 0 THEN xor(c, ascii(t[step // 8 + 1])::BIGINT) ELSE c END AS x FROM crc WHERE step < 8 * len(t))),
+hit AS (SELECT id, c & 1 = 1 AS hit FROM crc WHERE step = 8 * len(t)),
+leaves AS MATERIALIZED (
+  SELECT id, doc_id, source, {leaf("text")} AS leaf, CASE WHEN hit THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS found
+  FROM ids LEFT JOIN hit USING (id)),
+placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM leaves),
+a0 AS MATERIALIZED (SELECT tree, i, n, leaf AS h FROM placed),
+a_path0 AS MATERIALIZED (SELECT id, tree, i, found AS f, '' AS proof FROM placed),
+{climb("a", levels)},
+b0 AS MATERIALIZED (SELECT 0 AS tree, tree AS i, count(*) OVER () AS n, h FROM a{levels}),
+b_path0 AS MATERIALIZED (SELECT id, 0 AS tree, tree AS i, f, proof FROM a_path{levels}),
+{climb("b", group_levels)}
+SELECT doc_id, leaf, s.h AS subroot, r.h AS root, sha256(p.proof) AS proof_sha256, p.f AS folded_root, p.f = r.h AS verified
+FROM placed JOIN a{levels} s USING (tree) JOIN b_path{group_levels} p USING (id), b{group_levels} r
+"""

@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontamination, fixity, licences, mixing, ngram_join, oracles, quality_model, quality_rules, secrets, suffix_dedup, toxicity
+from tallymark.llm import (
+    byte_bpe,
+    decontamination,
+    fixity,
+    lexical_search,
+    licences,
+    manifest_tree,
+    mixing,
+    ngram_join,
+    oracles,
+    quality_model,
+    quality_rules,
+    secrets,
+    suffix_dedup,
+    toxicity,
+)
 from tallymark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +112,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(documents(spark, sf_dir)).drop("kept")
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(lexical_search.build(documents(spark, sf_dir)), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_tree.audited(documents(spark, sf_dir))
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 ORACLES["op2_secrets"] = oracles.secrets_sql()
 ORACLES["op6_mixing"] = oracles.mixing_sql()
 ORACLES["op8_quality_rules"] = oracles.quality_rules_sql()
+ORACLES["op11_lexical_search"] = oracles.lexical_search_sql()
+ORACLES["op12_manifest"] = oracles.manifest_sql()
