@@ -9,7 +9,7 @@ last token is taken back and its end is never tried again: at most one encoding
 once and the work is linear in the piece. The result is that of the merges by rank, leftmost first.
 
 The vocabulary must hold all 256 bytes, and each longer token must come from two tokens of lower rank; a file that does
-not raises `ValueError`. It is read by the driver (a file of at most `VOCABULARY` bytes) and sent to the tasks.
+not raises `ValueError`. It is read and checked by the driver (a file of at most `VOCABULARY` bytes) and sent to the tasks.
 
 Cases: a null text is empty and gives no ids. Very long texts and very long pieces (a text of one letter) take memory of
 a constant times their bytes, in one task. A null or repeated id is a row like others. Characters that the pattern does
@@ -23,12 +23,13 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
@@ -51,21 +52,31 @@ class ByteBPE:
         self.ranks = {token: rank for rank, token in self.tokens.items()}
         if len(self.ranks) < len(self.tokens) or any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("a vocabulary holds each token once and all single bytes")
-        self.halves = {rank: self._halves(token) for token, rank in self.ranks.items() if len(token) > 1}
-        self.merges = {pair: rank for rank, pair in self.halves.items()}
-        self.automaton = ahocorasick.Automaton()
-        for token, rank in self.ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, rank))
-        self.automaton.make_automaton()
-        self.shorter = {rank: self._prefix(token) for token, rank in self.ranks.items()}
         self.sizes = {rank: len(token) for token, rank in self.ranks.items()}
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.prefixes: dict[int, int] = {}
         self.pairs: dict[int, dict[int, bool]] = {}
         self.n_pairs = 0
         self.known: dict[str, bytes] = {}
 
-    def _halves(self, token: bytes) -> tuple[int, int]:
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        made = ahocorasick.Automaton()
+        for token, rank in self.ranks.items():
+            made.add_word(token.decode("latin-1"), (len(token) - 1, rank))
+        made.make_automaton()
+        return made
+
+    def check(self) -> None:
+        for rank in self.tokens:
+            self._halves(rank)
+
+    def _halves(self, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge gives this one: merges by rank until two parts are left."""
-        parts, ranks = [token[i : i + 1] for i in range(len(token))], self.ranks
+        if rank in self.halves:
+            return self.halves[rank]
+        token, ranks = self.tokens[rank], self.ranks
+        parts = [token[i : i + 1] for i in range(len(token))]
         while len(parts) > 2:
             joined = [ranks.get(a + b, -1) for a, b in zip(parts, parts[1:], strict=False)]
             best = min((r for r in joined if r >= 0), default=-1)
@@ -73,13 +84,19 @@ class ByteBPE:
                 break
             at = joined.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        if len(parts) != 2 or max(ranks[p] for p in parts) >= ranks[token]:
+        if len(parts) > 2 or len(parts) == 2 and max(ranks[p] for p in parts) >= rank:
             raise ValueError(f"{token!r} does not come from two tokens of lower rank")
-        return ranks[parts[0]], ranks[parts[1]]
+        found = self.halves[rank] = (ranks[parts[0]], ranks[parts[1]]) if len(parts) == 2 else None
+        return found
 
-    def _prefix(self, token: bytes) -> int:
+    def _shorter(self, rank: int) -> int:
         """The longest token that is a proper prefix, or -1."""
-        return next((self.ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in self.ranks), -1)
+        found = self.prefixes.get(rank)
+        if found is None:
+            token, ranks = self.tokens[rank], self.ranks
+            found = next((ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ranks), -1)
+            self.prefixes[rank] = found
+        return found
 
     def _adjacent(self, left: int, right: int) -> bool:
         """Whether the merges leave these two tokens apart.
@@ -88,19 +105,19 @@ class ByteBPE:
         the border. A merge across the border counts if it ranks before what is known to have been made later; of equal
         ranks the left one was made first.
         """
-        merges, halves = self.merges, self.halves
+        tokens, ranks, halves = self.tokens, self.ranks, self._halves
         before = 1 << 62
         while True:
-            if merges.get((left, right), before) < before:
+            if ranks.get(tokens[left] + tokens[right], before) < before:
                 return False
             if left > right:
                 before, later = left, "left"
             else:
                 before, later = right + 1, "right"
-            made = halves.get(left if later == "left" else right)
+            made = halves(left if later == "left" else right)
             if made is None:
                 later = "right" if later == "left" else "left"
-                made = halves.get(left if later == "left" else right)
+                made = halves(left if later == "left" else right)
                 if made is None:
                     return True
                 before = left if later == "left" else right + 1
@@ -120,7 +137,7 @@ class ByteBPE:
 
     def piece(self, data: bytes) -> array:
         """The ids of one piece."""
-        size, sizes, pairs, shorter = len(data), self.sizes, self.pairs, self.shorter
+        size, sizes, pairs, shorter = len(data), self.sizes, self.pairs, self.prefixes
         longest = array("i", bytes(4 * size))
         for end, (back, rank) in self.automaton.iter(data.decode("latin-1")):
             longest[end - back] = rank
@@ -138,10 +155,10 @@ class ByteBPE:
                         fits = row.get(token)
                         if fits or fits is None and self._fits(last, row, token):
                             break
-                    token = shorter[token]
+                    token = shorter[token] if token in shorter else self._shorter(token)
             else:
                 while token >= 0 and not open_ends[sizes[token]]:
-                    token = shorter[token]
+                    token = self._shorter(token)
             if token >= 0:
                 out.append(token)
                 at += sizes[token]
@@ -182,6 +199,7 @@ def read_vocabulary(path: str) -> bytes:
         found = file.read(VOCABULARY + 1)
     if len(found) > VOCABULARY:
         raise ValueError(f"{path} is larger than {VOCABULARY} bytes")
+    ByteBPE(found).check()
     return found
 
 
@@ -195,11 +213,11 @@ def _schema(df: DataFrame, name: str, kind) -> StructType:
     return StructType([f for f in df.schema.fields if f.name != name]).add(name, kind)
 
 
-def encoded(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """The rows with the ids of their texts as array `ids`."""
-    sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+Batches = Iterator[pa.RecordBatch]
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoder(sent: Broadcast, pattern: str, text: str, ids: str) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
         bpe, split = _loaded(sent.value), regex.compile(pattern)
         whole = (lambda s: [m.group() for m in split.finditer(s)]) if split.groups else split.findall
         for piece in pieces(batches, text):
@@ -209,28 +227,54 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text",
             flat = np.frombuffer(b"".join(found), np.int32)
             yield _replaced(piece.batch, ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
 
-    given = docs.withColumn(text, F.coalesce(F.col(text).cast("string"), F.lit("")))
-    made = given.mapInArrow(run, _schema(given, ids, ArrayType(IntegerType())))
-    return made.select(*[c for c in docs.columns if c not in (text, ids)], *([text] if text in docs.columns else []), ids)
+    return run
 
 
-def decoded(rows: DataFrame, vocabulary: str, ids: str = "ids", data: str = "data") -> DataFrame:
-    """The rows with the bytes of their ids as binary column `data`; they need not be whole characters."""
-    sent = rows.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decoder(sent: Broadcast, ids: str, data: str) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
         bpe = _loaded(sent.value)
         for batch in batches:
-            found = [bpe.decode(i or ()) for i in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
+            column = batch.column(batch.schema.get_field_index(ids))
+            found = [bpe.decode(column[i].as_py() or ()) for i in range(len(column))]
             yield _replaced(batch, data, pa.array(found, pa.binary()))
 
-    return rows.mapInArrow(run, _schema(rows, data, BinaryType()))
+    return run
+
+
+def _sent(df: DataFrame, vocabulary: str) -> Broadcast:
+    return df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+
+
+def _given(docs: DataFrame, text: str) -> DataFrame:
+    return docs.withColumn(text, F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def encoded(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """The rows with the ids of their texts as array `ids`."""
+    given = _given(docs, text)
+    run = _encoder(_sent(docs, vocabulary), pattern, text, ids)
+    return given.mapInArrow(run, _schema(given, ids, ArrayType(IntegerType())))
+
+
+def decoded(rows: DataFrame, vocabulary: str, ids: str = "ids", data: str = "data") -> DataFrame:
+    """The rows with the bytes of their ids as binary column `data`; they need not be whole characters."""
+    return rows.mapInArrow(_decoder(_sent(rows, vocabulary), ids, data), _schema(rows, data, BinaryType()))
 
 
 def digest(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """Per row the number of ids, their digest, and that of the bytes they decode to."""
-    ids = encoded(docs.select("doc_id", "text"), vocabulary, pattern).drop("text")
-    return decoded(ids, vocabulary).select(
+    """Per row the number of ids, their digest, and that of the bytes they decode to.
+
+    `encoded` and `decoded` in one Python task, so that a core keeps one vocabulary and not two.
+    """
+    sent, given = _sent(docs, vocabulary), _given(docs.select("doc_id", "text"), "text")
+    encode, decode = _encoder(sent, pattern, "text", "ids"), _decoder(sent, "ids", "data")
+    kinds = StructType().add("doc_id", docs.schema["doc_id"].dataType).add("ids", ArrayType(IntegerType())).add("data", BinaryType())
+
+    def run(batches: Batches) -> Batches:
+        for batch in decode(encode(batches)):
+            yield batch.select(kinds.names)
+
+    return given.mapInArrow(run, kinds).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

@@ -262,4 +262,4 @@ def test_bad_vocabularies():
     assert byte_bpe.ByteBPE(b"\n".join(lines)).piece(b"abc").tolist() == [97, 98, 99]
     for bad in (lines[1:], [*lines, base64.b64encode(b"abc") + b" 300"], [*lines, base64.b64encode(b"ab") + b" 301", base64.b64encode(b"abc") + b" 300"]):
         with pytest.raises(ValueError):
-            byte_bpe.ByteBPE(b"\n".join(bad))
+            byte_bpe.ByteBPE(b"\n".join(bad)).check()
