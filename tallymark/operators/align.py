@@ -39,6 +39,28 @@ class Aligned:
     def same_shape(self) -> bool:
         return not self.remarks
 
+    @property
+    def codes(self) -> list[str]:
+        """Names by place, ``c0``, ``c1``, …: beside them no helper column clashes with one of the user's."""
+        return [f"c{i}" for i in range(len(self.columns))]
+
+    def code(self, columns: list[str]) -> list[str]:
+        return [f"c{self.columns.index(c)}" for c in columns]
+
+    def coded(self) -> tuple[DataFrame, DataFrame]:
+        """Both sides under names by place."""
+        return tuple(df.select(*[quoted(c) for c in self.columns]).toDF(*self.codes) for df in (self.source, self.target))
+
+
+def free_names(names: list[str], taken: list[str]) -> list[str]:
+    """The names of a report's own columns beside the user's: each with as many underscores at its end as it needs."""
+    out: list[str] = []
+    for name in names:
+        while name in taken or name in out:
+            name += "_"
+        out.append(name)
+    return out
+
 
 def align(source: DataFrame, target: DataFrame) -> Aligned:
     """Shared columns of both sides under a common type; the rest is listed, never dropped silently."""

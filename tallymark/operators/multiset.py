@@ -2,62 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from tallymark.functions.sqltext import literal, quoted, sql_type
 from tallymark.functions.types import canonical
-from tallymark.operators.align import Aligned, align
+from tallymark.operators.align import Aligned, align, free_names
 from tallymark.operators.checks import DATA_MATCH, DATA_MISMATCH
 
-N_SOURCE, N_TARGET = "_n_source", "_n_target"
+N_SOURCE, N_TARGET = "n_source", "n_target"
 
 
 def paired_counts(pair: Aligned) -> DataFrame:
-    """Distinct rows of both sides with their number of copies per side.
+    """Distinct rows of both sides, under names by place, with their number of copies per side.
 
     A tagged union grouped by all columns: copies merge before the shuffle, so a row or key that fills much
     of a table spreads over tasks, and GROUP BY treats nulls as equal.
     """
     if not pair.columns:
         raise ValueError("the two sides share no comparable column")
-    tagged = pair.source.selectExpr("*", f"1L as {N_SOURCE}", f"0L as {N_TARGET}").unionAll(
-        pair.target.selectExpr("*", f"0L as {N_SOURCE}", f"1L as {N_TARGET}")
+    source, target = pair.coded()
+    tagged = source.selectExpr("*", f"1L as {N_SOURCE}", f"0L as {N_TARGET}").unionAll(
+        target.selectExpr("*", f"0L as {N_SOURCE}", f"1L as {N_TARGET}")
     )
-    return tagged.groupBy(*[quoted(c) for c in pair.columns]).agg(
+    return tagged.groupBy(*pair.codes).agg(
         F.expr(f"sum({N_SOURCE}) as {N_SOURCE}"), F.expr(f"sum({N_TARGET}) as {N_TARGET}")
     )
 
 
-def unmatched(pair: Aligned, source: str = N_SOURCE, target: str = N_TARGET) -> DataFrame:
-    """Rows left after identical rows cancel out, with the surplus copies of each side."""
+def unmatched(pair: Aligned, seen: Observation | None = None) -> DataFrame:
+    """Rows left after identical rows cancel out, under names by place, with the surplus copies of each side.
+
+    ``seen`` observes the rows of both sides, ``n_source`` and ``n_target``, on the way. It stands behind the shuffle, in
+    the tasks of the result, which count once however often a lost executor's work is done again.
+    """
+    counts = paired_counts(pair)
+    if seen is not None:
+        counts = counts.observe(seen, *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in (N_SOURCE, N_TARGET)])
     return (
-        paired_counts(pair)
-        .where(f"{N_SOURCE} <> {N_TARGET}")
+        counts.where(f"{N_SOURCE} <> {N_TARGET}")
         .selectExpr(
-            *[quoted(c) for c in pair.columns],
-            f"greatest({N_SOURCE} - {N_TARGET}, 0L) as {source}",
-            f"greatest({N_TARGET} - {N_SOURCE}, 0L) as {target}",
+            *pair.codes,
+            f"greatest({N_SOURCE} - {N_TARGET}, 0L) as {N_SOURCE}",
+            f"greatest({N_TARGET} - {N_SOURCE}, 0L) as {N_TARGET}",
         )
     )
 
 
+def surplus(pair: Aligned, rows: DataFrame) -> DataFrame:
+    """The report of ``unmatched`` rows: the user's columns, ``source_extra``, ``target_extra``, and ``remarks`` where
+    columns are lost, gained or retyped, with a row of its own that says so."""
+    names = [*pair.columns, *free_names(["source_extra", "target_extra", "remarks"], pair.columns)]
+    rows = rows.selectExpr(*pair.codes, N_SOURCE, N_TARGET)
+    if pair.same_shape:
+        return rows.toDF(*names[:-1])
+    note = rows.sparkSession.range(1).selectExpr(
+        *[f"cast(null as {sql_type(rows.schema[c].dataType)}) as {c}" for c in pair.codes],
+        f"0L as {N_SOURCE}",
+        f"0L as {N_TARGET}",
+        f"{literal(', '.join(pair.remarks))} as remarks",
+    )
+    return rows.selectExpr("*", "cast(null as string) as remarks").unionAll(note).toDF(*names)
+
+
 def bag_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     """The shared columns of every differing row, with ``source_extra`` and ``target_extra`` copies.
 
-    Where columns are lost, gained or retyped, a column ``remarks`` and a row of its own, without values, say so.
+    Where columns are lost, gained or retyped, a column ``remarks`` and a row of its own, without values, say so. Where
+    a table has a column of such a name, the report's own gets an underscore at its end.
     """
     pair = align(source, target)
-    rows = unmatched(pair, "source_extra", "target_extra")
-    if pair.same_shape:
-        return rows
-    note = rows.sparkSession.range(1).selectExpr(
-        *[f"cast(null as {sql_type(rows.schema[c].dataType)}) as {quoted(c)}" for c in pair.columns],
-        "0L as source_extra",
-        "0L as target_extra",
-        f"{literal(', '.join(pair.remarks))} as remarks",
-    )
-    return rows.selectExpr("*", "cast(null as string) as remarks").unionAll(note)
+    return surplus(pair, unmatched(pair))
 
 
 def table_equality(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from tallymark.functions.sqltext import literal
 from tallymark.operators.align import Aligned, align
 from tallymark.operators.hash_profile import manual_summary
-from tallymark.operators.multiset import fingerprints, unmatched
+from tallymark.operators.multiset import N_SOURCE, N_TARGET, fingerprints, surplus, unmatched
 from tallymark.operators.sinks import write_result
 from tallymark.operators.rows import SOURCE_ONLY, TARGET_ONLY, RowDiff, keyed_pairs, positional_pairs
 from tallymark.session import written
@@ -26,7 +26,12 @@ class Comparison:
     count_source: int
     count_target: int
     rows: RowDiff | None = None
-    bag: DataFrame | None = None
+    extra: DataFrame | None = None
+
+    @property
+    def bag(self) -> DataFrame | None:
+        """The differing rows with their surplus copies per side."""
+        return None if self.extra is None else surplus(self.pair, self.extra)
 
     def cells(self) -> DataFrame:
         if self.rows is None:
@@ -45,16 +50,14 @@ class Comparison:
     def summary(self) -> DataFrame:
         """``(key, Status, Remarks)`` with the rows ``Count`` and ``Data``."""
         if self.rows is not None:
-            totals = self.rows.rows.selectExpr(
+            totals = self.rows.pairs.selectExpr(
                 *self.rows.mismatches(),
                 f"count_if(status = '{SOURCE_ONLY}') as s",
                 f"count_if(status = '{TARGET_ONLY}') as t",
             )
-            notes = [f"if(c{i} > 0, {literal(c)}, null)" for i, c in enumerate(self.rows.values)]
+            notes = [f"if(m{i} > 0, {literal(c)}, null)" for i, c in enumerate(self.rows.values)]
         else:
-            totals = self.bag.selectExpr(
-                "coalesce(sum(source_extra), 0L) as s", "coalesce(sum(target_extra), 0L) as t"
-            )
+            totals = self.extra.selectExpr(f"coalesce(sum({N_SOURCE}), 0L) as s", f"coalesce(sum({N_TARGET}), 0L) as t")
             notes = []
         notes = (
             [literal(r) for r in self.pair.remarks]
@@ -69,7 +72,7 @@ def compare(source: DataFrame, target: DataFrame, keys: list[str] | None = None,
     """Compare the rows of two frames.
 
     ``auto`` aligns by key where keys are given and by sorted position otherwise; ``bag`` compares the sides as
-    multisets. Counts need no column and so next to no reading; by position they come with the fingerprints.
+    multisets. Rows are counted on the way: by position with the fingerprints, else by the pass that pairs the rows.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode}, choose from {', '.join(MODES)}")
@@ -79,7 +82,9 @@ def compare(source: DataFrame, target: DataFrame, keys: list[str] | None = None,
     if mode == "positional":
         prints = fingerprints(pair)
         return Comparison(mode, pair, *(p["n_rows"] for p in prints), rows=positional_pairs(pair, prints))
-    counts = pair.source.count(), pair.target.count()
+    seen = Observation()
     if mode == "keyed":
-        return Comparison(mode, pair, *counts, rows=keyed_pairs(pair, keys or []))
-    return Comparison(mode, pair, *counts, bag=written(unmatched(pair, "source_extra", "target_extra"), "bag"))
+        rows, extra = keyed_pairs(pair, keys or [], seen=seen), None
+    else:
+        rows, extra = None, written(unmatched(pair, seen), "bag")
+    return Comparison(mode, pair, seen.get[N_SOURCE], seen.get[N_TARGET], rows, extra)
