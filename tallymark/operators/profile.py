@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallymark.functions.sqltext import chunks, inline, literal, quoted
+from tallymark.functions.sqltext import chunks, inline, literal, quoted, sql_name
 from tallymark.functions.types import declared_text_type, is_floating, is_temporal, is_text, lower_names
 
 # The names of the checks.
@@ -93,10 +93,10 @@ def _profile_pass(df: DataFrame, part: list[Metric]) -> DataFrame:
         *[f"cast({m.value} as string) as v{i}" for i, m in enumerate(part)],
         *[f"{m.ok} as k{i}" for i, m in enumerate(part) if m.ok != "true"],
     )
-    return row.selectExpr(_long(part, ["true" if m.ok == "true" else f"k{i}" for i, m in enumerate(part)]))
+    return row.selectExpr(long_form(part, ["true" if m.ok == "true" else f"k{i}" for i, m in enumerate(part)]))
 
 
-def _long(part: list[Metric], ok: list[str]) -> str:
+def long_form(part: list[Metric], ok: list[str]) -> str:
     """SQL that turns the wide row ``v0, v1, …`` into the long profile."""
     return inline(
         ["check", "column", "metric", "value", "ok"],
@@ -107,24 +107,16 @@ def _long(part: list[Metric], ok: list[str]) -> str:
     )
 
 
-# Words that plain SQL does not take as names without quotes.
-RESERVED = frozenset(
-    """all alter and any as asc between by case cast check column constraint create cross current date default delete
-    desc distinct drop else end except exists false fetch for foreign from full grant group having in index inner insert
-    intersect interval into is join key left like limit natural not null offset on or order outer primary references
-    right row rows select set some table then time timestamp to true union unique update user using values view when
-    where window with year""".split()
-)
-
-
-def sql_name(name: str, quote: str = '"') -> str:
-    """A name for another engine, in quotes where it is reserved or not a plain word."""
-    plain = name.isidentifier() and name.isascii() and name.lower() not in RESERVED
-    return name if plain else quote + name.replace(quote, quote * 2) + quote
+#: The largest double.
+LARGEST = "1.7976931348623157E308"
 
 
 def remote_metrics(schema: T.StructType, quote: str = '"') -> list[Metric]:
-    """The same metrics in plain SQL for another engine. Sums of floating columns truncate each value to BIGINT."""
+    """The same metrics in plain SQL for another engine, which takes ``quote`` around names.
+
+    Sums of floating columns truncate each value to BIGINT. NaN counts as null, as it does here: engines either hold that
+    NaN differs from itself, or that it is above all numbers, and so is its negative.
+    """
     out = []
     for m in metrics(schema):
         if m.check == "Count":
@@ -132,6 +124,9 @@ def remote_metrics(schema: T.StructType, quote: str = '"') -> list[Metric]:
             continue
         field = schema[m.column]
         column = sql_name(m.column, quote)
+        if is_floating(field.dataType):
+            nan = f"{column} <> {column} or ({column} > {LARGEST} and -{column} > {LARGEST})"
+            column = f"(case when {nan} then null else {column} end)"
         if m.check == "Null":
             value = f"sum(case when {column} is null then 1 else 0 end)"
         elif m.check == "Sum":
@@ -159,15 +154,15 @@ def check_queries(schema: T.StructType, table: str, where: str = "", quote: str
     }
 
 
-def remote_profile_query(schema: T.StructType, table: str, where: str = "") -> str:
+def remote_profile_query(schema: T.StructType, table: str, where: str = "", quote: str = '"') -> str:
     """All metrics as one SQL text that returns a single row ``v0, v1, …``."""
-    return _query([f"{m.value} as v{i}" for i, m in enumerate(remote_metrics(schema))], table, where)
+    return _query([f"{m.value} as v{i}" for i, m in enumerate(remote_metrics(schema, quote))], table, where)
 
 
 def remote_profile(row: DataFrame, schema: T.StructType) -> DataFrame:
     """The long profile from the row that ``remote_profile_query`` returned."""
     found = remote_metrics(schema)
-    return row.selectExpr(_long(found, ["true"] * len(found)))
+    return row.selectExpr(long_form(found, ["true"] * len(found)))
 
 
 def _query(values: list[str], table: str, where: str) -> str:

@@ -102,7 +102,7 @@ def pushed_check_compare(
     """``check_compare`` with the source's metrics computed by the JDBC source, which returns one row."""
     source, target = lower_names(source), canonical(target)
     taken = all_checks(source.schema, target.schema)
-    query = remote_profile_query(source.schema, _place(row, "source"), condition_text(row["source_condition"]))
+    query = remote_profile_query(source.schema, _place(row, "source"), condition_text(row["source_condition"]), _quote(options))
     pushed = {k: v for k, v in options.items() if k not in ("partition_column", "partitions")}
     left = remote_profile(read_jdbc(spark, query=query, **pushed), source.schema)
     compared = compare_profiles(left.where(F.col("check").isin(taken)), target_profile(target, taken))
@@ -151,7 +151,9 @@ def run(
                 "queries": [
                     (*lead, k, check, text)
                     for k, df in sides.items()
-                    for check, text in check_queries(df.schema, _place(row, k), row[f"{k}_condition"] or "").items()
+                    for check, text in check_queries(
+                        df.schema, _place(row, k), row[f"{k}_condition"] or "", _quote(connections.get(row["connection"], {}) if k == "source" else {})
+                    ).items()
                 ],
             }
         except Exception as error:  # whatever ends one pair must not end the job
@@ -189,6 +191,11 @@ def run(
     return result
 
 
+def _quote(options: dict) -> str:
+    """The character that a connection's source takes around names."""
+    return options.get("quote", '"')
+
+
 def _place(row: Row, side: str) -> str:
     """What a side's SQL selects from."""
     return f"({row[f'{side}_query']}) a" if row[f"{side}_query"] else row[side]

@@ -68,6 +68,28 @@ DERIVED = {
         FROM {lineitem}""",
     "orders_shuffled": """
         SELECT o_orderpriority, o_totalprice, o_orderdate, o_orderstatus, o_custkey, o_orderkey FROM {orders}""",
+    # One value of one row changed.
+    "lineitem_one_changed": """
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+               l_quantity + CASE WHEN l_orderkey = (SELECT min(l_orderkey) FROM {lineitem}) AND l_partkey = (
+                   SELECT min(l_partkey) FROM {lineitem} WHERE l_orderkey = (SELECT min(l_orderkey) FROM {lineitem})) THEN 1 ELSE 0 END AS l_quantity,
+               l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+        FROM {lineitem}""",
+    # Long texts and few sources in front of the key: sorted parts must look past both.
+    "texts": "SELECT source, text, lang, doc_id, n_chars FROM {documents}",
+    "texts_target": """
+        SELECT source, text, CASE WHEN doc_id % 90 = 0 THEN NULL ELSE lang END AS lang, doc_id,
+               CASE WHEN doc_id % 70 = 0 THEN n_chars + 1 ELSE n_chars END AS n_chars
+        FROM {documents}""",
+    # Columns whose names the library's own reports and helpers use.
+    "orders_named": """
+        SELECT o_orderkey AS {key}, o_custkey AS _part, o_orderstatus AS _n_source, o_totalprice AS source_extra,
+               o_orderdate AS diff, o_orderpriority AS c1 FROM {orders}""",
+    "orders_named_target": """
+        SELECT o_orderkey AS {key}, o_custkey AS _part,
+               CASE WHEN o_orderkey % 50 = 0 THEN 'X' ELSE o_orderstatus END AS _n_source,
+               CASE WHEN o_orderkey % 70 = 0 THEN NULL ELSE o_totalprice END AS source_extra,
+               o_orderdate AS diff, o_orderpriority AS c1 FROM {orders} WHERE o_orderkey % 97 <> 0""",
     # A catalog's columns view, one row per part.
     "catalog_view": """
         SELECT p_partkey AS ColumnId, concat(p_name, '  ') AS ColumnName,
@@ -77,6 +99,30 @@ DERIVED = {
                CASE WHEN p_size % 2 = 0 THEN 'Y' ELSE 'N' END AS Nullable,
                p_size % 30 + 8 AS DecimalTotalDigits, p_size % 8 AS DecimalFractionalDigits
         FROM {part}""",
+    # The same beside sixteen other columns, as in a catalog with more than one table.
+    "catalog_wide": """
+        SELECT """ + ", ".join(f"p_size + {i} AS x{i}" for i in range(14)) + """,
+               concat('db', p_size % 3) AS DatabaseName, concat('t', p_size % 5) AS TableName,
+               p_partkey AS ColumnId, concat(p_name, '  ') AS ColumnName,
+               CASE p_partkey % 3 WHEN 0 THEN 'D ' WHEN 1 THEN 'CV' ELSE 'I8' END AS ColumnType,
+               CASE WHEN p_size % 2 = 0 THEN 'Y' ELSE 'N' END AS Nullable,
+               p_size % 30 + 8 AS DecimalTotalDigits, p_size % 8 AS DecimalFractionalDigits
+        FROM {part}""",
+    # What a catalog says about a column in words.
+    "type_texts": """
+        SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN ' ' ELSE concat(p_name, ' ') END AS name,
+               CASE p_partkey % 6 WHEN 0 THEN concat('varchar(', p_size, ')')
+                                  WHEN 1 THEN concat('decimal(', p_size % 30 + 8, ', ', p_size % 8, ')')
+                                  WHEN 2 THEN 'array<decimal(3,1)>' WHEN 3 THEN 'void' WHEN 4 THEN ' Bigint'
+                                  ELSE 'timestamp' END AS type_text
+        FROM {part}""",
+    # A manifest as a file holds it: other header names, blank and nan cells.
+    "manifest_rows": """
+        SELECT CASE WHEN s_suppkey % 4 = 0 THEN 'nan' ELSE concat('env', s_nationkey % 3) END AS Connection_Name,
+               s_name AS Table_Name, concat('t', s_suppkey) AS Iceberg_Table, 'lake' AS Iceberg_database,
+               CASE WHEN s_suppkey % 5 = 0 THEN concat('select ''a, b'', "q" from t', s_suppkey) ELSE '' END AS query_TD,
+               CASE WHEN s_suppkey % 7 = 0 THEN 'where x > 1' ELSE 'nan' END AS condition_td
+        FROM {supplier}""",
     "view_names": """
         SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN concat(c_mktsegment, '_V.order_values_v')
                                WHEN c_custkey % 3 = 1 THEN concat(c_mktsegment, '_v.', c_name)
@@ -90,15 +136,21 @@ GIVEN = [
 ]
 
 
+def _text(name: str) -> str:
+    """The derived table's SQL; what stands behind an ``@`` in the name is put in as ``{key}``."""
+    name, _, key = name.partition("@")
+    return DERIVED[name].replace("{key}", key)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given or a derived table."""
     if name in GIVEN:
         return spark.read.parquet(f"{folder}/{name}.parquet")
-    text = DERIVED[name]
+    text = _text(name)
     used = {g: table(spark, folder, g) for g in GIVEN if "{" + g + "}" in text}
     return spark.sql(text, **used)
 
 
 def sql(name: str) -> str:
     """The derived table as a SQL subquery over the given tables."""
-    return name if name in GIVEN else "(" + DERIVED[name].format(**{g: g for g in GIVEN}) + ")"
+    return name if name in GIVEN else "(" + _text(name).format(**{g: g for g in GIVEN}) + ")"

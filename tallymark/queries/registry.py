@@ -7,12 +7,16 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymark.functions.types import CHAR_VARCHAR_KEY, lower_names
+from tallymark.operators.buckets import bag_diff_by_buckets
 from tallymark.operators.checks import check_compare, check_summary, row_count_check, table_verdict
 from tallymark.operators.hash_profile import hash_profile, hash_profile_compare, hash_profile_long
+from tallymark.operators.incremental import profile_incremental
 from tallymark.operators.multiset import bag_diff, table_equality
 from tallymark.operators.profile import profile, single_check
+from tallymark.operators.reconcile import keyed_diff_small
 from tallymark.operators.rows import duplicate_keys, keyed_diff, positional_diff, row_status_counts
 from tallymark.operators.schema_diff import missing_columns, schema_diff
 from tallymark.operators.sinks import preview, write_result
@@ -21,9 +25,9 @@ from tallymark.plans.job import run
 from tallymark.queries import oracle as o
 from tallymark.queries.fixtures import sql, table
 from tallymark.session import new_folder
-from tallymark.sources.catalog import decode_catalog, describe_columns, resolve_base_table
-from tallymark.sources.manifest import normalise_manifest
-from tallymark.sources.readers import canonical_text, filtered, read_query
+from tallymark.sources.catalog import decode_catalog, describe_columns, resolve_base_table, split_type_text
+from tallymark.sources.manifest import connections, normalise_manifest, read_manifest
+from tallymark.sources.readers import bounds_query, canonical_text, columns_query, filtered, read_query, split_predicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,16 +122,97 @@ def q_resolve_base_table(spark, folder):
 
 
 @query("""
-    SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS o_totalprice,
-           CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderstatus FROM orders""")
+    SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS o_totalprice,
+           CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""")
 def q_canonical_projection(spark, folder):
-    orders = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("O_OrderKey"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("O_TOTALPRICE"),
-        F.col("o_orderdate").alias("O_OrderDate"),
-        "o_orderstatus",
+    orders = table(spark, folder, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    return canonical_text(lower_names(orders.toDF(*[c.upper() for c in orders.columns])))
+
+
+_DECODED = """CASE trim(ColumnType) WHEN 'D' THEN 'DECIMAL' WHEN 'CV' THEN 'VARCHAR' ELSE 'BIGINT' END AS data_type,
+           CASE WHEN trim(ColumnType) = 'D' THEN concat(DecimalTotalDigits, ',', DecimalFractionalDigits) END AS length,
+           Nullable = 'Y' AS nullable"""
+_BESIDE = ", ".join(f"x{i}" for i in range(14))
+
+
+@query(f"""
+    SELECT {_BESIDE}, DatabaseName AS databasename, TableName AS tablename, ColumnId AS columnid,
+           rtrim(ColumnName) AS "column", {_DECODED} FROM {sql("catalog_wide")} AS v""")
+def q_catalog_wide_view(spark, folder):
+    """The columns that are needed stand behind sixteen others."""
+    return lower_names(decode_catalog(table(spark, folder, "catalog_wide")))
+
+
+@query(f"""
+    SELECT ColumnId AS columnid, rtrim(ColumnName) AS "column", {_DECODED} FROM {sql("catalog_wide")} AS v
+    WHERE DatabaseName = 'db1' AND TableName = 't2'""")
+def q_metadata_predicate(spark, folder):
+    """The text that is sent to a source, here answered by a view."""
+    table(spark, folder, "catalog_wide").createOrReplaceTempView("tallymark_columns")
+    found = decode_catalog(read_query(spark, columns_query("db1.t2", "tallymark_columns")))
+    return lower_names(found).select("columnid", "column", "data_type", "length", "nullable")
+
+
+@query(f"""
+    SELECT upper(trim(name)) AS "column",
+           CASE p_partkey % 6 WHEN 0 THEN 'VARCHAR' WHEN 1 THEN 'DECIMAL' WHEN 2 THEN 'ARRAY' WHEN 4 THEN 'BIGINT' ELSE 'TIMESTAMP' END AS data_type,
+           CASE WHEN p_partkey % 6 < 2 THEN replace(regexp_extract(type_text, '[(](.*)[)]', 1), ' ', '') END AS length
+    FROM {sql("type_texts")} AS t WHERE p_partkey % 11 <> 0 AND p_partkey % 6 <> 3""")
+def q_type_text_metadata(spark, folder):
+    return split_type_text(table(spark, folder, "type_texts"), "name", "type_text")
+
+
+def _manifest(spark, folder):
+    """A manifest file, written as a user would have it, and read back."""
+    path = f"{new_folder(spark, 'manifest')}.csv"
+    table(spark, folder, "manifest_rows").write.option("header", True).option("escape", '"').csv(path)
+    return read_manifest(spark, path)
+
+
+@query(f"""
+    SELECT nullif(Connection_Name, 'nan') AS connection, Table_Name AS "table", Table_Name AS source,
+           concat(Iceberg_database, '.', Iceberg_Table) AS target, nullif(query_TD, '') AS source_query,
+           CAST(NULL AS VARCHAR) AS target_query, nullif(condition_td, 'nan') AS source_condition,
+           CAST(NULL AS VARCHAR) AS target_condition, CAST(NULL AS VARCHAR) AS keys, CAST(NULL AS VARCHAR) AS split_column,
+           CAST(NULL AS VARCHAR) AS splits
+    FROM {sql("manifest_rows")} AS m""")
+def q_manifest_read(spark, folder):
+    return _manifest(spark, folder)
+
+
+@query(f"SELECT DISTINCT Connection_Name AS connection FROM {sql('manifest_rows')} AS m WHERE Connection_Name <> 'nan'")
+def q_distinct_connections(spark, folder):
+    return connections(_manifest(spark, folder))
+
+
+_CONDITIONS = {"none": None, "empty": "", "blank": "  ", "nan": "NaN", "where": "where value > 50", "bare": "value > 50"}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS given, count(*) AS n_rows FROM events WHERE {'true' if name in ('none', 'empty', 'blank', 'nan') else 'value > 50'}"
+        for name in _CONDITIONS
     )
-    return canonical_text(lower_names(orders))
+)
+def q_missing_condition(spark, folder):
+    events = table(spark, folder, "events")
+    parts = [filtered(events, text).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("given"), "n_rows") for name, text in _CONDITIONS.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query(f"""
+    WITH s AS (SELECT l_partkey * l_partkey AS k FROM lineitem),
+         b AS (SELECT {", ".join(f"percentile_disc({i / 8}) WITHIN GROUP (ORDER BY k) AS b{i}" for i in range(1, 8))} FROM s),
+         p AS (SELECT {" + ".join(f"CASE WHEN k > b{i} THEN 1 ELSE 0 END" for i in range(1, 8))} AS part, k FROM s, b)
+    SELECT part::INT AS part, count(*) AS n_rows, min(k) AS lowest, max(k) AS highest FROM p GROUP BY part""")
+def q_jdbc_split_bounds(spark, folder):
+    """The texts that split a JDBC read, here answered by a view over a key of squares."""
+    place = "tallymark_lines"
+    table(spark, folder, "lineitem").selectExpr("l_partkey * l_partkey as k").createOrReplaceTempView(place)
+    bounds = read_query(spark, bounds_query("k", 8, place)).first()
+    parts = split_predicates("k", list(bounds), T.LongType())
+    rows = read_query(spark, f"select case {' '.join(f'when {p} then {i}' for i, p in enumerate(parts))} end as part, k from {place}")
+    return rows.groupBy("part").agg(F.count("*").alias("n_rows"), F.min("k").alias("lowest"), F.max("k").alias("highest"))
 
 
 # ---------------------------------------------------------------- checks
@@ -206,6 +291,19 @@ def q_profile_lineitem(spark, folder):
     return profile(table(spark, folder, "lineitem"))
 
 
+@query(o.profile_sql("orders_target", ORDERS))
+def q_profile_incremental(spark, folder):
+    """A table that grows by a file, changes one and loses one between two profiles."""
+    orders, path, store = table(spark, folder, "orders_target"), new_folder(spark, "growing"), new_folder(spark, "profiles")
+    parts = [f"{path}/part={i}" for i in range(3)]
+    halves = [orders.where(f"pmod(o_orderkey, 2) = {i}") for i in range(2)]
+    halves[0].coalesce(1).write.parquet(parts[0])
+    halves[0].limit(10).coalesce(1).write.parquet(parts[1])
+    profile_incremental(spark, f"{path}/part=*", store)
+    halves[1].coalesce(1).write.mode("overwrite").parquet(parts[1])
+    return profile_incremental(spark, f"{path}/part=*", store)
+
+
 _COMPARED = o.compare_sql("orders", "orders_target", ORDERS)
 
 
@@ -342,6 +440,14 @@ def q_bag_diff(spark, folder):
     return bag_diff(table(spark, folder, "lineitem"), table(spark, folder, "lineitem_target"))
 
 
+@query(f"""
+    {o.paired_sql("lineitem", "lineitem_one_changed", _LINE_COLUMNS)}
+    SELECT {", ".join(_LINE_COLUMNS)}, CAST(xs AS BIGINT) AS source_extra, CAST(xt AS BIGINT) AS target_extra
+    FROM surplus""")
+def q_equality_by_buckets(spark, folder):
+    return bag_diff_by_buckets(table(spark, folder, "lineitem"), table(spark, folder, "lineitem_one_changed"), LINE_KEYS)
+
+
 _ORDERS_JOIN = f"""
     FROM (SELECT *, 1 AS here FROM orders) AS s
     FULL OUTER JOIN (SELECT *, 1 AS here FROM {sql("orders_target")} AS x) AS t ON s.o_orderkey = t.o_orderkey"""
@@ -372,6 +478,43 @@ def q_cell_diff_keyed(spark, folder):
     return _orders_diff(spark, folder).cells().drop("occurrence")
 
 
+@query(_ORDERS_CELLS)
+def q_keyed_diff_small(spark, folder):
+    orders, changed = table(spark, folder, "orders"), table(spark, folder, "orders_target")
+    return keyed_diff_small(orders, changed, ["o_orderkey"]).cells().drop("occurrence")
+
+
+_KEY_NAMES = ["status", "source", "target", "s", "t", "row", "occurrence", "column", "place", "k0"]
+_NAMED = ["_part", "_n_source", "source_extra", "diff", "c1"]
+
+
+def _named_sql(key: str) -> str:
+    join = f"FROM {sql(f'orders_named@{key}')} AS s JOIN {sql(f'orders_named_target@{key}')} AS t ON s.{key} = t.{key}"
+    cells = o.cells_sql(join, [key], _NAMED)
+    return f"""SELECT '{key}' AS key_name, {key} AS key_value, "column" AS col, source_value, target_value FROM ({cells}) AS c"""
+
+
+@query(" UNION ALL ".join(map(_named_sql, [k for k in _KEY_NAMES if k != "column"])) + """
+    UNION ALL SELECT 'column', key_value, col, source_value, target_value FROM (""" + _named_sql("k0") + """) AS c""")
+def q_keyed_diff_reserved_names(spark, folder):
+    """Keys and columns called what the reports call their own."""
+    parts = []
+    for key in _KEY_NAMES:
+        cells = keyed_diff(*[table(spark, folder, f"orders_named{side}@`{key}`") for side in ("", "_target")], [key]).cells()
+        parts.append(cells.toDF("key_value", "occurrence", "col", "source_value", "target_value", "diff").select(F.lit(key).alias("key_name"), "key_value", "col", "source_value", "target_value"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+_NAMED_ROWS = f"""
+    {o.paired_sql("orders_named@status", "orders_named_target@status", ["status", *_NAMED])}
+    SELECT status, {", ".join(_NAMED)}, CAST(xs AS BIGINT) AS source_extra_, CAST(xt AS BIGINT) AS target_extra FROM surplus"""
+
+
+@query(_NAMED_ROWS)
+def q_bag_diff_reserved_names(spark, folder):
+    return bag_diff(table(spark, folder, "orders_named@status"), table(spark, folder, "orders_named_target@status"))
+
+
 @query(_ORDERS_CELLS)
 def q_cell_diff_unique_key(spark, folder):
     orders, changed = table(spark, folder, "orders"), table(spark, folder, "orders_target")
@@ -428,6 +571,12 @@ def q_cell_diff_positional(spark, folder):
     return positional_diff(table(spark, folder, "part"), table(spark, folder, "part_target")).cells()
 
 
+@query(o.positional_sql("texts", "texts_target", ["source", "text", "lang", "doc_id", "n_chars"]))
+def q_cell_diff_positional_wide(spark, folder):
+    """Whole documents in the sort key, behind a column of few values."""
+    return positional_diff(table(spark, folder, "texts"), table(spark, folder, "texts_target")).cells()
+
+
 @query(o.positional_sql("flags", "flags_target", ["l_returnflag", "l_linestatus", "l_quantity"]))
 def q_cell_diff_positional_repeats(spark, folder):
     return positional_diff(table(spark, folder, "flags"), table(spark, folder, "flags_target")).cells()
@@ -513,6 +662,19 @@ def q_custom_query_compare(spark, folder):
     return compare(source, target).summary()
 
 
+@query(f"""
+    WITH c AS (SELECT DISTINCT "column" AS c FROM ({_ORDERS_CELLS}) AS x),
+         n AS (SELECT count(*) FILTER (WHERE t.here IS NULL) AS s, count(*) FILTER (WHERE s.here IS NULL) AS t {_ORDERS_JOIN})
+    SELECT 'Count' AS key, 'Count Mismatch' AS Status,
+           concat((SELECT count(*) FROM orders), ' vs ', (SELECT count(*) FROM {sql("orders_target")} AS o)) AS Remarks
+    UNION ALL
+    SELECT 'Data', 'Data Mismatch', concat_ws(', ', {", ".join(f"(SELECT c FROM c WHERE c = '{c}')" for c in _ORDER_COLUMNS)},
+           CASE WHEN s > 0 THEN concat(s, ' rows only in Source') END, CASE WHEN t > 0 THEN concat(t, ' rows only in Target') END) FROM n""")
+def q_compare_observed(spark, folder):
+    """Rows are counted by the pass that pairs them."""
+    return compare(table(spark, folder, "orders"), table(spark, folder, "orders_target"), ["o_orderkey"]).summary()
+
+
 @query("SELECT event_id, ts, event_type, value FROM events ORDER BY ts, event_id LIMIT 1000")
 def q_topn_preview(spark, folder):
     return preview(table(spark, folder, "events").select("event_id", "ts", "event_type", "value"), ["ts", "event_id"])
@@ -559,6 +721,19 @@ def q_job_checks(spark, folder):
     return _job(spark, folder).summary.drop("job_row")
 
 
+@query(" UNION ALL ".join(
+    f"""SELECT '{run_id}' AS run_id, "check", count(*) AS n_metrics FROM ({o.compare_sql("customer", "customer_target", CUSTOMER)}) AS c GROUP BY "check" """
+    for run_id in ("first", "second")
+))
+def q_run_stamp(spark, folder):
+    """Two runs append to the same reports, each under its stamp."""
+    path = new_folder(spark, "reports")
+    manifest = normalise_manifest(spark.createDataFrame([("customer", "customer_target")], "source string, target string"))
+    for run_id in ("first", "second"):
+        run(spark, manifest, read=lambda session, row, side: table(session, folder, row[side]), folder=path, run_id=run_id)
+    return spark.read.parquet(f"{path}/detail").groupBy("run_id", "check").agg(F.count("*").alias("n_metrics"))
+
+
 @query(_ORDERS_CELLS)
 def q_diff_sink_roundtrip(spark, folder):
     path = new_folder(spark, "cells")

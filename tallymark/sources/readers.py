@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymark.functions.sqltext import sql_name
 from tallymark.sources.catalog import decode_catalog
 
 FILE_FORMATS = ("parquet", "orc", "csv", "json")
@@ -67,21 +68,52 @@ def jdbc_options(
     }
 
 
-def read_jdbc(spark: SparkSession, url: str, partition_column=None, partitions: int = 16, **request) -> DataFrame:
-    """A JDBC table or query. ``partition_column`` splits the read between the column's smallest and largest value,
-    which the source is asked for first."""
+def read_jdbc(spark: SparkSession, url: str, partition_column=None, partitions: int = 16, quote: str = '"', **request) -> DataFrame:
+    """A JDBC table or query. ``partition_column`` splits the read into parts of about equal numbers of rows, whatever the
+    values are: the source is asked for the column's quantiles first. Rows without a value are a part of their own.
+    ``quote`` is the character the source takes around names."""
 
     def scan(**more) -> DataFrame:
         return spark.read.format("jdbc").options(**jdbc_options(url, **{**request, **more})).load()
 
     if partition_column is None:
         return scan()
-    lower, upper = scan(table=None, query=bounds_query(partition_column, **request)).first()
-    return scan() if lower is None else scan(partition=(partition_column, lower, upper, partitions))
+    name, whole = sql_name(partition_column, quote), scan()
+    place = request.get("table") or f"({request['query']}) a"
+    bounds = scan(table=None, query=bounds_query(name, partitions, place)).first()
+    kind = next(f.dataType for f in whole.schema.fields if f.name.lower() == partition_column.lower())
+    own = {k: str(v) for k, v in request.items() if k not in ("table", "query")}
+    return spark.read.jdbc(url, place, predicates=split_predicates(name, list(bounds), kind), properties=own)
 
 
-def bounds_query(column: str, table: str | None = None, query: str | None = None, **_) -> str:
-    return f"select min({column}) as lo, max({column}) as hi from {table or f'({query}) a'}"
+def bounds_query(column: str, partitions: int, place: str) -> str:
+    """SQL for one row of the values that part ``place`` into equal numbers of rows by ``column``."""
+    shares = [f"percentile_disc({i / partitions!r}) within group (order by {column}) as b{i}" for i in range(1, partitions)]
+    return f"select {', '.join(shares) or 'null as b1'} from {place}"
+
+
+def split_predicates(column: str, bounds: list, kind: T.DataType) -> list[str]:
+    """One condition per part: up to each bound, past the last, and without a value. Every row meets exactly one.
+
+    A value that many parts begin or end with bounds a part once, so a value that fills several parts is one part.
+    """
+    cuts = list(dict.fromkeys(b for b in bounds if b is not None))
+    if not cuts:
+        return ["1 = 1"]
+    texts = [_constant(c, kind) for c in cuts]
+    between = [f"{column} > {a} and {column} <= {b}" for a, b in zip(texts, texts[1:])]
+    return [f"{column} <= {texts[0]}", *between, f"{column} > {texts[-1]}", f"{column} is null"]
+
+
+def _constant(value: object, kind: T.DataType) -> str:
+    """A value as a constant of plain SQL."""
+    if isinstance(kind, T.DateType):
+        return f"date '{value}'"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return f"timestamp '{value}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
 
 
 def columns_query(table: str, view: str) -> str:

@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from tallymark.functions.types import CHAR_VARCHAR_KEY
+from tallymark.functions.types import CHAR_VARCHAR_KEY, canonical
 from tallymark.operators.checks import (
     check_compare,
     check_summary,
@@ -249,3 +249,16 @@ def test_one_pass_unless_asked(spark, tmp_path):
     wide = spark.read.csv(f"{tmp_path}/wide")
     plan = check_compare(wide, wide)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 2
+
+
+def test_pushed_texts_take_the_sources_quote_and_nan_as_null(spark):
+    """On an engine that reads "order" as a text the null count would be 0 whatever the data."""
+    df = spark.sql("select * from values (1, 2.5D), (null, double('NaN')), (3, null), (4, double('Infinity')), (5, -double('Infinity')) as t(`order`, x)")
+    text = remote_profile_query(df.schema, "t", quote="`")
+    assert "`order`" in text and '"' not in text
+    assert "`order`" in check_queries(df.schema, "t", quote="`")["Null"]
+    engine = duckdb.connect()
+    engine.execute("create table t as select * from (values (1, 2.5::double), (null, 'NaN'::double), (3, null), (4, 'Infinity'::double), (5, '-Infinity'::double)) as t(\"order\", x)")
+    finite = engine.execute(check_queries(df.schema, "t")["Null"]).fetchone()
+    assert finite == (1, 2)
+    assert [r["value"] for r in profile(canonical(df), ["Null"]).collect()] == ["1", "2"]

@@ -1,7 +1,11 @@
 import json
+from datetime import date
 
+import duckdb
 import pytest
+from pyspark.sql import types as T
 
+from tallymark.functions.sqltext import sql_name
 from tallymark.functions.types import TYPE_CODES, UNKNOWN_TYPE
 from tallymark.operators.schema_diff import metadata_diff, missing_columns, schema_diff
 from tallymark.sources.catalog import decode_catalog, describe_columns, resolve_base_table, split_type_text
@@ -13,6 +17,8 @@ from tallymark.sources.readers import (
     filtered,
     jdbc_options,
     read_files,
+    read_jdbc,
+    split_predicates,
     read_location,
     read_query,
 )
@@ -190,8 +196,60 @@ def test_jdbc_options():
 
 
 def test_texts_sent_to_the_source():
-    assert bounds_query("a", query="select a from t") == "select min(a) as lo, max(a) as hi from (select a from t) a"
-    assert bounds_query("a", table="db.t", user="u") == "select min(a) as lo, max(a) as hi from db.t"
+    assert bounds_query("a", 2, "(select a from t) a") == "select percentile_disc(0.5) within group (order by a) as b1 from (select a from t) a"
+    assert bounds_query('"order"', 1, "db.t") == "select null as b1 from db.t"
     assert columns_query("db.o'x", "dbc.columns") == (
         "select * from dbc.columns where databasename = 'db' and tablename = 'o''x'"
     )
+
+
+def test_split_predicates():
+    whole, text, day = T.LongType(), T.StringType(), T.DateType()
+    assert split_predicates("k", [1, 1, 5, None], whole) == ["k <= 1", "k > 1 and k <= 5", "k > 5", "k is null"]
+    assert split_predicates("k", ["o'x"], text) == ["k <= 'o''x'", "k > 'o''x'", "k is null"]
+    assert split_predicates("k", [date(2024, 1, 2)], day)[0] == "k <= date '2024-01-02'"
+    assert split_predicates("k", [None], whole) == ["1 = 1"]
+
+
+SKEWED = "select case when l_partkey % 10 = 0 then null else l_partkey * l_partkey * l_partkey end as \"order\" from lineitem"
+
+
+def test_equal_parts_in_plain_sql():
+    """The texts as another engine runs them: every row in one part, parts of a skewed key of like size."""
+    engine = duckdb.connect()
+    engine.execute("create view lineitem as select * from '/root/testdata/sf0.01/lineitem.parquet'")
+    name = sql_name("order")
+    assert name == '"order"' and sql_name("order", "`") == "`order`" and sql_name("plain", "`") == "plain"
+    bounds = engine.execute(bounds_query(name, 8, f"({SKEWED}) a")).fetchone()
+    sizes = [engine.execute(f"select count(*) from ({SKEWED}) a where {p}").fetchone()[0] for p in split_predicates(name, list(bounds), T.LongType())]
+    total, nulls = engine.execute(f"select count(*), count(*) - count({name}) from ({SKEWED}) a").fetchone()
+    assert len(sizes) == 9 and sizes[-1] == nulls and sum(sizes) == total
+    assert max(sizes[:-1]) < 1.1 * min(sizes[:-1])
+
+
+def test_jdbc_reads_are_split_by_predicates(spark, monkeypatch):
+    """A stand-in for the source: what is asked of it, and in which words."""
+    asked = []
+
+    class Reader:
+        def format(self, _):
+            return self
+
+        def options(self, **options):
+            asked.append(options)
+            return self
+
+        def load(self):
+            text = asked[-1].get("query", "")
+            return spark.sql("select 10 as b1, 20 as b2, 20 as b3" if text else "select 5L as `Order`, 'x' as s")
+
+        def jdbc(self, url, table, predicates, properties):
+            return url, table, predicates, properties
+
+    class Session:
+        read = Reader()
+
+    url, table, predicates, properties = read_jdbc(Session(), "jdbc:x", "order", 4, "`", table="db.t", user="u")
+    assert asked[-1]["query"] == bounds_query("`order`", 4, "db.t") and "dbtable" not in asked[-1]
+    assert (url, table, properties) == ("jdbc:x", "db.t", {"user": "u"})
+    assert predicates == ["`order` <= 10", "`order` > 10 and `order` <= 20", "`order` > 20", "`order` is null"]
