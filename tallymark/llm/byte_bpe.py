@@ -38,7 +38,8 @@ from tallymark.llm.common import pieces
 
 #: Largest size of a vocabulary file.
 VOCABULARY = 64 << 20
-#: Entries that a task remembers of pairs and of pieces before it starts anew, and the longest piece it remembers.
+#: Pairs that a task remembers before it starts anew; pieces that it remembers in each of two generations, of which the
+#: older one goes when the newer is full; and the longest such piece.
 PAIRS, PIECES, PIECE_LENGTH = 1 << 20, 1 << 19, 64
 
 
@@ -52,12 +53,11 @@ class ByteBPE:
         self.ranks = {token: rank for rank, token in self.tokens.items()}
         if len(self.ranks) < len(self.tokens) or any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("a vocabulary holds each token once and all single bytes")
-        self.sizes = {rank: len(token) for token, rank in self.ranks.items()}
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.prefixes: dict[int, int] = {}
         self.pairs: dict[int, dict[int, bool]] = {}
         self.n_pairs = 0
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
@@ -67,6 +67,15 @@ class ByteBPE:
         made.make_automaton()
         return made
 
+    @cached_property
+    def tries(self) -> dict[int, tuple[tuple[int, int], ...]]:
+        """Per token what to try in its place: itself and its prefixes, longest first, each with its size."""
+        made: dict[int, tuple[tuple[int, int], ...]] = {}
+        for token, rank in sorted(self.ranks.items(), key=lambda pair: len(pair[0])):
+            shorter = next((self.ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in self.ranks), None)
+            made[rank] = ((rank, len(token)), *made.get(shorter, ()))
+        return made
+
     def check(self) -> None:
         for rank in self.tokens:
             self._halves(rank)
@@ -89,15 +98,6 @@ class ByteBPE:
         found = self.halves[rank] = (ranks[parts[0]], ranks[parts[1]]) if len(parts) == 2 else None
         return found
 
-    def _shorter(self, rank: int) -> int:
-        """The longest token that is a proper prefix, or -1."""
-        found = self.prefixes.get(rank)
-        if found is None:
-            token, ranks = self.tokens[rank], self.ranks
-            found = next((ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ranks), -1)
-            self.prefixes[rank] = found
-        return found
-
     def _adjacent(self, left: int, right: int) -> bool:
         """Whether the merges leave these two tokens apart.
 
@@ -127,57 +127,54 @@ class ByteBPE:
                 right = made[0]
 
     def _fits(self, last: int, row: dict[int, bool], token: int) -> bool:
-        """`_adjacent`, remembered in the row of the left token."""
+        """`_adjacent`, remembered in the row of the left token; anything may come first."""
         if self.n_pairs >= PAIRS:
             self.pairs.clear()
             self.n_pairs = 0
         self.n_pairs += 1
-        found = row[token] = self._adjacent(last, token)
+        found = row[token] = last < 0 or self._adjacent(last, token)
         return found
 
-    def piece(self, data: bytes) -> array:
+    def piece(self, data: bytes) -> list[int]:
         """The ids of one piece."""
-        size, sizes, pairs, shorter = len(data), self.sizes, self.pairs, self.prefixes
-        longest = array("i", bytes(4 * size))
+        size, pairs, all_tries = len(data), self.pairs, self.tries
+        longest = [0] * size
         for end, (back, rank) in self.automaton.iter(data.decode("latin-1")):
             longest[end - back] = rank
         open_ends = bytearray(b"\x01") * (size + 1)
-        out, at = array("i"), 0
-        token = longest[0] if size else -1
+        out: list[int] = []
+        at, last = 0, -1
+        tries = all_tries[longest[0]] if size else ()
         while at < size:
-            if out:
-                last = out[-1]
-                row = pairs.get(last)
-                if row is None:
-                    row = pairs[last] = {}
-                while token >= 0:
-                    if open_ends[at + sizes[token]]:
-                        fits = row.get(token)
-                        if fits or fits is None and self._fits(last, row, token):
-                            break
-                    token = shorter[token] if token in shorter else self._shorter(token)
-            else:
-                while token >= 0 and not open_ends[sizes[token]]:
-                    token = self._shorter(token)
-            if token >= 0:
-                out.append(token)
-                at += sizes[token]
-                if at < size:
-                    token = longest[at]
+            row = pairs.get(last)
+            if row is None:
+                row = pairs[last] = {}
+            for token, n in tries:
+                if open_ends[at + n]:
+                    fits = row.get(token)
+                    if fits or fits is None and self._fits(last, row, token):
+                        out.append(token)
+                        last = token
+                        at += n
+                        if at < size:
+                            tries = all_tries[longest[at]]
+                        break
             else:
                 open_ends[at] = 0
-                token = out.pop()
-                at -= sizes[token]
+                tries = all_tries[out.pop()]
+                at -= tries[0][1]
+                last = out[-1] if out else -1
         return out
 
     def encode(self, text: str, split: Callable[[str], list[str]]) -> bytes:
         """The ids of a text as 32-bit integers, one after the other."""
-        known, found = self.known, split(text)
-        if len(known) >= PIECES:
-            known.clear()
+        if len(self.known) >= PIECES:
+            self.known, self.older = {}, self.known
+        known, older, found = self.known, self.older, split(text)
         new = set(found).difference(known)
         for piece in new:
-            known[piece] = self.piece(piece.encode()).tobytes()
+            ids = older.get(piece)
+            known[piece] = array("i", self.piece(piece.encode())).tobytes() if ids is None else ids
         out = b"".join(map(known.__getitem__, found))
         for piece in new:
             if len(piece) > PIECE_LENGTH:
