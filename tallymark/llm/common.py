@@ -40,7 +40,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """The frame, written once and read back."""
     path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that `kept` wrote, once what was made from them is written itself."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.kept_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,8 +33,9 @@ from tallymark.llm.graph import components
 
 #: Ratio of a band's largest to its smallest size.
 BAND = 1.2
-#: Nodes per side of a tile.
-TILE = 512
+#: Nodes per side of a tile of sets, and of sketches, which take about a twentieth of the bytes. A family's nodes are
+#: copied once per side, so larger sides shuffle less.
+TILE, SKETCH_TILE = 512, 4096
 #: Key rows a task gathers before it hands them on.
 FLUSH = 1 << 20
 #: Blocks for small d; keys are the combinations of those that d toggles must leave equal.
@@ -164,7 +165,7 @@ def _key_rows(n: int, percent: int, deal: int):
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each node of a key with the key's smallest node, without the keys and without repeats."""
+    """Each node that shares keys here with the smallest node that it is joined with by them, without the keys."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for b in batches:
         for part, *raw in zip(b.column("part").to_pylist(), *[b.column(c).to_pylist() for c in PACKED], strict=True):
@@ -189,10 +190,14 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = v[other], leader[other]
     del v, leader
     if len(a):
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        first = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first])], ["a", "b"])
+        # A node's leaders may have each other's nodes: each goes to the smallest node it is joined with here.
+        nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        forest = _Forest(len(nodes))
+        for i, j in np.unique(place.reshape(2, -1), axis=1).T.tolist():
+            forest.join(i, j)
+        roots = np.array([forest.find(i) for i in range(len(nodes))])
+        other = roots != np.arange(len(nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(nodes[roots[other]])], ["a", "b"])
 
 
 class _Forest:
@@ -242,12 +247,15 @@ def sketch_links(nodes: np.ndarray, sketches: list[np.ndarray], sizes: np.ndarra
     """A spanning forest of the pairs that sketches and sizes can't rule out."""
     order = np.argsort(sizes, kind="stable")
     words = np.array([len(s) for s in sketches])
-    folded: dict[int, np.ndarray] = {}
+    # Partners have as many words or twice as many; only these have rows beside a node's width.
+    folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for width in np.unique(words):
-        rows = np.zeros((len(nodes), width), np.uint64)
-        for i in np.flatnonzero((words == width) | (words == 2 * width)):
-            rows[i] = sketches[i] if words[i] == width else sketches[i][:width] ^ sketches[i][width:]
-        folded[width] = rows
+        those = np.flatnonzero((words == width) | (words == 2 * width))
+        rows, place = np.zeros((len(those), width), np.uint64), np.zeros(len(nodes), np.int64)
+        place[those] = np.arange(len(those))
+        for row, i in zip(rows, those, strict=True):
+            row[:] = sketches[i] if words[i] == width else sketches[i][:width] ^ sketches[i][width:]
+        folded[width] = place, rows
     forest, links = _Forest(len(nodes)), []
     one_side = len(np.unique(sides)) == 1
     ranked = sizes[order]
@@ -256,8 +264,8 @@ def sketch_links(nodes: np.ndarray, sketches: list[np.ndarray], sizes: np.ndarra
         if not one_side:
             rest = rest[sides[rest] != sides[i]]
         if len(rest):
-            rows = folded[words[i]]
-            apart = np.bitwise_count(rows[rest] ^ rows[i]).sum(1, dtype=np.int64)
+            place, rows = folded[words[i]]
+            apart = np.bitwise_count(rows[place[rest]] ^ rows[place[i]]).sum(1, dtype=np.int64)
             for j in rest[(100 + percent) * apart <= (100 - percent) * (sizes[rest] + sizes[i])]:
                 if forest.join(i, j):
                     links.append((int(nodes[i]), int(nodes[j])))
@@ -312,10 +320,10 @@ def _elements(n: int):
     return run
 
 
-def _members(pairs: DataFrame) -> DataFrame:
+def _members(pairs: DataFrame, tile: int) -> DataFrame:
     """node, family, parts: the families of some pairs and the number of sides their tiles have."""
     families = components(pairs)
-    large = kept(families.groupBy("root").agg(F.ceil(F.count("*") / TILE).alias("parts")).where("parts > 1"), "large-families")
+    large = kept(families.groupBy("root").agg(F.ceil(F.count("*") / tile).alias("parts")).where("parts > 1"), "large-families")
     return families.join(large, "root", "left").select("node", F.col("root").alias("family"), F.coalesce("parts", F.lit(1)).alias("parts"))
 
 
@@ -336,12 +344,12 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     rows = kept(source.mapInArrow(_nodes(n), "doc_id long, n_shingles long, node long, elements binary"), "shingle-nodes")
     classes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     packed = source.mapInArrow(_key_rows(n, percent, deal), "part long, keys binary, nodes binary, counts binary")
-    stars = kept(packed.repartition(deal, "part").mapInArrow(_stars, "a long, b long").distinct(), "stars")
+    stars = packed.repartition(deal, "part").mapInArrow(_stars, "a long, b long")
     # Joins of one kind at every size, so that what is shuffled grows with the input and not by steps.
-    sketches = rows.where("n_shingles > 0").select("node", "n_shingles", "elements").join(_members(stars).hint("merge"), "node").dropDuplicates(["node"])
+    sketches = rows.where("n_shingles > 0").select("node", "n_shingles", "elements").join(_members(stars, SKETCH_TILE).hint("merge"), "node").dropDuplicates(["node"])
     closer = _linked(sketches, percent, False, deal)
     # One text per node of a closer family, by the node's first id.
-    ids = kept(classes.join(_members(closer), "node").where("first_id is not null"), "family-nodes")
+    ids = kept(classes.join(_members(closer, TILE), "node").where("first_id is not null"), "family-nodes")
     sets = source.join(ids.hint("merge"), source["doc_id"] == ids["first_id"]).select("text", "node", "family", "parts")
     sets = sets.mapInArrow(_elements(n), "node long, family long, parts long, n_shingles long, elements binary")
     roots = components(_linked(sets, percent, True, deal))
