@@ -107,3 +107,27 @@ def test_licence_files_headers_tags_and_long_lines(spark):
     rows = [(f"d{i}/f", i, text) for i, (_, text) in enumerate(files)]
     got = {r["doc_id"]: r["licence"] for r in licences.scan(spark.createDataFrame(rows, "path string, doc_id long, text string")).collect()}
     assert got == {i: k for i, (k, _) in enumerate(files)}
+
+
+def test_licences_of_rows_without_ids_and_of_late_lines(spark):
+    """Rows that share a path keep their own licences; a file that names its licence late speaks for its directory."""
+    full = (Path(licences.__file__).parent / "licence_texts" / "MIT.txt").read_text()
+    rows = [(None, "Released under the MIT License."), (None, "nothing to see"), (None, "Text.\nLicensed under CC BY 4.0."), (None, None)]
+    docs = spark.createDataFrame([(i, t, "s", "en", 7, 8) for i, t in rows], "doc_id long, text string, source string, lang string, line int, ends int")
+    got = {r["path"]: (r["licence"], r["origin"]) for r in licences.scan(licences.with_paths(docs)).collect()}
+    assert sorted(map(str, got.values())) == sorted(map(str, [("MIT", "own"), (None, "none"), ("CC-BY-4.0", "own"), (None, "none")]))
+    same = spark.createDataFrame([("a/x.txt", i, t) for i, t in rows], "path string, doc_id long, text string")
+    own = [r["licence"] for r in licences.scan(same).collect() if r["origin"] == "own"]
+    assert sorted(own) == ["CC-BY-4.0", "MIT"]
+    late = "A project.\n\nBy some people.\n\nVersion 1.\n\n" + full
+    files = [("b/LICENCE", 1, late), ("b/c/code.txt", 2, "no word of it"), ("d/code.txt", 3, "no word of it")] * 2
+    got = {r["doc_id"]: (r["licence"], r["origin"]) for r in licences.scan(spark.createDataFrame(files, "path string, doc_id long, text string")).collect()}
+    assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: (None, "none")}
+
+
+def test_candidates_are_known_by_ids(spark):
+    """No join, window or grouping goes by a text."""
+    files = spark.createDataFrame([("a/x", 1, "Released under the MIT License.\nmore")], "path string, doc_id long, text string")
+    lines = files.selectExpr("unhex(md5(text)) as line_id", "text as line")
+    plan = licences.matched_lines(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(line#" not in plan and "hashpartitioning(text" not in plan
