@@ -69,10 +69,14 @@ def _copies():
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ceiling: int = 3) -> DataFrame:
-    """Each document as often as the mix takes it; `copy` counts from 0."""
-    rows = sized(docs)
+    """Each document as often as the mix takes it; `copy` counts from 0 and replaces a column of that name.
+
+    The row travels as one struct, so its columns may have any name.
+    """
+    names = [c for c in docs.columns if c != "copy"]
+    rows = sized(docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")))
     per = kept(targets(kept(rows.select("source", "mix_size"), "mix-sizes"), weights, ceiling), "mix-targets")
     per = per.select(F.col("source").alias("mix_source"), "rate")
     df = rows.join(per, F.col("source").eqNullSafe(F.col("mix_source")), "left").withColumn("mix_copies", _copies())
     copy = F.explode(F.expr("sequence(0, cast(mix_copies as int) - 1)")).alias("copy")
-    return df.where("mix_copies > 0").select(*[docs[c] for c in docs.columns], copy)
+    return df.where("mix_copies > 0").select("row.*", copy)

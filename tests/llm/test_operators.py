@@ -411,6 +411,16 @@ def test_a_row_per_row_whatever_the_table(spark, small):
         assert out.count() == 0, out.columns
 
 
+def test_mix_takes_columns_of_any_name(small):
+    plain = mixing.mixed_documents(small)
+    names = ["rate", "mix_source", "mix_size", "mix_draw", "mix_copies", "row", "target", "weight", "odd.name"]
+    clashing = mixing.mixed_documents(small.withColumns({n: F.lit(n) for n in [*names, "copy"]}))
+    assert clashing.columns == [*small.columns, *names, "copy"]
+    rows = clashing.collect()
+    assert Counter((r["doc_id"], r["text"], r["copy"]) for r in rows) == Counter((r["doc_id"], r["text"], r["copy"]) for r in plain.collect())
+    assert all(r[n] == n for r in rows for n in names)
+
+
 def test_sketches_rule_out_no_link():
     rng = np.random.default_rng(3)
     sets = []
