@@ -9,7 +9,8 @@ whitened by their own kernel matrix, is the feature vector of a linear machine w
 Training is by sentences: a sentence of a toxic text is toxic through its worst word, the one of the highest value; which
 words these are is decided and learned in turn. The machine sees single words, so an insult made of ordinary words gives
 no evidence beyond theirs. Only a word that stands in significantly more toxic rows than the labels' base rate gives can
-make a sentence toxic, and only if the kernel can tell it from the words of clean rows. Toxic rows without such a word
+make a sentence toxic, and only if the kernel can tell it from the words of clean rows: one because of which the machine
+takes clean words for toxic is given up, and the machine trained anew. Toxic rows without such a word
 bring no positives, so what is peculiar to them by chance isn't learned. All words of the clean rows are negatives. The
 rows are sorted first: their order doesn't matter. A logistic curve over the values of a text's `TOP` worst different
 words, fitted on the labelled texts, gives its score. As kernel sums are linear in the subsequences, all landmarks fold
@@ -236,6 +237,8 @@ WORDS = 1 << 21
 TOP, FLOOR = 3, -1.0
 #: Chance at which any word of the labelled rows counts as telling though it is not.
 LEVEL = 0.01
+#: Rounds of training without a positive given up.
+ROUNDS = 3
 #: Kernel from which on words are near, and the toxic rows among those of the words near a telling one.
 NEAR, PURE = 0.5, 0.9
 
@@ -307,6 +310,16 @@ def _told_apart(words: list[bytes], able: np.ndarray, toxic: np.ndarray, clean:
     return out
 
 
+def _not_kept_apart(words: list[bytes], positive: np.ndarray, taken: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
+    """The positives because of which the machine takes words of clean rows for toxic: each such word counts against the
+    nearest positive, and a positive must hold `PURE` of the rows that it brings."""
+    if not len(taken):
+        return taken
+    near = _matrix([words[i] for i in taken], Landmarks([words[i] for i in positive]))
+    against = np.bincount(near.argmax(1), weights=clean[taken], minlength=len(positive))
+    return positive[against * PURE > (1 - PURE) * toxic[positive]]
+
+
 def _evidence(values: np.ndarray) -> np.ndarray:
     """The highest values of a text's different words, from `FLOOR` on, as features of its score."""
     found = np.full(TOP, FLOOR)
@@ -352,14 +365,16 @@ def train(rows: list[tuple[str, int]], seed: int = 3) -> Model | None:
     # Only words that stand in toxic rows beyond chance can make a sentence toxic; rows without one bring no positives.
     able = _significant(toxic_rows, clean_rows, counts[1] / len(rows))
     able = _told_apart(words, able, toxic_rows, clean_rows)
-    toxic = [[[number[w] for w in s if able[number[w]]] for s in sentences] for sentences, y in bags if y == 1]
+    toxic = [[[number[w] for w in s] for s in sentences] for sentences, y in bags if y == 1]
     worth = apart.copy()
     hard = np.ones(len(clean))
     w = b = None
-    for _ in range(3):
+    done = 0
+    while done < ROUNDS:
         witness: Counter = Counter()
         for sentences in toxic:
-            witness.update({s[int(np.argmax(worth[s]))] for s in sentences if s})
+            known = [[i for i in s if able[i]] for s in sentences]
+            witness.update({s[int(np.argmax(worth[s]))] for s in known if s})
         if not witness or not len(clean):
             return None
         positive = np.array(sorted(witness))
@@ -370,6 +385,10 @@ def train(rows: list[tuple[str, int]], seed: int = 3) -> Model | None:
         worth = x @ w + b
         # Clean words near the margin are drawn more often in the next round.
         hard = np.where(worth[clean] > -1, 20.0, 1.0)
+        taken = clean[worth[clean] > 0]
+        lost = _not_kept_apart(words, positive, taken, toxic_rows, clean_rows)
+        able[lost] = False
+        done = done + 1 if not len(lost) else 0
     each = [np.unique([number[u] for s in sentences for u in s]) for sentences, _ in bags]
     found = np.array([_evidence(worth[i.astype(int)]) for i in each])
     label = np.array([y for _, y in bags], float)
