@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.sqltext import quoted
+from tallymark.functions.sqltext import quoted, sql_type
 from tallymark.session import written
 
 #: Sampled rows per part; rows of a part at least; columns and characters of a text of the first sample's prefix.
@@ -24,25 +24,25 @@ def sort_key(columns: list[str]) -> str:
 
 
 def _prefix(schema: T.StructType, columns: list[str], n_columns: int, letters: int) -> str:
-    """The sort key, cut: texts after some letters, later columns to the lowest key of all.
+    """The sort key, cut: texts after some letters, and what follows a cut text or so many columns to the lowest key.
 
     Any value is a good splitter, so a cut key need not be one of the table's.
     """
-    fields = []
+    fields, cut = [], ["false"]
     for i, c in enumerate(columns):
         kind, name = schema[c].dataType, quoted(c)
+        lowest = f"cast(null as {sql_type(kind)})"
         if i >= n_columns:
-            fields += [f"false as n{i}", f"cast(null as {_typed(kind)}) as v{i}"]
-        else:
-            text = isinstance(kind, (T.StringType, T.BinaryType))
-            fields += [f"{name} is null as n{i}", f"{f'substring({name}, 1, {letters})' if text else name} as v{i}"]
+            fields += [f"false as n{i}", f"{lowest} as v{i}"]
+            continue
+        text = isinstance(kind, (T.StringType, T.BinaryType))
+        after, value = " OR ".join(cut), f"substring({name}, 1, {letters})" if text else name
+        fields += [f"if({after}, false, {name} is null) as n{i}", f"if({after}, {lowest}, {value}) as v{i}"]
+        if text:
+            cut.append(f"coalesce(length({name}) > {letters}, false)")
     return f"struct({', '.join(fields)})"
 
 
-def _typed(kind: T.DataType) -> str:
-    return kind.simpleString()
-
-
 def splitters(rows: DataFrame, columns: list[str], parts: int, n_rows: int) -> DataFrame:
     """One row with ``cuts``, a sorted array of at most ``parts - 1`` keys that deal the rows to about equal parts.
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tallymark.functions.types import CHAR_VARCHAR_KEY, lower_names
 from tallymark.operators.buckets import bag_diff_by_buckets
 from tallymark.operators.checks import check_compare, check_summary, row_count_check, table_verdict
+from tallymark.operators.discovery import candidate_keys, renamed_columns
 from tallymark.operators.hash_profile import hash_profile, hash_profile_compare, hash_profile_long
 from tallymark.operators.incremental import profile_incremental
 from tallymark.operators.multiset import bag_diff, table_equality
@@ -403,6 +404,45 @@ def q_missing_columns(spark, folder):
     return missing_columns(table(spark, folder, "orders"), table(spark, folder, "orders_variant"))
 
 
+_RENAMES = {"o_custkey": "customer", "o_orderpriority": "urgency", "o_orderdate": "placed", "o_totalprice": "other"}
+
+
+@query("""
+    WITH s AS (SELECT unnest(['o_custkey', 'o_orderpriority', 'o_orderdate', 'o_totalprice']) AS source_column, unnest([o_custkey::VARCHAR, o_orderpriority, o_orderdate::VARCHAR, o_totalprice::VARCHAR]) AS v FROM orders),
+         t AS (SELECT unnest(['customer', 'urgency', 'placed', 'other']) AS target_column, unnest([o_custkey::VARCHAR, o_orderpriority, o_orderdate::VARCHAR, (o_totalprice + 1000000)::VARCHAR]) AS v FROM orders WHERE o_orderkey % 10 <> 0),
+         d AS (SELECT DISTINCT source_column, v FROM s), e AS (SELECT DISTINCT target_column, v FROM t),
+         n AS (SELECT source_column, count(*) AS n FROM d GROUP BY ALL), m AS (SELECT target_column, count(*) AS m FROM e GROUP BY ALL),
+         b AS (SELECT source_column, target_column, count(*) AS c FROM d JOIN e USING (v) GROUP BY ALL)
+    SELECT source_column, target_column FROM b JOIN n USING (source_column) JOIN m USING (target_column) WHERE c >= 0.5 * (n + m - c)""")
+def q_renamed_columns(spark, folder):
+    """Three renamed columns are told; one that was lost and another that was gained are not a pair."""
+    orders = table(spark, folder, "orders")
+    target = orders.where("o_orderkey % 10 <> 0").withColumn("o_totalprice", F.col("o_totalprice") + 1000000).withColumnsRenamed(_RENAMES)
+    return renamed_columns(orders, target).select("source_column", "target_column")
+
+
+def _keys_sql(name: str, columns: list[str]) -> str:
+    full = " AND ".join(f"(SELECT count({c}) FROM {name}) = (SELECT count(*) FROM {name})" for c in ["{0}", "{1}"])
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    one = "(SELECT count(DISTINCT {0}) FROM {1}) = (SELECT count(*) FROM {1})"
+    two = "(SELECT count(*) FROM (SELECT DISTINCT {0}, {1} FROM {2})) = (SELECT count(*) FROM {2})"
+    parts = [f"SELECT '{name}' AS of_table, '{c}' AS key, 1 AS n_columns WHERE {one.format(c, name)}" for c in columns]
+    parts += [
+        f"SELECT '{name}', '{a}, {b}', 2 WHERE {two.format(a, b, name)} AND NOT {one.format(a, name)} AND NOT {one.format(b, name)} AND {full.format(a, b)}"
+        for a, b in pairs
+    ]
+    return " UNION ALL ".join(parts)
+
+
+_KEYED = {"orders": list(ORDERS), "customer": list(CUSTOMER), "lineitem": ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"]}
+
+
+@query(" UNION ALL ".join(_keys_sql(name, columns) for name, columns in _KEYED.items()))
+def q_candidate_keys(spark, folder):
+    parts = [candidate_keys(table(spark, folder, name).select(*columns)).select(F.lit(name).alias("of_table"), "*") for name, columns in _KEYED.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
 # ---------------------------------------------------------------- rows and cells
 
 _ORDER_COLUMNS, _LINE_COLUMNS = list(ORDERS), list(LINEITEM)

@@ -31,13 +31,15 @@ def work_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster that would lie on one machine.
     """
     context = spark.sparkContext
+    # `local-cluster[…]` has executors in processes of their own.
+    local = context.master == "local" or context.master.startswith("local[")
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallymark-"))
         folder = context.getCheckpointDir()
-    if not context.master.startswith("local") and re.match(r"(file:/+)?(tmp|var/tmp)/", folder.removeprefix("/")):
+    if not local and re.match(r"(file:/+)?(tmp|var/tmp)/", folder.removeprefix("/")):
         raise RuntimeError(f"{folder} lies on each machine by itself; set spark.checkpoint.dir to a shared folder")
     return folder.rstrip("/")
 
