@@ -224,18 +224,18 @@ def numbered(runs: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     Sorted parts split even the largest group. Each sums its own runs; then the totals of a group's earlier parts are
     added. Written out in between, so that both steps see the same parts.
     """
-    parts = sorted_parts(written(runs, "runs"), group + order)
+    parts, n_parts = sorted_parts(written(runs, "runs"), group + order)
     ordering = ", ".join(f"{c} ASC NULLS LAST" for c in order) or "part"
     before = f"""(PARTITION BY {", ".join(["part"] + group)} ORDER BY {ordering}
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
-    local = written(
-        parts.selectExpr(
-            "*",
-            f"coalesce(sum({N_SOURCE}) OVER {before}, 0L) as source_at",
-            f"coalesce(sum({N_TARGET}) OVER {before}, 0L) as target_at",
-        ),
-        "parts",
+    local = parts.selectExpr(
+        "*",
+        f"coalesce(sum({N_SOURCE}) OVER {before}, 0L) as source_at",
+        f"coalesce(sum({N_TARGET}) OVER {before}, 0L) as target_at",
     )
+    if n_parts == 1:
+        return local.drop("part")
+    local = written(local, "parts")
     # Only a part's first and last group can have rows in another part, so the totals are at most two rows per part.
     # That bound makes the broadcasts safe.
     key = sort_key(group)

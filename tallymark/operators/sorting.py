@@ -15,7 +15,7 @@ from tallymark.functions.sqltext import quoted, sql_type
 from tallymark.session import written
 
 #: Sampled rows per part; rows of a part at least; columns and characters of a text of the first sample's prefix.
-SAMPLED, LEAST, COLUMNS, LETTERS = 24, 4096, 4, 16
+SAMPLED, LEAST, COLUMNS, LETTERS = 24, 1 << 16, 4, 16
 
 
 def sort_key(columns: list[str]) -> str:
@@ -68,8 +68,8 @@ def splitters(rows: DataFrame, columns: list[str], parts: int, n_rows: int) -> D
         n_columns, letters = 4 * n_columns, 8 * letters
 
 
-def sorted_parts(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows with ``part``: each part lies in one task, and its keys sort before those of the next.
+def sorted_parts(rows: DataFrame, columns: list[str]) -> tuple[DataFrame, int]:
+    """The rows with ``part``, and the number of parts: each lies in one task, and its keys sort before those of the next.
 
     ``rows`` should be a written table: it is counted, sampled and read.
     """
@@ -77,10 +77,10 @@ def sorted_parts(rows: DataFrame, columns: list[str]) -> DataFrame:
     most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(most, -(-n_rows // LEAST)))
     if parts == 1:
-        return rows.withColumn("part", F.lit(0)).coalesce(1)
+        return rows.coalesce(1).withColumn("part", F.lit(0)), 1
     cuts = splitters(rows, columns, parts, n_rows)
     steps = ", ".join(str(1 << k) for k in reversed(range(parts.bit_length())))
     key = sort_key(columns)
     search = f"aggregate(array({steps}), 0, (at, step) -> if(at + step <= size(cuts) AND cuts[at + step - 1] <= {key}, at + step, at))"
     placed = rows.withColumn("cuts", cuts.scalar()).selectExpr(*[quoted(c) for c in rows.columns], f"{search} as part")
-    return placed.repartitionById(parts, F.col("part"))
+    return placed.repartitionById(parts, F.col("part")), parts

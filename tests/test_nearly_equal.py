@@ -159,7 +159,7 @@ def test_sorted_parts(spark, monkeypatch):
     data = [(rng.choice([None, "a", "b"]), "prefix" * 20 + str(rng.randrange(10**6)), rng.choice([None, 1.5, -2.0]), i) for i in range(4000)]
     df = written(spark.createDataFrame(data, "flag string, text string, x double, id int"), "sorted")
     columns = ["flag", "text", "x", "id"]
-    got = sorting.sorted_parts(df, columns).withColumn("task", F.spark_partition_id()).collect()
+    got = sorting.sorted_parts(df, columns)[0].withColumn("task", F.spark_partition_id()).collect()
     assert sorted(r["id"] for r in got) == list(range(4000))
     assert len({(r["part"], r["task"]) for r in got}) == len({r["part"] for r in got}) == 8
 
