@@ -35,7 +35,7 @@ from tallymark.llm.graph import components
 BAND = 1.2
 #: Nodes per side of a tile of sets, and of sketches, which take about a twentieth of the bytes. A family's nodes are
 #: copied once per side, so larger sides shuffle less.
-TILE, SKETCH_TILE = 512, 16384
+TILE, SKETCH_TILE = 512, 8192
 #: Key rows a task gathers before it hands them on.
 FLUSH = 1 << 20
 #: Blocks for small d; keys are the combinations of those that d toggles must leave equal.
