@@ -1,11 +1,12 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Documents are cut into overlapping windows of words. Terms are the words of the benchmark; their weights are
-sqrt(frequency in the window) * inverse window frequency over all documents; terms of more than `COMMON` of all windows
-and other words count in the length of a window's vector only. An item whose copy among other words would not reach the
-cosine limit by its rarer terms has as many of the common ones searched as it takes, rarest first. A randomised singular value decomposition of the windows that can reach the cosine limit at all
+sqrt(frequency in the window) * inverse window frequency over all documents; other words count in the length of a
+window's vector only. All terms are searched, however common they are. What is left out before is only what can't be
+reported: windows whose known terms can't reach the cosine limit, and stretches of a text whose words, all taken
+together, hold too little of every item for the last check. A randomised singular value decomposition of the other windows
 (and of the benchmark items) gives the latent space: sketch A'A Omega by tasks, orthonormal basis, then the small
-matrix in that basis, again by tasks. Items are searched by latent cosine against every window, and candidates are
+matrix in that basis, again by tasks. Items are searched by latent cosine against these windows, and candidates are
 verified by the weight of the longest common subsequence of words in the window's surroundings, and of the item's last
 sentence, its answer.
 
@@ -38,8 +39,10 @@ ITEMS = 256
 WORDS = 1 << 15
 #: Words of half a window, where that does; windows begin at each multiple of it. 0 stands for windows of one word.
 HALF = 16
-#: Share of windows from which on a term is too common to be searched by, unless an item needs it.
-COMMON = 1 / 500
+#: Words of a stretch at least; of stretch and term pairs that a task works on at once.
+STRETCH, PAIRS = 16 * HALF, 1 << 13
+#: Text bytes that a task works on at once.
+BYTES = 1 << 18
 #: What a copy at the worst place has to reach, as a share of the limit: the latent space loses some of a cosine.
 SPARE = 1.05
 #: Further columns of the random sketch.
@@ -113,7 +116,7 @@ def _frequencies(terms: Terms):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, total = np.zeros(len(terms), np.int64), 0
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=BYTES):
             words, first = _words(piece)
             starts, _ = _halves(first)
             term = terms.of(words)
@@ -130,12 +133,49 @@ def _frequencies(terms: Terms):
     return run
 
 
-def _windows(terms: Terms, full: np.ndarray, weights: np.ndarray, other: float, least: float, half: int, longest: int):
-    """Windows whose known terms could reach the cosine: doc_id, length of the vector, terms inside, terms around."""
+def _shares(terms: Terms, items: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """terms x items: the share of the item's weight that its copies of the term have."""
+    out = np.zeros((len(terms), len(items)), np.float32)
+    for j, i in enumerate(items):
+        weight = np.bincount(terms.items[i], full[terms.items[i]], len(terms))
+        out[:, j] = weight / max(weight.sum(), 1e-12)
+    return out
+
+
+def held_shares(term: np.ndarray, low: np.ndarray, high: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """The largest share of an item that the terms from each `low` to before `high` hold. No common subsequence has more."""
+    known = np.flatnonzero(term >= 0)
+    low, high = np.searchsorted(known, low), np.searchsorted(known, high)
+    sizes = high - low
+    place = np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    pair = np.unique(np.repeat(np.arange(len(low)), sizes) * len(shares) + term[known[place]])
+    owner, one = pair // len(shares), pair % len(shares)
+    cuts = np.searchsorted(owner, np.arange(len(low) + 1))
+    out, at = np.zeros(len(low)), 0
+    while at < len(low):
+        end = max(at + 1, int(np.searchsorted(cuts, cuts[at] + PAIRS, "right")) - 1)
+        full = at + np.flatnonzero(cuts[at + 1 : end + 1] > cuts[at:end])
+        if len(full):
+            held = np.add.reduceat(shares[one[cuts[at] : cuts[end]]], cuts[full] - cuts[at], axis=0)
+            out[full] = held.max(1)
+        at = end
+    return out
+
+
+def _windows(terms: Terms, full: np.ndarray, weights: np.ndarray, other: float, limits: Limits, half: int, items: np.ndarray):
+    """Windows that could reach the limits with some of the items: doc_id, length of the vector, terms inside, terms around."""
     length, rare = np.append(full, other) ** 2, np.append(weights, 0.0) ** 2
+    longest = max(len(terms.items[i]) for i in items)
+    stretch = max(STRETCH, -(-longest // HALF) * HALF)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        shares = _shares(terms, items, full)
+
+        def reached(term, first, text, begin, size, shares):
+            low, high = np.maximum(first[text], begin - longest), np.minimum(first[text + 1], begin + size + longest)
+            return held_shares(term, low, high, shares) >= limits.common_with_answer - 1e-4
+
+        for piece in pieces(batches, limit=BYTES):
             words, first = _words(piece)
             if not len(words):
                 continue
@@ -146,8 +186,15 @@ def _windows(terms: Terms, full: np.ndarray, weights: np.ndarray, other: float,
             follows = np.append(owner[1:] == owner[:-1], False) & (half > 0)
             whole = whole + np.where(follows, np.append(whole[1:], 0.0), 0.0)
             known = known + np.where(follows, np.append(known[1:], 0.0), 0.0)
-            good = np.flatnonzero(known >= least**2 * whole)
-            good = good[known[good] > 0]
+            good = np.flatnonzero((known >= limits.cosine**2 * whole) & (known > 0))
+            if not len(good):
+                continue
+            # The surroundings of all windows that begin in a stretch lie in its words and those beside it.
+            begin, text = _halves(first, stretch)
+            own = np.searchsorted(begin, starts[good], "right") - 1
+            some, own = np.unique(own, return_inverse=True)
+            good = good[reached(term, first, text[some], begin[some], stretch + _size(half), shares)[own]]
+            good = good[reached(term, first, owner[good], starts[good], _size(half), shares)]
             if not len(good):
                 continue
             inside, around = [], []
@@ -331,23 +378,6 @@ def parted(item: np.ndarray, seen: np.ndarray, full: np.ndarray, other: float, l
         yield from parted(item, seen, full, other, least, step // 2)
 
 
-def searchable(
-    items: list[np.ndarray], seen: np.ndarray, total: int, full: np.ndarray, other: float, least: float, half: int = HALF
-) -> np.ndarray:
-    """Which terms of the parts are searched: all rare ones, and of each part as many more as its copy needs, all if they don't do."""
-    out = np.zeros(len(seen), bool)
-    out[np.concatenate(items)] = True
-    out &= seen <= COMMON * total
-    rare = out.copy()
-    for item in items:
-        terms, cosine = reach(item, seen, full, other, half)
-        enough = np.flatnonzero(cosine >= SPARE * least)
-        n = int(enough[0]) + 1 if len(enough) else len(terms)
-        if n > rare[terms].sum():
-            out[terms[:n]] = True
-    return out
-
-
 SCHEMA = "doc_id long, item_id long, cosine double, common double, answer double"
 
 
@@ -370,17 +400,18 @@ def _lot(docs: DataFrame, items: list[tuple[int, str]], limits: Limits) -> Itera
     for half, those in sorted(parts.items(), reverse=True):
         for at in range(0, len(those), ITEMS):
             block = those[at : at + ITEMS]
-            searched = searchable([p for _, p in block], seen, total, full, other, limits.cosine, half)
-            weights = np.where(searched, full, 0.0)
+            weights = np.zeros(len(terms))
+            searched = np.unique(np.concatenate([p for _, p in block]))
+            weights[searched] = full[searched]
             yield _block(source, terms, block, half, full, weights, other, limits)
 
 
 def _block(
     source: DataFrame, terms: Terms, block: list[tuple[int, np.ndarray]], half: int, full: np.ndarray, weights: np.ndarray, other: float, limits: Limits
 ) -> DataFrame:
-    longest = max(len(terms.items[i]) for i, _ in block)
+    item = np.array([i for i, _ in block])
     found = source.mapInArrow(
-        _windows(terms, full, weights, other, limits.cosine, half, longest), "doc_id long, length double, inside binary, around binary"
+        _windows(terms, full, weights, other, limits, half, np.unique(item)), "doc_id long, length double, inside binary, around binary"
     )
     windows = kept(found, "windows")
     raw = [p.astype(np.int32).tobytes() for _, p in block]
@@ -389,7 +420,6 @@ def _block(
     row, term, value = _vectors(raw, np.maximum(lengths, 1e-12), weights)
     dense[row, term] = value
     basis = latent_basis(windows, dense, weights)
-    item = np.array([i for i, _ in block])
     return windows.mapInArrow(_search(terms, full, weights, basis, dense @ basis, item, limits), SCHEMA)
 
 

@@ -35,6 +35,26 @@ def test_copies_of_items_with_frequent_words(spark):
     got = decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
 
+def test_partial_copies_among_common_words_are_found(spark):
+    """Pairs that meet the limits by common words only: half of an item, beside rare words of other items."""
+    rng = random.Random(21)
+    common = [f"k{i}" for i in range(60)]
+    docs = [(i, [rng.choice(common) if rng.random() < 0.5 else w for w in prose(rng, 200)]) for i in range(200)]
+    items, want = [], set()
+    for i in range(12):
+        item = rng.sample(common, 20) + prose(rng, 2)
+        rng.shuffle(item)
+        items.append((i, item))
+    for i, item in items:
+        # The words that are not common are others; what stays is common in more than one window of 500.
+        copy = [w if w in common else "changed" for w in item]
+        for k in range(3):
+            docs.append((1000 + 10 * i + k, prose(rng, 16 * k) + copy + prose(rng, 60)))
+            want.add((1000 + 10 * i + k, i))
+    tables = [spark.createDataFrame([(i, " ".join(words)) for i, words in rows], f"{name} long, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    got = decontamination.leaks(*tables).collect()
+    assert want == {(r["doc_id"], r["item_id"]) for r in got}
+
 
 @pytest.fixture(scope="module")
 def insults():
