@@ -210,7 +210,7 @@ def q_jdbc_split_bounds(spark, folder):
     """The texts that split a JDBC read, here answered by a view over a key of squares."""
     place = "tallymark_lines"
     table(spark, folder, "lineitem").selectExpr("l_partkey * l_partkey as k").createOrReplaceTempView(place)
-    bounds = read_query(spark, bounds_query("k", 8, place)).first()
+    bounds = read_query(spark, bounds_query("k", 8, place, spread=True)).first()
     parts = split_predicates("k", list(bounds), T.LongType())
     rows = read_query(spark, f"select case {' '.join(f'when {p} then {i}' for i, p in enumerate(parts))} end as part, k from {place}")
     return rows.groupBy("part").agg(F.count("*").alias("n_rows"), F.min("k").alias("lowest"), F.max("k").alias("highest"))

@@ -86,12 +86,53 @@ def read_jdbc(spark: SparkSession, url: str, partition_column=None, partitions:
     return spark.read.jdbc(url, place, predicates=split_predicates(name, list(bounds), kind), properties=own)
 
 
-def bounds_query(column: str, partitions: int, place: str) -> str:
-    """SQL for one row of the values that part ``place`` into equal numbers of rows by ``column``."""
+def bounds_query(column: str, partitions: int, place: str, spread: bool = False) -> str:
+    """SQL for one row of the values that part ``place`` into equal numbers of rows by ``column``.
+
+    With ``spread`` the text is that of ``spread_bounds_query``.
+    """
+    if spread and partitions > 1:
+        return spread_bounds_query(column, partitions, place)
     shares = [f"percentile_disc({i / partitions!r}) within group (order by {column}) as b{i}" for i in range(1, partitions)]
     return f"select {', '.join(shares) or 'null as b1'} from {place}"
 
 
+#: Bins into which `spread_bounds_query` deals the values, and what a bin holds again, how often.
+BINS, LEVELS = 1024, 2
+
+
+def spread_bounds_query(column: str, partitions: int, place: str) -> str:
+    """The row of ``bounds_query`` for whole numbers and decimals, where Spark itself answers.
+
+    Its ``percentile_disc`` gathers all values in one task. Here values are counted, then the bins of equal width that
+    their range falls into, and only the bins that hold a bound are looked into, by bins of their own, and at last by value.
+    Rounding keeps the order of values, so their order among bins is exact however they lie.
+    """
+    if partitions < 2:
+        return bounds_query(column, partitions, place)
+    wanted = " union all ".join(f"select {i} as i" for i in range(1, partitions))
+    steps = [
+        f"v as (select {column} as k, count(*) as n from {place} where {column} is not null group by {column})",
+        "t as (select sum(n) as total from v)",
+        f"q as (select i * total as r from ({wanted}) i cross join t)",
+        "r0 as (select k, n, cast(0 as bigint) as g, cast(0 as bigint) as below from v)",
+    ]
+    for j in range(LEVELS):
+        bin_ = f"case when e.wide = 0 then 0 else floor((r.k * 1e0 - e.low) / e.wide * {BINS - 1}) end"
+        steps += [
+            f"e{j} as (select g, min(k) * 1e0 as low, max(k) * 1e0 - min(k) * 1e0 as wide from r{j} group by g)",
+            f"x{j} as (select r.k, r.n, r.g * {BINS} + cast({bin_} as bigint) as g, r.below from r{j} r join e{j} e on r.g = e.g)",
+            f"h{j} as (select g, below, sum(n) as n from x{j} group by g, below)",
+            f"c{j} as (select g, n, below + sum(n) over (partition by below order by g) - n as below from h{j})",
+            f"""w{j} as (select distinct c.g, c.below from c{j} c join q
+                on c.below * {partitions} < q.r and q.r <= (c.below + c.n) * {partitions})""",
+            f"r{j + 1} as (select x.k, x.n, x.g, w.below from x{j} x join w{j} w on x.g = w.g)",
+        ]
+    steps.append(f"u as (select k, below + sum(n) over (partition by g order by k) as upto from r{LEVELS})")
+    bounds = [f"min(case when u.upto * {partitions} >= {i} * t.total then u.k end) as b{i}" for i in range(1, partitions)]
+    return f"with {', '.join(steps)} select {', '.join(bounds)} from t left join u on true"
+
+
 def split_predicates(column: str, bounds: list, kind: T.DataType) -> list[str]:
     """One condition per part: up to each bound, past the last, and without a value. Every row meets exactly one.
 

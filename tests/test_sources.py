@@ -19,6 +19,7 @@ from tallymark.sources.readers import (
     read_files,
     read_jdbc,
     split_predicates,
+    spread_bounds_query,
     read_location,
     read_query,
 )
@@ -203,6 +204,22 @@ def test_texts_sent_to_the_source():
     )
 
 
+@pytest.mark.parametrize("values", ["id", "id * id", "id % 7", "cast(pow(1.7, id % 70) as bigint)", "if(id < 900, 5, id - 500)", "if(id % 5 = 0, null, -id)", "9000000000000000000 + id", "cast(id as decimal(20,2)) / 3", "cast(null as bigint)"])
+def test_spread_bounds_are_the_quantiles(spark, values):
+    spark.range(1000).selectExpr(f"{values} as k").createOrReplaceTempView("spread_values")
+    known = sorted(r["k"] for r in spark.table("spread_values").where("k is not null").collect())
+    for parts in (1, 8):
+        want = [known[-(-i * len(known) // parts) - 1] if known else None for i in range(1, parts)] or [None]
+        assert list(spark.sql(spread_bounds_query("k", parts, "spread_values")).first()) == want
+
+
+def test_spread_bounds_gather_no_values(spark):
+    """Neither all values as one state nor as one window."""
+    spark.range(1000).selectExpr("id as k").createOrReplaceTempView("spread_values")
+    plan = spark.sql(spread_bounds_query("k", 8, "spread_values"))._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "Window" in plan and "windowspecdefinition(k" not in plan
+
+
 def test_split_predicates():
     whole, text, day = T.LongType(), T.StringType(), T.DateType()
     assert split_predicates("k", [1, 1, 5, None], whole) == ["k <= 1", "k > 1 and k <= 5", "k > 5", "k is null"]
