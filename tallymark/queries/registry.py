@@ -294,14 +294,14 @@ def q_profile_lineitem(spark, folder):
 
 @query(o.profile_sql("orders_target", ORDERS))
 def q_profile_incremental(spark, folder):
-    """A table that grows by a file, changes one and loses one between two profiles."""
+    """A table that grows by files, changes some and loses one between two profiles."""
     orders, path, store = table(spark, folder, "orders_target"), new_folder(spark, "growing"), new_folder(spark, "profiles")
     parts = [f"{path}/part={i}" for i in range(3)]
     halves = [orders.where(f"pmod(o_orderkey, 2) = {i}") for i in range(2)]
-    halves[0].coalesce(1).write.parquet(parts[0])
+    halves[0].write.parquet(parts[0])
     halves[0].limit(10).coalesce(1).write.parquet(parts[1])
     profile_incremental(spark, f"{path}/part=*", store)
-    halves[1].coalesce(1).write.mode("overwrite").parquet(parts[1])
+    halves[1].write.mode("overwrite").parquet(parts[1])
     return profile_incremental(spark, f"{path}/part=*", store)
 
 

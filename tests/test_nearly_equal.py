@@ -279,3 +279,17 @@ def test_candidate_keys(spark):
     assert [r["key"] for r in candidate_keys(nearly).collect()] == ["k, p"]
     three = spark.range(4096).selectExpr("id % 16 as a", "id div 16 % 16 as b", "id div 256 as c")
     assert [r["key"] for r in candidate_keys(three, 3).collect()] == ["a, b, c"] and candidate_keys(three).count() == 0
+
+
+def test_growing_table_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from tallymark.queries import registry
+
+    rows = spark.range(400).selectExpr(
+        "id as o_orderkey", "id as o_custkey", "'F' as o_orderstatus", "cast(id as double) as o_totalprice", "timestamp_ntz '2024-01-02 00:00:00' as o_orderdate", "'1-URGENT' as o_orderpriority"
+    )
+    rows.repartition(4).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(registry, "new_folder", lambda s, name: f"{tmp_path}/{name}")
+    got = registry.q_profile_incremental(spark, str(tmp_path))
+    assert rows_of(got) == rows_of(profile(registry.table(spark, str(tmp_path), "orders_target")))
+    for i in range(2):
+        assert len(list((tmp_path / "growing" / f"part={i}").glob("*.parquet"))) > 1
