@@ -8,8 +8,9 @@ document that have one anchor are a run, and the bytes they cover are the run's
    others through and loses none.
 2. Contexts of those anchors are dealt by anchor. Equal contexts are one: what does not stand in the smallest of their
    documents is repeated as a whole. Documents of a task are compared before anything is sent.
-3. Different contexts of an anchor are laid end to end, and their suffix array, built in linear time by grouping, brings
-   equal windows together; windows that also stand in a smaller document are repeated.
+3. Different contexts of an anchor are cut to the windows whose hashes stand in contexts of two documents, and laid end to
+   end. Their suffix array, built in linear time by grouping, brings equal windows together; windows that also stand in a
+   smaller document are repeated. What the cut leaves out equals no window of another document.
 4. The repeated runs of each text are joined to it and cut out.
 
 Cases: null and empty texts have no bytes. A null id counts as larger than all others. Rows of one id don't remove
@@ -38,8 +39,10 @@ FILTER_BITS, FILTER_HASHES = 1 << 27, 3
 SLICES = 64
 #: Symbols of contexts in one suffix array; the contexts of an anchor are not parted.
 STRING = 1 << 13
-#: Context bytes that a task gathers before it compares and sends them.
-GATHER = 6 << 20
+#: Context bytes that a task gathers before it compares and sends them, and whose windows are hashed at once.
+GATHER, HASHED = 6 << 20, 1 << 18
+#: Text bytes whose runs are found at once: eight bytes for each of them stay near the processor.
+RUNS = 1 << 18
 
 _LOW = np.uint64((1 << 26) - 1)
 _LAST = (1 << 63) - 1
@@ -105,7 +108,7 @@ def _anchors(deal: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, owners, held, base = [], [], 0, 0
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=RUNS):
             owner, _, _, anchor = runs(piece)
             found.append(_anchor_hash(piece, anchor))
             owners.append(owner + base)
@@ -204,7 +207,7 @@ def _contexts(deal: int, sieve):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(sieve.value, np.uint8)
         held, size = [], 0
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=RUNS):
             owner, first, count, anchor = runs(piece)
             if not len(first):
                 continue
@@ -240,6 +243,21 @@ def _contexts(deal: int, sieve):
     return run
 
 
+def shared_windows(data: np.ndarray, lengths: np.ndarray, anchors: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For all windows of contexts that lie end to end, whether the window's hash stands in contexts of one anchor and
+    two documents. Equal windows have equal hashes, so none that stands in two documents is missed."""
+    owner = np.repeat(np.arange(len(lengths)), lengths - LENGTH + 1)
+    at = np.arange(len(owner)) + owner * (LENGTH - 1)
+    hashes = mixed(span_hash(prefix_hash(data), at, at + LENGTH) + mixed(anchors.astype(np.uint64))[owner])
+    order = np.argsort(hashes)
+    hashes, docs = hashes[order], docs[owner[order]]
+    cuts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    two = np.minimum.reduceat(docs, cuts) < np.maximum.reduceat(docs, cuts)
+    found = np.zeros(len(order), bool)
+    found[order] = np.repeat(two, np.diff(np.append(cuts, len(order))))
+    return found
+
+
 def repeated_windows(contexts: list[np.ndarray], shifts: list[int], anchors: list[int], docs: np.ndarray) -> list[np.ndarray]:
     """For each context, which of its windows also stand in a context of a smaller document.
 
@@ -315,29 +333,41 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first_of = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     last_of = np.append(first_of[1:], len(group))
     owners_at = np.searchsorted(one[members], np.arange(len(cuts) + 1))
-
-    def settle(block: list[int]) -> None:
-        texts = [c["bytes"][begin[order[cuts[x]]] : begin[order[cuts[x]]] + c["length"][order[cuts[x]]]] for x in block]
-        shifts = [int(c["shift"][order[cuts[x]]]) for x in block]
-        numbers = (group[block] - group[block[0]]).tolist()
-        for x, flags in zip(block, repeated_windows(texts, shifts, numbers, lowest[block]), strict=True):
+    at, size, shift = begin[order[cuts]], c["length"][order[cuts]].astype(np.int64), c["shift"][order[cuts]].astype(np.int64)
+
+    def settle(block: list[tuple[int, int, int]]) -> None:
+        texts = [c["bytes"][at[x] + a : at[x] + b + LENGTH] for x, a, b in block]
+        those = np.array([x for x, _, _ in block])
+        shifts = [int(shift[x]) - a for x, a, _ in block]
+        numbers = (group[those] - group[those[0]]).tolist()
+        for (x, a, _), flags in zip(block, repeated_windows(texts, shifts, numbers, lowest[those]), strict=True):
             starts, counts = _ranges(flags)
             if len(starts):
                 for m in members[owners_at[x] : owners_at[x + 1]]:
                     keys.append(np.full(len(starts), c["key"][order[m]]))
-                    ranges.append((starts + int(c["start"][order[m]])) << 32 | counts)
-
-    block, size = [], 0
-    for a, b in zip(first_of, last_of, strict=True):
-        if b - a < 2 or lowest[a:b].min() == lowest[a:b].max():
-            continue
-        block += range(a, b)
-        size += int(c["length"][order[cuts[a:b]]].sum())
-        if size >= STRING:
+                    ranges.append((starts + a + int(c["start"][order[m]])) << 32 | counts)
+
+    several = np.minimum.reduceat(lowest, first_of) < np.maximum.reduceat(lowest, first_of)
+    first_of, last_of, total = first_of[several], last_of[several], np.add.reduceat(size, first_of)[several]
+    batch = (np.cumsum(total) - total) // HASHED
+    for some in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(batch)) + 1) if len(batch) else []:
+        those = np.concatenate([np.arange(first_of[g], last_of[g]) for g in some])
+        lengths, windows = size[those], size[those] - LENGTH + 1
+        place = np.repeat(at[those] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+        shared = np.flatnonzero(shared_windows(c["bytes"][place], lengths, group[those], lowest[those]))
+        ends = np.cumsum(windows)
+        low, high = np.searchsorted(shared, ends - windows), np.searchsorted(shared, ends)
+        block, symbols, current = [], 0, -1
+        for i in np.flatnonzero(low < high).tolist():
+            if group[those[i]] != current and symbols >= STRING:
+                settle(block)
+                block, symbols = [], 0
+            current = group[those[i]]
+            before = int(ends[i] - windows[i])
+            block.append((int(those[i]), int(shared[low[i]]) - before, int(shared[high[i] - 1]) - before))
+            symbols += block[-1][2] - block[-1][1] + WIDE
+        if block:
             settle(block)
-            block, size = [], 0
-    if block:
-        settle(block)
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ranges))], ["key", "range"])
 
 

@@ -154,6 +154,25 @@ def test_suffix_array_against_sorting():
         assert suffix_array(s) == sorted(range(len(s)), key=lambda i: s[i:])
 
 
+def test_only_windows_of_two_documents_reach_the_suffix_array(monkeypatch):
+    rng, symbols = np.random.default_rng(5), []
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda s: symbols.append(len(s)) or suffix_array(s))
+
+    def noise(n):
+        return rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+
+    common, passage = noise(40), noise(70)
+    texts = [noise(80) + common + noise(80) for _ in range(60)] + [noise(30) + passage + noise(30) for _ in range(2)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(texts), ids], ["doc_id", "text", "key"])
+    sieve = type("Sieve", (), {"value": b"\xff" * (suffix_dedup.FILTER_BITS // 8)})
+    found = list(suffix_dedup._repeats(suffix_dedup._contexts(1, sieve)(iter([batch]))))
+    gone = {(k, w) for b in found for k, r in zip(*[c.to_pylist() for c in b.columns], strict=True) for w in range(r >> 32, (r >> 32) + (r & 0xFFFFFFFF))}
+    assert gone == {(61, w) for w in range(30, 30 + 70 - suffix_dedup.LENGTH + 1)}
+    # Both contexts of the passage, none of the 60 of the common words.
+    assert sum(symbols) <= 2 * 2 * (70 + 1)
+
+
 def test_dedup_against_brute_force(small):
     got = Counter(tuple(r) for r in suffix_dedup.deduplicated(small).drop("kept").collect())
     rows = [(float("inf") if i is None else i, t.encode()) for i, t in rows_of(small)]
