@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -524,6 +526,8 @@ def q_keyed_diff_small(spark, folder):
     return keyed_diff_small(orders, changed, ["o_orderkey"]).cells().drop("occurrence")
 
 
+#: Diffs of one query that run at a time.
+_AT_ONCE = 4
 _KEY_NAMES = ["status", "source", "target", "s", "t", "row", "occurrence", "column", "place", "k0"]
 _NAMED = ["_part", "_n_source", "source_extra", "diff", "c1"]
 
@@ -537,11 +541,18 @@ def _named_sql(key: str) -> str:
 @query(" UNION ALL ".join(map(_named_sql, [k for k in _KEY_NAMES if k != "column"])) + """
     UNION ALL SELECT 'column', key_value, col, source_value, target_value FROM (""" + _named_sql("k0") + """) AS c""")
 def q_keyed_diff_reserved_names(spark, folder):
-    """Keys and columns called what the reports call their own."""
-    parts = []
-    for key in _KEY_NAMES:
-        cells = keyed_diff(*[table(spark, folder, f"orders_named{side}@`{key}`") for side in ("", "_target")], [key]).cells()
-        parts.append(cells.toDF("key_value", "occurrence", "col", "source_value", "target_value", "diff").select(F.lit(key).alias("key_name"), "key_value", "col", "source_value", "target_value"))
+    """Keys and columns called what the reports call their own.
+
+    Each diff writes tables before it returns, with steps of few tasks in between; a few diffs at once fill the cores.
+    """
+
+    def cells(key: str) -> DataFrame:
+        found = keyed_diff(*[table(spark, folder, f"orders_named{side}@`{key}`") for side in ("", "_target")], [key]).cells()
+        found = found.toDF("key_value", "occurrence", "col", "source_value", "target_value", "diff")
+        return found.select(F.lit(key).alias("key_name"), "key_value", "col", "source_value", "target_value")
+
+    with ThreadPoolExecutor(max_workers=_AT_ONCE) as pool:
+        parts = list(pool.map(inheritable_thread_target(spark)(cells), _KEY_NAMES))
     return reduce(DataFrame.unionAll, parts)
 
 

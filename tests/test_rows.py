@@ -241,3 +241,21 @@ def test_lost_columns_are_said(spark):
     diff = keyed_diff(left, right, ["k"])
     assert [tuple(r) for r in diff.statuses().collect()] == [("unaligned_columns", 1)]
     assert [tuple(r) for r in diff.columns().collect()] == [("b", None)]
+
+
+def test_diffs_of_reserved_names_run_at_a_time(spark, tmp_path, monkeypatch):
+    from threading import Barrier
+
+    from tallymark.queries import registry
+
+    meeting, plain = Barrier(2), registry.keyed_diff
+
+    def together(*given):
+        meeting.wait(60)
+        return plain(*given)
+
+    monkeypatch.setattr(registry, "keyed_diff", together)
+    kinds = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame([(k, 1, "F", 1.0, None, "1") for k in (1, 50, 70, 97)], kinds).write.parquet(f"{tmp_path}/orders.parquet")
+    got = registry.q_keyed_diff_reserved_names(spark, str(tmp_path)).select("key_name", "key_value", "col").collect()
+    assert sorted(map(tuple, got)) == sorted((k, v, c) for k in registry._KEY_NAMES for v, c in ((50, "_n_source"), (70, "source_extra")))
