@@ -7,7 +7,8 @@ more than g of the 3g blocks equal, so some group has two equal blocks, and the
 keys: more selective than one block in d + 1. Where d is 1 to 3, larger combinations of blocks are keys. Layouts belong
 to bands of sizes: a node has keys in its own band and in those its larger partners may lie in.
 
-Nodes that share keys are families. A family is compared in tiles of bounded size, by whole sketches; what these can't
+Nodes that share keys of a band are families, so their sizes are alike, and a node has one family per band at most. A
+family is compared in tiles of bounded size, by whole sketches; what these can't
 tell apart are closer families, which are compared in tiles by the sets themselves. A tile hands on a spanning forest of
 its links, never all pairs. Links of all tiles join to components.
 
@@ -90,11 +91,16 @@ def _combinations(n: int, k: int) -> np.ndarray:
     return np.array(list(combinations(range(n), k)))
 
 
-def keys(values: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of which two sets of the similarity have at least one in common, unless they are equal."""
+def in_band(nodes, band: int):
+    """What a node is called among the nodes of a band: a family holds nodes of one band only."""
+    return nodes ^ mixed(np.array([band], np.uint64) + np.uint64(1)).view(np.int64)[0]
+
+
+def banded_keys(values: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Per band, keys of which two sets of the similarity have at least one in common in the larger one's band, unless
+    they are equal."""
     lows, toggles = _bands(percent)
     n = len(values)
-    out = []
     for band in range(np.searchsorted(lows, n, "right") - 1, np.searchsorted(lows, n * 100 // percent, "right")):
         d = int(toggles[band])
         if d == 0:
@@ -106,8 +112,12 @@ def keys(values: np.ndarray, percent: int) -> np.ndarray:
             chosen = _combinations(blocks, blocks - d)
         else:
             chosen = (3 * np.arange(groups)[:, None, None] + _combinations(3, 2)).reshape(-1, 2)
-        out.append(mixed((words[chosen] * _ODD[: chosen.shape[1]]).sum(1, dtype=np.uint64)))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        yield int(band), mixed((words[chosen] * _ODD[: chosen.shape[1]]).sum(1, dtype=np.uint64))
+
+
+def keys(values: np.ndarray, percent: int) -> np.ndarray:
+    """The keys of all bands."""
+    return np.concatenate([np.zeros(0, np.uint64), *[k for _, k in banded_keys(values, percent)]])
 
 
 def whole_sketch(values: np.ndarray) -> np.ndarray:
@@ -151,9 +161,9 @@ def _key_rows(n: int, percent: int, deal: int):
         key_list, node_list, held = [], [], 0
         for piece in pieces(batches):
             for values in shingle_sets(piece, n):
-                if len(found := keys(values, percent) if len(values) else values):
+                for band, found in banded_keys(values, percent) if len(values) else ():
                     key_list.append(found)
-                    node_list.append(np.full(len(found), set_node(values), np.int64))
+                    node_list.append(np.full(len(found), in_band(set_node(values), band), np.int64))
                     held += len(found)
             if held >= FLUSH:
                 yield flush(key_list, node_list)
@@ -272,6 +282,22 @@ def sketch_links(nodes: np.ndarray, sketches: list[np.ndarray], sizes: np.ndarra
     return links
 
 
+def _banded(percent: int):
+    """Rows (node, id) for the names of a node in its bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lows, _ = _bands(percent)
+        for batch in batches:
+            node, n = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("node", "n_shingles"))
+            first, last = np.searchsorted(lows, n, "right") - 1, np.searchsorted(lows, n * 100 // percent, "right")
+            for step in range(int((last - first).max(initial=0))):
+                those = first + step < last
+                names = node[those] ^ mixed((first[those] + step).astype(np.uint64) + np.uint64(1)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(node[those]), pa.array(names)], ["node", "id"])
+
+    return run
+
+
 def _tiles(percent: int, whole: bool):
     """Links of each tile, from sets or (with their sizes) from whole sketches."""
 
@@ -346,7 +372,10 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     packed = source.mapInArrow(_key_rows(n, percent, deal), "part long, keys binary, nodes binary, counts binary")
     stars = packed.repartition(deal, "part").mapInArrow(_stars, "a long, b long")
     # Joins of one kind at every size, so that what is shuffled grows with the input and not by steps.
-    sketches = rows.where("n_shingles > 0").select("node", "n_shingles", "elements").join(_members(stars, SKETCH_TILE).hint("merge"), "node").dropDuplicates(["node"])
+    nonempty = rows.where("n_shingles > 0")
+    names = nonempty.select("node", "n_shingles").distinct().mapInArrow(_banded(percent), "node long, id long")
+    members = names.join(_members(stars, SKETCH_TILE).withColumnRenamed("node", "id").hint("merge"), "id").drop("id")
+    sketches = nonempty.select("node", "n_shingles", "elements").join(members.hint("merge"), "node").dropDuplicates(["node", "family"])
     closer = _linked(sketches, percent, False, deal)
     # One text per node of a closer family, by the node's first id.
     ids = kept(classes.join(_members(closer, TILE), "node").where("first_id is not null"), "family-nodes")

@@ -129,6 +129,20 @@ def test_keys_meet_whenever_sets_are_similar():
             assert np.intersect1d(ngram_join.keys(a, percent), ngram_join.keys(b, percent)).size
 
 
+def test_families_hold_nodes_of_like_size(spark):
+    sizes = [40]
+    while sizes[-1] < 2000:
+        sizes.append(sizes[-1] * 23 // 20)
+    data = [(i, " ".join(f"w{j}" for j in range(n + 4))) for i, n in enumerate(sizes)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*data, strict=True)], ["doc_id", "text"])
+    stars = [r for b in ngram_join._stars(ngram_join._key_rows(5, 80, 1)(iter([batch]))) for r in zip(*[c.to_pylist() for c in b.columns], strict=True)]
+    families = Counter(root for _, root in stars)
+    # Sizes of a family differ by at most 1.2 / 0.8 and rounding: four of these nodes, where all were one family.
+    assert len(families) > 10 and max(families.values()) <= 4
+    got = ngram_join.near_components(spark.createDataFrame(data, "doc_id long, text string"), 5, 80).collect()
+    assert {r["component_id"] for r in got} == {0} and sorted(r["n_shingles"] for r in got) == sizes
+
+
 def test_components_against_brute_force(spark):
     rng = random.Random(5)
     edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 120)]
