@@ -8,9 +8,9 @@ keys: more selective than one block in d + 1. Where d is 1 to 3, larger combinat
 to bands of sizes: a node has keys in its own band and in those its larger partners may lie in.
 
 Nodes that share keys of a band are families, so their sizes are alike, and a node has one family per band at most. A
-family is compared in tiles of bounded size, by whole sketches; what these can't
-tell apart are closer families, which are compared in tiles by the sets themselves. A tile hands on a spanning forest of
-its links, never all pairs. Links of all tiles join to components.
+family is compared in tiles of bounded size, by whole sketches; what these can't tell apart are closer families, which
+are compared in tiles by the sets themselves. A tile hands on a spanning forest of its links, never all pairs. Links of
+all tiles join to components.
 
 Cases: null or word-less texts have an empty set, link with nothing and are components of their own. Texts of fewer
 words than n are one element. Rows without an id bring no
