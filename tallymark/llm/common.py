@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ SPACE_CLASS = "[\\\\x20\\\\x09-\\\\x0D]"
 WORDS_SQL = f"filter(split(text, '{SPACE_CLASS}+'), w -> w != '')"
 #: Text bytes that a task works on at once; a longer text is a piece of its own.
 PIECE = 1 << 20
+#: Bytes of rows that Spark hands to a worker at once in `small_batches`.
+BATCH = 1 << 21
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,6 +55,22 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Steps that run inside hand their rows to the Python workers in batches of `BATCH` bytes: the executor and the worker hold
+    several copies of one each, and keep the room that the largest took. What the session had set holds again afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -130,9 +149,9 @@ _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1
 
 def _power(kind: str, base: np.uint64, n: int) -> np.ndarray:
     if len(_powers[kind]) < n:
-        steps = np.full(max(n, 2 * PIECE), base, np.uint64)
+        steps = np.full(1 << n.bit_length(), base, np.uint64)
         steps[0] = 1
-        _powers[kind] = np.cumprod(steps, dtype=np.uint64)
+        _powers[kind] = np.cumprod(steps, dtype=np.uint64, out=steps)
     return _powers[kind]
 
 

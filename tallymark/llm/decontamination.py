@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import LETTERS, Piece, kept, lower_ascii, pieces, prefix_hash, span_hash, texts, word_spans
+from tallymark.llm.common import LETTERS, Piece, kept, lower_ascii, pieces, prefix_hash, small_batches, span_hash, texts, word_spans
 
 ITEMS = 256
 WORDS = 1 << 15
@@ -47,8 +47,8 @@ BYTES = 1 << 18
 SPARE = 1.05
 #: Further columns of the random sketch.
 OVER = 16
-#: Windows that a task works on at once.
-ROWS = 4096
+#: Windows that a task works on at once, and their entries of which it holds latent vectors.
+ROWS, ENTRIES = 4096, 1 << 13
 
 
 @dataclass(frozen=True)
@@ -229,8 +229,20 @@ def _vectors(inside: list[bytes], lengths: np.ndarray, weights: np.ndarray):
 
 def _times(row, term, value, n: int, matrix: np.ndarray) -> np.ndarray:
     """Sparse rows times a dense matrix. Every row has an entry."""
-    cuts = np.searchsorted(row, np.arange(n))
-    return np.add.reduceat(matrix[term] * value[:, None], cuts, axis=0)
+    return _added_up(np.searchsorted(row, np.arange(n)), term, value, matrix)
+
+
+def _added_up(cuts: np.ndarray, place: np.ndarray, value: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """Sums of rows of a matrix times values, from each cut to the next; entries are taken in lots that end at cuts."""
+    out = np.empty((len(cuts), matrix.shape[1]), np.result_type(matrix, value))
+    ends = np.append(cuts[1:], len(place))
+    at = 0
+    while at < len(cuts):
+        end = max(at + 1, int(np.searchsorted(ends, cuts[at] + ENTRIES, "right")))
+        these = slice(cuts[at], ends[end - 1])
+        out[at:end] = np.add.reduceat(matrix[place[these]] * value[these, None], cuts[at:end] - cuts[at], axis=0)
+        at = end
+    return out
 
 
 def _sparse(batches: Iterator[pa.RecordBatch], weights: np.ndarray):
@@ -263,7 +275,7 @@ def _gram(weights: np.ndarray, matrix: np.ndarray, inner: bool):
                 order = np.argsort(term, kind="stable")
                 t = term[order]
                 cuts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-                total[t[cuts]] += np.add.reduceat(y[row[order]] * value[order][:, None], cuts, axis=0)
+                total[t[cuts]] += _added_up(cuts, row[order], value[order], y)
         yield from _partial("part", total, 512)
 
     return run
@@ -385,7 +397,8 @@ def _lot(docs: DataFrame, items: list[tuple[int, str]], limits: Limits) -> Itera
     terms = Terms(items)
     source = texts(docs)
     counted = source.mapInArrow(_frequencies(terms), "term long, windows long").groupBy("term").agg(F.sum("windows").alias("windows"))
-    counts = dict(counted.collect())
+    with small_batches(docs.sparkSession):
+        counts = dict(counted.collect())
     total = max(1, counts.pop(-1, 0))
     seen = np.ones(len(terms))
     for t, c in counts.items():
@@ -413,7 +426,8 @@ def _block(
     found = source.mapInArrow(
         _windows(terms, full, weights, other, limits, half, np.unique(item)), "doc_id long, length double, inside binary, around binary"
     )
-    windows = kept(found, "windows")
+    with small_batches(source.sparkSession):
+        windows = kept(found, "windows")
     raw = [p.astype(np.int32).tobytes() for _, p in block]
     lengths = np.array([np.sqrt((full[p] ** 2).sum()) for _, p in block])
     dense = np.zeros((len(block), len(terms)), np.float32)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import Piece, kept, lower_ascii, mixed, pieces, prefix_hash, span_hash, texts, word_spans
+from tallymark.llm.common import Piece, kept, lower_ascii, mixed, pieces, prefix_hash, small_batches, span_hash, texts, word_spans
 from tallymark.llm.graph import components
 
 #: Ratio of a band's largest to its smallest size.
@@ -37,8 +37,12 @@ BAND = 1.2
 #: Nodes per side of a tile of sets, and of sketches, which take about a twentieth of the bytes. A family's nodes are
 #: copied once per side, so larger sides shuffle less.
 TILE, SKETCH_TILE = 512, 8192
+#: Text bytes that a task works on at once.
+BYTES = 1 << 18
 #: Key rows a task gathers before it hands them on.
 FLUSH = 1 << 20
+#: Lots of keys that a task sorts one by one, and pairs of nodes that it joins at once.
+SLOTS, PAIRS = 16, 1 << 14
 #: Blocks for small d; keys are the combinations of those that d toggles must leave equal.
 _SMALL = {1: 5, 2: 6, 3: 6}
 
@@ -127,7 +131,7 @@ def whole_sketch(values: np.ndarray) -> np.ndarray:
 
 def _nodes(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=BYTES):
             rows = [(len(v), set_node(v), whole_sketch(v).tobytes()) for v in shingle_sets(piece, n)]
             columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], ["doc_id", "n_shingles", "node", "elements"])
@@ -142,11 +146,14 @@ def _key_rows(n: int, percent: int, deal: int):
     """Rows (part, keys, nodes, counts): the keys of a part, 48 bits each besides those that the part tells, and each
     node once with the number of its keys there."""
 
-    def flush(key_list: list[np.ndarray], node_list: list[np.ndarray]) -> pa.RecordBatch:
-        k, v = np.concatenate(key_list), np.concatenate(node_list)
-        part = (k % np.uint64(deal)).astype(np.int64)
+    def flush(key_list: list[np.ndarray], node_list: list[np.int64]) -> pa.RecordBatch:
+        v = np.repeat(np.array(node_list, np.int64), [len(x) for x in key_list])
+        k = np.concatenate(key_list)
+        key_list.clear()
+        part = (k % np.uint64(deal)).astype(np.uint16 if deal <= 1 << 16 else np.int64)
         order = np.argsort(part, kind="stable")
         k, v, part = k[order] // np.uint64(deal), v[order], part[order]
+        del order
         short = k.view(np.uint8).reshape(-1, 8)[:, :6]
         cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         arrays: list[list[bytes]] = [[], [], []]
@@ -159,11 +166,11 @@ def _key_rows(n: int, percent: int, deal: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_list, node_list, held = [], [], 0
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=BYTES):
             for values in shingle_sets(piece, n):
                 for band, found in banded_keys(values, percent) if len(values) else ():
                     key_list.append(found)
-                    node_list.append(np.full(len(found), in_band(set_node(values), band), np.int64))
+                    node_list.append(in_band(set_node(values), band))
                     held += len(found)
             if held >= FLUSH:
                 yield flush(key_list, node_list)
@@ -174,37 +181,64 @@ def _key_rows(n: int, percent: int, deal: int):
     return run
 
 
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of packed rows and their nodes."""
+    short, nodes, counts = (batch.column(c).to_pylist() for c in PACKED)
+    sizes = [len(raw) // 6 for raw in short]
+    wide = np.zeros((sum(sizes), 8), np.uint8)
+    wide[:, :6] = np.frombuffer(b"".join(short), np.uint8).reshape(-1, 6)
+    part = (batch.column("part").to_numpy().astype(np.uint64) & np.uint64(0xFFFF)) << np.uint64(48)
+    k = wide.view(np.uint64).ravel() | np.repeat(part, sizes)
+    return k, np.repeat(np.frombuffer(b"".join(nodes), np.int64), np.frombuffer(b"".join(counts), np.uint32))
+
+
+def _led(k: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of a node and the smallest one that it shares a key with."""
+    order = np.argsort(k)
+    k, v = k[order], v[order]
+    new = np.concatenate([[True], k[1:] != k[:-1]])
+    leader = np.minimum.reduceat(v, np.flatnonzero(new))[np.cumsum(new) - 1]
+    other = v != leader
+    a, b = v[other], leader[other]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each node that shares keys here with the smallest node that it is joined with by them, without the keys."""
+    slots: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(SLOTS)]
+    for batch in batches:
+        k, v = _unpacked(batch)
+        slot = (k % np.uint64(SLOTS)).astype(np.uint8)
+        order = np.argsort(slot, kind="stable")
+        cuts = np.searchsorted(slot[order], np.arange(SLOTS + 1))
+        k, v = k[order], v[order]
+        for held, low, high in zip(slots, cuts[:-1], cuts[1:], strict=True):
+            if low < high:
+                held.append((k[low:high].copy(), v[low:high].copy()))
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    for b in batches:
-        for part, *raw in zip(b.column("part").to_pylist(), *[b.column(c).to_pylist() for c in PACKED], strict=True):
-            short = np.frombuffer(raw[0], np.uint8).reshape(-1, 6)
-            wide = np.zeros((len(short), 8), np.uint8)
-            wide[:, :6] = short
-            keys_here = wide.view(np.uint64).ravel() | (np.uint64(part & 0xFFFF) << np.uint64(48))
-            found.append((keys_here, np.repeat(np.frombuffer(raw[1], np.int64), np.frombuffer(raw[2], np.uint32))))
+    while slots:
+        if held := slots.pop():
+            found.append(_led(*(np.concatenate(x) for x in zip(*held, strict=True))))
     if not found:
         return
-    k, v = (np.concatenate(x) for x in zip(*found, strict=True))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
     del found
-    order = np.argsort(k)
-    k, v = k[order], v[order]
-    del order
-    new = np.concatenate([[True], k[1:] != k[:-1]])
-    cuts = np.flatnonzero(new)
-    del k
-    lows = np.minimum.reduceat(v, cuts)
-    leader = lows[np.cumsum(new) - 1]
-    other = v != leader
-    a, b = v[other], leader[other]
-    del v, leader
     if len(a):
         # A node's leaders may have each other's nodes: each goes to the smallest node it is joined with here.
-        nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        nodes = np.unique(np.concatenate([np.unique(a), np.unique(b)]))
+        pairs = np.searchsorted(nodes, a) * len(nodes)
+        pairs += np.searchsorted(nodes, b)
+        del a, b
+        pairs = np.unique(pairs)
         forest = _Forest(len(nodes))
-        for i, j in np.unique(place.reshape(2, -1), axis=1).T.tolist():
-            forest.join(i, j)
+        for at in range(0, len(pairs), PAIRS):
+            i, j = np.divmod(pairs[at : at + PAIRS], len(nodes))
+            for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                forest.join(x, y)
         roots = np.array([forest.find(i) for i in range(len(nodes))])
         other = roots != np.arange(len(nodes))
         yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(nodes[roots[other]])], ["a", "b"])
@@ -332,7 +366,7 @@ def _tiles(percent: int, whole: bool):
 
 def _elements(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=BYTES):
             # An id may stand for several texts: only the node's own text counts.
             wanted = piece.column("node").to_pylist()
             own = [(i, v.tobytes()) for i, v in enumerate(shingle_sets(piece, n)) if len(v) and set_node(v) == wanted[i]]
@@ -364,6 +398,11 @@ def _linked(rows: DataFrame, percent: int, whole: bool, deal: int) -> DataFrame:
 
 def near_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, a row per document row."""
+    with small_batches(docs.sparkSession):
+        return _near_components(docs, n, percent)
+
+
+def _near_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     deal = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = texts(docs)
