@@ -39,10 +39,26 @@ def work_folder(spark: SparkSession) -> str:
     return "file://" + tempfile.mkdtemp(prefix="tallymark-")
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """What the session had set holds again afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """The frame, written once and read back."""
+    """The frame, written once and read back. Shuffles that made it are deleted as soon as it is written, instead of when the
+    driver happens to collect its garbage."""
     path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.kept_at = path
     return out
@@ -59,16 +75,8 @@ def forget(*tables: DataFrame) -> None:
 def small_batches(spark: SparkSession):
     """Steps that run inside hand their rows to the Python workers in batches of `BATCH` bytes: the executor and the worker hold
     several copies of one each, and keep the room that the largest took. What the session had set holds again afterwards."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(BATCH))
-    try:
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH)):
         yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,16 @@
-"""N-gram Jaccard self-join by parity sketches.
+"""N-gram Jaccard self-join by shared elements and parity sketches.
 
-A document is the set of hashes of its word n-grams. Equal sets are one node. A sketch toggles one bit per element, so
-two sketches differ in at most as many bits as the sets differ in elements, and a similarity of p percent bounds that
-by d = (100 - p) / (100 + p) * (|A| + |B|). The sketch is cut into g groups of three blocks with d < 2g; d toggles leave
-more than g of the 3g blocks equal, so some group has two equal blocks, and the pairs of blocks within groups are the
-keys: more selective than one block in d + 1. Where d is 1 to 3, larger combinations of blocks are keys. Layouts belong
-to bands of sizes: a node has keys in its own band and in those its larger partners may lie in.
+A document is the set of hashes of its word n-grams. Equal sets are one node. All sets are put in one order of elements,
+rarest first, and a set's keys are the first elements of it: as many as leave too few behind for the overlap that a
+similarity of p percent asks for, so that the first element which two similar sets share is a key of both. The order needs
+no exact counts, only the same ones for all sets: part of the elements are counted, and filters tell those of one text,
+which come first and need not be sent, and those of many texts, which come last. A set that has enough elements of its own
+has no keys. Layouts belong to bands of sizes: a node has keys in its own band and in those its larger partners may lie in.
 
 Nodes that share keys of a band are families, so their sizes are alike, and a node has one family per band at most. A
 family is compared in tiles of bounded size, by whole sketches; what these can't tell apart are closer families, which
-are compared in tiles by the sets themselves. A tile hands on a spanning forest of its links, never all pairs. Links of
+are compared in tiles by the sets themselves. A whole sketch toggles one bit per element, so two sketches differ in at
+most as many bits as the sets differ in elements. A tile hands on a spanning forest of its links, never all pairs. Links of
 all tiles join to components.
 
 Cases: null or word-less texts have an empty set, link with nothing and are components of their own. Texts of fewer
@@ -22,7 +23,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import Piece, kept, lower_ascii, mixed, pieces, prefix_hash, small_batches, span_hash, texts, word_spans
 from tallymark.llm.graph import components
+from tallymark.llm.shared_hashes import SENT, filters, lot, passing
 
 #: Ratio of a band's largest to its smallest size.
 BAND = 1.2
@@ -39,12 +40,12 @@ BAND = 1.2
 TILE, SKETCH_TILE = 512, 8192
 #: Text bytes that a task works on at once.
 BYTES = 1 << 18
-#: Key rows a task gathers before it hands them on.
+#: Numbers (keys and their nodes, or counted elements) that a task gathers before it hands them on.
 FLUSH = 1 << 20
 #: Lots of keys that a task sorts one by one, and pairs of nodes that it joins at once.
 SLOTS, PAIRS = 16, 1 << 14
-#: Blocks for small d; keys are the combinations of those that d toggles must leave equal.
-_SMALL = {1: 5, 2: 6, 3: 6}
+#: Elements that are counted, in sixteenths: a lone set's must outnumber the elements that similar sets may differ in.
+COUNTED = 40
 
 _ODD = np.random.default_rng(11).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -74,13 +75,12 @@ def set_node(values: np.ndarray) -> np.int64:
 
 
 @cache
-def _bands(percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest size of each band, and the toggles allowed in it."""
+def _bands() -> np.ndarray:
+    """Smallest size of each band."""
     lows = [1]
     while lows[-1] < 1 << 40:
         lows.append(max(lows[-1] + 1, int(lows[-1] * BAND)))
-    sizes = np.array(lows)
-    return sizes, (100 - percent) * 2 * (sizes[1:] - 1) // (100 + percent)
+    return np.array(lows)
 
 
 def sketch(values: np.ndarray, blocks: int, layout: int) -> np.ndarray:
@@ -90,33 +90,43 @@ def sketch(values: np.ndarray, blocks: int, layout: int) -> np.ndarray:
     return np.packbits(np.bincount(bit, minlength=blocks * 64).astype(np.uint8) & 1, bitorder="little").view(np.uint64)
 
 
-@cache
-def _combinations(n: int, k: int) -> np.ndarray:
-    return np.array(list(combinations(range(n), k)))
-
-
 def in_band(nodes, band: int):
     """What a node is called among the nodes of a band: a family holds nodes of one band only."""
     return nodes ^ mixed(np.array([band], np.uint64) + np.uint64(1)).view(np.int64)[0]
 
 
-def banded_keys(values: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+def counted(values: np.ndarray, percent: int) -> np.ndarray:
+    """Which elements are counted."""
+    return values & np.uint64(15) < np.uint64(min(16, -(-COUNTED * (100 - percent) // 100)))
+
+
+def ranked(values: np.ndarray, percent: int, sieves: tuple[bytes, bytes] | None, deal: int) -> np.ndarray:
+    """The place of each element in the order of all: 0 if only one text has it, then 1; 2 not counted; 3 in many texts."""
+    ranks = np.full(len(values), 2, np.uint8)
+    if sieves is not None:
+        those = np.flatnonzero(counted(values, percent))
+        shared, frequent = (passing(values[those], x, deal) for x in sieves)
+        ranks[those] = np.where(shared, np.where(frequent, 3, 1), 0)
+    return ranks
+
+
+def banded_keys(values: np.ndarray, percent: int, ranks: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """Per band, keys of which two sets of the similarity have at least one in common in the larger one's band, unless
-    they are equal."""
-    lows, toggles = _bands(percent)
-    n = len(values)
-    for band in range(np.searchsorted(lows, n, "right") - 1, np.searchsorted(lows, n * 100 // percent, "right")):
-        d = int(toggles[band])
-        if d == 0:
-            continue
-        groups = (d + 2) // 2
-        blocks = _SMALL.get(d) or 3 * groups
-        words = mixed(sketch(values, blocks, band) ^ mixed(np.arange(blocks, dtype=np.uint64) + np.uint64(band << 32)))
-        if d in _SMALL:
-            chosen = _combinations(blocks, blocks - d)
+    they are equal. `values` are sorted."""
+    lows = _bands()
+    n, own, ordered = len(values), 0, values
+    if ranks is not None:
+        own = int((ranks == 0).sum())
+        ordered = np.concatenate([values[ranks == r] for r in (1, 2, 3)])
+    first = int(np.searchsorted(lows, n, "right")) - 1
+    for band in range(first, int(np.searchsorted(lows, n * 100 // percent, "right"))):
+        if band == first:
+            least = -(-percent * n // 100)
         else:
-            chosen = (3 * np.arange(groups)[:, None, None] + _combinations(3, 2)).reshape(-1, 2)
-        yield int(band), mixed((words[chosen] * _ODD[: chosen.shape[1]]).sum(1, dtype=np.uint64))
+            least = -(-percent * (n + int(lows[band])) // (100 + percent))
+        found = ordered[: max(0, n - least + 1 - own)]
+        if len(found):
+            yield band, mixed(found + mixed(np.array([band], np.uint64) + np.uint64(1)))
 
 
 def keys(values: np.ndarray, percent: int) -> np.ndarray:
@@ -139,12 +149,30 @@ def _nodes(n: int):
     return run
 
 
+def _counted_rows(n: int, percent: int, deal: int):
+    """Lots of the counted elements."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for piece in pieces(batches, limit=BYTES):
+            v = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(piece, n)])
+            found.append(v[counted(v, percent)])
+            held += len(found[-1])
+            if held >= FLUSH:
+                yield lot(np.concatenate(found), None, deal)
+                found, held = [], 0
+        if held:
+            yield lot(np.concatenate(found), None, deal)
+
+    return run
+
+
 PACKED = ("keys", "nodes", "counts")
 
 
-def _key_rows(n: int, percent: int, deal: int):
+def _key_rows(n: int, percent: int, deal: int, sieves=None):
     """Rows (part, keys, nodes, counts): the keys of a part, 48 bits each besides those that the part tells, and each
-    node once with the number of its keys there."""
+    node once with the number of its keys there. `sieves` is the broadcast of both filters."""
 
     def flush(key_list: list[np.ndarray], node_list: list[np.int64]) -> pa.RecordBatch:
         v = np.repeat(np.array(node_list, np.int64), [len(x) for x in key_list])
@@ -167,11 +195,15 @@ def _key_rows(n: int, percent: int, deal: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key_list, node_list, held = [], [], 0
         for piece in pieces(batches, limit=BYTES):
-            for values in shingle_sets(piece, n):
-                for band, found in banded_keys(values, percent) if len(values) else ():
+            sets = list(shingle_sets(piece, n))
+            whole = np.concatenate([np.zeros(0, np.uint64), *sets])
+            ends = np.cumsum([len(values) for values in sets])
+            ranks = np.split(ranked(whole, percent, sieves and sieves.value, deal), ends[:-1])
+            for values, places in zip(sets, ranks, strict=True):
+                for band, found in banded_keys(values, percent, places) if len(values) else ():
                     key_list.append(found)
                     node_list.append(in_band(set_node(values), band))
-                    held += len(found)
+                    held += 2 * len(found)
             if held >= FLUSH:
                 yield flush(key_list, node_list)
                 key_list, node_list, held = [], [], 0
@@ -320,7 +352,7 @@ def _banded(percent: int):
     """Rows (node, id) for the names of a node in its bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lows, _ = _bands(percent)
+        lows = _bands()
         for batch in batches:
             node, n = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("node", "n_shingles"))
             first, last = np.searchsorted(lows, n, "right") - 1, np.searchsorted(lows, n * 100 // percent, "right")
@@ -408,7 +440,8 @@ def _near_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     source = texts(docs)
     rows = kept(source.mapInArrow(_nodes(n), "doc_id long, n_shingles long, node long, elements binary"), "shingle-nodes")
     classes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    packed = source.mapInArrow(_key_rows(n, percent, deal), "part long, keys binary, nodes binary, counts binary")
+    sieves = spark.sparkContext.broadcast(tuple(filters(source.mapInArrow(_counted_rows(n, percent, deal), SENT), deal, frequent=True)))
+    packed = source.mapInArrow(_key_rows(n, percent, deal, sieves), "part long, keys binary, nodes binary, counts binary")
     stars = packed.repartition(deal, "part").mapInArrow(_stars, "a long, b long")
     # Joins of one kind at every size, so that what is shuffled grows with the input and not by steps.
     nonempty = rows.where("n_shingles > 0")

@@ -9,8 +9,22 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontamination, fixity, licences, mixing, ngram_join, quality_model, quality_rules, secrets, suffix_dedup, toxicity
+from tallymark.llm import (
+    common,
+    decontamination,
+    fixity,
+    licences,
+    mixing,
+    ngram_join,
+    quality_model,
+    quality_rules,
+    secrets,
+    shared_hashes,
+    suffix_dedup,
+    toxicity,
+)
 from tallymark.llm.automaton import RESET, Automaton
+from tallymark.llm.common import Piece
 from tallymark.llm.graph import components
 from tallymark.llm.queries import ORACLES, QUERIES
 from tallymark.llm.suffix_array import suffix_array
@@ -143,6 +157,52 @@ def test_families_hold_nodes_of_like_size(spark):
     assert {r["component_id"] for r in got} == {0} and sorted(r["n_shingles"] for r in got) == sizes
 
 
+def test_sets_of_their_own_elements_have_no_keys(spark):
+    rng = np.random.default_rng(8)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 1 << 40, n)]
+
+    line = words(40)
+    # 200 texts have a line in common, so that keys from a part of a set's elements would chain them; one pair is similar.
+    texts = [words(60) + line + words(60) for _ in range(200)]
+    texts[150] = [*texts[20][:-5], *words(5)]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*data, strict=True)], ["doc_id", "text"])
+    lots = spark.createDataFrame([tuple(r) for b in ngram_join._counted_rows(5, 80, 7)(iter([batch])) for r in zip(*[c.to_pylist() for c in b.columns], strict=True)], "part long, hashes binary")
+    sieves = type("Sieves", (), {"value": tuple(shared_hashes.filters(lots, 7, frequent=True))})
+    nodes = {v for b in ngram_join._key_rows(5, 80, 7, sieves)(iter([batch])) for raw in b.column("nodes").to_pylist() for v in np.frombuffer(raw, np.int64).tolist()}
+    owners = {ngram_join.in_band(ngram_join.set_node(v), band): i for i, v in enumerate(ngram_join.shingle_sets(Piece(batch), 5)) for band in range(60)}
+    assert {20, 150} <= {owners[v] for v in nodes} and len({owners[v] for v in nodes}) < 20
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_components(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {i: 20 if i == 150 else i for i in range(200)}
+
+
+def test_filters_lose_no_shared_hash(spark):
+    rng = np.random.default_rng(9)
+    both, alone = rng.integers(0, 1 << 63, (2, 500), dtype=np.uint64)
+    # Shared within a lot, by two lots, and by many lots; the rest stands in one text, or twice in the same one.
+    lots = [shared_hashes.lot(np.concatenate([both[:100], both[:200], alone[:300], alone[:300]]), np.repeat([0, 1, 2], [100, 200, 600]), 5)]
+    lots += [shared_hashes.lot(np.unique(np.concatenate([both[100:], alone[300:]])), None, 5)]
+    lots += [shared_hashes.lot(both[400:], None, 5) for _ in range(shared_hashes.FREQUENT)]
+    sent = spark.createDataFrame([tuple(r) for b in lots for r in zip(*[c.to_pylist() for c in b.columns], strict=True)], shared_hashes.SENT)
+    shared, frequent = shared_hashes.filters(sent, 5, frequent=True)
+    want = np.concatenate([both[:200], both[400:]])
+    assert shared_hashes.passing(want, shared, 5).all() and not shared_hashes.passing(np.concatenate([both[200:400], alone]), shared, 5).any()
+    assert shared_hashes.passing(both[400:], frequent, 5).all() and not shared_hashes.passing(both[:400], frequent, 5).any()
+
+
+def test_shuffles_of_a_kept_table_are_deleted(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name, None), []
+
+    class Frame:
+        sparkSession, schema, write = spark, spark.range(1).schema, type("Writer", (), {"parquet": lambda self, path: (seen.append(spark.conf.get(name)), spark.range(1).write.parquet(path))})()
+
+    assert common.kept(Frame(), "shuffled").count() == 1
+    assert seen == ["true"] and spark.conf.get(name, None) == before
+
+
 def test_components_against_brute_force(spark):
     rng = random.Random(5)
     edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 120)]
