@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import kept, mixed
 
 #: Bits set per hash, bits of a filter per hash where there is room, the least and the most bits, and those of a slice.
-HASHES, ROOM = 3, 8
+HASHES, ROOM = 3, 5
 LEAST, MOST, SLICE = 1 << 21, 1 << 30, 1 << 21
 #: Lots a hash comes from before it is a frequent one.
 FREQUENT = 16

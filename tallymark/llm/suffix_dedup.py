@@ -4,10 +4,11 @@ A byte goes where a string of `LENGTH` bytes that covers it also starts in a doc
 (window) has one anchor, the k-mer of the least hash in it, so equal windows have equal anchors. The windows of a
 document that have one anchor are a run, and the bytes they cover are the run's context.
 
-1. Anchors that stand in two documents are found from hashes alone and kept as a filter of fixed size, which lets a few
-   others through and loses none.
-2. Contexts of those anchors are dealt by anchor. Equal contexts are one: what does not stand in the smallest of their
-   documents is repeated as a whole. Documents of a task are compared before anything is sent.
+1. Of equal texts only those of the smallest id go on; the others are repeated as a whole.
+2. A window has its anchor and at least SIDE bytes before it, or that many and one more behind it. Hashes of these halves
+   tell which runs, or parts of them, may stand in two documents: those of two texts are kept as a filter, which lets a few
+   others through and loses none. What is left of their contexts is dealt by anchor. Equal contexts are one: what does not
+   stand in the smallest of their documents is repeated as a whole. Documents of a task are compared before anything is sent.
 3. Different contexts of an anchor are cut to the windows whose hashes stand in contexts of two documents, and laid end to
    end. Their suffix array, built in linear time by grouping, brings equal windows together; windows that also stand in a
    smaller document are repeated. What the cut leaves out equals no window of another document.
@@ -29,14 +30,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import Piece, kept, mixed, pieces, prefix_hash, span_hash
+from tallymark.llm.shared_hashes import SENT, blobs, filters, lot, passing
 from tallymark.llm.suffix_array import suffix_array
 
 LENGTH, KMER = 50, 16
 #: Windows per k-mer position in a window.
 WIDE = LENGTH - KMER + 1
-#: Bits of the filter of shared anchors, and bits set per anchor.
-FILTER_BITS, FILTER_HASHES = 1 << 27, 3
-SLICES = 64
+#: Bytes of a window besides its anchor that are not more than those before it and those behind it together.
+SIDE = (LENGTH - KMER) // 2
+#: The least bits of the filter of shared halves.
+FILTER_BITS = 1 << 24
+#: Hashes of halves that a task gathers before it sends them.
+LOT = 1 << 21
 #: Symbols of contexts in one suffix array; the contexts of an anchor are not parted.
 STRING = 1 << 13
 #: Context bytes that a task gathers before it compares and sends them, and whose windows are hashed at once.
@@ -76,88 +81,55 @@ def runs(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return owner[first], first, count, anchor[first]
 
 
-def _anchor_hash(piece: Piece, anchors: np.ndarray) -> np.ndarray:
-    return mixed(span_hash(prefix_hash(piece.data), anchors, anchors + KMER) + np.uint64(1))
+def _anchor_hash(sums: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    return mixed(span_hash(sums, anchors, anchors + KMER) + np.uint64(1))
 
 
-def _blobs(parts: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """A row per part with each column's values packed."""
-    order = np.argsort(parts, kind="stable")
-    parts = parts[order]
-    cuts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else np.zeros(0, np.int64)
-    ends = np.append(cuts[1:], len(parts)).astype(np.int64)
-    arrays = [pa.array(parts[cuts].astype(np.int64))]
-    for v in columns.values():
-        v = v[order]
-        arrays.append(pa.array([v[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()))
-    return pa.RecordBatch.from_arrays(arrays, ["part", *columns])
+def _halves(sums: np.ndarray, first: np.ndarray, count: np.ndarray, anchor: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(runs, hashes) of the anchor with SIDE bytes before it, for runs with windows that begin there or before, and of the
+    anchor with the bytes behind it that all windows that begin later have."""
+    before = np.flatnonzero(first <= anchor - SIDE)
+    behind = np.flatnonzero(first + count > anchor - SIDE + 1)
+    end = anchor[behind] - SIDE + 1 + LENGTH
+    return [
+        (before, mixed(span_hash(sums, anchor[before] - SIDE, anchor[before] + KMER) + np.uint64(2))),
+        (behind, mixed(span_hash(sums, anchor[behind], end) + np.uint64(3))),
+    ]
 
 
-def _anchors(deal: int):
-    """Distinct anchors of some documents; `twice` are those that two of them share."""
+def _without(batches: Iterator[pa.RecordBatch], copies) -> Iterator[pa.RecordBatch]:
+    """The rows whose keys are not among the sorted ones that were broadcast."""
+    for batch in batches:
+        if copies is not None and len(copies.value) and batch.num_rows:
+            keys = batch.column(batch.schema.get_field_index("key")).to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(copies.value, keys), len(copies.value) - 1)
+            batch = batch.filter(pa.array(copies.value[at] != keys))
+        yield batch
+
 
-    def flush(found: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
-        h, d = np.concatenate(found), np.concatenate(owners)
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        cuts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        last = np.append(cuts[1:], len(h)) - 1
-        # The lowest bit of what is sent tells whether two documents have the anchor.
-        sent = (h[cuts] & ~np.uint64(1)) | (d[cuts] != d[last]).astype(np.uint64)
-        return _blobs((h[cuts] >> np.uint64(1)) % np.uint64(deal), {"anchors": sent})
+def _shared(deal: int, copies):
+    """Lots of the halves' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, owners, held, base = [], [], 0, 0
-        for piece in pieces(batches, limit=RUNS):
-            owner, _, _, anchor = runs(piece)
-            found.append(_anchor_hash(piece, anchor))
-            owners.append(owner + base)
+        for piece in pieces(_without(batches, copies), limit=RUNS):
+            owner, first, count, anchor = runs(piece)
+            if len(first):
+                for those, hashes in _halves(prefix_hash(piece.data), first, count, anchor):
+                    found.append(hashes)
+                    owners.append((owner[those] + base).astype(np.int32))
+                    held += len(those)
             base += len(piece)
-            held += len(anchor)
-            if held >= 1 << 21:
-                yield flush(found, owners)
+            if held >= LOT:
+                yield lot(np.concatenate(found), np.concatenate(owners), deal)
                 found, owners, held = [], [], 0
         if held:
-            yield flush(found, owners)
+            yield lot(np.concatenate(found), np.concatenate(owners), deal)
 
     return run
 
 
-def _bits(anchors: np.ndarray) -> np.ndarray:
-    """FILTER_HASHES bit numbers per anchor; the lowest bit of an anchor doesn't count."""
-    base = anchors >> np.uint64(1)
-    return np.stack([mixed(base + np.uint64(j << 60)) % np.uint64(FILTER_BITS) for j in range(1, FILTER_HASHES + 1)])
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw = [b for batch in batches for b in batch.column("anchors").to_pylist()]
-    if not raw:
-        return
-    h = np.frombuffer(b"".join(raw), np.uint64)
-    del raw
-    order = np.argsort(h >> np.uint64(1), kind="stable")
-    h = h[order]
-    cuts = np.flatnonzero(np.concatenate([[True], h[1:] >> np.uint64(1) != h[:-1] >> np.uint64(1)]))
-    many = np.diff(np.append(cuts, len(h))) > 1
-    twice = np.bitwise_or.reduceat(h & np.uint64(1), cuts) > 0
-    bits = np.unique(_bits(h[cuts[many | twice]]).ravel())
-    if len(bits):
-        size = np.uint64(FILTER_BITS // SLICES)
-        yield _blobs(bits // size, {"bits": (bits % size).astype(np.uint32)})
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, raw in zip(batch.column("part").to_pylist(), batch.column("bits").to_pylist(), strict=True):
-            here = found.setdefault(part, np.zeros(FILTER_BITS // SLICES, np.uint8))
-            here[np.frombuffer(raw, np.uint32)] = 1
-    if found:
-        packed = [np.packbits(v).tobytes() for v in found.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(packed, pa.binary())], ["part", "bits"])
-
-
-def _contexts(deal: int, sieve):
+def _contexts(deal: int, sieve, copies=None):
     """Rows of contexts by part, and of runs that a smaller document of the same task repeats whole."""
 
     def flush(held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +153,7 @@ def _contexts(deal: int, sieve):
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (start[1:] != start[:-1] + count[:-1])])
             cuts = np.flatnonzero(new)
             ranges = (start[cuts].astype(np.int64) << 32) | np.add.reduceat(count, cuts)
-            batch = _blobs(key[cuts].astype(np.uint64) % np.uint64(deal), {"key": key[cuts], "start": ranges})
+            batch = blobs(key[cuts].astype(np.uint64) % np.uint64(deal), {"key": key[cuts], "start": ranges})
             columns = [batch.column(0)] + [
                 batch.column(batch.schema.get_field_index(n)) if n in ("key", "start") else pa.array([b""] * batch.num_rows, pa.binary())
                 for n in names[1:]
@@ -205,19 +177,22 @@ def _contexts(deal: int, sieve):
         yield pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(sieve.value, np.uint8)
         held, size = [], 0
-        for piece in pieces(batches, limit=RUNS):
+        for piece in pieces(_without(batches, copies), limit=RUNS):
             owner, first, count, anchor = runs(piece)
             if not len(first):
                 continue
             sums = prefix_hash(piece.data)
-            h = mixed(span_hash(sums, anchor, anchor + KMER) + np.uint64(1))
-            number = _bits(h)
-            good = np.flatnonzero((bits[number >> np.uint64(3)] >> (7 - (number & np.uint64(7))).astype(np.uint8) & 1).all(0))
+            shared = np.zeros((2, len(first)), bool)
+            for side, (those, hashes) in zip(shared, _halves(sums, first, count, anchor), strict=True):
+                side[those] = passing(hashes, sieve.value, deal)
+            end = np.where(shared[1], first + count, np.minimum(first + count, anchor - SIDE + 1))
+            first = np.where(shared[0], first, np.maximum(first, anchor - SIDE + 1))
+            good = np.flatnonzero(shared.any(0))
             if not len(good):
                 continue
-            owner, first, count, anchor, h = owner[good], first[good], count[good], anchor[good], h[good]
+            owner, first, count, anchor = owner[good], first[good], (end - first)[good], anchor[good]
+            h = _anchor_hash(sums, anchor)
             length = count + LENGTH - 1
             place = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
             doc = piece.column("doc_id").to_numpy(zero_copy_only=False)[owner]
@@ -396,17 +371,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def shared_filter(rows: DataFrame, deal: int) -> bytes:
-    """A bit array of fixed size with FILTER_HASHES bits set for each anchor of two documents."""
-    spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sent = rows.select("doc_id", "text").mapInArrow(_anchors(deal), "part long, anchors binary").repartition(2 * n, "part")
-    bits = sent.mapInArrow(_shared, "part long, bits binary").repartition("part").mapInArrow(_slices, "part long, bits binary")
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    size = FILTER_BITS // SLICES // 8
-    for part, raw in bits.toLocalIterator():
-        out[part * size : (part + 1) * size] = np.frombuffer(bytes(raw), np.uint8)
-    return out.tobytes()
+def equal_texts(rows: DataFrame) -> DataFrame:
+    """(key, range): the texts of at least one window that also stand in a document of a smaller id, with all their windows."""
+    n = F.octet_length("text").cast("long").alias("n")
+    each = rows.where(F.octet_length("text") >= LENGTH).select("key", "doc_id", n, F.xxhash64("text").alias("one"), F.xxhash64(F.lit(1), "text").alias("two"))
+    each = kept(each.distinct(), "texts")
+    least = each.groupBy("one", "two", "n").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    again = each.join(least, ["one", "two", "n"]).where("doc_id > least")
+    return kept(again.select("key", (F.col("n") - (LENGTH - 1)).alias("range")), "equal-texts")
+
+
+def shared_filter(rows: DataFrame, deal: int, copies=None) -> bytes:
+    """The filter of the halves that two texts have; `copies` is the broadcast of the keys that are left out."""
+    sent = rows.select("doc_id", "text", "key").mapInArrow(_shared(deal, copies), SENT)
+    return filters(sent, deal, least=FILTER_BITS)[0]
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -416,10 +394,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
-    sieve = spark.sparkContext.broadcast(shared_filter(rows, 4 * n))
+    equal = equal_texts(rows)
+    copies = spark.sparkContext.broadcast(np.sort(equal.select("key").toArrow().column(0).to_numpy()))
+    sieve = spark.sparkContext.broadcast(shared_filter(rows, 4 * n, copies))
     kinds = ", ".join(f"{k} binary" for k in ("anchor", "doc", "key", "start", "shift", "length", "bytes"))
-    sent = rows.mapInArrow(_contexts(4 * n, sieve), f"part long, {kinds}").repartition(4 * n, "part")
-    found = kept(sent.mapInArrow(_repeats, "key long, range long"), "repeats")
+    sent = rows.mapInArrow(_contexts(4 * n, sieve, copies), f"part long, {kinds}").repartition(4 * n, "part")
+    found = kept(sent.mapInArrow(_repeats, "key long, range long").unionAll(equal), "repeats")
     per = found.groupBy("key").agg(F.collect_list("range").alias("ranges"))
     joined = rows.join(per, "key", "left").select("doc_id", "text", "ranges")
     out = joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

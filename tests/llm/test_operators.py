@@ -247,6 +247,29 @@ def test_only_windows_of_two_documents_reach_the_suffix_array(monkeypatch):
     assert sum(symbols) <= 2 * 2 * (70 + 1)
 
 
+def test_only_halves_of_two_texts_are_sent(spark):
+    rng = np.random.default_rng(6)
+
+    def noise(n):
+        return rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+
+    # Common words hold whole anchors, but no window; the first text is there three times.
+    common, passage = noise(30), noise(70)
+    texts = [noise(80) + common + noise(80) for _ in range(60)] + [noise(30) + passage + noise(30) for _ in range(2)]
+    texts += [texts[0]] * 2
+    rows = spark.createDataFrame([(i, t, 1000 + i) for i, t in enumerate(texts)], "doc_id long, text string, key long")
+    equal = suffix_dedup.equal_texts(rows)
+    assert {tuple(r) for r in equal.collect()} == {(1062, 141), (1063, 141)}
+    copies = type("Copies", (), {"value": np.array([1062, 1063])})
+    sieve = type("Sieve", (), {"value": suffix_dedup.shared_filter(rows.repartition(3), 5, copies)})
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows.collect(), strict=True)], ["doc_id", "text", "key"])
+    sent = list(suffix_dedup._contexts(5, sieve, copies)(iter([batch])))
+    keys = {k for b in sent for raw in b.column(b.schema.get_field_index("key")).to_pylist() for k in np.frombuffer(raw, np.int64).tolist()}
+    assert keys == {1060, 1061}
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.deduplicated(rows.drop("key")).collect()}
+    assert {i: n for i, n in got.items() if n} == {61: 70, 62: 190, 63: 190}
+
+
 def test_dedup_against_brute_force(small):
     got = Counter(tuple(r) for r in suffix_dedup.deduplicated(small).drop("kept").collect())
     rows = [(float("inf") if i is None else i, t.encode()) for i, t in rows_of(small)]
